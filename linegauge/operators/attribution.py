@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linegauge.functions.nested import driver, top_drivers
@@ -109,29 +109,30 @@ def leaf_contributions(x: np.ndarray, rules: Sequence[tuple[float, dict]]) -> np
 
 # -- both families -------------------------------------------------------------
 
-def linear_contributions(scored: DataFrame, model: LogisticRegressionModel) -> Column:
-    """Array of coefficient x (value - mean); the means are one scalar subquery."""
+def linear_attribution(scored: DataFrame, model: LogisticRegressionModel) -> DataFrame:
+    """Coefficient x (value - mean) per feature; the means are one scalar subquery."""
     n = model.numFeatures
-    x = vector_to_array("features")
-    means = scored.select(x.alias("x")).agg(*[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(n)]).select(
+    rows = scored.withColumn("_x", vector_to_array("features"))
+    means = rows.agg(*[F.avg(F.col("_x")[i]).alias(f"m{i}") for i in range(n)]).select(
         F.array(*[F.col(f"m{i}") for i in range(n)]).alias("v")).scalar()
-    coef = F.array(*[F.lit(float(c)) for c in model.coefficients.toArray()])
-    return F.zip_with(coef, F.zip_with(x, means, lambda a, b: a - b), lambda c, d: c * d)
+    coef = [float(c) for c in model.coefficients.toArray()]
+    rows = rows.withColumn("_m", means)
+    return rows.withColumn("contributions", F.array(*[
+        F.lit(c) * (F.col("_x")[i] - F.col("_m")[i]) for i, c in enumerate(coef)])).drop("_x", "_m")
 
 
 def attribute(scored: DataFrame, model: PipelineModel, key: str) -> DataFrame:
     """``scored`` with one ``contributions`` array per row."""
     last = model.stages[-1]
     if isinstance(last, LogisticRegressionModel):
-        return scored.withColumn("contributions", linear_contributions(scored, last))
-    rows = scored.drop("contributions")
+        return linear_attribution(scored, last)
     rules = scored.sparkSession.sparkContext.broadcast(ensemble_rules(last))
 
     @F.pandas_udf("array<double>")
     def contributions(xs: pd.Series) -> pd.Series:
         return pd.Series(list(leaf_contributions(np.stack(xs.to_numpy()), rules.value))) if len(xs) else xs
 
-    return rows.withColumn("contributions", contributions(vector_to_array("features")))
+    return scored.withColumn("contributions", contributions(vector_to_array("features")))
 
 
 def with_drivers(attributed: DataFrame, names: Sequence[str], k: int = 3) -> DataFrame:

@@ -83,12 +83,12 @@ def month(col: Column | str) -> Column:
 # document rows with a label and a score in [0, 1] of four digits
 def scored_documents(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
-    score = F.round(F.least(F.col("n_chars") / 4000.0, F.lit(1.0)), 4)
+    score = F.round(F.least(F.col("n_chars") / 4096.0, F.lit(1.0)), 4)
     return table(spark, sf, "labels").join(docs, "doc_id").withColumn("score", score)
 
 
 SCORED = """
 sd AS (SELECT l.doc_id, l.quality, l.toxic, d.lang, d.source, d.n_chars,
-              round(least(d.n_chars / 4000.0, 1.0), 4) AS score
+              round(least(d.n_chars / 4096.0, 1.0), 4) AS score
        FROM labels l JOIN documents d ON l.doc_id = d.doc_id)
 """
