@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linegauge.operators.prefix import running_sums, same_keys, split_points
+from linegauge.operators.prefix import running_sums, split_points
 from linegauge.session import fan_out
 
 # A feature has drifted from this distance on; a numeric feature with at most
@@ -32,71 +32,88 @@ def melt_numbers(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -
         list(keep), list(cols), "feature", "value").where(F.col("value").isNotNull())
 
 
-def paired_counts(reference: DataFrame, current: DataFrame, period: str) -> DataFrame:
-    """(period, feature, value, n_ref, n_cur): reference counts repeated for every period.
+def side_counts(reference: DataFrame, current: DataFrame, period: str, periods: Sequence[str]) -> DataFrame:
+    """(feature, value, n_ref, n_0, n_1, ...): rows of the reference and of every period per value.
 
-    The repetition happens on counted values, once per period.
+    One shuffle for all periods; the reference is counted once, whatever their number.
     """
-    ref = reference.groupBy("feature", "value").agg(F.count("*").alias("n_ref"))
-    cur = current.groupBy(period, "feature", "value").agg(F.count("*").alias("n_cur"))
-    periods = current.agg(F.collect_set(period).alias("p")).scalar()  # the list of period labels
-    ref = ref.select("feature", "value", F.explode(periods).alias(period), "n_ref", F.lit(0).alias("n_cur"))
-    cur = cur.select("feature", "value", period, F.lit(0).alias("n_ref"), "n_cur")
-    return ref.unionByName(cur).groupBy(period, "feature", "value").agg(
-        F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
-
-
-def js_from_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Jensen-Shannon distance (square root, natural log) per key, and the number of reference values."""
-    totals = counts.groupBy(*keys).agg(F.sum("n_ref").alias("_r"), F.sum("n_cur").alias("_c"))
-    both = same_keys(counts, totals, list(keys))
-    p, q = F.col("n_ref") / F.col("_r"), F.col("n_cur") / F.col("_c")
+    both = reference.select("feature", "value", F.lit(None).cast("string").alias("_p")).unionByName(
+        current.select("feature", "value", F.col(period).cast("string").alias("_p")))
+    return both.groupBy("feature", "value").agg(
+        F.count_if(F.col("_p").isNull()).alias("n_ref"),
+        *[F.count_if(F.col("_p") == p).alias(f"n_{i}") for i, p in enumerate(periods)])
+
+
+def _js(i: int) -> Column:
+    """Jensen-Shannon distance (square root, natural log) from counts and totals, as an aggregate."""
+    p, q = F.col("n_ref") / F.col("n_ref_total"), F.col(f"n_{i}") / F.col(f"n_{i}_total")
     m = (p + q) / 2
     term = lambda x: F.when(x > 0, x * F.log(x / m)).otherwise(F.lit(0.0))
-    out = both.groupBy(*keys).agg(
-        (F.sum(term(p)) / 2 + F.sum(term(q)) / 2).alias("_js"),
-        F.sum((F.col("n_ref") > 0).cast("int")).alias("n_ref_values"))
-    return out.select(*keys, F.sqrt(F.greatest("_js", F.lit(0.0))).alias("distance"), "n_ref_values")
-
-
-def wasserstein_from_counts(counts: DataFrame, keys: Sequence[str], ranges: int | None = None,
-                            cuts: Sequence[float] | None = None) -> DataFrame:
-    """Wasserstein-1 distance over max(population standard deviation of the reference, 0.001), per key."""
-    if ranges is None:
-        ranges = fan_out(counts.sparkSession)
-    run = running_sums(counts, keys, "value", ["n_ref", "n_cur"], ranges, cuts)
-    gap = F.abs(F.col("n_ref_upto") / F.col("n_ref_total") - F.col("n_cur_upto") / F.col("n_cur_total"))
-    step = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
-    n, x = F.col("n_ref"), F.col("value")
-    out = run.groupBy(*keys).agg(
-        F.sum(gap * step).alias("_w"), F.sum(n).alias("_n"), F.sum(n * x).alias("_s"), F.sum(n * x * x).alias("_q"))
-    var = F.greatest(F.col("_q") / F.col("_n") - (F.col("_s") / F.col("_n")) ** 2, F.lit(0.0))
-    return out.select(*keys, (F.col("_w") / F.greatest(F.sqrt(var), F.lit(0.001))).alias("distance"))
+    return F.sqrt(F.greatest(F.sum(term(p) + term(q)) / 2, F.lit(0.0)))
 
 
-def js_distance(reference: DataFrame, current: DataFrame, cols: Sequence[str], period: str) -> DataFrame:
-    counts = paired_counts(melt_text(reference, cols), melt_text(current, cols, [period]), period)
-    return js_from_counts(counts, [period, "feature"]).select(period, "feature", "distance")
+def _by_period(wide: DataFrame, periods: Sequence[str], period: str, **cols: str) -> DataFrame:
+    """One row per (feature, period) from columns suffixed with the period's position."""
+    items = [F.struct(F.lit(p).alias(period), *[F.col(f"{src}_{i}").alias(out) for out, src in cols.items()],
+                      F.col("n_ref_values")) for i, p in enumerate(periods)]
+    return wide.select("feature", F.explode(F.array(*items)).alias("r")).select("feature", "r.*")
 
 
-def wasserstein(reference: DataFrame, current: DataFrame, cols: Sequence[str], period: str) -> DataFrame:
-    ref, cur = melt_numbers(reference, cols), melt_numbers(current, cols, [period])
-    ranges, cuts = _cuts(ref, cur)
-    return wasserstein_from_counts(paired_counts(ref, cur, period), [period, "feature"], ranges, cuts)
+def text_distances(reference: DataFrame, current: DataFrame, cols: Sequence[str], period: str,
+                   periods: Sequence[str]) -> DataFrame:
+    """Jensen-Shannon distance of categorical columns: (feature, period, js)."""
+    counts = side_counts(melt_text(reference, cols), melt_text(current, cols, [period]), period, periods)
+    sides = ["n_ref", *[f"n_{i}" for i in range(len(periods))]]
+    totals = counts.groupBy("feature").agg(*[F.sum(n).alias(f"{n}_total") for n in sides])  # one row per feature
+    wide = counts.join(totals, "feature").groupBy("feature").agg(
+        *[_js(i).alias(f"js_{i}") for i in range(len(periods))],
+        F.count_if(F.col("n_ref") > 0).alias("n_ref_values"))
+    return _by_period(wide, periods, period, js="js")
 
 
-def _cuts(ref: DataFrame, cur: DataFrame) -> tuple[int, list[float]]:
-    """Value ranges balanced over both sides, from a pass over the rows without a shuffle.
+def number_distances(reference: DataFrame, current: DataFrame, cols: Sequence[str], period: str,
+                     periods: Sequence[str]) -> DataFrame:
+    """Both distances of numeric columns: (feature, period, js, w, n_ref_values).
 
-    A range holds at most its share of all rows, so (feature, range) never holds more
-    distinct values than that.
+    w is Wasserstein-1 over max(population standard deviation of the reference, 0.001). The
+    cumulative counts of all periods come from one pass over value ranges, balanced over
+    both sides.
     """
-    ranges = fan_out(ref.sparkSession)
-    return ranges, split_points(ref.select("value").unionByName(cur.select("value")), "value", ranges)
+    ref, cur = melt_numbers(reference, cols), melt_numbers(current, cols, [period])
+    ranges = fan_out(reference.sparkSession)
+    cuts = split_points(ref.select("value").unionByName(cur.select("value")), "value", ranges)
+    sides = ["n_ref", *[f"n_{i}" for i in range(len(periods))]]
+    run = running_sums(side_counts(ref, cur, period, periods), ["feature"], "value", sides, ranges, cuts)
+    cdf = lambda n: F.col(f"{n}_upto") / F.col(f"{n}_total")
+    step = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
+    n, x = F.col("n_ref"), F.col("value")
+    sums = run.groupBy("feature").agg(
+        *[_js(i).alias(f"js_{i}") for i in range(len(periods))],
+        *[F.sum(F.abs(cdf("n_ref") - cdf(f"n_{i}")) * step).alias(f"_w_{i}") for i in range(len(periods))],
+        F.count_if(n > 0).alias("n_ref_values"), F.sum(n).alias("_n"), F.sum(n * x).alias("_s"),
+        F.sum(n * x * x).alias("_q"))
+    mean = F.col("_s") / F.col("_n")
+    deviation = F.sqrt(F.greatest(F.col("_q") / F.col("_n") - mean * mean, F.lit(0.0)))
+    wide = sums.withColumn("_d", F.greatest(deviation, F.lit(0.001)))
+    wide = wide.select("*", *[(F.col(f"_w_{i}") / F.col("_d")).alias(f"w_{i}") for i in range(len(periods))])
+    return _by_period(wide, periods, period, js="js", w="w")
+
+
+def js_distance(reference: DataFrame, current: DataFrame, cols: Sequence[str], period: str,
+                periods: Sequence[str]) -> DataFrame:
+    return text_distances(reference, current, cols, period, periods).select(
+        period, "feature", F.col("js").alias("distance"))
+
+
+def wasserstein(reference: DataFrame, current: DataFrame, cols: Sequence[str], period: str,
+                periods: Sequence[str]) -> DataFrame:
+    return number_distances(reference, current, cols, period, periods).select(
+        period, "feature", F.col("w").alias("distance"))
 
 
-def feature_drift(reference: DataFrame, current: DataFrame, period: str, categorical: Sequence[str],
-                  numeric: Sequence[str], interaction: Sequence[str] = (), limit: float = DRIFT_LIMIT) -> DataFrame:
+def feature_drift(reference: DataFrame, current: DataFrame, period: str, periods: Sequence[str],
+                  categorical: Sequence[str], numeric: Sequence[str], interaction: Sequence[str] = (),
+                  limit: float = DRIFT_LIMIT) -> DataFrame:
     """Drift table: period, feature, type, detected, score, method, threshold.
 
     Categorical features use the Jensen-Shannon distance, numeric ones the normed
@@ -104,27 +121,21 @@ def feature_drift(reference: DataFrame, current: DataFrame, period: str, categor
     compared with the unrounded score.
     """
     numbers = [*numeric, *interaction]
-    keys = [period, "feature"]
-    js, method_js = F.col("distance"), F.lit("Jensen-Shannon distance")
+    by_js, by_w = F.lit("Jensen-Shannon distance"), F.lit("Wasserstein distance (normed)")
     parts = []
     if categorical:
-        counts = paired_counts(melt_text(reference, categorical), melt_text(current, categorical, [period]), period)
-        parts.append(js_from_counts(counts, keys).select(*keys, js.alias("score"), method_js.alias("test_method")))
+        parts.append(text_distances(reference, current, categorical, period, periods).select(
+            period, "feature", F.col("js").alias("score"), by_js.alias("test_method")))
     if numbers:
-        ref, cur = melt_numbers(reference, numbers), melt_numbers(current, numbers, [period])
-        ranges, cuts = _cuts(ref, cur)
-        counts = paired_counts(ref, cur, period)
-        few = js_from_counts(counts, keys)
-        wide = wasserstein_from_counts(counts, keys, ranges, cuts).withColumnRenamed("distance", "_w")
-        as_text = F.col("n_ref_values") <= FEW_VALUES
-        parts.append(few.join(wide, keys).select(
-            *keys, F.when(as_text, js).otherwise(F.col("_w")).alias("score"),
-            F.when(as_text, method_js).otherwise(F.lit("Wasserstein distance (normed)")).alias("test_method")))
+        few = F.col("n_ref_values") <= FEW_VALUES
+        parts.append(number_distances(reference, current, numbers, period, periods).select(
+            period, "feature", F.when(few, F.col("js")).otherwise(F.col("w")).alias("score"),
+            F.when(few, by_js).otherwise(by_w).alias("test_method")))
     scores = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    kind = _kind(categorical, interaction)
     return scores.select(
-        *keys, kind.alias("feature_type"), (F.col("score") >= limit).alias("drift_detected"),
-        F.round("score", 4).alias("drift_score"), "test_method", F.lit(limit).alias("threshold"))
+        period, "feature", _kind(categorical, interaction).alias("feature_type"),
+        (F.col("score") >= limit).alias("drift_detected"), F.round("score", 4).alias("drift_score"), "test_method",
+        F.lit(limit).alias("threshold"))
 
 
 def _kind(categorical: Sequence[str], interaction: Sequence[str]) -> Column:
@@ -137,10 +148,10 @@ def _kind(categorical: Sequence[str], interaction: Sequence[str]) -> Column:
     return out
 
 
-def prediction_drift(reference: DataFrame, current: DataFrame, score: str, period: str,
+def prediction_drift(reference: DataFrame, current: DataFrame, score: str, period: str, periods: Sequence[str],
                      limit: float = DRIFT_LIMIT) -> DataFrame:
     """Score distribution of each period against a frozen reference, with both means."""
-    w = wasserstein(reference, current, [score], period).select(period, "distance")
+    w = wasserstein(reference, current, [score], period, periods).select(period, "distance")
     means = current.groupBy(period).agg(F.avg(score).alias("cur_mean"), F.count("*").alias("n_scored"))
     ref_mean = reference.agg(F.avg(score).alias("v")).scalar()
     return w.join(means, period).select(

@@ -10,9 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linegauge.functions.exprs import flag, reasons
+from linegauge.functions.exprs import flag, ratio_or_zero, reasons
 from linegauge.operators.drift import feature_drift, prediction_drift
-from linegauge.operators.evaluate import accuracy_by_tier
+from linegauge.operators.evaluate import HIGH_RISK, MEDIUM_RISK
 
 # Limits of the retraining decision.
 MIN_HIGH_PRECISION = 0.85
@@ -52,36 +52,42 @@ def with_decision(df: DataFrame) -> DataFrame:
     })
 
 
-def target_drift(predicted: DataFrame, label: str, period: str, train_rate: Column) -> DataFrame:
-    """Actual rate per period against the training rate."""
-    rate = predicted.groupBy(period).agg(F.avg(F.col(label).cast("double")).alias("_r"))
+def outcomes(predicted: DataFrame, label: str, period: str, train_rate: Column) -> DataFrame:
+    """Measured performance and target drift per period, in one aggregate.
+
+    Tiers count cumulatively on the published probability; rates are 0 where undefined.
+    """
+    y = F.col(label).cast("int")
+    aggs = [F.avg(y).alias("_r"), F.sum(y).alias("_p")]
+    for tier, limit in (("high", HIGH_RISK), ("medium", MEDIUM_RISK)):
+        hit = F.col("defect_probability") >= limit
+        aggs += [F.count_if(hit).alias(f"{tier}_flagged"), F.coalesce(F.sum(F.when(hit, y)), F.lit(0)).alias(f"_{tier}")]
+    rows = predicted.groupBy(period).agg(*aggs).withColumn("_t", train_rate)
     delta = F.abs(F.col("_r") - F.col("_t"))
-    return rate.withColumn("_t", train_rate).select(
-        period, F.col("_t").alias("train_defect_rate"), F.col("_r").alias("period_defect_rate"),
+    return rows.select(
+        period, "high_flagged",
+        *[F.round(ratio_or_zero(f"_{t}", d), 4).alias(f"{t}_{name}") for t in ("high", "medium")
+          for name, d in (("precision", f"{t}_flagged"), ("recall", "_p"))],
+        F.col("_t").alias("train_defect_rate"), F.col("_r").alias("period_defect_rate"),
         delta.alias("target_rate_delta"), (delta > MAX_RATE_SHIFT).alias("target_drift_detected"))
 
 
-def performance(predicted: DataFrame, label: str, period: str) -> DataFrame:
-    """High and Medium precision and recall side by side."""
-    acc = accuracy_by_tier(predicted, "defect_probability", label, [period])
-    pick = lambda tier, col: F.max(F.when(F.col("risk_tier") == tier, F.col(col)))
-    return acc.groupBy(period).agg(
-        pick("High", "jobs_flagged").alias("high_flagged"),
-        *[pick(t, m).alias(f"{t.lower()}_{m}") for t in ("High", "Medium") for m in ("precision", "recall")])
+def target_drift(predicted: DataFrame, label: str, period: str, train_rate: Column) -> DataFrame:
+    """Actual rate per period against the training rate."""
+    return outcomes(predicted, label, period, train_rate).select(
+        period, "train_defect_rate", "period_defect_rate", "target_rate_delta", "target_drift_detected")
 
 
 def monitoring_table(reference: DataFrame, validation_scores: DataFrame, current: DataFrame, predicted: DataFrame,
-                     period: str, label: str, target: str, categorical: Sequence[str], numeric: Sequence[str],
-                     interaction: Sequence[str] = ()) -> DataFrame:
+                     period: str, periods: Sequence[str], label: str, target: str, categorical: Sequence[str],
+                     numeric: Sequence[str], interaction: Sequence[str] = ()) -> DataFrame:
     """One row per period with every monitoring layer and the decision."""
-    features = feature_drift(reference, current, period, categorical, numeric, interaction)
+    features = feature_drift(reference, current, period, periods, categorical, numeric, interaction)
     drifted = features.groupBy(period).agg(
-        F.count("*").alias("n_features_monitored"),
-        F.sum(F.col("drift_detected").cast("int")).alias("n_features_drifted"))
-    scores = prediction_drift(validation_scores, predicted, "defect_probability", period)
+        F.count("*").alias("n_features_monitored"), F.count_if("drift_detected").alias("n_features_drifted"))
+    scores = prediction_drift(validation_scores, predicted, "defect_probability", period, periods)
     train_rate = reference.agg(F.avg(F.col(target).cast("double")).alias("v")).scalar()
-    rates = target_drift(predicted, label, period, train_rate)
-    table = (performance(predicted, label, period).join(scores, period).join(rates, period).join(drifted, period))
+    table = outcomes(predicted, label, period, train_rate).join(scores, period).join(drifted, period)
     decided = with_decision(table)
     rounded = ("train_defect_rate", "period_defect_rate", "target_rate_delta")
     return decided.select(*[F.round(c, 4).alias(c) if c in rounded else F.col(c) for c in decided.columns])

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from linegauge.operators.prefix import running_sums, same_keys, split_points
+from linegauge.operators.prefix import range_number, same_keys, split_points
 from linegauge.session import fan_out
 
 
@@ -16,20 +17,35 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
                     ranges: int | None = None) -> DataFrame:
     """One row per key with the interpolated quantiles named in ``probs``; nulls are ignored.
 
-    Values are counted first, so a value that repeats is shuffled once; positions come from
-    running counts over value ranges. No group is ever held by one task, whatever its size.
+    Values are cut into ranges. Counting rows per (key, range) tells which ranges hold the
+    wanted ranks; only rows of those ranges are shuffled, counted per value and ranked. No
+    group is held by one task, whatever its size, and the other ranges never move.
     """
-    spark = df.sparkSession
-    ranges = fan_out(spark) if ranges is None else ranges
+    ranges = fan_out(df.sparkSession) if ranges is None else ranges
+    keys = list(keys)
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    cuts = split_points(rows, "_v", ranges) if ranges else None
-    cells = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
-    ranked = running_sums(cells, keys, "_v", ["_n"], ranges, cuts)
-    at = {name: F.lit(float(p)) * (F.col("_n_total") - 1) for name, p in probs.items()}
+    cuts = split_points(rows, "_v", ranges) if ranges > 1 else []
+    placed = rows.withColumn("_range", range_number("_v", cuts))
+
+    per_key = W.partitionBy(*keys)  # at most `ranges` rows per key
+    sizes = placed.groupBy(*keys, "_range").agg(F.count("*").alias("_n")).select(
+        *keys, "_range", "_n", F.sum("_n").over(per_key).alias("_total"),
+        F.coalesce(F.sum("_n").over(per_key.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_before"))
+    at = {name: F.lit(float(p)) * (F.col("_total") - 1) for name, p in probs.items()}
+    ranks = {f"_{side}_{n}": f(pos) for n, pos in at.items() for side, f in (("lo", F.floor), ("hi", F.ceil))}
+    held = {c: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_n")) for c, r in ranks.items()}
+    wanted = sizes.where(reduce(lambda a, b: a | b, held.values())).select(
+        *keys, "_range", "_total", *[F.when(held[c], r - F.col("_before")).alias(c) for c, r in ranks.items()])
+
+    hits = same_keys(placed, wanted, [*keys, "_range"])
+    cell = [*keys, "_range"]
+    counted = hits.groupBy(*cell, "_v", "_total", *ranks).agg(F.count("*").alias("_n"))
+    order = W.partitionBy(*cell).orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = counted.withColumn("_upto", F.sum("_n").over(order))
     found = ranked.groupBy(*keys).agg(
-        F.max("_n_total").alias("_n_total"),
-        *[F.min(F.when(F.col("_n_upto") > F.floor(pos), F.col("_v"))).alias(f"_lo_{n}") for n, pos in at.items()],
-        *[F.min(F.when(F.col("_n_upto") > F.ceil(pos), F.col("_v"))).alias(f"_hi_{n}") for n, pos in at.items()])
+        F.max("_total").alias("_total"),
+        *[F.min(F.when(F.col("_upto") > F.col(c), F.col("_v"))).alias(c) for c in ranks])
     return found.select(*keys, *[
         (F.col(f"_lo_{n}") + (pos - F.floor(pos)) * (F.col(f"_hi_{n}") - F.col(f"_lo_{n}"))).alias(n)
         for n, pos in at.items()])

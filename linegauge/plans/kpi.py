@@ -20,9 +20,10 @@ def kpi_cards(rates: DataFrame, scrap: DataFrame, order_ts: str = "actual_start"
     Both facts are read once; the windows follow the last order in the data.
     """
     last = scalars_of(rates, {"m": F.max(F.col(order_month)), "d": F.date_trunc("day", F.max(F.col(order_ts)))})
-    orders = compare_periods(rates, period_windows(last["m"], last["d"], F.col(order_month), F.col(order_ts)),
+    m, d = F.col("_last")["m"], F.col("_last")["d"]
+    orders = compare_periods(rates.withColumn("_last", last), period_windows(m, d, F.col(order_month), F.col(order_ts)),
                              {"qi": F.col(inspected), "qf": F.col(failed)})
-    events = compare_periods(scrap, period_windows(last["m"], last["d"], F.col(scrap_month), F.col(scrap_ts)),
+    events = compare_periods(scrap.withColumn("_last", last), period_windows(m, d, F.col(scrap_month), F.col(scrap_ts)),
                              {"ps": F.col(scrapped), "co": F.col(cost), "ev": F.lit(1)})
     both = orders.join(events, ["window", "period"])  # six rows on each side
     return change_cards(both, {

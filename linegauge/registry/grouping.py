@@ -20,7 +20,7 @@ fleet AS (SELECT round(avg(rate), 4) AS v FROM r)
 SELECT c_custkey, c_mktsegment, count(*) AS total_jobs, round(avg(rate), 4) AS mean_rate,
        round(quantile_cont(rate, 0.5), 4) AS median_rate, CAST(sum(failed) AS BIGINT) AS failed,
        count(*) FILTER (WHERE failed > 0) AS jobs_with_defect,
-       round(count(*) FILTER (WHERE failed > 0) * 100.0 / count(*), 1) AS pct_with_defect,
+       round(CAST(count(*) FILTER (WHERE failed > 0) AS DOUBLE) / nullif(count(*), 0) * 100, 1) AS pct_with_defect,
        (SELECT v FROM fleet) AS peer_rate, round(round(avg(rate), 4) - (SELECT v FROM fleet), 4) AS vs_peer,
        round(CAST(sum(cost) FILTER (WHERE failed > 0) AS DOUBLE), 4) AS cost
 FROM r JOIN customer ON op = c_custkey GROUP BY 1, 2

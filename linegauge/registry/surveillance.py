@@ -7,6 +7,7 @@ from linegauge.operators.evaluate import tier_counts, risk_tier
 from linegauge.operators.quantiles import histogram
 from linegauge.registry.base import query, table
 
+PERIODS = ["p2", "p3"]
 CATEGORICAL, NUMERIC, INTERACTION = ["event_type", "hour_bucket"], ["value", "k"], ["is_error_late"]
 
 
@@ -71,14 +72,14 @@ SELECT period_label, '{col}' AS feature, sum(abs(fr - fc) * (nx - v)) / greatest
        f"{_js('event_type')} UNION ALL {_js('hour_bucket')})")
 def drift_js(spark, sf):
     ref, cur = _sides(spark, sf)
-    return drift.js_distance(ref, cur, CATEGORICAL, "period_label").withColumn("distance", F.round("distance", 6))
+    return drift.js_distance(ref, cur, CATEGORICAL, "period_label", PERIODS).withColumn("distance", F.round("distance", 6))
 
 
 @query("drift_wasserstein", "N2", f"WITH {EVENTS} SELECT period_label, feature, round(distance, 6) AS distance FROM ("
        f"{_w('value')} UNION ALL {_w('k')})")
 def drift_wasserstein(spark, sf):
     ref, cur = _sides(spark, sf)
-    return drift.wasserstein(ref, cur, NUMERIC, "period_label").withColumn("distance", F.round("distance", 6))
+    return drift.wasserstein(ref, cur, NUMERIC, "period_label", PERIODS).withColumn("distance", F.round("distance", 6))
 
 
 JS_NAME, W_NAME = "Jensen-Shannon distance", "Wasserstein distance (normed)"
@@ -96,7 +97,7 @@ fd AS (SELECT period_label, feature, CASE WHEN feature IN ('event_type', 'hour_b
 @query("feature_drift_table", "N3", f"WITH {EVENTS}, {DRIFT_SQL} SELECT * FROM fd")
 def feature_drift_table(spark, sf):
     ref, cur = _sides(spark, sf)
-    return drift.feature_drift(ref, cur, "period_label", CATEGORICAL, NUMERIC, INTERACTION, limit=0.02)
+    return drift.feature_drift(ref, cur, "period_label", PERIODS, CATEGORICAL, NUMERIC, INTERACTION, limit=0.02)
 
 
 PRED_SQL = f"""
@@ -111,7 +112,7 @@ pd AS (SELECT period_label, n_scored, round(distance, 4) AS prediction_drift_sco
 @query("prediction_drift", "N4", f"WITH {EVENTS}, {PRED_SQL} SELECT * FROM pd")
 def prediction_drift(spark, sf):
     ref, cur = _sides(spark, sf)
-    return drift.prediction_drift(ref, cur, "defect_probability", "period_label")
+    return drift.prediction_drift(ref, cur, "defect_probability", "period_label", PERIODS)
 
 
 TARGET_SQL = """
@@ -143,8 +144,8 @@ pf AS (SELECT period_label, count(*) FILTER (WHERE defect_probability >= 0.75) A
 
 def _monitoring(spark, sf):
     ref, cur = _sides(spark, sf)
-    return monitoring.monitoring_table(ref, ref, cur, cur, "period_label", "defect_flag", "defect_flag", CATEGORICAL,
-                                       NUMERIC, INTERACTION)
+    return monitoring.monitoring_table(ref, ref, cur, cur, "period_label", PERIODS, "defect_flag", "defect_flag",
+                                       CATEGORICAL, NUMERIC, INTERACTION)
 
 
 MONITOR_SQL = f"""{EVENTS}, {DRIFT_SQL.replace('0.02', '0.1')}, {PRED_SQL}, {TARGET_SQL}, {PERF_SQL},
@@ -191,8 +192,8 @@ def retraining_rules(spark, sf):
   round(avg(drift_score), 5) AS mean_score FROM fd GROUP BY 1""")
 def drift_matrix(spark, sf):
     ref, cur = _sides(spark, sf)
-    scores = drift.feature_drift(ref, cur, "period_label", CATEGORICAL, NUMERIC, INTERACTION, limit=0.02)
-    return monitoring.drift_matrix(scores, "period_label", ["p2", "p3"]).withColumn(
+    scores = drift.feature_drift(ref, cur, "period_label", PERIODS, CATEGORICAL, NUMERIC, INTERACTION, limit=0.02)
+    return monitoring.drift_matrix(scores, "period_label", PERIODS).withColumn(
         "mean_score", F.round("mean_score", 5))
 
 
