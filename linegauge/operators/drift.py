@@ -81,7 +81,7 @@ def number_distances(reference: DataFrame, current: DataFrame, cols: Sequence[st
     """
     ref, cur = melt_numbers(reference, cols), melt_numbers(current, cols, [period])
     ranges = fan_out(reference.sparkSession)
-    cuts = split_points(ref.select("value").unionByName(cur.select("value")), "value", ranges)
+    cuts, _ = split_points(ref.select("value").unionByName(cur.select("value")), "value", ranges)
     sides = ["n_ref", *[f"n_{i}" for i in range(len(periods))]]
     run = running_sums(side_counts(ref, cur, period, periods), ["feature"], "value", sides, ranges, cuts)
     cdf = lambda n: F.col(f"{n}_upto") / F.col(f"{n}_total")

@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from linegauge.functions.exprs import ratio_or_zero, right_closed_bucket
-from linegauge.operators.prefix import running_sums
+from linegauge.operators.prefix import running_sums, split_points
 
 # Risk thresholds on the predicted probability.
 MEDIUM_RISK, HIGH_RISK = 0.65, 0.75
@@ -28,7 +28,8 @@ def score_counts(df: DataFrame, score: str, label: str, keys: Sequence[str] = ()
 
 def ranked_scores(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), ranges: int = 0) -> DataFrame:
     """Per distinct score: positives and negatives at, and at or above, the score, and totals."""
-    run = running_sums(score_counts(df, score, label, keys), keys, "score", ["pos", "neg"], ranges)
+    cuts = split_points(df, score, ranges)[0] if ranges else None
+    run = running_sums(score_counts(df, score, label, keys), keys, "score", ["pos", "neg"], ranges, cuts)
     at_or_above = lambda m: (F.col(f"{m}_total") - F.col(f"{m}_upto") + F.col(m))
     return run.select(*keys, "score", "pos", "neg", "pos_total", "neg_total",
                       (F.col("neg_upto") - F.col("neg")).alias("neg_below"),

@@ -16,15 +16,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def split_points(df: DataFrame, col: str, ranges: int) -> list[float]:
-    """At most ranges - 1 ascending cut points at approximate quantiles of ``col``.
+def split_points(df: DataFrame, col: str, ranges: int, measure: Column | None = None) -> tuple[list[float], int]:
+    """At most ranges - 1 ascending cut points at approximate quantiles of ``col``, and a count.
 
-    One pass with partial aggregation and no shuffle of rows; only the cut points come to
-    the driver.
+    One pass with partial aggregation and no shuffle of rows; only the cut points and the
+    optional ``measure`` of the same pass come to the driver.
     """
-    probs = [i / ranges for i in range(1, ranges)]
-    row = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, 4 * ranges).alias("cuts")).first()
-    return sorted(set(row["cuts"] or []))
+    probs = [i / max(ranges, 1) for i in range(1, max(ranges, 1))]
+    quantiles = F.percentile_approx(F.col(col).cast("double"), probs, 4 * ranges) if probs else F.lit(None)
+    extra = F.lit(0) if measure is None else measure
+    row = df.agg(quantiles.alias("cuts"), extra.alias("measure")).first()
+    return sorted(set(row["cuts"] or [])), int(row["measure"] or 0)
 
 
 def range_number(col: str, cuts: Sequence[float]) -> Column:
@@ -66,7 +68,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: str, measures: Seque
             F.lead(order).over(W.partitionBy(*keys).orderBy(order)).alias(f"next_{order}"))
 
     if cuts is None:
-        cuts = split_points(df, order, ranges)
+        cuts, _ = split_points(df, order, ranges)
     cells = df.withColumn("_range", range_number(order, cuts))
     totals = cells.groupBy(*keys, "_range").agg(
         *[F.sum(m).alias(f"_s_{m}") for m in measures], F.min(order).alias("_first"))

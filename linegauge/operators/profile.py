@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from linegauge.operators.dedup import top_per_group
 from linegauge.operators.quantiles import exact_quantiles
+from linegauge.session import cut_lineage
 
 LONG_TEXT = 64
 
@@ -193,6 +194,7 @@ def field_agreement(df: DataFrame, group: Sequence[str], numeric: Sequence[str]
     kinds = {**{c: "numeric" for c in numeric}, **{c: "datetime" for c in times}, **{c: "string" for c in texts}}
     long = groups.select(*[F.col(f"_d_{c}").alias(c) for c in kinds]).unpivot(
         [], list(kinds), "column", "diff").where(F.col("diff").isNotNull())
+    long = cut_lineage(long)  # differences of duplicate groups only; read several times below
     kind = reduce(lambda acc, c: F.when(F.col("column") == c, kinds[c]).otherwise(acc), kinds, F.lit(None))
     stats = long.groupBy("column").agg(
         F.count("*").alias("n_groups"), (F.avg((F.col("diff") == 0).cast("int")) * 100).alias("pct_identical"),

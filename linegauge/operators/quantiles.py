@@ -13,18 +13,26 @@ from linegauge.operators.prefix import range_number, same_keys, split_points
 from linegauge.session import fan_out
 
 
+# Most rows a list of wanted ranges may have to be broadcast (a few megabytes).
+BROADCAST_ROWS = 50_000
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float],
                     ranges: int | None = None) -> DataFrame:
     """One row per key with the interpolated quantiles named in ``probs``; nulls are ignored.
 
     Values are cut into ranges. Counting rows per (key, range) tells which ranges hold the
     wanted ranks; only rows of those ranges are shuffled, counted per value and ranked. No
-    group is held by one task, whatever its size, and the other ranges never move.
+    group is held by one task, whatever its size, and the other ranges never move. The list
+    of wanted ranges is broadcast when the number of keys, measured in the pass that finds
+    the cut points, keeps it small; otherwise Spark joins by shuffle.
     """
-    ranges = fan_out(df.sparkSession) if ranges is None else ranges
     keys = list(keys)
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    cuts = split_points(rows, "_v", ranges) if ranges > 1 else []
+    ranges = max(64, fan_out(df.sparkSession)) if ranges is None else ranges
+    n_keys = F.approx_count_distinct(F.struct(*keys)) if keys else F.lit(1)
+    cuts, n_keys = split_points(rows, "_v", ranges, n_keys)
+    few_keys = n_keys * 2 * len(probs) <= BROADCAST_ROWS
     placed = rows.withColumn("_range", range_number("_v", cuts))
 
     per_key = W.partitionBy(*keys)  # at most `ranges` rows per key
@@ -38,7 +46,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
     wanted = sizes.where(reduce(lambda a, b: a | b, held.values())).select(
         *keys, "_range", "_total", *[F.when(held[c], r - F.col("_before")).alias(c) for c, r in ranks.items()])
 
-    hits = same_keys(placed, wanted, [*keys, "_range"])
+    hits = same_keys(placed, F.broadcast(wanted) if few_keys else wanted, [*keys, "_range"])
     cell = [*keys, "_range"]
     counted = hits.groupBy(*cell, "_v", "_total", *ranks).agg(F.count("*").alias("_n"))
     order = W.partitionBy(*cell).orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -24,6 +24,21 @@ def rate_by(df: DataFrame, dims: Sequence[str | Column], failed: str, inspected:
         weighted_rate(failed, inspected).alias("rate"))
 
 
+def rates_by(df: DataFrame, dims: Sequence[str], failed: str, inspected: str, min_group: int = 0) -> DataFrame:
+    """Weighted rate, mean of row rates, n and low-n flag per dimension, and the overall mean, in one aggregate.
+
+    The overall mean comes from the groups' sums, so the rows are read once.
+    """
+    row_rate = ratio(failed, inspected)
+    groups = df.groupBy(*dims).agg(
+        F.sum(inspected).alias("inspected"), F.sum(failed).alias("failed"),
+        weighted_rate(failed, inspected).alias("weighted_rate"), F.avg(row_rate).alias("mean_rate"),
+        F.count(row_rate).alias("n"), F.sum(row_rate).alias("_s"))
+    overall = groups.agg((F.sum("_s") / F.sum("n")).alias("v")).scalar()
+    return groups.select(*dims, "inspected", "failed", "weighted_rate", "mean_rate", "n",
+                         (F.col("n") < min_group).alias("low_n"), overall.alias("overall_mean"))
+
+
 def mean_by(df: DataFrame, dims: Sequence[str | Column], rate: str, min_group: int = 0) -> DataFrame:
     """Mean of row rates per dimension with n and a low-n flag."""
     return df.where(F.col(rate).isNotNull()).groupBy(*dims).agg(

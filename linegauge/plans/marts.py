@@ -63,13 +63,14 @@ def operator_performance(rates: DataFrame, scrap: DataFrame) -> DataFrame:
         F.count("*").alias("total_jobs"),
         count_of("requires_welding").alias("total_welding_jobs"),
         count_of("welding_cert_mismatch").alias("cert_mismatch_job_count"),
-        F.round(F.avg("defect_rate"), 4).alias("mean_defect_rate"),
+        F.round(F.avg("defect_rate"), 4).alias("mean_defect_rate"), F.sum("defect_rate").alias("_rates"),
         F.sum("quantity_failed").alias("total_quantity_failed"),
         count_of("defect_flag").alias("jobs_with_defect"),
         F.round(conditional_share(F.col("defect_flag")), 1).alias("pct_jobs_with_defect"))
     medians = exact_quantiles(rated, ["operator_id"], "defect_rate", {"_m": 0.5})
     cost = scrap.groupBy("operator_id").agg(F.sum("total_scrap_cost").alias("_cost"))
-    fleet = scalar_of(rated, F.round(F.avg("defect_rate"), 4))
+    # the fleet mean follows from the operators' sums; the orders are not read again
+    fleet = scalar_of(stats, F.round(F.sum("_rates") / F.sum("total_jobs"), 4))
     return (stats.join(medians, "operator_id").join(cost, "operator_id", "left")
             .withColumn("peer_mean_defect_rate", fleet)
             .select(*OPERATOR_COLUMNS, "total_jobs", "total_welding_jobs", "cert_mismatch_job_count",

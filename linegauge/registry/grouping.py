@@ -7,7 +7,7 @@ from linegauge.functions import exprs as x
 from linegauge.operators import dedup, quantiles, rates, timeseries
 from linegauge.operators.business import flag_overlap, ranked_drivers
 from linegauge.operators.evaluate import tier_counts
-from linegauge.operators.prefix import running_sums
+from linegauge.operators.prefix import running_sums, split_points
 from linegauge.operators.quality import class_balance
 from linegauge.plans import kpi
 from linegauge.registry.base import (LINES, ORDER_LINES, day, lines, money, month, order_lines, query, table)
@@ -33,11 +33,12 @@ def operator_scorecard(spark, sf):
         F.count("*").alias("total_jobs"), F.round(F.avg("rate"), 4).alias("mean_rate"),
         F.sum("failed").alias("failed"), F.count_if(F.col("failed") > 0).alias("jobs_with_defect"),
         F.round(rates.conditional_share(F.col("failed") > 0), 1).alias("pct_with_defect"),
-        F.coalesce(money(F.sum(F.when(F.col("failed") > 0, F.col("cost")))), F.lit(0.0)).alias("cost"))
+        F.coalesce(money(F.sum(F.when(F.col("failed") > 0, F.col("cost")))), F.lit(0.0)).alias("cost"),
+        F.sum("rate").alias("s"))
     medians = quantiles.exact_quantiles(rows, ["c_custkey"], "rate", {"m": 0.5})
-    fleet = rates.scalar_of(rows, F.round(F.avg("rate"), 4))
+    fleet = rates.scalar_of(stats, F.round(F.sum("s") / F.sum("total_jobs"), 4))
     return (table(spark, sf, "customer").select("c_custkey", "c_mktsegment").join(stats, "c_custkey")
-            .join(medians, "c_custkey").withColumn("median_rate", F.round("m", 4)).drop("m")
+            .join(medians, "c_custkey").withColumn("median_rate", F.round("m", 4)).drop("m", "s")
             .withColumn("peer_rate", fleet)
             .withColumn("vs_peer", F.round(F.col("mean_rate") - F.col("peer_rate"), 4)))
 
@@ -62,14 +63,8 @@ SELECT o_orderpriority, CAST(sum(inspected) AS BIGINT) AS inspected, CAST(sum(fa
 FROM ol GROUP BY 1
 """)
 def weighted_vs_mean_rate(spark, sf):
-    rows = order_lines(spark, sf).withColumn("rate", x.ratio("failed", "inspected")).select(
-        "o_orderpriority", "inspected", "failed", "rate")
-    weighted = rates.rate_by(rows, ["o_orderpriority"], "failed", "inspected")
-    means = rates.mean_by(rows, ["o_orderpriority"], "rate", min_group=10)
-    overall = rates.scalar_of(rows, F.round(F.avg("rate"), 6))
-    return weighted.join(means, "o_orderpriority").select(
-        "o_orderpriority", "inspected", "failed", F.round("rate", 6).alias("weighted_rate"),
-        F.round("mean_rate", 6).alias("mean_rate"), "n", "low_n", overall.alias("overall_mean"))
+    out = rates.rates_by(order_lines(spark, sf), ["o_orderpriority"], "failed", "inspected", min_group=10)
+    return out.withColumns({c: F.round(c, 6) for c in ("weighted_rate", "mean_rate", "overall_mean")})
 
 
 @query("distinct_and_frequency", "A8 A9 A23", """
@@ -456,8 +451,9 @@ SELECT event_type, value, n, CAST(sum(n) OVER w AS BIGINT) AS upto,
 FROM c WINDOW w AS (PARTITION BY event_type ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """)
 def cumulative_distribution(spark, sf):
-    counts = table(spark, sf, "events").groupBy("event_type", "value").agg(F.count("*").alias("n"))
-    run = running_sums(counts, ["event_type"], "value", ["n"], fan_out(spark))
+    events, ranges = table(spark, sf, "events"), fan_out(spark)
+    counts = events.groupBy("event_type", "value").agg(F.count("*").alias("n"))
+    run = running_sums(counts, ["event_type"], "value", ["n"], ranges, split_points(events, "value", ranges)[0])
     return run.select("event_type", "value", "n", F.col("n_upto").alias("upto"),
                       F.round(F.col("n_upto") / F.col("n_total"), 6).alias("cdf"), "next_value")
 
