@@ -21,7 +21,8 @@ def write_partitioned(df: DataFrame, path: str, by: str) -> str:
 
 def write_csv_summary(df: DataFrame, path: str) -> str:
     """One CSV file with header, for summaries of a few rows per period."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    (df.coalesce(1).write.mode("overwrite").option("header", True).option("quote", '"')
+     .option("escape", '"').csv(path))
     return path
 
 
