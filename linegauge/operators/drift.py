@@ -28,6 +28,8 @@ def melt_text(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), null
 
 def melt_numbers(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(feature, value) of numeric columns; missing values are left out."""
+    if not cols:
+        return df.select(*keep, F.lit("").alias("feature"), F.lit(0.0).alias("value")).where(F.lit(False))
     return df.select(*keep, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         list(keep), list(cols), "feature", "value").where(F.col("value").isNotNull())
 
@@ -71,16 +73,14 @@ def text_distances(reference: DataFrame, current: DataFrame, cols: Sequence[str]
     return _by_period(wide, periods, period, js="js")
 
 
-def number_distances(reference: DataFrame, current: DataFrame, cols: Sequence[str], period: str,
-                     periods: Sequence[str]) -> DataFrame:
-    """Both distances of numeric columns: (feature, period, js, w, n_ref_values).
+def number_distances(ref: DataFrame, cur: DataFrame, period: str, periods: Sequence[str]) -> DataFrame:
+    """Both distances of melted numeric features: (feature, period, js, w, n_ref_values).
 
     w is Wasserstein-1 over max(population standard deviation of the reference, 0.001). The
     cumulative counts of all periods come from one pass over value ranges, balanced over
     both sides.
     """
-    ref, cur = melt_numbers(reference, cols), melt_numbers(current, cols, [period])
-    ranges = fan_out(reference.sparkSession)
+    ranges = fan_out(ref.sparkSession)
     cuts, _ = split_points(ref.select("value").unionByName(cur.select("value")), "value", ranges)
     sides = ["n_ref", *[f"n_{i}" for i in range(len(periods))]]
     run = running_sums(side_counts(ref, cur, period, periods), ["feature"], "value", sides, ranges, cuts)
@@ -107,31 +107,44 @@ def js_distance(reference: DataFrame, current: DataFrame, cols: Sequence[str], p
 
 def wasserstein(reference: DataFrame, current: DataFrame, cols: Sequence[str], period: str,
                 periods: Sequence[str]) -> DataFrame:
-    return number_distances(reference, current, cols, period, periods).select(
-        period, "feature", F.col("w").alias("distance"))
+    ref, cur = melt_numbers(reference, cols), melt_numbers(current, cols, [period])
+    return number_distances(ref, cur, period, periods).select(period, "feature", F.col("w").alias("distance"))
 
 
-def feature_drift(reference: DataFrame, current: DataFrame, period: str, periods: Sequence[str],
-                  categorical: Sequence[str], numeric: Sequence[str], interaction: Sequence[str] = (),
-                  limit: float = DRIFT_LIMIT) -> DataFrame:
-    """Drift table: period, feature, type, detected, score, method, threshold.
+def feature_scores(reference: DataFrame, current: DataFrame, period: str, periods: Sequence[str],
+                   categorical: Sequence[str], numbers: Sequence[str], ref_extra: DataFrame | None = None,
+                   cur_extra: DataFrame | None = None) -> DataFrame:
+    """(period, feature, score, test_method) of all features.
 
-    Categorical features use the Jensen-Shannon distance, numeric ones the normed
-    Wasserstein distance unless the reference has only a few distinct values. The limit is
-    compared with the unrounded score.
+    Melted numbers of other frames (such as published scores) may ride along in the extras,
+    so that they share the passes and the shuffle.
     """
-    numbers = [*numeric, *interaction]
     by_js, by_w = F.lit("Jensen-Shannon distance"), F.lit("Wasserstein distance (normed)")
     parts = []
     if categorical:
         parts.append(text_distances(reference, current, categorical, period, periods).select(
             period, "feature", F.col("js").alias("score"), by_js.alias("test_method")))
-    if numbers:
+    ref, cur = melt_numbers(reference, numbers), melt_numbers(current, numbers, [period])
+    if ref_extra is not None:
+        ref, cur = ref.unionByName(ref_extra), cur.unionByName(cur_extra)
+    if numbers or ref_extra is not None:
         few = F.col("n_ref_values") <= FEW_VALUES
-        parts.append(number_distances(reference, current, numbers, period, periods).select(
+        parts.append(number_distances(ref, cur, period, periods).select(
             period, "feature", F.when(few, F.col("js")).otherwise(F.col("w")).alias("score"),
             F.when(few, by_js).otherwise(by_w).alias("test_method")))
-    scores = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def feature_drift(reference: DataFrame, current: DataFrame, period: str, periods: Sequence[str],
+                  categorical: Sequence[str], numeric: Sequence[str], interaction: Sequence[str] = (),
+                  limit: float = DRIFT_LIMIT) -> DataFrame:
+    """Drift table: period, feature, type, detected, score, method, threshold.
+
+    Categorical features use the Jensen-Shannon distance, numeric ones the normed
+    Wasserstein distance unless the reference has only a few distinct values. The limit is
+    compared with the unrounded score.
+    """
+    scores = feature_scores(reference, current, period, periods, categorical, [*numeric, *interaction])
     return scores.select(
         period, "feature", _kind(categorical, interaction).alias("feature_type"),
         (F.col("score") >= limit).alias("drift_detected"), F.round("score", 4).alias("drift_score"), "test_method",

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linegauge.functions.exprs import flag, ratio_or_zero, reasons
-from linegauge.operators.drift import feature_drift, prediction_drift
+from linegauge.operators.drift import DRIFT_LIMIT, feature_scores, melt_numbers
 from linegauge.operators.evaluate import HIGH_RISK, MEDIUM_RISK
 
 # Limits of the retraining decision.
@@ -58,14 +58,15 @@ def outcomes(predicted: DataFrame, label: str, period: str, train_rate: Column)
     Tiers count cumulatively on the published probability; rates are 0 where undefined.
     """
     y = F.col(label).cast("int")
-    aggs = [F.avg(y).alias("_r"), F.sum(y).alias("_p")]
+    aggs = [F.avg(y).alias("_r"), F.sum(y).alias("_p"), F.count("*").alias("n_scored"),
+            F.round(F.avg("defect_probability"), 4).alias("cur_pred_mean")]
     for tier, limit in (("high", HIGH_RISK), ("medium", MEDIUM_RISK)):
         hit = F.col("defect_probability") >= limit
         aggs += [F.count_if(hit).alias(f"{tier}_flagged"), F.coalesce(F.sum(F.when(hit, y)), F.lit(0)).alias(f"_{tier}")]
     rows = predicted.groupBy(period).agg(*aggs).withColumn("_t", train_rate)
     delta = F.abs(F.col("_r") - F.col("_t"))
     return rows.select(
-        period, "high_flagged",
+        period, "n_scored", "cur_pred_mean", "high_flagged",
         *[F.round(ratio_or_zero(f"_{t}", d), 4).alias(f"{t}_{name}") for t in ("high", "medium")
           for name, d in (("precision", f"{t}_flagged"), ("recall", "_p"))],
         F.col("_t").alias("train_defect_rate"), F.col("_r").alias("period_defect_rate"),
@@ -81,13 +82,24 @@ def target_drift(predicted: DataFrame, label: str, period: str, train_rate: Colu
 def monitoring_table(reference: DataFrame, validation_scores: DataFrame, current: DataFrame, predicted: DataFrame,
                      period: str, periods: Sequence[str], label: str, target: str, categorical: Sequence[str],
                      numeric: Sequence[str], interaction: Sequence[str] = ()) -> DataFrame:
-    """One row per period with every monitoring layer and the decision."""
-    features = feature_drift(reference, current, period, periods, categorical, numeric, interaction)
-    drifted = features.groupBy(period).agg(
-        F.count("*").alias("n_features_monitored"), F.count_if("drift_detected").alias("n_features_drifted"))
-    scores = prediction_drift(validation_scores, predicted, "defect_probability", period, periods)
+    """One row per period with every monitoring layer and the decision.
+
+    The published scores are measured together with the numeric features, and everything
+    about the predictions comes from one aggregate: two small results are joined.
+    """
+    score = "defect_probability"
+    scores = feature_scores(reference, current, period, periods, categorical, [*numeric, *interaction],
+                            melt_numbers(validation_scores, [score]), melt_numbers(predicted, [score], [period]))
+    is_score = F.col("feature") == score
+    distances = scores.groupBy(period).agg(
+        F.count_if(~is_score).alias("n_features_monitored"),
+        F.count_if(~is_score & (F.col("score") >= DRIFT_LIMIT)).alias("n_features_drifted"),
+        F.max(F.when(is_score, F.col("score"))).alias("_s"))
     train_rate = reference.agg(F.avg(F.col(target).cast("double")).alias("v")).scalar()
-    table = outcomes(predicted, label, period, train_rate).join(scores, period).join(drifted, period)
+    ref_mean = validation_scores.agg(F.round(F.avg(score), 4).alias("v")).scalar()
+    table = outcomes(predicted, label, period, train_rate).join(distances, period).select(
+        "*", F.round("_s", 4).alias("prediction_drift_score"), F.lit(DRIFT_LIMIT).alias("prediction_drift_threshold"),
+        (F.col("_s") >= DRIFT_LIMIT).alias("prediction_drift_detected"), ref_mean.alias("ref_pred_mean")).drop("_s")
     decided = with_decision(table)
     rounded = ("train_defect_rate", "period_defect_rate", "target_rate_delta")
     return decided.select(*[F.round(c, 4).alias(c) if c in rounded else F.col(c) for c in decided.columns])

@@ -100,6 +100,8 @@ def tune(train: DataFrame, validation: DataFrame, label: str, family: str, categ
     Boosted trees see the validation rows only as the early-stopping set, weighted by the
     class odds of the training rows.
     """
+    # fitting the encoders takes several passes; the rows are computed once
+    train = train.select(*categorical, *numeric, label).persist(StorageLevel.MEMORY_AND_DISK)
     prep = prepare(train, family, categorical, numeric)
     y = F.col(label).cast("double").alias(label)
     weight = positive_weight(train, label) if family == "boosted_trees" else 1.0
@@ -125,8 +127,8 @@ def tune(train: DataFrame, validation: DataFrame, label: str, family: str, categ
         with ThreadPoolExecutor(parallelism) as pool:
             results = list(pool.map(run, params))
     finally:
-        fit_rows.unpersist()
-        held_out.unpersist()
+        for cached in (fit_rows, held_out, train):
+            cached.unpersist()
     best = max(range(trials), key=lambda i: results[i][0])
     return Trained(family, params[best], PipelineModel([*prep.stages, results[best][1]]), results[best][0])
 

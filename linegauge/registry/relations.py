@@ -188,8 +188,7 @@ def queue_left_join(spark, sf):
 WITH lots AS (SELECT p_brand AS material, CAST(l_shipdate AS DATE) AS receipt,
                      l_orderkey * 1000000 + l_partkey * 10 + l_linenumber AS lot
               FROM lineitem JOIN part ON l_partkey = p_partkey),
-lot AS (SELECT DISTINCT * FROM lots),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY material ORDER BY receipt, lot) AS pos FROM lot),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY material ORDER BY receipt, lot) AS pos FROM lots),
 days AS (SELECT material, receipt, max(pos) AS upto FROM ranked GROUP BY 1, 2),
 demand AS (SELECT o_orderkey, 'Brand#' || (1 + o_custkey % 25) AS material, CAST(o_orderdate AS DATE) AS d FROM orders),
 hit AS (SELECT o_orderkey, demand.material, d, upto FROM demand ASOF LEFT JOIN days
@@ -203,8 +202,7 @@ def eligible_asof_join(spark, sf):
     c = F.col
     lot = c("l_orderkey") * 1_000_000 + c("l_partkey") * 10 + c("l_linenumber")
     lots = (table(spark, sf, "lineitem").join(table(spark, sf, "part"), c("l_partkey") == c("p_partkey"))
-            .select(c("p_brand").alias("material"), c("l_shipdate").cast("date").alias("receipt"), lot.alias("lot"))
-            .distinct())
+            .select(c("p_brand").alias("material"), c("l_shipdate").cast("date").alias("receipt"), lot.alias("lot")))
     demand = table(spark, sf, "orders").select(
         "o_orderkey", F.concat(F.lit("Brand#"), (1 + c("o_custkey") % 25).cast("string")).alias("material"),
         c("o_orderdate").cast("date").alias("d"))
