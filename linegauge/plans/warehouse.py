@@ -30,13 +30,18 @@ def build_layers(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "mart_operator_performance": marts.operator_performance(rates, scrap)}
 
 
-def build_warehouse(spark: SparkSession, root: str, stored: bool = False, suffix: str = "") -> dict[str, DataFrame]:
+def build_warehouse(spark: SparkSession, root: str, stored: bool = False, suffix: str = "",
+                    tables_root: str | None = None) -> dict[str, DataFrame]:
     """Read the extracts, publish staging and intermediate as views and the marts as views or tables."""
     raw = read_sources(spark, root, suffix=suffix)
     layers = build_layers(raw)
     if stored:
         layers["int_orders_enriched"].persist(StorageLevel.MEMORY_AND_DISK)
-    return {n: publish(df, n, stored and n.startswith("mart_")) for n, df in layers.items()}
+    published = {n: publish(df, n, stored and n.startswith("mart_"), tables_root and f"{tables_root}/{n}")
+                 for n, df in layers.items()}
+    if stored:
+        layers["int_orders_enriched"].unpersist()
+    return published
 
 
 def contracts(t: dict[str, DataFrame]) -> DataFrame:

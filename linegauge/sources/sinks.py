@@ -31,10 +31,11 @@ def write_sample(df: DataFrame, key: str, n: int, path: str) -> str:
     return write_csv_summary(df.orderBy(F.asc_nulls_last(key)).limit(n), path)
 
 
-def publish(df: DataFrame, name: str, stored: bool = False) -> DataFrame:
+def publish(df: DataFrame, name: str, stored: bool = False, path: str | None = None) -> DataFrame:
     """A layer as a lazy view, or as a stored table when it is read more than once."""
     if stored:
-        df.write.mode("overwrite").format("parquet").saveAsTable(name)
+        writer = df.write.mode("overwrite").format("parquet")
+        (writer.option("path", path) if path else writer).saveAsTable(name)
         return df.sparkSession.table(name)
     df.createOrReplaceTempView(name)
     return df

@@ -172,3 +172,12 @@ def test_publishing_a_stored_mart(spark, layers, tmp_path):
     view = publish(layers["stg_machines"], "machines_view")
     assert spark.table("machines_view").count() == view.count() == 2
     assert one(spark.sql("select count(*) n from mart_defect_rates"))["n"] == 4
+
+
+def test_stored_marts(spark, root, tmp_path):
+    stored = warehouse.build_warehouse(spark, root, stored=True, tables_root=str(tmp_path))
+    assert one(spark.sql("select count(*) n from mart_scrap_summary"))["n"] == 3
+    assert stored["mart_operator_performance"].count() == 3
+    for name in stored:
+        if name.startswith("mart_"):
+            spark.sql(f"drop table {name}")
