@@ -52,21 +52,25 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return melted(df, cols).where(F.col("value").isNotNull()).groupBy("column", "value").agg(
-        F.count("*").alias("n"))
+def value_counts(df: DataFrame, cols: Sequence[str], **derived: Column) -> DataFrame:
+    """Rows per (column, value, derived...); long texts are counted by their digest."""
+    cells = melted(df, cols).where(F.col("value").isNotNull())
+    return cells.groupBy("column", *[e.alias(n) for n, e in derived.items()],
+                         compact_value(F.col("value")).alias("value")).agg(F.count("*").alias("n"))
 
 
 def case_variants(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Values that collapse under lower(): variants and rows per folded value."""
-    return value_counts(df, cols).groupBy("column", F.lower("value").alias("folded")).agg(
+    folded = value_counts(df, cols, folded=compact_value(F.lower("value")))
+    return folded.groupBy("column", "folded").agg(
         F.count("*").alias("variants"), F.sum("n").alias("n_rows"), F.min("value").alias("first_variant"),
         F.max("value").alias("last_variant")).where("variants > 1")
 
 
 def whitespace_variants(df: DataFrame, cols: Sequence[str], examples: int = 5) -> DataFrame:
     """Values with leading or trailing space: most frequent examples per column with the column total."""
-    bad = value_counts(df, cols).where(F.col("value") != F.trim("value"))
+    cells = melted(df, cols).where(F.col("value") != F.trim("value"))
+    bad = cells.groupBy("column", compact_value(F.col("value")).alias("value")).agg(F.count("*").alias("n"))
     totals = bad.groupBy("column").agg(F.sum("n").alias("rows_affected"))
     top = top_per_group(bad, ["column"], examples, F.desc("n"), F.asc("value"))
     return top.join(totals, "column").select("column", "rank", "value", "n", "rows_affected")

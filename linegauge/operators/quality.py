@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from linegauge.operators.joins import key_match, month_spine
 
@@ -164,12 +163,13 @@ def feature_quality(reference: DataFrame, current: DataFrame, categorical: Seque
 
     Both frames are melted to (feature, value) counts once; all features share one shuffle.
     """
-    from linegauge.operators.profile import melted
+    from linegauge.operators.profile import compact_value, melted
 
     cols = [*categorical, *numeric]
 
     def counts(df, n):
-        return melted(df, cols).groupBy("column", "value").agg(F.count("*").alias(n))
+        return melted(df, cols).groupBy("column", compact_value(F.col("value")).alias("value")).agg(
+            F.count("*").alias(n))
 
     ref = counts(reference, "_r").where(F.col("value").isNotNull())
     cur = counts(current, "_n")
@@ -181,7 +181,3 @@ def feature_quality(reference: DataFrame, current: DataFrame, categorical: Seque
         F.count(F.when(F.col("value").isNotNull() & F.col("_r").isNull() & cat, 1)).alias("unseen"),
     ).select(F.col("column").alias("feature"), (F.col("_nulls") * 100.0 / F.col("_t")).alias("null_pct"),
              "n_distinct", "unseen")
-
-
-def is_numeric(dtype: T.DataType) -> bool:
-    return isinstance(dtype, T.NumericType)

@@ -8,8 +8,8 @@ from linegauge.registry.base import query, table
 
 @query("canonical_codes", "C1 C2", """
 SELECT p_partkey, 'P-' || (1000 + p_partkey) AS part, 'LOT-' || (1000 + p_partkey) AS lot,
-       'Brand#' || split_part(p_brand, '#', 2) AS untouched FROM part
-""".replace("'Brand#' || split_part(p_brand, '#', 2) AS untouched", "upper(p_brand) AS untouched"))
+       upper(p_brand) AS untouched FROM part
+""")
 def canonical_codes(spark, sf):
     number = (F.col("p_partkey") + 1000).cast("string")
     glue = lambda prefix: F.concat(F.lit(prefix), number)
@@ -29,7 +29,7 @@ def _values(spellings):
     return [*flat, ("no such code", None)]
 
 
-def _sql(spellings, empty):
+def _sql(spellings):
     flat = _values(spellings)
     rows = ", ".join(f"({i}, '{v}', {'NULL' if c is None else chr(39) + c + chr(39)})" for i, (v, c) in enumerate(flat))
     return (f"SELECT event_id, s.code AS code, s.code IS NULL AS unmatched FROM events JOIN (VALUES {rows}) s(i, v, code)"
@@ -43,14 +43,14 @@ def _dirty(spark, sf, spellings):
     return table(spark, sf, "events").select("event_id", raw.alias("raw"))
 
 
-@query("vocabulary_map", "C3", _sql(codes.DEFECT_SPELLINGS, "None"))
+@query("vocabulary_map", "C3", _sql(codes.DEFECT_SPELLINGS))
 def vocabulary_map(spark, sf):
     lookup = codes.vocabulary_table(spark, codes.DEFECT_SPELLINGS)
     out = codes.map_to_vocabulary(_dirty(spark, sf, codes.DEFECT_SPELLINGS), "raw", lookup)
     return out.select("event_id", "code", F.col("code_unmatched").alias("unmatched"))
 
 
-@query("scrap_reason_map", "C4", _sql(codes.SCRAP_REASON_SPELLINGS, "UNKNOWN"))
+@query("scrap_reason_map", "C4", _sql(codes.SCRAP_REASON_SPELLINGS))
 def scrap_reason_map(spark, sf):
     code = codes.to_vocabulary("raw", codes.SCRAP_REASON_SPELLINGS, empty_code="UNKNOWN")
     return _dirty(spark, sf, codes.SCRAP_REASON_SPELLINGS).select(

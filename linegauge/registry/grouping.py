@@ -1,6 +1,5 @@
 """Aggregations, windows, sorts and set operations."""
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from linegauge.functions import exprs as x
@@ -22,10 +21,9 @@ SELECT c_custkey, c_mktsegment, count(*) AS total_jobs, round(avg(rate), 4) AS m
        count(*) FILTER (WHERE failed > 0) AS jobs_with_defect,
        round(CAST(count(*) FILTER (WHERE failed > 0) AS DOUBLE) / nullif(count(*), 0) * 100, 1) AS pct_with_defect,
        (SELECT v FROM fleet) AS peer_rate, round(round(avg(rate), 4) - (SELECT v FROM fleet), 4) AS vs_peer,
-       round(CAST(sum(cost) FILTER (WHERE failed > 0) AS DOUBLE), 4) AS cost
+       coalesce(round(CAST(sum(cost) FILTER (WHERE failed > 0) AS DOUBLE), 4), 0) AS cost
 FROM r JOIN customer ON op = c_custkey GROUP BY 1, 2
-""".replace("round(CAST(sum(cost) FILTER (WHERE failed > 0) AS DOUBLE), 4)",
-            "coalesce(round(CAST(sum(cost) FILTER (WHERE failed > 0) AS DOUBLE), 4), 0)"))
+""")
 def operator_scorecard(spark, sf):
     rows = order_lines(spark, sf).withColumn("rate", x.ratio("failed", "inspected")).select(
         F.col("o_custkey").alias("c_custkey"), "rate", "failed", "cost")
@@ -244,8 +242,9 @@ def operator_spotlight(spark, sf):
 WITH e AS (SELECT CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'reference' ELSE 'current' END AS side, value
            FROM events WHERE value BETWEEN 0 AND 60),
 g AS (SELECT side, CAST(least(floor(value / 2.0), 29) AS INTEGER) AS bin, count(*) AS n FROM e GROUP BY 1, 2)
-SELECT side, bin, n, round(n / (sum(n) OVER (PARTITION BY side) * 2.0), 6) AS density, bin * 2.0 AS bin_start FROM g
-""".replace("bin * 2.0 AS bin_start", "CAST(bin * 2.0 AS DOUBLE) AS bin_start"))
+SELECT side, bin, n, round(n / (sum(n) OVER (PARTITION BY side) * 2.0), 6) AS density,
+       CAST(bin * 2.0 AS DOUBLE) AS bin_start FROM g
+""")
 def value_histogram(spark, sf):
     side = F.when(F.col("ts") < F.to_timestamp(F.lit("2024-01-16")), "reference").otherwise("current")
     events = table(spark, sf, "events").withColumn("side", side)

@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 from linegauge.functions import exprs as x
 from linegauge.operators import business, joins, rates
 from linegauge.operators.dedup import keep_first
-from linegauge.registry.base import (LINES, ORDER_LINES, SCORED, day, lines, money, month, order_lines, query,
-                                     scored_documents, table)
+from linegauge.registry.base import LINES, SCORED, day, lines, money, month, query, scored_documents, table
 
 FIRST_LINE = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
@@ -73,10 +72,10 @@ def event_cost_context(spark, sf):
 
 
 @query("scalar_cross_join", "J5 A5", """
-SELECT o_orderpriority, round(avg(o_totalprice), 4) AS mean_price, round(avg(o_totalprice), 4)
-       - (SELECT round(avg(o_totalprice), 4) FROM orders) AS vs_fleet FROM orders GROUP BY 1
-""".replace("round(avg(o_totalprice), 4)\n       - (SELECT round(avg(o_totalprice), 4) FROM orders) AS vs_fleet",
-            "round(round(avg(o_totalprice), 4) - (SELECT round(avg(o_totalprice), 4) FROM orders), 3) AS vs_fleet"))
+SELECT o_orderpriority, round(avg(o_totalprice), 4) AS mean_price,
+       round(round(avg(o_totalprice), 4) - (SELECT round(avg(o_totalprice), 4) FROM orders), 3) AS vs_fleet
+FROM orders GROUP BY 1
+""")
 def scalar_cross_join(spark, sf):
     orders = table(spark, sf, "orders")
     fleet = rates.scalar_of(orders, F.round(F.avg("o_totalprice"), 4))

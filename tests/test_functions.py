@@ -1,4 +1,3 @@
-from datetime import datetime
 
 from conftest import one, rows
 from pyspark.sql import functions as F
