@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linegauge.llm import decontaminate, licenses, mixing, quality, sharding, simhash
+from linegauge.llm import decontaminate, licenses, mixing, mixlm, quality, secrets, sharding, simhash, urlfilter, warc
 from linegauge.llm.common import documents
 from linegauge.session import scratch_path
 
@@ -56,6 +56,15 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+@query("op1_secrets")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.scan(documents(spark, sf))
+    base = F.col("base")
+    return found.select("doc_id", *[secrets.count_kind(base, k).alias(f"n_{k}") for k in secrets.STRONG],
+                        F.sha2(secrets.span_text(base).cast("binary"), 256).alias("base_sha256"),
+                        secrets.span_text(F.col("spans")).alias("spans"))
+
+
 @query("op2_decontaminate", OP2_SQL)
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.contamination(documents(spark, sf), documents(spark, sf, "benchmark"))
@@ -126,6 +135,27 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(documents(spark, sf))
 
 
+_RULES = sorted(((h + p, v, h, p) for v, h, p in urlfilter.RULES), key=lambda r: -len(r[0]))
+OP5_SQL = f"""
+WITH u AS (SELECT page_id, position('://' IN coalesce(url, '')) AS mark, url FROM pages),
+r AS (SELECT page_id, CASE WHEN mark > 0 THEN substr(url, mark + 3) ELSE '' END AS rest FROM u),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+j AS (SELECT *, CASE {" ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{r}'" for r, _, h, p in _RULES)}
+                END AS rule,
+             len(list_intersect(string_split(host, '.'), {list(urlfilter.LISTED_LABELS)!r})) > 0 AS listed FROM p)
+SELECT page_id, host, path, rule,
+       CASE {" ".join(f"WHEN rule = '{r}' THEN '{v}'" for r, v, _, _ in _RULES)} WHEN listed THEN 'block' ELSE 'allow' END AS verdict,
+       listed
+FROM j
+"""
+
+
+@query("op5_url_filter", OP5_SQL)
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return urlfilter.judge(documents(spark, sf, "pages"))
+
+
 @query("op6_quality")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality.quality(documents(spark, sf), documents(spark, sf, "labels"))
@@ -137,6 +167,26 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf), SHARDS, scratch_path(spark, "slot-map"))
 
 
+OP8_SQL = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT digest, min(page_id) AS first_id FROM p WHERE n >= {warc.MIN_REVISIT} GROUP BY digest)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p LEFT JOIN f ON p.digest = f.digest
+"""
+
+
+@query("op8_warc", OP8_SQL)
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(documents(spark, sf, "pages"), scratch_path(spark, "warc"))
+
+
 @query("op9_simhash")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf))
+
+
+@query("op10_language_model")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return mixlm.score(documents(spark, sf))
