@@ -34,7 +34,9 @@ from linegauge.llm.common import stored
 
 FOLDS, HELD_OUT = 7, 2
 BITS = 10
-SYMBOLS = (1 << BITS) - 1
+SYMBOLS = 1 << BITS
+#: What stands before the first token of a text.
+START = SYMBOLS + 1
 FREQUENT = 1 << 17
 SLOT_BITS = 18
 NODES = 1 << BITS
@@ -94,15 +96,15 @@ def decisions(symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
     texts' first places. Contexts stop at the start of a text.
     """
     n = symbols.size
-    before = np.full((2, n), NODES, np.uint32)
+    before = np.full((2, n), START, np.uint32)
     before[0, 1:], before[1, 2:] = symbols[:-1], symbols[:-2]
-    before[0, starts] = before[1, starts] = NODES
+    before[0, starts] = before[1, starts] = START
     second = starts[starts + 1 < n] + 1
-    before[1, second] = NODES
+    before[1, second] = START
     # one row per token: whether it is a symbol, then the nodes on the way to its number
-    down = np.arange(BITS)
-    nodes = np.concatenate([np.zeros((n, 1), np.uint32), (1 << down) | (symbols[:, None] >> (BITS - down))], axis=1).astype(np.uint32)
-    bits = np.concatenate([(symbols > 0)[:, None], symbols[:, None] >> (BITS - 1 - down) & 1], axis=1)
+    down, number = np.arange(BITS), np.maximum(symbols - 1, 0)[:, None]
+    nodes = np.concatenate([np.zeros((n, 1), np.uint32), (1 << down) | (number >> (BITS - down))], axis=1).astype(np.uint32)
+    bits = np.concatenate([(symbols > 0)[:, None], number >> (BITS - 1 - down) & 1], axis=1)
     taken = np.concatenate([np.ones((n, 1), bool), np.broadcast_to((symbols > 0)[:, None], (n, BITS))], axis=1)
     token, depth = np.nonzero(taken)
     node, bit = nodes[taken], bits[taken]
