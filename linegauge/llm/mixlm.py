@@ -78,6 +78,25 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy(F.col("token").cast("string").alias("token")).agg(F.sum("n").alias("n"))
 
 
+def frequent_tokens(counts: DataFrame, most: int) -> list[tuple[str, int]]:
+    """At most ``most`` (token, n) of the most frequent tokens, most frequent first.
+
+    The least count that still leaves so many is found from a histogram of a few hundred bins, so
+    the driver receives these tokens and nothing else, however many tasks there are.
+    """
+    fine = F.floor(F.log2("n") * 16).cast("int")
+    bins = counts.groupBy(fine.alias("bin")).agg(F.count("*").alias("tokens")).orderBy(F.desc("bin")).collect()
+    room, least = most, None
+    for r in bins:
+        room -= r["tokens"]
+        if room < 0:
+            break
+        least = r["bin"]
+    if least is None:
+        return []
+    return sorted(((r["token"], r["n"]) for r in counts.where(fine >= least).collect()), key=lambda r: (-r[1], r[0]))
+
+
 def hashed(before: np.ndarray, before2: np.ndarray | None, node: np.ndarray) -> np.ndarray:
     """Slot of a node in the context of one or two tokens."""
     h = before.astype(np.uint32) * np.uint32(0x9E3779B1) ^ node.astype(np.uint32) * np.uint32(0x85EBCA6B)
@@ -96,23 +115,32 @@ def decisions(symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
     texts' first places. Contexts stop at the start of a text.
     """
     n = symbols.size
+    symbols = symbols.astype(np.uint32)
     before = np.full((2, n), START, np.uint32)
     before[0, 1:], before[1, 2:] = symbols[:-1], symbols[:-2]
     before[0, starts] = before[1, starts] = START
     second = starts[starts + 1 < n] + 1
     before[1, second] = START
-    # one row per token: whether it is a symbol, then the nodes on the way to its number
-    down, number = np.arange(BITS), np.maximum(symbols - 1, 0)[:, None]
-    nodes = np.concatenate([np.zeros((n, 1), np.uint32), (1 << down) | (number >> (BITS - down))], axis=1).astype(np.uint32)
-    bits = np.concatenate([(symbols > 0)[:, None], number >> (BITS - 1 - down) & 1], axis=1)
-    taken = np.concatenate([np.ones((n, 1), bool), np.broadcast_to((symbols > 0)[:, None], (n, BITS))], axis=1)
-    token, depth = np.nonzero(taken)
-    node, bit = nodes[taken], bits[taken]
+    # whether it is a symbol, then the nodes on the way to its number: a row of decisions per token
+    known = symbols > 0
+    counts = np.where(known, BITS + 1, 1)
+    token = np.repeat(np.arange(n, dtype=np.int32), counts)
+    first = np.cumsum(counts) - counts
+    depth, bit, node = np.zeros(token.size, np.uint8), np.empty(token.size, np.uint8), np.zeros(token.size, np.uint32)
+    bit[first] = known
+    at, number = first[known], symbols[known] - np.uint32(1)
+    for d in range(1, BITS + 1):
+        here = at + d
+        depth[here] = d
+        node[here] = np.uint32(1 << (d - 1)) | number >> np.uint32(BITS - d + 1)
+        bit[here] = number >> np.uint32(BITS - d) & np.uint32(1)
     one, two = before[0][token], before[1][token]
-    slots = np.empty((ORDERS, token.size), np.int64)
+    slots = np.empty((ORDERS, token.size), np.int32)
     slots[0] = node
-    slots[1] = NODES + hashed(one, None, node).astype(np.int64)
-    slots[2] = NODES + (1 << SLOT_BITS) + hashed(one, two, node).astype(np.int64)
+    slots[1] = hashed(one, None, node)
+    slots[1] += NODES
+    slots[2] = hashed(one, two, node)
+    slots[2] += NODES + (1 << SLOT_BITS)
     return token, depth, bit, slots
 
 
@@ -127,7 +155,7 @@ def slot_counts(docs: DataFrame, ranks) -> DataFrame:
         def add() -> None:
             if symbols:
                 _, _, bit, slots = decisions(np.asarray(symbols, np.int64), np.asarray(starts, np.int64))
-                table[:] += np.bincount((2 * slots + bit).ravel(), minlength=2 * SLOTS)
+                table[:] += np.bincount((2 * slots + bit[None, :]).ravel(), minlength=2 * SLOTS)
                 symbols.clear(), starts.clear()
 
         for batch in batches:
@@ -163,22 +191,26 @@ def mixed_log2(symbols: np.ndarray, starts: np.ndarray, logit: np.ndarray, sure:
     lengths = np.diff(np.append(starts, symbols.size))
     text_of = np.repeat(np.arange(starts.size), lengths)
     token, depth, bit, slots = decisions(symbols, starts)
-    place = (token - np.repeat(starts, lengths)[token]) // BLOCK
+    blocks = (np.arange(symbols.size) - np.repeat(starts, lengths)) // BLOCK
+    place = blocks.astype(np.uint16 if blocks[-1] < 1 << 16 and lengths.max() < BLOCK << 16 else np.int64)[token]
     order = np.argsort(place, kind="stable")
-    token, depth, bit, place, slots = token[order], depth[order], bit[order], place[order], slots[:, order]
-    inputs = logit[slots].T
-    gate = text_of[token] * GATES + (depth * 3 + sure[slots[1]]) * 3 + sure[slots[2]]
-    weights = np.full((starts.size * GATES, ORDERS), START_WEIGHT, np.float32)
-    cost = np.empty(token.size)
-    bounds = np.searchsorted(place, np.arange(place[-1] + 2))
+    bit, slots = bit[order], slots[:, order]
+    inputs = logit[slots]
+    text = text_of[token[order]]
+    gate = text * GATES + (depth[order].astype(np.int64) * 3 + sure[slots[1]]) * 3 + sure[slots[2]]
+    weights = np.full((ORDERS, starts.size * GATES), START_WEIGHT, np.float32)
+    total = np.empty(bit.size, np.float32)
+    bounds = np.searchsorted(place[order], np.arange(int(place.max()) + 2))
     for lo, hi in zip(bounds[:-1], bounds[1:]):
-        x, g, y = inputs[lo:hi], gate[lo:hi], bit[lo:hi]
-        z = np.einsum("ij,ij->i", weights[g], x)
-        cost[lo:hi] = np.logaddexp(0.0, np.where(y, -z, z))
-        if hi < token.size:
-            error = (y - 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))).astype(np.float32)
-            np.add.at(weights, g, RATE * error[:, None] * x)
-    return -np.bincount(text_of[token], cost, starts.size) / np.log(2)
+        x, g = inputs[:, lo:hi], gate[lo:hi]
+        z = sum(weights[k][g] * x[k] for k in range(ORDERS))
+        total[lo:hi] = z
+        if hi < bit.size:
+            step = np.float32(RATE) * (bit[lo:hi] - 1 / (1 + np.exp(-np.clip(z, -30, 30))))
+            for k in range(ORDERS):
+                np.add.at(weights[k], g, step * x[k])
+    signed = np.where(bit, -total, total).astype(np.float64)
+    return -np.bincount(text, np.logaddexp(0.0, signed), starts.size) / np.log(2)
 
 
 def score_rows(docs: DataFrame, ranks, tables, known_log) -> DataFrame:
@@ -223,11 +255,11 @@ def score(docs: DataFrame) -> DataFrame:
     training = docs.where(~held_out(F.col("doc_id")))
     counts = stored(token_counts(training), "token-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "token").limit(FREQUENT).collect()
-    ranks = sc.broadcast({r["token"].encode(): i for i, r in enumerate(top)})
-    known_log = sc.broadcast(np.log10(np.array([r["n"] for r in top], np.float64) + 1))
+    top = frequent_tokens(counts, FREQUENT)
+    ranks = sc.broadcast({token.encode(): i for i, (token, _) in enumerate(top)})
+    known_log = sc.broadcast(np.log10(np.array([n for _, n in top], np.float64) + 1))
     tables = sc.broadcast(predictors(slot_counts(training, ranks)))
-    symbol_tokens = sum(r["n"] for r in top[:SYMBOLS])
+    symbol_tokens = sum(n for _, n in top[:SYMBOLS])
     base_log = log10(total + distinct + 1)
     escape_log = log10(total - symbol_tokens + distinct - min(len(top), SYMBOLS) + 1)
 

@@ -224,11 +224,23 @@ def test_base_scores(odd, odd_texts, nothing):
     assert mixlm.score(nothing).isEmpty()
 
 
-def test_rare_tokens_are_joined(odd, monkeypatch):
-    whole = {repr(r[:5]): r for r in map(tuple, mixlm.score(odd).collect())}
-    monkeypatch.setattr(mixlm, "FREQUENT", mixlm.SYMBOLS)
-    for r in map(tuple, mixlm.score(odd).collect()):
-        assert r[5:7] == pytest.approx(whole[repr(r[:5])][5:7], abs=1e-6)
+@needs_tables
+def test_rare_tokens_are_joined(spark, monkeypatch):
+    docs = documents(spark, SF)
+    whole = {r.doc_id: r for r in mixlm.score(docs).collect()}
+    monkeypatch.setattr(mixlm, "FREQUENT", 4 * mixlm.SYMBOLS)
+    for r in mixlm.score(docs).collect():
+        assert r.n_known == whole[r.doc_id].n_known
+        assert (r.base_score, r.score) == pytest.approx((whole[r.doc_id].base_score, whole[r.doc_id].score), abs=1e-5)
+
+
+def test_frequent_tokens_are_bounded(spark):
+    counts = spark.range(1, 2001).selectExpr("CAST(id AS STRING) AS token", "CAST(4000 / id AS BIGINT) AS n")
+    every = sorted(((r.token, r.n) for r in counts.collect()), key=lambda r: (-r[1], r[0]))
+    for most in (0, 10, 300, 5000):
+        got = mixlm.frequent_tokens(counts, most)
+        assert len(got) <= most and got == every[:len(got)]
+        assert len(got) == min(most, 2000) or len({n for _, n in every[len(got):most + 1]}) <= most / 4
 
 
 def test_probabilities_add_up():
