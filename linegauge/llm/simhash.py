@@ -38,6 +38,7 @@ SET_BYTES = 4
 MIN_TALLY = comb(N_BYTES - MAX_BITS, SET_BYTES)
 MAX_POSTING = 1024
 BLOCK = 1 << 16
+EDGES_PER_TASK = 200_000
 
 
 def fingerprint(text: bytes, size: int = SHINGLE) -> int:
@@ -122,27 +123,29 @@ def links(prints: DataFrame, max_posting: int = MAX_POSTING) -> DataFrame:
     return small if large.isEmpty() else small.unionByName(masked_pairs(large)).distinct()
 
 
-def _stars(edges: DataFrame, name: str) -> DataFrame:
-    """Point every node of ``edges`` (u, v) that lies above its smallest neighbour at that neighbour."""
-    low = stored(edges.groupBy("u").agg(F.min("v").alias("low")), f"{name}-low")
-    return edges.join(low, "u")
-
-
 def components(pairs: DataFrame) -> DataFrame:
     """(node, root) with the smallest node of the component, for all nodes of ``pairs`` (a, b).
 
     Alternates large and small stars: neighbours above a node are handed to its smallest neighbour,
-    then those below it, until nothing changes. Each round is stored, so no lineage builds up.
+    then those below it, until nothing changes. Each round is stored, so no lineage builds up, in
+    as many files as the number of edges asks for.
     """
     edges = stored(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    tasks = 1 + edges.count() // EDGES_PER_TASK
+    keep = lambda df, name: stored(df.coalesce(tasks), name)
+
+    def stars(of: DataFrame, name: str) -> DataFrame:
+        """Edges (u, v) with the smallest neighbour of u."""
+        return of.join(keep(of.groupBy("u").agg(F.min("v").alias("low")), f"{name}-low"), "u")
+
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _stars(both, "large").where("v > u").select(F.col("v").alias("u"), F.least("low", "u").alias("v"))
-        large = stored(large.distinct(), "large-stars")
-        small = _stars(large, "small")
+        large = stars(both, "large").where("v > u").select(F.col("v").alias("u"), F.least("low", "u").alias("v"))
+        large = keep(large.distinct(), "large-stars")
+        small = stars(large, "small")
         moved = small.where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        edges = stored(moved.unionByName(small.select("u", F.col("low").alias("v"))).distinct(), "small-stars")
+        edges = keep(moved.unionByName(small.select("u", F.col("low").alias("v"))).distinct(), "small-stars")
         state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if state == before:
             break
