@@ -33,10 +33,10 @@ def melt_text(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), null
 
 
 def melt_numbers(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """(feature, value) of numeric columns; missing values are left out."""
+    """(feature, value) of numeric columns; missing values and NaN are left out."""
     if not cols:
         return df.select(*keep, F.lit("").alias("feature"), F.lit(0.0).alias("value")).where(F.lit(False))
-    return _melt(df, [(c, F.col(c).cast("double")) for c in cols], keep).where(F.col("value").isNotNull())
+    return _melt(df, [(c, F.col(c).cast("double")) for c in cols], keep).where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 def side_counts(reference: DataFrame, current: DataFrame, period: str, periods: Sequence[str]) -> DataFrame:
@@ -52,11 +52,15 @@ def side_counts(reference: DataFrame, current: DataFrame, period: str, periods:
 
 
 def _js(i: int) -> Column:
-    """Jensen-Shannon distance (square root, natural log) from counts and totals, as an aggregate."""
-    p, q = F.col("n_ref") / F.col("n_ref_total"), F.col(f"n_{i}") / F.col(f"n_{i}_total")
+    """Jensen-Shannon distance (square root, natural log) from counts and totals, as an aggregate.
+
+    Null when either side has no rows.
+    """
+    p, q = F.try_divide("n_ref", "n_ref_total"), F.try_divide(f"n_{i}", f"n_{i}_total")
     m = (p + q) / 2
     term = lambda x: F.when(x > 0, x * F.log(x / m)).otherwise(F.lit(0.0))
-    return F.sqrt(F.greatest(F.sum(term(p) + term(q)) / 2, F.lit(0.0)))
+    both = (F.max("n_ref_total") > 0) & (F.max(f"n_{i}_total") > 0)
+    return F.when(both, F.sqrt(F.greatest(F.sum(term(p) + term(q)) / 2, F.lit(0.0))))
 
 
 def _by_period(wide: DataFrame, periods: Sequence[str], period: str, **cols: str) -> DataFrame:
@@ -83,23 +87,21 @@ def number_distances(ref: DataFrame, cur: DataFrame, period: str, periods: Seque
 
     w is Wasserstein-1 over max(population standard deviation of the reference, 0.001). The
     cumulative counts of all periods come from one pass over value ranges, balanced over
-    both sides.
+    both sides. The deviation is taken about the mean, so a large offset costs no digits. A side
+    without rows gives null.
     """
     ranges = fan_out(ref.sparkSession)
     cuts, _ = split_points(ref.select("value").unionByName(cur.select("value")), "value", ranges)
     sides = ["n_ref", *[f"n_{i}" for i in range(len(periods))]]
     run = running_sums(side_counts(ref, cur, period, periods), ["feature"], "value", sides, ranges, cuts)
-    cdf = lambda n: F.col(f"{n}_upto") / F.col(f"{n}_total")
+    cdf = lambda n: F.try_divide(f"{n}_upto", f"{n}_total")
     step = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
-    n, x = F.col("n_ref"), F.col("value")
     sums = run.groupBy("feature").agg(
         *[_js(i).alias(f"js_{i}") for i in range(len(periods))],
         *[F.sum(F.abs(cdf("n_ref") - cdf(f"n_{i}")) * step).alias(f"_w_{i}") for i in range(len(periods))],
-        F.count_if(n > 0).alias("n_ref_values"), F.sum(n).alias("_n"), F.sum(n * x).alias("_s"),
-        F.sum(n * x * x).alias("_q"))
-    mean = F.col("_s") / F.col("_n")
-    deviation = F.sqrt(F.greatest(F.col("_q") / F.col("_n") - mean * mean, F.lit(0.0)))
-    wide = sums.withColumn("_d", F.greatest(deviation, F.lit(0.001)))
+        F.count_if(F.col("n_ref") > 0).alias("n_ref_values"))
+    deviations = ref.groupBy("feature").agg(F.stddev_pop("value").alias("_d"))  # one row per feature
+    wide = sums.join(deviations, "feature", "left").withColumn("_d", F.greatest("_d", F.lit(0.001)))
     wide = wide.select("*", *[(F.col(f"_w_{i}") / F.col("_d")).alias(f"w_{i}") for i in range(len(periods))])
     return _by_period(wide, periods, period, js="js", w="w")
 
@@ -152,7 +154,7 @@ def feature_drift(reference: DataFrame, current: DataFrame, period: str, periods
     scores = feature_scores(reference, current, period, periods, categorical, [*numeric, *interaction])
     return scores.select(
         period, "feature", _kind(categorical, interaction).alias("feature_type"),
-        (F.col("score") >= limit).alias("drift_detected"), F.round("score", 4).alias("drift_score"), "test_method",
+        F.coalesce(F.col("score") >= limit, F.lit(False)).alias("drift_detected"), F.round("score", 4).alias("drift_score"), "test_method",
         F.lit(limit).alias("threshold"))
 
 
@@ -175,5 +177,5 @@ def prediction_drift(reference: DataFrame, current: DataFrame, score: str, perio
     return w.join(means, period).select(
         period, "n_scored", F.round("distance", 4).alias("prediction_drift_score"),
         F.lit(limit).alias("prediction_drift_threshold"),
-        (F.col("distance") >= limit).alias("prediction_drift_detected"),
+        F.coalesce(F.col("distance") >= limit, F.lit(False)).alias("prediction_drift_detected"),
         F.round(ref_mean, 4).alias("ref_pred_mean"), F.round("cur_mean", 4).alias("cur_pred_mean"))

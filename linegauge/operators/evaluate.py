@@ -1,8 +1,8 @@
 """Exact classifier metrics as DataFrame aggregates.
 
 Rows are reduced to positives and negatives per distinct score, then accumulated in score
-order. Scores of a known number of digits are bounded in number and use one window; other
-scores are accumulated over value ranges (``ranges`` > 0).
+order over value ranges, so no task holds all scores. ``ranges`` = 0 uses one plain window: right
+only where the number of distinct scores has a known bound.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from linegauge.functions.exprs import ratio_or_zero, right_closed_bucket
 from linegauge.operators.prefix import running_sums, split_points
+from linegauge.session import fan_out
 
 # Risk thresholds on the predicted probability.
 MEDIUM_RISK, HIGH_RISK = 0.65, 0.75
@@ -26,8 +27,9 @@ def score_counts(df: DataFrame, score: str, label: str, keys: Sequence[str] = ()
         F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
 
 
-def ranked_scores(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), ranges: int = 0) -> DataFrame:
+def ranked_scores(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
     """Per distinct score: positives and negatives at, and at or above, the score, and totals."""
+    ranges = fan_out(df.sparkSession) if ranges is None else ranges
     cuts = split_points(df, score, ranges)[0] if ranges else None
     run = running_sums(score_counts(df, score, label, keys), keys, "score", ["pos", "neg"], ranges, cuts)
     at_or_above = lambda m: (F.col(f"{m}_total") - F.col(f"{m}_upto") + F.col(m))
@@ -37,7 +39,7 @@ def ranked_scores(df: DataFrame, score: str, label: str, keys: Sequence[str] = (
 
 
 def metrics(df: DataFrame, score: str, label: str, threshold: float = 0.5, keys: Sequence[str] = (),
-            ranges: int = 0) -> DataFrame:
+            ranges: int | None = None) -> DataFrame:
     """ROC-AUC, average precision, F1, precision, recall at a threshold; 0 where undefined."""
     r = ranked_scores(df, score, label, keys, ranges)
     area = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2)) / F.max(
@@ -65,7 +67,7 @@ def confusion(df: DataFrame, score: str, label: str, threshold: float) -> DataFr
     return wide.select(F.explode(F.array(*items)).alias("r")).select("r.*")
 
 
-def pr_curve(df: DataFrame, score: str, label: str, ranges: int = 0) -> DataFrame:
+def pr_curve(df: DataFrame, score: str, label: str, ranges: int | None = None) -> DataFrame:
     """Precision and recall at every distinct score, and the closing point (1, 0)."""
     r = ranked_scores(df, score, label, (), ranges)
     points = r.select(F.col("score").cast("double").alias("threshold"),
@@ -75,7 +77,7 @@ def pr_curve(df: DataFrame, score: str, label: str, ranges: int = 0) -> DataFram
     return points.unionByName(end)
 
 
-def roc_curve(df: DataFrame, score: str, label: str, ranges: int = 0) -> DataFrame:
+def roc_curve(df: DataFrame, score: str, label: str, ranges: int | None = None) -> DataFrame:
     """False and true positive rate at every distinct score, and the origin (threshold null)."""
     r = ranked_scores(df, score, label, (), ranges)
     points = r.select(F.col("score").cast("double").alias("threshold"), ratio_or_zero("fp", "neg_total").alias("fpr"),

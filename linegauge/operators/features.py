@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,14 +24,15 @@ TARGET, ID = "defect_flag", "work_order_id"
 THIN_GAUGE = ["16ga Steel", "14ga Steel"]
 LAPSED_OPERATORS = ["OP007", "OP009", "OP012", "OP015"]
 
-# Known only after production, or without predictive meaning.
+# Columns known only after production (the target among them), in published order.
 LEAKAGE = ["quantity_inspected", "quantity_passed", "quantity_failed", "defect_rate", "defect_code", "disposition",
-           "is_anomalous_timestamp", "inspection_date", "inspector_id"]
-NON_PREDICTIVE = ["work_order_id", "inspection_id", "part_number", "customer", "order_date", "actual_start",
-                  "order_month", "order_year", "order_month_num", "machine_name", "machine_location", "operator_name",
-                  "lot_id", "lot_receipt_date", "hire_date"]
-
-MAX_CATEGORIES = 10_000
+           "is_anomalous_timestamp", "inspection_id", "inspection_date", "inspector_id", "defect_flag",
+           "is_p1_combination", "is_p2_supplier", "is_p3_complexity", "is_p4_cert_mismatch"]
+# Columns without predictive meaning, in published order.
+NON_PREDICTIVE = ["work_order_id", "order_date", "order_month", "order_year", "order_month_num", "operator_name",
+                  "machine_name", "machine_location", "operator_home_shift", "cert_level", "specialization",
+                  "welding_cert_current", "welding_cert_mismatch", "hire_date", "lot_receipt_date", "lot_id", "customer",
+                  "part_number"]
 
 
 def interaction_features(df: DataFrame, lapsed: Column | None = None) -> DataFrame:
@@ -82,41 +84,48 @@ def column_audit(df: DataFrame, leakage: Sequence[str] = LEAKAGE, non_predictive
 
 # -- encoders ------------------------------------------------------------------
 
-def categories(df: DataFrame, cols: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
-    """Sorted distinct values per column. Refuses columns beyond ``limit`` values."""
-    from linegauge.operators.profile import value_counts
+def categories(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted distinct values per column: the vocabulary an encoder keeps, whatever its size."""
+    found = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
+    rows = found.where(F.col("value").isNotNull()).distinct().orderBy("column", "value")
+    values: dict[str, list[str]] = {c: [] for c in cols}
+    for r in rows.toLocalIterator(prefetchPartitions=True):
+        values[r["column"]].append(r["value"])
+    return values
 
-    found = value_counts(df, cols)
-    sizes = {r["column"]: r["n"] for r in found.groupBy("column").agg(F.count("*").alias("n")).collect()}
-    for c, n in sizes.items():
-        if n > limit:
-            raise ValueError(f"column {c} has {n} distinct values; more than {limit} cannot be encoded")
-    rows = found.groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("v")).collect()
-    values = {r["column"]: r["v"] for r in rows}
-    return {c: values.get(c, []) for c in cols}
 
+def code_stages(vocab: Mapping[str, Sequence[str]], suffix: str) -> list:
+    """Stages that give every column its place among the known values; unseen or missing is -1.
 
-def ordinal_code(col: str, values: Sequence[str]) -> Column:
-    """Position among the sorted training values; unseen or missing is -1."""
-    known = F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
-    return F.coalesce(F.array_position(known, F.col(col).cast("string")) - 1, F.lit(-1)).cast("double")
+    The values are looked up by hash. The indexer gives anything unseen a number past the last value.
+    """
+    known = {c: v for c, v in vocab.items() if v}
+    texts = [f"cast(`{c}` as string) AS `{c}{suffix}_text`" for c in known]
+    places = [f"if(`{c}{suffix}_place` >= {len(v)}, -1.0, `{c}{suffix}_place`) AS `{c}{suffix}`" for c, v in known.items()]
+    places += [f"cast(-1 as double) AS `{c}{suffix}`" for c in vocab if c not in known]
+    last = SQLTransformer(statement=f"SELECT *, {', '.join(places)} FROM __THIS__")
+    if not known:
+        return [last]
+    indexer = StringIndexerModel.from_arrays_of_labels(
+        list(known.values()), inputCols=[f"{c}{suffix}_text" for c in known],
+        outputCols=[f"{c}{suffix}_place" for c in known], handleInvalid="keep")
+    return [SQLTransformer(statement=f"SELECT *, {', '.join(texts)} FROM __THIS__"), indexer, last]
 
 
 def with_ordinals(df: DataFrame, vocab: Mapping[str, Sequence[str]], suffix: str = "_code") -> DataFrame:
-    return df.withColumns({f"{c}{suffix}": ordinal_code(c, v) for c, v in vocab.items()})
+    out = df
+    for stage in code_stages(vocab, suffix):
+        out = stage.transform(out)
+    return out.select(*df.columns, *[f"{c}{suffix}" for c in vocab])
 
 
 def tree_stages(vocab: Mapping[str, Sequence[str]], numeric: Sequence[str], out: str = "features") -> list:
     """Ordinal codes (unseen -1) and plain numbers in one vector, as persistable stages."""
-    def quoted(text: str) -> str:
-        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-    codes = [f"coalesce(array_position(array({', '.join(map(quoted, v)) or 'cast(null as string)'}), "
-             f"cast(`{c}` as string)) - 1, -1) AS `{c}_code`" for c, v in vocab.items()]
+    codes = code_stages(vocab, "_code") if vocab else []
     numbers = [f"cast(coalesce(`{c}`, 0) as double) AS `{c}_num`" for c in numeric]
-    statement = f"SELECT *, {', '.join(codes + numbers)} FROM __THIS__"
+    plain = [SQLTransformer(statement=f"SELECT *, {', '.join(numbers)} FROM __THIS__")] if numbers else []
     cols = [f"{c}_code" for c in vocab] + [f"{c}_num" for c in numeric]
-    return [SQLTransformer(statement=statement), VectorAssembler(inputCols=cols, outputCol=out)]
+    return [*codes, *plain, VectorAssembler(inputCols=cols, outputCol=out)]
 
 
 def linear_stages(categorical: Sequence[str], numeric: Sequence[str], out: str = "features") -> list:

@@ -76,6 +76,7 @@ def eligible_lots(demand: DataFrame, lots: DataFrame, group: str, demand_day: st
     their day's running count and the lot at that position: two equi-joins on aggregated
     tables. The day window holds calendar days, not rows.
     """
+    lots = lots.where(F.col(group).isNotNull() & F.col(receipt_day).isNotNull())  # others are never eligible
     days = lots.groupBy(group, F.col(receipt_day).alias("_day")).agg(F.count("*").alias("_n"))
     asked = demand.select(group, F.col(demand_day).alias("_day")).distinct()
     calendar = (days.withColumn("_ask", F.lit(False))
@@ -95,12 +96,14 @@ def eligible_lots(demand: DataFrame, lots: DataFrame, group: str, demand_day: st
     wanted = calendar.where(F.col("_ask") & (F.col("_upto") > 0)).select(
         group, "_day", F.col("_upto").alias("_newest"),
         F.greatest(F.col("_upto") - keep + 1, F.lit(1)).alias("_oldest"))
-    newest = placed.select(group, F.col("_pos").alias("_newest"), F.col(lot_id).alias("newest_lot"),
-                           F.col(receipt_day).alias("newest_receipt"))
-    oldest = placed.select(group, F.col("_pos").alias("_oldest"), F.col(lot_id).alias("oldest_lot"))
-    answer = (wanted.join(newest, [group, "_newest"]).join(oldest, [group, "_oldest"])
-              .select(group, F.col("_day").alias(demand_day), "newest_lot", "newest_receipt", "oldest_lot",
-                      (F.col("_newest") - F.col("_oldest") + 1).alias("eligible")))
+    # both positions of a day are looked up by one join with the lots
+    ends = wanted.select(group, "_day", "_newest", "_oldest", F.explode(F.array("_newest", "_oldest")).alias("_pos"))
+    found = ends.join(placed, [group, "_pos"])
+    of = lambda end, c: F.max(F.when(F.col("_pos") == F.col(end), F.col(c)))
+    answer = found.groupBy(group, "_day").agg(
+        of("_newest", lot_id).alias("newest_lot"), of("_newest", receipt_day).alias("newest_receipt"),
+        of("_oldest", lot_id).alias("oldest_lot"), F.max(F.col("_newest") - F.col("_oldest") + 1).alias("eligible"),
+    ).withColumnRenamed("_day", demand_day)
     return (demand.join(answer, [group, demand_day], "left")
             .withColumn("eligible", F.coalesce(F.col("eligible"), F.lit(0).cast("bigint"))))
 

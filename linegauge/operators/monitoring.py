@@ -99,7 +99,7 @@ def monitoring_table(reference: DataFrame, validation_scores: DataFrame, current
     ref_mean = validation_scores.agg(F.round(F.avg(score), 4).alias("v")).scalar()
     table = outcomes(predicted, label, period, train_rate).join(distances, period).select(
         "*", F.round("_s", 4).alias("prediction_drift_score"), F.lit(DRIFT_LIMIT).alias("prediction_drift_threshold"),
-        (F.col("_s") >= DRIFT_LIMIT).alias("prediction_drift_detected"), ref_mean.alias("ref_pred_mean")).drop("_s")
+        F.coalesce(F.col("_s") >= DRIFT_LIMIT, F.lit(False)).alias("prediction_drift_detected"), ref_mean.alias("ref_pred_mean")).drop("_s")
     decided = with_decision(table)
     rounded = ("train_defect_rate", "period_defect_rate", "target_rate_delta")
     return decided.select(*[F.round(c, 4).alias(c) if c in rounded else F.col(c) for c in decided.columns])

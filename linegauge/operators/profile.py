@@ -13,8 +13,6 @@ from linegauge.operators.dedup import top_per_group
 from linegauge.operators.quantiles import exact_quantiles
 from linegauge.session import cut_lineage
 
-LONG_TEXT = 64
-
 
 def melted(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, value as text), one row per cell."""
@@ -22,25 +20,21 @@ def melted(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         [], list(cols), "column", "value")
 
 
-def compact_value(value: Column) -> Column:
-    """A stand-in for counting distinct values: long texts travel as their SHA-256."""
-    return F.when(F.length(value) > LONG_TEXT, F.concat(F.lit("sha256:"), F.sha2(value, 256))).otherwise(value)
-
-
 def schema_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Per column: type, nulls, null percentage, distinct values, an example, null severity.
 
-    One scan: cells are counted per (column, value) with map-side partial counts, then per
-    column.
+    One scan: cells are counted per column and 128-bit fingerprint of the value with map-side
+    partial counts, then per column, so no long text is shuffled.
     """
     cols = list(cols or df.columns)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    cells = melted(df, cols).groupBy("column", compact_value(F.col("value")).alias("_v")).agg(
+    prints = [F.xxhash64("value").alias("_v"), F.xxhash64(F.lit(1), "value").alias("_w")]
+    cells = melted(df, cols).groupBy("column", F.isnull("value").alias("_null"), *prints).agg(
         F.count("*").alias("n"), F.min(F.substring("value", 1, 60)).alias("example"))
     out = cells.groupBy("column").agg(
         F.sum("n").alias("total"),
-        F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
-        F.count("_v").alias("n_unique"), F.min("example").alias("sample"))
+        F.coalesce(F.sum(F.when(F.col("_null"), F.col("n"))), F.lit(0)).alias("null_count"),
+        F.count_if(~F.col("_null")).alias("n_unique"), F.min("example").alias("sample"))
     pct = F.col("null_count") * 100.0 / F.col("total")
     dtype = reduce(lambda acc, c: F.when(F.col("column") == c, types[c]).otherwise(acc), cols, F.lit(None))
     return out.select("column", dtype.alias("dtype"), "total", "null_count", pct.alias("null_pct"), "n_unique",
@@ -53,15 +47,15 @@ def text_columns(df: DataFrame) -> list[str]:
 
 
 def value_counts(df: DataFrame, cols: Sequence[str], **derived: Column) -> DataFrame:
-    """Rows per (column, value, derived...); long texts are counted by their digest."""
+    """Rows per (column, value, derived...)."""
     cells = melted(df, cols).where(F.col("value").isNotNull())
     return cells.groupBy("column", *[e.alias(n) for n, e in derived.items()],
-                         compact_value(F.col("value")).alias("value")).agg(F.count("*").alias("n"))
+                         "value").agg(F.count("*").alias("n"))
 
 
 def case_variants(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Values that collapse under lower(): variants and rows per folded value."""
-    folded = value_counts(df, cols, folded=compact_value(F.lower("value")))
+    folded = value_counts(df, cols, folded=F.lower("value"))
     return folded.groupBy("column", "folded").agg(
         F.count("*").alias("variants"), F.sum("n").alias("n_rows"), F.min("value").alias("first_variant"),
         F.max("value").alias("last_variant")).where("variants > 1")
@@ -70,7 +64,7 @@ def case_variants(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def whitespace_variants(df: DataFrame, cols: Sequence[str], examples: int = 5) -> DataFrame:
     """Values with leading or trailing space: most frequent examples per column with the column total."""
     cells = melted(df, cols).where(F.col("value") != F.trim("value"))
-    bad = cells.groupBy("column", compact_value(F.col("value")).alias("value")).agg(F.count("*").alias("n"))
+    bad = cells.groupBy("column", "value").agg(F.count("*").alias("n"))
     totals = bad.groupBy("column").agg(F.sum("n").alias("rows_affected"))
     top = top_per_group(bad, ["column"], examples, F.desc("n"), F.asc("value"))
     return top.join(totals, "column").select("column", "rank", "value", "n", "rows_affected")

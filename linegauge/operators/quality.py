@@ -163,12 +163,12 @@ def feature_quality(reference: DataFrame, current: DataFrame, categorical: Seque
 
     Both frames are melted to (feature, value) counts once; all features share one shuffle.
     """
-    from linegauge.operators.profile import compact_value, melted
+    from linegauge.operators.profile import melted
 
     cols = [*categorical, *numeric]
 
     def counts(df, n):
-        return melted(df, cols).groupBy("column", compact_value(F.col("value")).alias("value")).agg(
+        return melted(df, cols).groupBy("column", "value").agg(
             F.count("*").alias(n))
 
     ref = counts(reference, "_r").where(F.col("value").isNotNull())

@@ -46,7 +46,7 @@ def positive_weight(df: DataFrame, label: str) -> float:
 
 
 def auc(scored: DataFrame, label: str) -> float:
-    return metrics(scored.withColumn("_s", F.round(F.col("probability_1"), 6)), "_s", label).first()["roc_auc"] or 0.0
+    return metrics(scored, "probability_1", label).first()["roc_auc"] or 0.0
 
 
 def draw(rng: random.Random, space: Mapping[str, tuple]) -> dict:

@@ -38,7 +38,7 @@ def load_split(spark: SparkSession, store: str, split: str) -> DataFrame:
 
 def write_artifacts(scored: DataFrame, path: str, label: str = ft.TARGET) -> None:
     """Curves, calibration and confusion of validation scores as tables."""
-    rows = scored.select(F.round("probability_1", 4).alias("score"), F.col(label).cast("int").alias("y")).persist()
+    rows = scored.select(F.col("probability_1").alias("score"), F.col(label).cast("int").alias("y")).persist()
     tables = {"pr_curve": evaluate.pr_curve(rows, "score", "y"), "roc_curve": evaluate.roc_curve(rows, "score", "y"),
               "calibration": evaluate.calibration(rows, "score", "y"),
               "confusion_matrix": evaluate.confusion(rows, "score", "y", evaluate.HIGH_RISK)}
@@ -80,8 +80,7 @@ def train(spark: SparkSession, store: str, run_id: str, trials: int = 150, round
 
 
 def _metrics(scored: DataFrame, prefix: str) -> dict[str, float]:
-    rows = scored.withColumn("_s", F.round("probability_1", 4))
-    found = evaluate.metrics(rows, "_s", ft.TARGET).first().asDict()
+    found = evaluate.metrics(scored, "probability_1", ft.TARGET).first().asDict()
     return {f"{prefix}{k}": v for k, v in found.items() if v is not None}
 
 

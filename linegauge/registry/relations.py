@@ -250,7 +250,7 @@ def feature_period_matrix(spark, sf):
 
 
 @query("month_spine_gaps", "J18 Q10 F22", """
-WITH o AS (SELECT date_trunc('month', o_orderdate) AS m FROM orders WHERE o_totalprice > 480000 AND o_orderstatus = 'F'),
+WITH o AS (SELECT date_trunc('month', min(o_orderdate)) AS m FROM orders GROUP BY o_custkey),
 seen AS (SELECT m, count(*) AS n FROM o GROUP BY 1),
 spine AS (SELECT unnest(generate_series((SELECT min(m) FROM seen), (SELECT max(m) FROM seen), INTERVAL 1 MONTH)) AS m)
 SELECT strftime(spine.m, '%Y-%m') AS month, n, n IS NULL AS is_gap FROM spine LEFT JOIN seen ON spine.m = seen.m
@@ -258,8 +258,9 @@ SELECT strftime(spine.m, '%Y-%m') AS month, n, n IS NULL AS is_gap FROM spine LE
 def month_spine_gaps(spark, sf):
     from linegauge.operators.quality import month_gaps
 
-    rows = table(spark, sf, "orders").where((F.col("o_totalprice") > 480000) & (F.col("o_orderstatus") == "F"))
-    series = rows.groupBy(F.trunc("o_orderdate", "month").alias("m")).agg(F.count("*").alias("n"))
+    # first orders of customers thin out over time, which leaves months without any
+    firsts = table(spark, sf, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first"))
+    series = firsts.groupBy(F.trunc("first", "month").alias("m")).agg(F.count("*").alias("n"))
     gaps = month_gaps(series, "m").withColumn("gap", F.lit(True))
     full = joins.on_spine(series, "m", joins.month_spine(series, "m")).join(gaps, "m", "left")
     return full.select(month("m").alias("month"), "n", F.coalesce("gap", F.lit(False)).alias("is_gap"))

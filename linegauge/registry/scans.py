@@ -1,6 +1,9 @@
 """Scans, sinks, projections, filters, scalar functions."""
 
+import uuid
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linegauge.functions import exprs as x
 from linegauge.functions import nested
@@ -9,9 +12,43 @@ from linegauge.operators.evaluate import nearest_point
 from linegauge.registry.base import day, lines, LINES, money, month, query, table
 from linegauge.session import scratch_path
 from linegauge.sources import readers, sinks
+from linegauge.sources.schemas import SOURCES
 
 
-@query("scan_project_cast", "S1 S3 S5 P1 P2", """
+@query("csv_extracts_stored", "S1 S2 S8", """
+SELECT 'orders' AS extract, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'P') AS marked,
+       round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE), 2) AS total FROM orders
+UNION ALL SELECT 'suppliers', count(*), count(*) FILTER (WHERE s_nationkey = 3),
+       round(CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE), 2) FROM supplier
+""")
+def csv_extracts_stored(spark, sf):
+    """Tables written as CSV extracts of two systems, read back with missing ones left out, published as stored tables."""
+    root = scratch_path(spark, "extracts")
+    extracts = {
+        "production_orders": table(spark, sf, "orders").select(
+            F.col("o_orderkey").cast("string").alias("work_order_id"), F.col("o_orderstatus").alias("shift_code"),
+            F.col("o_totalprice").alias("std_labor_hrs")),
+        "operators": table(spark, sf, "supplier").select(
+            F.col("s_suppkey").cast("string").alias("operator_id"), F.col("s_nationkey").cast("string").alias("cert_level"),
+            F.col("s_acctbal").cast("string").alias("operator_name"))}
+    for name, rows in extracts.items():
+        src = SOURCES[name]
+        wide = rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                             for f in T.StructType.fromDDL(src.schema)])
+        wide.write.option("header", True).option("quote", '"').option("escape", '"').csv(f"{root}/{src.system}/{name}.csv")
+    found = readers.read_sources(spark, root)
+    out = None
+    for label, name, mark, value, price in (("orders", "production_orders", "shift_code", "P", "std_labor_hrs"),
+                                            ("suppliers", "operators", "cert_level", "3", "operator_name")):
+        rows = sinks.publish(found[name], f"stored_{name}_{uuid.uuid4().hex}", stored=True, path=scratch_path(spark, name))
+        part = rows.agg(F.count("*").alias("n"), F.count_if(F.col(mark) == value).alias("marked"),
+                        money(F.sum(F.col(price).cast("decimal(18,2)")), 2).alias("total"))
+        part = part.select(F.lit(label).alias("extract"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("scan_project_cast", "S3 S5 P1 P2", """
 SELECT l_orderkey AS order_id, CAST(l_quantity AS INTEGER) AS qty, l_returnflag = 'R' AS returned,
        strftime(l_shipdate, '%Y-%m-%d') AS ship_day, l_extendedprice AS price
 FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_quantity > 25
@@ -45,7 +82,7 @@ def scan_period_params(spark, sf):
         money(F.sum(F.col("value").cast("decimal(18,4)"))).alias("total"))
 
 
-@query("sink_roundtrip_partitioned", "S2 S6 S7 S8", """
+@query("sink_roundtrip_partitioned", "S6 S7", """
 SELECT strftime(o_orderdate, '%Y%m') AS period_label, count(*) AS n,
        round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE), 2) AS total
 FROM orders GROUP BY 1
@@ -201,13 +238,17 @@ def last_n_months(spark, sf):
 @query("constant_tag_union", "P19 U1", """
 SELECT 'early' AS period_label, event_type, count(*) AS n FROM events WHERE ts < TIMESTAMP '2024-01-11' GROUP BY 2
 UNION ALL
+SELECT 'middle', event_type, count(*) FROM events WHERE ts >= TIMESTAMP '2024-01-11' AND ts < TIMESTAMP '2024-01-21'
+GROUP BY 2 UNION ALL
 SELECT 'late', event_type, count(*) FROM events WHERE ts >= TIMESTAMP '2024-01-21' GROUP BY 2
 """)
 def constant_tag_union(spark, sf):
     events = table(spark, sf, "events")
-    early = events.where(F.col("ts") < F.to_timestamp(F.lit("2024-01-11"))).withColumn("period_label", F.lit("early"))
-    late = events.where(F.col("ts") >= F.to_timestamp(F.lit("2024-01-21"))).withColumn("period_label", F.lit("late"))
-    return early.unionByName(late).groupBy("period_label", "event_type").agg(F.count("*").alias("n"))
+    first, second = (F.to_timestamp(F.lit(d)) for d in ("2024-01-11", "2024-01-21"))
+    early = events.where(F.col("ts") < first).withColumn("period_label", F.lit("early"))
+    middle = events.where((F.col("ts") >= first) & (F.col("ts") < second)).withColumn("period_label", F.lit("middle"))
+    late = events.where(F.col("ts") >= second).withColumn("period_label", F.lit("late"))
+    return early.unionByName(middle).unionByName(late).groupBy("period_label", "event_type").agg(F.count("*").alias("n"))
 
 
 @query("hour_boundary_diff", "P7 F13 F20", """
@@ -333,7 +374,7 @@ def round_bucket(spark, sf):
 @query("json_props", "F30", """
 SELECT event_type, count(CAST(json_extract(props, '$.k') AS BIGINT)) AS with_key,
        CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS key_sum,
-       CAST(0 AS BIGINT) AS drivers
+       CAST(0 AS BIGINT) AS unreadable
 FROM events GROUP BY 1
 """)
 def json_props(spark, sf):
@@ -341,7 +382,25 @@ def json_props(spark, sf):
     bad = nested.parse_drivers("props")  # an object is not a list of drivers: empty list
     return table(spark, sf, "events").groupBy("event_type").agg(
         F.count(k).alias("with_key"), F.sum(k).alias("key_sum"),
-        F.sum(F.size(F.filter(bad, lambda d: d["feature"].isNotNull()))).alias("drivers"))
+        F.sum(F.size(F.filter(bad, lambda d: d["feature"].isNotNull()))).alias("unreadable"))
+
+
+@query("json_drivers", "F30", """
+SELECT event_id, CASE WHEN user_id % 3 = 0 THEN 0 ELSE 2 END AS n_drivers,
+       CASE WHEN user_id % 3 <> 0 THEN event_type END AS first_feature,
+       CASE WHEN user_id % 3 <> 0 THEN value END AS first_value,
+       CASE WHEN user_id % 3 <> 0 THEN CASE WHEN value - 10 > 0 THEN 'increases_risk' ELSE 'decreases_risk' END END
+         AS first_direction
+FROM events
+""")
+def json_drivers(spark, sf):
+    """Driver lists written as JSON text and parsed back; every third text is broken."""
+    listed = F.array(nested.driver(F.col("event_type"), "value", F.col("value") - 10),
+                     nested.driver("user_id", F.col("user_id"), F.lit(-1.0)))
+    text = F.when(F.col("user_id") % 3 == 0, F.lit("[{broken")).otherwise(F.to_json(listed))
+    drivers = table(spark, sf, "events").select("event_id", nested.parse_drivers(text).alias("d"))
+    first = lambda f: F.get(F.col("d"), F.lit(0))[f].alias(f"first_{f}")
+    return drivers.select("event_id", F.size("d").alias("n_drivers"), first("feature"), first("value"), first("direction"))
 
 
 @query("lookup_map_default", "J10 F31", """

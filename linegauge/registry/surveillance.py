@@ -1,5 +1,7 @@
 """Drift and monitoring: three ten-day periods of events against the first as reference."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from linegauge.operators import drift, monitoring
@@ -8,6 +10,7 @@ from linegauge.operators.quantiles import histogram
 from linegauge.registry.base import query, table
 
 PERIODS = ["p2", "p3"]
+WITH_EMPTY = [*PERIODS, "p4"]  # a period without rows must not disturb the others
 CATEGORICAL, NUMERIC, INTERACTION = ["event_type", "hour_bucket"], ["value", "k"], ["is_error_late"]
 
 
@@ -20,7 +23,7 @@ def _events(spark, sf):
         F.when(F.hour("ts") < 12, "am").otherwise("pm").alias("hour_bucket"), "value", k.alias("k"),
         ((c("event_type") == "error") & (F.hour("ts") >= 18)).cast("int").alias("is_error_late"),
         (c("value") > 12).cast("int").alias("defect_flag"),
-        F.round(F.least(c("value") / 20, F.lit(1.0)), 4).alias("defect_probability"))
+        (c("value") / (c("value") + 5)).alias("defect_probability"))
 
 
 def _sides(spark, sf):
@@ -34,7 +37,7 @@ e AS (SELECT CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 'p1' WHEN ts < TIMESTAMP
   CAST(CAST(json_extract(props, '$.k') AS BIGINT) AS DOUBLE) AS k,
   CASE WHEN event_type = 'error' AND hour(ts) >= 18 THEN 1 ELSE 0 END AS is_error_late,
   CASE WHEN value > 12 THEN 1 ELSE 0 END AS defect_flag,
-  round(least(value / 20, 1.0), 4) AS defect_probability FROM events)
+  value / (value + 5) AS defect_probability FROM events)
 """
 
 
@@ -82,6 +85,31 @@ def drift_wasserstein(spark, sf):
     return drift.wasserstein(ref, cur, NUMERIC, "period_label", PERIODS).withColumn("distance", F.round("distance", 6))
 
 
+def _edge(col):
+    """The Wasserstein query of a column over its rows with a number, and null where a side has none."""
+    rows = f"(SELECT * FROM x WHERE {col} IS NOT NULL AND NOT isnan({col})) e"
+    found = re.sub(r"FROM e\b", f"FROM {rows}", _w(col))
+    return f"""
+SELECT p.period_label, '{col}' AS feature, round(distance, 6) AS distance
+FROM (VALUES ('p2'), ('p3'), ('p4')) p(period_label) LEFT JOIN ({found}) USING (period_label)"""
+
+
+@query("drift_edge_cases", "N2 N3", f"""
+WITH {EVENTS}, x AS (SELECT period_label, value + 1700000000.0 AS far, CASE WHEN period_label <> 'p3' THEN value END AS gone,
+  CASE WHEN k % 5 = 0 THEN CAST('NaN' AS DOUBLE) ELSE value END AS odd FROM e)
+{_edge('far')} UNION ALL {_edge('gone')} UNION ALL {_edge('odd')}
+""")
+def drift_edge_cases(spark, sf):
+    """A large offset, a feature that one period lacks, NaN among the values, a period without rows."""
+    rows = _events(spark, sf).select(
+        "period_label", (F.col("value") + 1700000000.0).alias("far"),
+        F.when(F.col("period_label") != "p3", F.col("value")).alias("gone"),
+        F.when(F.col("k") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("odd"))
+    out = drift.wasserstein(rows.where("period_label = 'p1'"), rows.where("period_label <> 'p1'"), ["far", "gone", "odd"],
+                            "period_label", WITH_EMPTY)
+    return out.withColumn("distance", F.round("distance", 6))
+
+
 JS_NAME, W_NAME = "Jensen-Shannon distance", "Wasserstein distance (normed)"
 DRIFT_SQL = f"""
 fd AS (SELECT period_label, feature, CASE WHEN feature IN ('event_type', 'hour_bucket') THEN 'categorical'
@@ -144,7 +172,7 @@ pf AS (SELECT period_label, count(*) FILTER (WHERE defect_probability >= 0.75) A
 
 def _monitoring(spark, sf):
     ref, cur = _sides(spark, sf)
-    return monitoring.monitoring_table(ref, ref, cur, cur, "period_label", PERIODS, "defect_flag", "defect_flag",
+    return monitoring.monitoring_table(ref, ref, cur, cur, "period_label", WITH_EMPTY, "defect_flag", "defect_flag",
                                        CATEGORICAL, NUMERIC, INTERACTION)
 
 
