@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 from linegauge.functions.nested import driver, top_drivers
 
 
+# Numbers in one block of leaves x path x rows.
+BLOCK_CELLS = 1 << 20
+
+
 def input_names(model: PipelineModel, df: DataFrame) -> list[str]:
     """Name of every slot of the feature vector, from the vector's own attributes."""
     meta = model.transform(df.limit(0)).schema["features"].metadata["ml_attr"]
@@ -78,54 +82,78 @@ def ensemble_rules(model) -> list[tuple[float, dict]]:
     return [leaf for tree, w in zip(model.trees, weights) for leaf in leaf_rules(tree, w)]
 
 
+def leaf_groups(rules: Sequence[tuple[float, dict]]) -> list[tuple[np.ndarray, ...]]:
+    """Leaves by path length: values and (leaf x path) arrays of features, bounds and shares."""
+    by_length: dict[int, list] = {}
+    for value, path in rules:
+        if path and value != 0.0:
+            by_length.setdefault(len(path), []).append((value, list(path.items())))
+    groups = []
+    for leaves in by_length.values():
+        column = lambda k: np.array([[p[1][k] for p in path] for _, path in leaves], float)
+        features = np.array([[p[0] for p in path] for _, path in leaves], int)
+        groups.append((np.array([v for v, _ in leaves]), features, column(0), column(1), column(2)))
+    return groups
+
+
 def leaf_contributions(x: np.ndarray, rules: Sequence[tuple[float, dict]]) -> np.ndarray:
     """Shapley values (rows x features) summed over leaves.
 
     A leaf pays its value when every feature on its path is either known and inside its
     interval, or unknown with probability ``share``. For a feature i the weighted sum over
     subsets of the other path features is a polynomial in the subset size, built up one
-    feature at a time.
+    feature at a time. All leaves of one path length are worked through together, a block of
+    them at a time so that the arrays stay small.
     """
-    out = np.zeros_like(x, dtype=float)
-    for value, path in rules:
-        features = list(path)
-        d = len(features)
-        if d == 0 or value == 0.0:
-            continue
-        inside = [((x[:, f] > path[f][0]) & (x[:, f] <= path[f][1])).astype(float) for f in features]
-        shares = [path[f][2] for f in features]
+    n, width = x.shape
+    out = np.zeros((width, n))
+    for values, features, low, high, share in leaf_groups(rules):
+        d = features.shape[1]
         weights = [factorial(k) * factorial(d - k - 1) / factorial(d) for k in range(d)]
-        for i, f in enumerate(features):
-            poly = np.zeros((d, x.shape[0]))
-            poly[0] = 1.0
-            for j in range(d):
-                if j != i:
-                    poly[1:] = poly[1:] * shares[j] + poly[:-1] * inside[j]
-                    poly[0] *= shares[j]
-            total = sum(w * p for w, p in zip(weights, poly))
-            out[:, f] += value * (inside[i] - shares[i]) * total
-    return out
+        block = max(1, BLOCK_CELLS // (n * d))
+        for at in range(0, values.size, block):
+            part = slice(at, at + block)
+            f, z = features[part], share[part, :, None]
+            cells = x.T[f]
+            inside = ((cells > low[part, :, None]) & (cells <= high[part, :, None])).astype(float)
+            for i in range(d):
+                poly = np.zeros((d, f.shape[0], n))
+                poly[0] = 1.0
+                for j in range(d):
+                    if j != i:
+                        poly[1:] = poly[1:] * z[:, j] + poly[:-1] * inside[:, j]
+                        poly[0] *= z[:, j]
+                gain = values[part, None] * (inside[:, i] - z[:, i]) * np.tensordot(weights, poly, 1)
+                np.add.at(out, f[:, i], gain)
+    return out.T
 
 
 # -- both families -------------------------------------------------------------
 
-def linear_attribution(scored: DataFrame, model: LogisticRegressionModel) -> DataFrame:
-    """Coefficient x (value - mean) per feature; the means are one scalar subquery."""
+def linear_attribution(scored: DataFrame, model: LogisticRegressionModel, period: str | None = None) -> DataFrame:
+    """Coefficient x (value - mean) per feature; means are those of the row's period.
+
+    Each period is explained by itself, so its drivers are the same whatever is scored beside it.
+    Without ``period`` all rows are one.
+    """
     n = model.numFeatures
     rows = scored.withColumn("_x", vector_to_array("features"))
-    means = rows.agg(*[F.avg(F.col("_x")[i]).alias(f"m{i}") for i in range(n)]).select(
-        F.array(*[F.col(f"m{i}") for i in range(n)]).alias("v")).scalar()
+    means = F.array(*[F.avg(F.col("_x")[i]) for i in range(n)]).alias("_m")
+    if period is None:
+        rows = rows.withColumn("_m", rows.agg(means).scalar())
+    else:
+        per_period = rows.groupBy(F.col(period).alias("_period")).agg(means)
+        rows = rows.join(per_period, F.col(period).eqNullSafe(F.col("_period")), "left").drop("_period")
     coef = [float(c) for c in model.coefficients.toArray()]
-    rows = rows.withColumn("_m", means)
     return rows.withColumn("contributions", F.array(*[
         F.lit(c) * (F.col("_x")[i] - F.col("_m")[i]) for i, c in enumerate(coef)])).drop("_x", "_m")
 
 
-def attribute(scored: DataFrame, model: PipelineModel, key: str) -> DataFrame:
+def attribute(scored: DataFrame, model: PipelineModel, key: str, period: str | None = None) -> DataFrame:
     """``scored`` with one ``contributions`` array per row."""
     last = model.stages[-1]
     if isinstance(last, LogisticRegressionModel):
-        return linear_attribution(scored, last)
+        return linear_attribution(scored, last, period)
     rules = scored.sparkSession.sparkContext.broadcast(ensemble_rules(last))
 
     @F.pandas_udf("array<double>")

@@ -39,6 +39,11 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
     return keys.join(parent.select(F.col(parent_key).alias(child_key)), child_key, "left_anti")
 
 
+def orphan_sample(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str, n: int = 6) -> DataFrame:
+    """The first ``n`` child keys without a parent, each with its number of rows."""
+    return orphans(child, child_key, parent, parent_key).orderBy(child_key).limit(n)
+
+
 def in_segment(events: DataFrame, orders: DataFrame, key: str, segment: Column) -> DataFrame:
     """Events whose order belongs to a segment."""
     return events.join(orders.where(segment).select(key), key, "left_semi")

@@ -21,11 +21,12 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def score_with_drivers(model: PipelineModel, df: DataFrame, key: str, originals: Sequence[str] = (),
-                       k: int = 3) -> DataFrame:
+                       k: int = 3, period: str | None = None) -> DataFrame:
+    """Scores with drivers; linear drivers are measured against the means of the row's ``period``."""
     names = input_names(model, df)
     if originals:
         names = [plain_name(n, originals) for n in names]
-    return with_drivers(attribute(score(model, df), model, key), names, k)
+    return with_drivers(attribute(score(model, df), model, key, period), names, k)
 
 
 def predictions(scored: DataFrame, key: str, ts: str, period: str, target: str = TARGET) -> DataFrame:

@@ -12,6 +12,7 @@ import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from threading import Lock
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -119,18 +120,24 @@ def tune(train: DataFrame, validation: DataFrame, label: str, family: str, categ
     rng = random.Random(SEED)
     params = [draw(rng, space or SPACES[family]) for _ in range(trials)]
 
-    def run(p: dict):
-        model = estimator(family, p, label, n_rows, rounds).fit(fit_rows)
-        return auc(probability(model.transform(held_out)), label), model
+    best: list = []  # value, trial and model of the best so far; the others are dropped as they come
+    lock = Lock()
+
+    def run(trial: int) -> None:
+        model = estimator(family, params[trial], label, n_rows, rounds).fit(fit_rows)
+        value = auc(probability(model.transform(held_out)), label)
+        with lock:
+            if not best or (value, -trial) > (best[0], -best[1]):
+                best[:] = [value, trial, model]
 
     try:
         with ThreadPoolExecutor(parallelism) as pool:
-            results = list(pool.map(run, params))
+            list(pool.map(run, range(trials)))
     finally:
         for cached in (fit_rows, held_out, train):
             cached.unpersist()
-    best = max(range(trials), key=lambda i: results[i][0])
-    return Trained(family, params[best], PipelineModel([*prep.stages, results[best][1]]), results[best][0])
+    value, trial, model = best
+    return Trained(family, params[trial], PipelineModel([*prep.stages, model]), value)
 
 
 def best_of(candidates: Sequence[Trained]) -> Trained:

@@ -111,7 +111,7 @@ def score_periods(spark: SparkSession, store: str, mart: DataFrame, periods: Seq
     """Score all periods in one plan, store predictions by period, return the accuracy by tier."""
     model, version, source_run = load_model(spark, store)
     rows = require_rows(period_rows(mart, periods, closed_at_midnight), "work orders of the periods")
-    scored = scoring.score_with_drivers(model, rows, ft.ID, ft.FEATURES)
+    scored = scoring.score_with_drivers(model, rows, ft.ID, ft.FEATURES, period="period_label")
     sinks.write_partitioned(scoring.predictions(scored, ft.ID, "actual_start", "period_label"),
                             f"{store}/predictions", "period_label")
     summary = scoring.accuracy(load_predictions(spark, store, periods), "period_label")

@@ -37,11 +37,12 @@ def build_warehouse(spark: SparkSession, root: str, stored: bool = False, suffix
     layers = build_layers(raw)
     if stored:
         layers["int_orders_enriched"].persist(StorageLevel.MEMORY_AND_DISK)
-    published = {n: publish(df, n, stored and n.startswith("mart_"), tables_root and f"{tables_root}/{n}")
-                 for n, df in layers.items()}
-    if stored:
-        layers["int_orders_enriched"].unpersist()
-    return published
+    try:
+        return {n: publish(df, n, stored and n.startswith("mart_"), tables_root and f"{tables_root}/{n}")
+                for n, df in layers.items()}
+    finally:
+        if stored:
+            layers["int_orders_enriched"].unpersist()
 
 
 def contracts(t: dict[str, DataFrame]) -> DataFrame:

@@ -12,23 +12,28 @@ from pyspark.sql import functions as F
 def write_partitioned(df: DataFrame, path: str, by: str) -> str:
     """Parquet partitioned by ``by``; only the partitions present in ``df`` are replaced.
 
-    No shuffle before the write: every task writes its own share of each period, so a
-    period that holds a third of the rows is written by as many tasks as read it.
+    Rows are rebalanced by period first: a small period becomes one file, and Spark splits one that
+    holds a third of the rows into tasks of the advised size.
     """
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path))
+    (df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path))
     return path
 
 
 def write_csv_summary(df: DataFrame, path: str) -> str:
-    """One CSV file with header, for summaries of a few rows per period."""
-    (df.coalesce(1).write.mode("overwrite").option("header", True).option("quote", '"')
+    """One CSV file with header, for summaries of a few rows per period.
+
+    The summary's few rows are shuffled to one task; what computes them keeps its tasks.
+    """
+    (df.repartition(1).write.mode("overwrite").option("header", True).option("quote", '"')
      .option("escape", '"').csv(path))
     return path
 
 
 def write_sample(df: DataFrame, key: str, n: int, path: str) -> str:
     """The first n rows by key as one CSV file."""
-    return write_csv_summary(df.orderBy(F.asc_nulls_last(key)).limit(n), path)
+    first = df.orderBy(F.asc_nulls_last(key)).limit(n).coalesce(1)  # sorted and limited to one task already
+    first.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    return path
 
 
 def publish(df: DataFrame, name: str, stored: bool = False, path: str | None = None) -> DataFrame:

@@ -34,6 +34,15 @@ def test_key_match_counts_nulls_and_orphans(spark):
     assert (got["distinct_keys"], got["orphan_keys"], got["sample_orphan"]) == (3, 1, "q")
     assert got["row_match_pct"] == 60.0
     assert rows(joins.orphans(child, "k", parent, "p")) == [("q", 1)]
+    many = spark.createDataFrame([(f"z{i}",) for i in range(9)], "k string")
+    assert [r[0] for r in rows(joins.orphan_sample(many, "k", parent, "p"))] == [f"z{i}" for i in range(6)]
+
+
+def test_lots_without_day_or_group_are_never_eligible(spark):
+    day = date(2023, 1, 5)
+    lots = spark.createDataFrame([("x", day, "L1"), ("x", None, "L2"), (None, day, "L3"), ("x", day, "L4")], "m string, r date, lot string")
+    got = one(joins.eligible_lots(spark.createDataFrame([(1, "x", day)], "id int, m string, d date"), lots, "m", "d", "r", "lot"))
+    assert (got["eligible"], got["newest_lot"], got["oldest_lot"]) == (2, "L4", "L1")
 
 
 def test_spine_and_gaps(spark):

@@ -110,8 +110,11 @@ def test_encoders_handle_unseen(spark):
     hot = [list(r["features"].toArray()) for r in linear.collect()]
     assert [h[:2] for h in hot] == [[1, 0], [0, 0], [0, 0]]
     assert hot[1][2] == pytest.approx(0.0)
-    with pytest.raises(ValueError, match="distinct values"):
-        features.categories(train, ["c"], limit=1)
+    long = spark.createDataFrame([("x" * 90 + str(i),) for i in range(20)], "c string")
+    codes = features.with_ordinals(long, features.categories(long, ["c"]))
+    assert sorted(r["c_code"] for r in codes.collect()) == [float(i) for i in range(20)]
+    two = {"c": ["a", "b"], "x": []}
+    assert [r["x_code"] for r in features.with_ordinals(train, two).collect()] == [-1.0] * 3
     z = [r["x_z"] for r in features.standardised(train, ["x"]).collect()]
     assert np.std(z) == pytest.approx(1.0)
     roles = {r["column"]: r["role"] for r in features.column_audit(train, ["gone"], ["x"], "c").collect()}
@@ -201,6 +204,32 @@ def test_drivers_of_a_linear_model(trained):
     assert len(imp) == len(names) and imp[0]["mean_abs_contribution"] >= imp[-1]["mean_abs_contribution"]
 
 
+def test_drivers_of_a_period_do_not_depend_on_other_periods(trained):
+    from pyspark.sql import functions as F
+
+    df, _, found = trained
+    model = found["logistic_regression"].model
+    both = df.withColumn("p", F.when(F.col("x") > 0, "high").otherwise("low"))
+    names = ["complexity", "x", "qty"]
+
+    def drivers(rows):
+        scored = scoring.score_with_drivers(model, rows, "id", names, period="p")
+        return {r["id"]: r["drivers"] for r in scored.where("p = 'low'").select("id", "drivers").collect()}
+
+    alone, beside = drivers(both.where("p = 'low'")), drivers(both)
+    assert alone.keys() == beside.keys() and len(alone) > 10
+    for i, own in alone.items():
+        assert [d["contribution"] for d in own] == pytest.approx([d["contribution"] for d in beside[i]], abs=1e-3)
+
+
+def test_auc_uses_raw_scores(spark):
+    rows = [(0.5 + i * 1e-9, i % 2 if i < 10 else 1) for i in range(20)]
+    df = spark.createDataFrame(rows, "probability_1 double, y int")
+    pos, neg = [s for s, y in rows if y], [s for s, y in rows if not y]
+    want = sum(p > n for p in pos for n in neg) / len(pos) / len(neg)
+    assert training.auc(df, "y") == pytest.approx(want)
+
+
 def test_learning_curve(spark):
     out = training.learning_curve(_sample(spark, 400), "id", "y", "boosted_trees",
                                   {"step": 0.2, "depth": 2, "sample": 1.0, "leaf": 1}, ["complexity"], ["x", "qty"],
@@ -237,6 +266,20 @@ def test_js_is_symmetric(spark):
     assert there == pytest.approx(back) and 0 < there <= math.sqrt(math.log(2))
 
 
+def test_distances_without_rows_with_offset_and_nan(spark):
+    ref, cur, x = _periods(spark)
+    periods = ["same", "far", "none"]
+    js = {r["period"]: r["distance"] for r in drift.js_distance(ref, cur, ["c"], "period", periods).collect()}
+    assert js["none"] is None and js["same"] == pytest.approx(0, abs=1e-9)
+    shifted = [d.selectExpr("period", "x + 1.7e9 AS x", "IF(b = 1, double('NaN'), x) AS n", "CAST(NULL AS DOUBLE) AS gone") for d in (ref, cur)]
+    w = {(r["period"], r["feature"]): r["distance"] for r in
+         drift.wasserstein(*shifted, ["x", "n", "gone"], "period", periods).collect()}
+    assert w["far", "x"] == pytest.approx(3 / x.std(), rel=1e-4) and w["none", "x"] is None
+    assert w["same", "n"] == pytest.approx(0, abs=1e-9) and w.get(("far", "gone")) is None
+    table = drift.feature_drift(ref, cur, "period", periods, ["c"], ["x"], ["b"]).collect()
+    assert not any(r["drift_detected"] for r in table if r["period"] == "none")
+
+
 def test_drift_table_chooses_methods(spark):
     ref, cur, _ = _periods(spark)
     table = drift.feature_drift(ref, cur, "period", ["same", "far"], ["c"], ["x"], ["b"]).collect()

@@ -68,6 +68,17 @@ def test_box_stats_and_histogram(spark):
     hist = {r["bin"]: r for r in quantiles.histogram(df, "v", 0.0, 10.0, 5, density=True).collect()}
     assert {b: r["n"] for b, r in hist.items()} == {0: 1, 1: 2, 2: 2, 3: 2, 4: 2}
     assert sum(r["density"] * 2 for r in hist.values()) == pytest.approx(1)
+    own = {r["bin"]: r["n"] for r in quantiles.histogram(df, "v", bins=3).collect()}
+    assert own == {0: 9, 2: 1}  # the column's own range: no value is left out
+    same = quantiles.histogram(df.limit(1).withColumn("v", F.lit(4.0)), "v", bins=3).first()
+    assert (same["bin"], same["n"], same["bin_start"]) == (0, 1, 4.0)
+    assert quantiles.histogram(df.limit(0), "v").isEmpty()
+
+
+def test_box_stats_without_keys(spark):
+    df = spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4, 5, 6, 7, 8, 9, 100]] + [(None,)], "v double")
+    box = quantiles.box_stats(df, [], "v").first()
+    assert (box["q1"], box["median"], box["q3"], box["outliers"], box["n"]) == (3.25, 5.5, 7.75, 1, 10)
 
 
 def test_keep_first_uses_text_order_by_default(spark):
