@@ -38,7 +38,7 @@ LISTED_LABELS = ("spam-farm", "cheap-pills", "ads-track", "adult-x", "free-bets"
 HOSTS_PER_CASCADE = 200_000
 BITS_PER_KEY = 10
 HASHES = 6
-MAX_CASCADE_BYTES = 256 << 20
+MAX_CASCADE_BYTES = 64 << 20
 MAX_LEVELS = 64
 
 
