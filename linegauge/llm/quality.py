@@ -90,18 +90,22 @@ def judge(docs: DataFrame, weights: DataFrame, threshold: float = THRESHOLD) ->
     def measured(w: Column) -> Column:
         total = let(features(w), lambda b: F.struct(F.size(b).alias("n"), F.aggregate(
             b, F.lit(0.0), lambda a, k: a + F.get(table, k)).alias("sum")))
-        return F.struct(F.size(w).cast("bigint").alias("n_words"), repeated_words(w).alias("n_repeat_words"), total.alias("llr"))
+        return F.struct(F.size(w).cast("bigint").alias("n_words"), repeated_words(w).alias("n_repeat_words"),
+                        let(total, lambda t: F.coalesce(F.try_divide(t["sum"], t["n"]), F.lit(0.0))).alias("score"))
 
-    out = docs.withColumn("_weights", weight_list(weights)).withColumn("_m", let(hashed, measured)).withColumns({
+    def judged(m: Column) -> Column:
+        failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
+        return F.struct(m["n_words"].alias("n_words"), m["n_repeat_words"].alias("n_repeat_words"), m["score"].alias("score"),
+                        failed.alias("base_failed"), (~failed & (m["score"] >= threshold)).alias("kept"))
+
+    # everything that is read from a text's words stands in one struct: a filter on the verdict takes one pass over them
+    return docs.withColumn("_weights", weight_list(weights)).withColumn("_m", let(let(hashed, measured), judged)).withColumns({
         "n_words": F.col("_m.n_words"),
         "word_chars": (F.char_length(text) - F.regexp_count(text, F.lit(r"[\x20\x09-\x0D]"))).cast("bigint"),
         "n_symbols": F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("bigint"),
         "n_dup_lines": duplicate_lines(text),
-        "n_repeat_words": F.col("_m.n_repeat_words"),
-        "score": F.coalesce(F.try_divide(F.col("_m.llr.sum"), F.col("_m.llr.n")), F.lit(0.0)),
+        **{c: F.col(f"_m.{c}") for c in ("n_repeat_words", "score", "base_failed", "kept")},
     }).drop("_m", "_weights")
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
