@@ -59,4 +59,5 @@ def test_stages_take_odd_rows_and_keep_columns(spark, odd, nothing):
             docs = stage(spark, docs, SF)
             if n < len(corpus_pipeline.STAGES) - 1:
                 assert docs.columns == corpus_pipeline.COLUMNS
-        assert docs.isEmpty() == rows.isEmpty()
+        # rows with too few or repeated words go, of the copies one stays; a draw may leave out any of the rest
+        assert {r.doc_id for r in docs.collect()} <= (set() if rows.isEmpty() else {1, 3})
