@@ -250,7 +250,7 @@ def train_gbt(spark, sf):
 
 @query("tune", "M11 M20 O7")
 def tune(spark, sf):
-    found = [_trained(spark, sf, f, trials=2) for f in ("logistic_regression", "random_forest")]
+    found = [_trained(spark, sf, f, trials=2) for f in SMALL_SPACES]
     best = training.best_of(found).family
     return training.comparison(spark, found).select(
         "family", F.round("validation_auc", 4).alias("validation_auc"), (F.col("family") == best).alias("selected"))
@@ -259,7 +259,7 @@ def tune(spark, sf):
 @query("learning_curve", "M18")
 def learning_curve(spark, sf):
     out = training.learning_curve(_documents(spark, sf), KEY, LABEL, "logistic_regression", {"C": 1.0}, CATEGORICAL,
-                                  NUMERIC, sizes=[0.4, 1.0])
+                                  NUMERIC)
     return out.select(*[F.round(c, 4).alias(c) for c in out.columns])
 
 
