@@ -125,6 +125,14 @@ def test_quality_rules(spark, odd, odd_texts, nothing):
     assert unlabelled.where("score <> 0").isEmpty() and unlabelled.where("kept = base_failed").isEmpty()
 
 
+def test_trusted_sample_is_the_lowest_hashes(spark):
+    labels = spark.range(5000).selectExpr("id AS doc_id", "IF(id % 5 = 0, 0, 1) AS quality", "0 AS toxic")
+    want = sorted((brute.spark_hash(i), i) for i in range(5000) if i % 5)
+    for limit in (100, 900, 10_000):
+        got = {r.doc_id for r in quality.trusted_ids(labels, limit).collect()}
+        assert got == {i for _, i in want[:limit]}
+
+
 @needs_tables
 def test_quality_keeps_good_and_rejects_bad_documents(spark):
     got = queries.QUERIES["op6_quality"](spark, SF).join(documents(spark, SF, "labels"), "doc_id")
