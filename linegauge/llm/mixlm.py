@@ -1,17 +1,20 @@
 """Language-model scoring by online logistic context mixing.
 
 A text is a row of tokens and an end. Every token is coded by binary decisions: whether it is one of
-the ``SYMBOLS`` most frequent training tokens, and if so the bits of its number. A decision is
-predicted in three hashed contexts (no token, one token, two tokens before it) from the counts of all
-training documents; the predictions are combined in the logistic domain by weights that a gate
-(the decision's depth and how much the longer contexts have seen) selects, and the weights are refined
-after every ``BLOCK`` tokens of the document at hand. A token outside the symbols is coded by its
-smoothed share among such tokens, unknown ones included, so probabilities of all texts add up to one.
+the ``SYMBOLS`` most frequent training tokens, and then the bits of its number, or else the bits of
+its hash, of which there are about as many values as distinct training tokens. A decision is
+predicted in three hashed contexts (no token, one token, two tokens before it, symbols or not) from
+the counts of all training documents; the predictions are combined in the logistic domain by weights
+that a gate (the decision's depth and how much the longer contexts have seen) selects, and the
+weights are refined after every ``BLOCK`` tokens of the document at hand. Tokens that share a hash
+share its probability by their smoothed counts, unknown ones included, so probabilities of all texts
+add up to one.
 
 Counts per token come from all training documents and are shuffled by token; the ``FREQUENT`` most
 frequent ones are also sent to the tasks, and only the rest is joined, so no frequent word becomes a
-hot key. The context table has a fixed number of slots. Documents start from the same weights and do
-not affect each other, so results do not depend on order or partitions.
+hot key. The context table has a slot per training token, up to 2 ** ``MOST_SLOT_BITS`` per order.
+Documents start from the same weights and do not affect each other, so results do not depend on order
+or partitions.
 
 Null and empty texts consist of the end alone; a null id counts as an empty text in the split;
 repeated rows get equal scores; without training documents every decision has probability one half; an
@@ -23,9 +26,11 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from math import log10
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,15 +43,20 @@ SYMBOLS = 1 << BITS
 #: What stands before the first token of a text.
 START = SYMBOLS + 1
 FREQUENT = 1 << 17
-SLOT_BITS = 18
+#: The slots of an order's contexts are as many as training tokens, between these powers of two: the table is sent to all tasks.
+SLOT_BITS, MOST_SLOT_BITS = 18, 20
+#: A token outside the symbols has so many bits that there are about as many numbers as tokens.
+MOST_HASH_BITS = 30
 NODES = 1 << BITS
-SLOTS = NODES + 2 * (1 << SLOT_BITS)
 ORDERS = 3
+SLOTS = NODES + ORDERS * (1 << SLOT_BITS)
+#: Slots in a packed row of counts.
+PART = 1 << 13
 PRIOR = 0.4
 START_WEIGHT = 0.4
 RATE = 0.004
 BLOCK = 64
-GATES = (BITS + 1) * 3 * 3
+GATES = (BITS + 1 + MOST_HASH_BITS) * 3 * 3
 FLUSH_TOKENS = 400_000
 GROUP_TOKENS = 150_000
 
@@ -97,110 +107,158 @@ def frequent_tokens(counts: DataFrame, most: int) -> list[tuple[str, int]]:
     return sorted(((r["token"], r["n"]) for r in counts.where(fine >= least).collect()), key=lambda r: (-r[1], r[0]))
 
 
-def hashed(before: np.ndarray, before2: np.ndarray | None, node: np.ndarray) -> np.ndarray:
-    """Slot of a node in the context of one or two tokens."""
-    h = before.astype(np.uint32) * np.uint32(0x9E3779B1) ^ node.astype(np.uint32) * np.uint32(0x85EBCA6B)
-    if before2 is not None:
-        h ^= before2.astype(np.uint32) * np.uint32(0xC2B2AE35) + np.uint32(0x27D4EB2F)
+def hashed(base: np.ndarray, node: np.ndarray, slot_bits: int) -> np.ndarray:
+    """Slot of a node in the context that ``base`` stands for."""
+    h = node * np.uint32(0x85EBCA6B)
+    h ^= base
     h ^= h >> np.uint32(15)
     h *= np.uint32(0x2C1B3C6D)
     h ^= h >> np.uint32(13)
-    return (h * np.uint32(0x297A2D39)) >> np.uint32(32 - SLOT_BITS)
+    h *= np.uint32(0x297A2D39)
+    h >>= np.uint32(32 - slot_bits)
+    return h
 
 
-def decisions(symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """token, depth, bit and slots (per order) of all decisions of texts laid end to end, in order.
+def table_size(slot_bits: int) -> int:
+    return NODES + ORDERS * (1 << slot_bits)
 
-    ``symbols`` are token numbers from 1, 0 for a token that is not a symbol; ``starts`` are the
-    texts' first places. Contexts stop at the start of a text.
+
+def decisions(codes: np.ndarray, starts: np.ndarray, hash_bits: int, slot_bits: int,
+              order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """token, depth, bit and slots (per order) of all decisions of texts laid end to end, tokens in ``order``.
+
+    A code is a token's number from 1, or ``SYMBOLS`` + 1 + its CRC-32; 0 stands for all tokens that are
+    no symbols and ends with that decision. ``starts`` are the texts' first places, where contexts stop.
     """
-    n = symbols.size
-    symbols = symbols.astype(np.uint32)
+    n = codes.size
     before = np.full((2, n), START, np.uint32)
-    before[0, 1:], before[1, 2:] = symbols[:-1], symbols[:-2]
+    seen = codes.astype(np.uint32)
+    before[0, 1:], before[1, 2:] = seen[:-1], seen[:-2]
     before[0, starts] = before[1, starts] = START
     second = starts[starts + 1 < n] + 1
     before[1, second] = START
+    if order is not None:
+        codes, before = codes[order], before[:, order]
     # whether it is a symbol, then the nodes on the way to its number: a row of decisions per token
-    known = symbols > 0
-    counts = np.where(known, BITS + 1, 1)
+    known, coded = (codes > 0) & (codes <= SYMBOLS), codes > SYMBOLS
+    width = np.where(known, BITS, np.where(coded, hash_bits, 0)).astype(np.uint32)
+    number = np.where(known, codes - 1, np.where(coded, (codes - SYMBOLS - 1) >> (32 - hash_bits), 0)).astype(np.uint32)
+    counts = width.astype(np.int64) + 1
     token = np.repeat(np.arange(n, dtype=np.int32), counts)
     first = np.cumsum(counts) - counts
-    depth, bit, node = np.zeros(token.size, np.uint8), np.empty(token.size, np.uint8), np.zeros(token.size, np.uint32)
+    depth = np.arange(token.size, dtype=np.uint32) - first.astype(np.uint32)[token]
+    shift = width[token] - depth
+    whole = (np.uint32(1) << width | number)[token]
+    bit = (whole >> shift & np.uint32(1)).astype(np.uint8)
     bit[first] = known
-    at, number = first[known], symbols[known] - np.uint32(1)
-    for d in range(1, BITS + 1):
-        here = at + d
-        depth[here] = d
-        node[here] = np.uint32(1 << (d - 1)) | number >> np.uint32(BITS - d + 1)
-        bit[here] = number >> np.uint32(BITS - d) & np.uint32(1)
-    one, two = before[0][token], before[1][token]
+    node = whole >> shift + np.uint32(1)
+    apart = coded[token]
+    apart[first] = False
+    node |= apart.astype(np.uint32) << np.uint32(31)
+    one = before[0] * np.uint32(0x9E3779B1)
+    two = one ^ (before[1] * np.uint32(0xC2B2AE35) + np.uint32(0x27D4EB2F))
     slots = np.empty((ORDERS, token.size), np.int32)
-    slots[0] = node
-    slots[1] = hashed(one, None, node)
-    slots[1] += NODES
-    slots[2] = hashed(one, two, node)
-    slots[2] += NODES + (1 << SLOT_BITS)
-    return token, depth, bit, slots
-
+    slots[0] = np.where(apart, hashed(np.uint32(0), node, slot_bits) + np.uint32(NODES), node)
+    for k, base in ((1, one), (2, two)):
+        slots[k] = hashed(base[token], node, slot_bits)
+        slots[k] += NODES + (k << slot_bits)
+    return token, (depth + apart * np.uint32(BITS)).astype(np.uint8), bit, slots
+
+
+def coder(ranks, codes):
+    """A function that gives the ranks (-1 beyond the frequent tokens) and codes of a list of tokens."""
+    number, code_of = ranks.value, codes.value
+
+    def code(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        rank = np.array([number.get(w, -1) for w in words], np.int64)
+        out = code_of[rank]
+        for at in np.flatnonzero(rank < 0).tolist():
+            out[at] = SYMBOLS + 1 + crc32(words[at])
+        return rank, out
+
+    return code
+
+
+def groups(batches: Iterator[pa.RecordBatch], ranks, codes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Codes and starts of all texts, about ``GROUP_TOKENS`` tokens at a time."""
+    code = coder(ranks, codes)
+    parts, starts, n = [], [], 0
+    for batch in batches:
+        for text in batch.column(0).cast(pa.large_binary()):
+            words = (text.as_py() or b"").lower().split()
+            words.append(b"")
+            starts.append(n)
+            parts.append(code(words)[1])
+            n += len(words)
+            if n > GROUP_TOKENS:
+                yield np.concatenate(parts), np.asarray(starts, np.int64)
+                parts, starts, n = [], [], 0
+    if parts:
+        yield np.concatenate(parts), np.asarray(starts, np.int64)
+
+
+def slot_counts(docs: DataFrame, ranks, codes, hash_bits: int, slot_bits: int) -> DataFrame:
+    """(part, counts) of all contexts over all ``docs``: zeros and ones of ``PART`` slots as packed numbers.
+
+    Every task packs its counts, so the rows do not grow with the contexts it meets.
+    """
+    size = table_size(slot_bits)
 
-def slot_counts(docs: DataFrame, ranks) -> DataFrame:
-    """(slot, zeros, ones) of all contexts over all ``docs``; at most ``SLOTS`` rows."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = {t: r + 1 for t, r in ranks.value.items() if r < SYMBOLS}
-        table = np.zeros(2 * SLOTS, np.int64)
-        symbols: list[int] = []
-        starts: list[int] = []
+        table = np.zeros(2 * size, np.int32)
+        used = False
+        for symbols, starts in groups(batches, ranks, codes):
+            _, _, bit, slots = decisions(symbols, starts, hash_bits, slot_bits)
+            slots *= 2
+            slots += bit
+            for k in range(ORDERS):
+                table += np.bincount(slots[k], minlength=2 * size).astype(np.int32)
+            used = True
+        if used:
+            for part in range(0, 2 * size, 2 * PART):
+                yield pa.RecordBatch.from_pydict({"part": pa.array([part // (2 * PART)], pa.int32()),
+                                                  "counts": pa.array([table[part:part + 2 * PART].astype(np.int64).tobytes()], pa.binary())})
 
-        def add() -> None:
-            if symbols:
-                _, _, bit, slots = decisions(np.asarray(symbols, np.int64), np.asarray(starts, np.int64))
-                table[:] += np.bincount((2 * slots + bit[None, :]).ravel(), minlength=2 * SLOTS)
-                symbols.clear(), starts.clear()
+    def add(rows: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(c.as_py(), np.int64) for c in rows.column("counts"))
+        return pa.table({"part": rows.column("part").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
-        for batch in batches:
-            for text in batch.column(0).cast(pa.large_binary()):
-                starts.append(len(symbols))
-                symbols += [number.get(w, 0) for w in (text.as_py() or b"").lower().split()]
-                symbols.append(number.get(b"", 0))
-                if len(symbols) > GROUP_TOKENS:
-                    add()
-        add()
-        zeros, ones = table[0::2], table[1::2]
-        used = np.flatnonzero(zeros + ones)
-        for at in range(0, used.size, 50_000):
-            part = used[at:at + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(zeros[part]), pa.array(ones[part])], ["slot", "zeros", "ones"])
-
-    counted = docs.select("text").mapInArrow(count, "slot int, zeros bigint, ones bigint")
-    return counted.groupBy("slot").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
-
-
-def predictors(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    counted = docs.select("text").mapInArrow(count, "part int, counts binary")
+    return counted.groupBy("part").applyInArrow(add, "part int, counts binary")
+
+
+def slot_table(counts: DataFrame, slot_bits: int) -> np.ndarray:
+    """Zeros and ones per slot, as two rows."""
+    table = np.zeros(2 * table_size(slot_bits), np.uint32)
+    for r in counts.toLocalIterator():
+        part = np.minimum(np.frombuffer(r["counts"], np.int64), 0xFFFFFFFF)
+        table[2 * PART * r["part"]:2 * PART * r["part"] + part.size] = part
+    return np.ascontiguousarray(table.reshape(-1, 2).T)
+
+
+def predictors(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per slot the logit of the next bit, and how sure it is (0 unseen, 1 seen little, 2 seen often)."""
-    rows = counts.toPandas()
-    logit, sure = np.zeros(SLOTS, np.float32), np.zeros(SLOTS, np.uint8)
-    slot, zeros, ones = (rows[c].to_numpy(np.int64) for c in ("slot", "zeros", "ones"))
-    logit[slot] = np.log((ones + PRIOR) / (zeros + PRIOR))
-    sure[slot] = np.where(zeros + ones >= 8, 2, 1)
-    return logit, sure
+    zeros, ones = table.astype(np.float32)
+    seen = zeros + ones
+    return np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR))), ((seen > 0).astype(np.uint8) + (seen >= 8)).astype(np.uint8)
 
 
-def mixed_log2(symbols: np.ndarray, starts: np.ndarray, logit: np.ndarray, sure: np.ndarray) -> np.ndarray:
+def slot_bits_of(size: int) -> int:
+    return ((size - NODES) // ORDERS).bit_length() - 1
+
+
+def mixed_log2(symbols: np.ndarray, starts: np.ndarray, logit: np.ndarray, sure: np.ndarray, hash_bits: int = 16) -> np.ndarray:
     """log2 of the probability of each text's decisions, texts laid end to end."""
     lengths = np.diff(np.append(starts, symbols.size))
-    text_of = np.repeat(np.arange(starts.size), lengths)
-    token, depth, bit, slots = decisions(symbols, starts)
-    blocks = (np.arange(symbols.size) - np.repeat(starts, lengths)) // BLOCK
-    place = blocks.astype(np.uint16 if blocks[-1] < 1 << 16 and lengths.max() < BLOCK << 16 else np.int64)[token]
+    place = (np.arange(symbols.size) - np.repeat(starts, lengths)) // BLOCK
     order = np.argsort(place, kind="stable")
-    bit, slots = bit[order], slots[:, order]
+    token, depth, bit, slots = decisions(symbols, starts, hash_bits, slot_bits_of(logit.size), order)
     inputs = logit[slots]
-    text = text_of[token[order]]
-    gate = text * GATES + (depth[order].astype(np.int64) * 3 + sure[slots[1]]) * 3 + sure[slots[2]]
+    text = np.repeat(np.arange(starts.size), lengths)[order][token]
+    gate = text * GATES + (depth.astype(np.int64) * 3 + sure[slots[1]]) * 3 + sure[slots[2]]
     weights = np.full((ORDERS, starts.size * GATES), START_WEIGHT, np.float32)
     total = np.empty(bit.size, np.float32)
-    bounds = np.searchsorted(place[order], np.arange(int(place.max()) + 2))
+    bounds = np.searchsorted(place[order][token], np.arange(int(place.max()) + 2))
     for lo, hi in zip(bounds[:-1], bounds[1:]):
         x, g = inputs[:, lo:hi], gate[lo:hi]
         z = sum(weights[k][g] * x[k] for k in range(ORDERS))
@@ -213,40 +271,58 @@ def mixed_log2(symbols: np.ndarray, starts: np.ndarray, logit: np.ndarray, sure:
     return -np.bincount(text, np.logaddexp(0.0, signed), starts.size) / np.log(2)
 
 
-def score_rows(docs: DataFrame, ranks, tables, known_log) -> DataFrame:
+def score_rows(docs: DataFrame, ranks, codes, tables, known_log, share_log, hash_bits: int) -> DataFrame:
     """Everything a task can say of its documents, and their rarer tokens with counts."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, log_of, (logit, sure) = ranks.value, known_log.value, tables.value
+        code, log_of, share_of = coder(ranks, codes), known_log.value, share_log.value
+        logit, sure = predictors(tables.value)
         row_id = TaskContext.get().partitionId() << 40
         for batch in batches:
-            at = 0
             texts = batch.column("text").cast(pa.large_binary())
+            # texts of like lengths share their steps
+            by_size = pa.compute.sort_indices(pa.compute.fill_null(pa.compute.binary_length(texts), 0)).to_pylist()
+            at = 0
             while at < batch.num_rows:
-                symbols, starts, out, first = [], [], [], at
-                while at < batch.num_rows and len(symbols) < GROUP_TOKENS:
-                    raw = texts[at].as_py() or b""
+                parts, starts, out, first, n = [], [], [], at, 0
+                while at < batch.num_rows and n < GROUP_TOKENS:
+                    raw = texts[by_size[at]].as_py() or b""
                     words = raw.lower().split()
                     words.append(b"")
-                    rank = np.array([number.get(w, -1) for w in words], np.int64)
+                    rank, own = code(words)
                     rare = Counter(w for w, r in zip(words, rank.tolist()) if r < 0)
                     usual = rank[rank >= 0]
-                    logs = log_of[usual]
-                    starts.append(len(symbols))
-                    symbols.extend(np.where((rank >= 0) & (rank < SYMBOLS), rank + 1, 0).tolist())
-                    out.append((row_id, len(raw), len(words), usual.size, float(logs.sum()), float(logs[usual >= SYMBOLS].sum()),
-                                int(rank.size - (usual < SYMBOLS).sum()), list(rare.keys()), list(rare.values())))
+                    starts.append(n)
+                    parts.append(own)
+                    n += len(words)
+                    out.append((row_id, len(raw), len(words), usual.size, float(log_of[usual].sum()), float(share_of[usual].sum()),
+                                list(rare.keys()), list(rare.values())))
                     row_id += 1
                     at += 1
-                bits = mixed_log2(np.asarray(symbols, np.int64), np.asarray(starts, np.int64), logit, sure)
+                bits = mixed_log2(np.concatenate(parts), np.asarray(starts, np.int64), logit, sure, hash_bits)
                 columns = list(zip(*out))
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
+                types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, at - first), *(pa.array(c, t) for c, t in zip(columns, types)), pa.array(bits)],
-                    ["doc_id", "row_id", "n_bytes", "n_tokens", "n_usual", "usual_log", "escape_log", "n_escape", "rare", "rare_n", "mixed"])
+                    [batch.column("doc_id").take(pa.array(by_size[first:at])), *(pa.array(c, t) for c, t in zip(columns, types)), pa.array(bits)],
+                    ["doc_id", "row_id", "n_bytes", "n_tokens", "n_usual", "usual_log", "share_log", "rare", "rare_n", "mixed"])
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        score, "doc_id bigint, row_id bigint, n_bytes bigint, n_tokens bigint, n_usual bigint, usual_log double, escape_log double, "
-               "n_escape bigint, rare array<binary>, rare_n array<bigint>, mixed double")
+        score, "doc_id bigint, row_id bigint, n_bytes bigint, n_tokens bigint, n_usual bigint, usual_log double, share_log double, "
+               "rare array<binary>, rare_n array<bigint>, mixed double")
+
+
+def bucket_of(token: Column, hash_bits: int) -> Column:
+    """The number that a token outside the symbols is coded by."""
+    return F.shiftright(F.crc32(token.cast("binary")), 32 - hash_bits)
+
+
+def buckets(counts: DataFrame, symbols: list[str], hash_bits: int) -> DataFrame:
+    """Per number: all tokens outside the symbols that have it, with counts, and their sum with one for each and for the unknown.
+
+    There are about as many numbers as tokens, so a row holds a few tokens.
+    """
+    others = counts.where(~F.col("token").isin(symbols)) if symbols else counts
+    return others.groupBy(bucket_of(F.col("token"), hash_bits).alias("bucket")).agg(
+        F.collect_list(F.struct("token", "n")).alias("members"), (F.sum("n") + F.count("*") + 1).alias("mass"))
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -255,22 +331,37 @@ def score(docs: DataFrame) -> DataFrame:
     training = docs.where(~held_out(F.col("doc_id")))
     counts = stored(token_counts(training), "token-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    hash_bits = min(MOST_HASH_BITS, max(1, int(distinct).bit_length()))
+    slot_bits = min(MOST_SLOT_BITS, max(SLOT_BITS, int(total).bit_length()))
     top = frequent_tokens(counts, FREQUENT)
-    ranks = sc.broadcast({token.encode(): i for i, (token, _) in enumerate(top)})
-    known_log = sc.broadcast(np.log10(np.array([n for _, n in top], np.float64) + 1))
-    tables = sc.broadcast(predictors(slot_counts(training, ranks)))
-    symbol_tokens = sum(n for _, n in top[:SYMBOLS])
+    symbols = [t for t, _ in top[:SYMBOLS]]
+    shared = stored(buckets(counts, symbols, hash_bits), "buckets")
+    mass = np.ones(len(top))
+    place = {t: i for i, (t, _) in enumerate(top)}
+    if len(top) > SYMBOLS:
+        least = top[-1][1]
+        rows = shared.select("mass", F.explode(F.filter("members", lambda m: m["n"] >= least)).alias("m")).select("mass", "m.token")
+        for token, own in ((r["token"], r["mass"]) for r in rows.collect()):
+            if token in place:
+                mass[place[token]] = own
+    n_of = np.array([n for _, n in top], np.float64)
+    ranks = sc.broadcast({token.encode(): i for token, i in place.items()})
+    codes = sc.broadcast(np.array([i + 1 if i < SYMBOLS else SYMBOLS + 1 + crc32(t.encode()) for i, (t, _) in enumerate(top)] + [0], np.int64))
+    known_log = sc.broadcast(np.log10(n_of + 1))
+    share_log = sc.broadcast(np.where(np.arange(len(top)) < SYMBOLS, 0.0, np.log10((n_of + 1) / mass)))
+    tables = sc.broadcast(slot_table(stored(slot_counts(training, ranks, codes, hash_bits, slot_bits), "slots"), slot_bits))
     base_log = log10(total + distinct + 1)
-    escape_log = log10(total - symbol_tokens + distinct - min(len(top), SYMBOLS) + 1)
 
-    rows = stored(score_rows(docs, ranks, tables, known_log), "scored-rows")
+    rows = stored(score_rows(docs, ranks, codes, tables, known_log, share_log, hash_bits), "scored-rows")
     rare = rows.select("row_id", F.explode(F.arrays_zip("rare", "rare_n")).alias("r"))
     rare = rare.select("row_id", F.col("r.rare").cast("string").alias("token"), F.col("r.rare_n").alias("tf"))
-    known = rare.join(counts, "token").groupBy("row_id").agg(F.sum("tf").alias("n_rare"), F.sum(F.col("tf") * F.log10(F.col("n") + 1)).alias("rare_log"))
-    rare_log = F.coalesce("rare_log", F.lit(0.0))
+    own = F.coalesce(F.get(F.filter("members", lambda m: m["token"] == F.col("token")), F.lit(0))["n"], F.lit(0))
+    known = (rare.withColumn("bucket", bucket_of(F.col("token"), hash_bits)).join(shared, "bucket", "left").withColumn("n", own)
+             .groupBy("row_id").agg(F.sum(F.when(F.col("n") > 0, F.col("tf")).otherwise(0)).alias("n_rare"), F.sum(F.col("tf") * F.log10(F.col("n") + 1)).alias("rare_log"),
+                                    F.sum(F.col("tf") * F.log10((F.col("n") + 1) / F.coalesce("mass", F.lit(1)))).alias("rare_share")))
     out = rows.drop("rare", "rare_n").join(known, "row_id", "left")
-    model = F.col("mixed") * log10(2) + F.col("escape_log") + rare_log - F.col("n_escape") * escape_log
+    model = F.col("mixed") * log10(2) + F.col("share_log") + F.coalesce("rare_share", F.lit(0.0))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens",
                       (F.col("n_usual") + F.coalesce("n_rare", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("bigint").alias("train_tokens"),
-                      (F.col("usual_log") + rare_log - F.col("n_tokens") * base_log).alias("base_score"), model.alias("score"),
+                      (F.col("usual_log") + F.coalesce("rare_log", F.lit(0.0)) - F.col("n_tokens") * base_log).alias("base_score"), model.alias("score"),
                       F.try_divide(-model / log10(2), F.col("n_bytes")).alias("bits_per_byte"))

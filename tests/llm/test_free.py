@@ -254,6 +254,17 @@ def test_probabilities_add_up():
     assert np.exp2(bits - alone).sum() == pytest.approx(1.0, abs=1e-5)
 
 
+def test_tokens_outside_the_symbols_are_coded_in_their_contexts():
+    rng = np.random.default_rng(6)
+    logit, sure = rng.normal(0, 2, mixlm.SLOTS).astype(np.float32), rng.integers(0, 3, mixlm.SLOTS).astype(np.uint8)
+    word = lambda h: mixlm.SYMBOLS + 1 + (h << 24)
+    price = lambda *codes: mixlm.mixed_log2(np.array(codes), np.array([0]), logit, sure, 8)[0]
+    other = [price(3, word(h)) for h in range(256)]
+    assert np.exp2(np.array(other) - price(3, 0)).sum() == pytest.approx(1.0, abs=1e-5)
+    assert price(3, word(5)) - price(3) != pytest.approx(price(word(9), word(5)) - price(word(9)), abs=1e-3)
+    assert price(word(8), word(5)) - price(word(8)) != pytest.approx(price(word(9), word(5)) - price(word(9)), abs=1e-3)
+
+
 def test_documents_do_not_affect_each_other():
     rng = np.random.default_rng(2)
     logit, sure = rng.normal(0, 2, mixlm.SLOTS).astype(np.float32), rng.integers(0, 3, mixlm.SLOTS).astype(np.uint8)
