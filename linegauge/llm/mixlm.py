@@ -6,7 +6,8 @@ its hash, of which there are about as many values as distinct training tokens. A
 predicted in three hashed contexts (no token, one token, two tokens before it, symbols or not) from
 the counts of all training documents; the predictions are combined in the logistic domain by weights
 that a gate (the decision's depth and how much the longer contexts have seen) selects, and the
-weights are refined after every ``BLOCK`` tokens of the document at hand. Tokens that share a hash
+weights start from those learned on all training documents (each decision left out of its own
+prediction) and are refined after every token of the document at hand. Tokens that share a hash
 share its probability by their smoothed counts, unknown ones included, so probabilities of all texts
 add up to one.
 
@@ -55,10 +56,13 @@ PART = 1 << 13
 PRIOR = 0.4
 START_WEIGHT = 0.4
 RATE = 0.004
-BLOCK = 64
 GATES = (BITS + 1 + MOST_HASH_BITS) * 3 * 3
+#: What is summed per gate: the slope of each weight, then the bend of each two.
+SUMS = [(0, None), (1, None), (2, None), (0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)]
+MOST_STEP = 1.0
 FLUSH_TOKENS = 400_000
 GROUP_TOKENS = 150_000
+GROUP_TEXTS = 4_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -247,31 +251,78 @@ def slot_bits_of(size: int) -> int:
     return ((size - NODES) // ORDERS).bit_length() - 1
 
 
-def mixed_log2(symbols: np.ndarray, starts: np.ndarray, logit: np.ndarray, sure: np.ndarray, hash_bits: int = 16) -> np.ndarray:
-    """log2 of the probability of each text's decisions, texts laid end to end."""
+def gate_sums(docs: DataFrame, ranks, codes, tables, hash_bits: int, slot_bits: int) -> DataFrame:
+    """(gate, sums) over all ``docs``: gradient and curvature of the code length at the start weight.
+
+    A text's own decision is left out of the counts that predict it. ``GATES`` rows at most.
+    """
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, sums = tables.value, np.zeros((len(SUMS), GATES))
+        for symbols, starts in groups(batches, ranks, codes):
+            _, depth, bit, slots = decisions(symbols, starts, hash_bits, slot_bits)
+            x, sure = [], []
+            for k in range(ORDERS):
+                zeros, ones = table[0][slots[k]] - (bit == 0), table[1][slots[k]] - bit
+                seen = zeros + ones
+                x.append(np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR))).astype(np.float32))
+                sure.append((seen > 0).astype(np.int64) + (seen >= 8))
+            gate = (depth.astype(np.int64) * 3 + sure[1]) * 3 + sure[2]
+            p = 1 / (1 + np.exp(-np.float32(START_WEIGHT) * sum(x)))
+            error, spread = bit - p, p * (1 - p)
+            for n, (i, j) in enumerate(SUMS):
+                sums[n] += np.bincount(gate, error * x[i] if j is None else spread * x[i] * x[j], GATES)
+        met = np.flatnonzero(sums.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), *(pa.array(row[met]) for row in sums)], ["gate", *names])
+
+    names = [f"s{n}" for n in range(len(SUMS))]
+    summed = docs.select("text").mapInArrow(add, "gate int, " + ", ".join(f"{c} double" for c in names))
+    return summed.groupBy("gate").agg(*[F.sum(c).alias(c) for c in names])
+
+
+def learned_weights(sums: DataFrame) -> np.ndarray:
+    """Start weights per gate: a Newton step from the common start, held near it where little was seen."""
+    weights = np.full((GATES, ORDERS), START_WEIGHT, np.float32)
+    for r in sums.collect():
+        slope, bend = np.zeros(ORDERS), np.eye(ORDERS)
+        for (i, j), s in zip(SUMS, r[1:]):
+            if j is None:
+                slope[i] = s
+            else:
+                bend[i, j] = bend[j, i] = s + (i == j)
+        step = np.linalg.solve(bend, slope)
+        weights[r["gate"]] += step / max(1.0, float(np.abs(step).max()) / MOST_STEP)
+    return weights
+
+
+def mixed_log2(symbols: np.ndarray, starts: np.ndarray, logit: np.ndarray, sure: np.ndarray, hash_bits: int = 16,
+               weights: np.ndarray | None = None) -> np.ndarray:
+    """log2 of the probability of each text's decisions, texts laid end to end; ``weights`` are those of the gates at a text's start."""
     lengths = np.diff(np.append(starts, symbols.size))
-    place = (np.arange(symbols.size) - np.repeat(starts, lengths)) // BLOCK
+    place = np.arange(symbols.size) - np.repeat(starts, lengths)
     order = np.argsort(place, kind="stable")
     token, depth, bit, slots = decisions(symbols, starts, hash_bits, slot_bits_of(logit.size), order)
-    inputs = logit[slots]
+    inputs = logit[slots.T]
     text = np.repeat(np.arange(starts.size), lengths)[order][token]
     gate = text * GATES + (depth.astype(np.int64) * 3 + sure[slots[1]]) * 3 + sure[slots[2]]
-    weights = np.full((ORDERS, starts.size * GATES), START_WEIGHT, np.float32)
+    weights = np.tile(np.full((GATES, ORDERS), START_WEIGHT, np.float32) if weights is None else weights, (starts.size, 1))
     total = np.empty(bit.size, np.float32)
-    bounds = np.searchsorted(place[order][token], np.arange(int(place.max()) + 2))
+    firsts = np.searchsorted(token, np.arange(symbols.size + 1))
+    bounds = firsts[np.searchsorted(place[order], np.arange(int(place.max()) + 2))].tolist()
+    signs, rate = bit.astype(np.float32), np.float32(RATE)
     for lo, hi in zip(bounds[:-1], bounds[1:]):
-        x, g = inputs[:, lo:hi], gate[lo:hi]
-        z = sum(weights[k][g] * x[k] for k in range(ORDERS))
+        # one token of every text: no two of its decisions share a gate
+        x, g = inputs[lo:hi], gate[lo:hi]
+        w = weights[g]
+        z = np.einsum("ij,ij->i", w, x)
         total[lo:hi] = z
         if hi < bit.size:
-            step = np.float32(RATE) * (bit[lo:hi] - 1 / (1 + np.exp(-np.clip(z, -30, 30))))
-            for k in range(ORDERS):
-                np.add.at(weights[k], g, step * x[k])
+            error = rate * (signs[lo:hi] - 1 / (1 + np.exp(np.minimum(-z, 30))))
+            weights[g] = w + error[:, None] * x
     signed = np.where(bit, -total, total).astype(np.float64)
     return -np.bincount(text, np.logaddexp(0.0, signed), starts.size) / np.log(2)
 
 
-def score_rows(docs: DataFrame, ranks, codes, tables, known_log, share_log, hash_bits: int) -> DataFrame:
+def score_rows(docs: DataFrame, ranks, codes, tables, known_log, share_log, hash_bits: int, weights) -> DataFrame:
     """Everything a task can say of its documents, and their rarer tokens with counts."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, log_of, share_of = coder(ranks, codes), known_log.value, share_log.value
@@ -284,7 +335,7 @@ def score_rows(docs: DataFrame, ranks, codes, tables, known_log, share_log, hash
             at = 0
             while at < batch.num_rows:
                 parts, starts, out, first, n = [], [], [], at, 0
-                while at < batch.num_rows and n < GROUP_TOKENS:
+                while at < batch.num_rows and n < GROUP_TOKENS and len(starts) < GROUP_TEXTS:
                     raw = texts[by_size[at]].as_py() or b""
                     words = raw.lower().split()
                     words.append(b"")
@@ -298,7 +349,7 @@ def score_rows(docs: DataFrame, ranks, codes, tables, known_log, share_log, hash
                                 list(rare.keys()), list(rare.values())))
                     row_id += 1
                     at += 1
-                bits = mixed_log2(np.concatenate(parts), np.asarray(starts, np.int64), logit, sure, hash_bits)
+                bits = mixed_log2(np.concatenate(parts), np.asarray(starts, np.int64), logit, sure, hash_bits, weights.value)
                 columns = list(zip(*out))
                 types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays(
@@ -350,9 +401,10 @@ def score(docs: DataFrame) -> DataFrame:
     known_log = sc.broadcast(np.log10(n_of + 1))
     share_log = sc.broadcast(np.where(np.arange(len(top)) < SYMBOLS, 0.0, np.log10((n_of + 1) / mass)))
     tables = sc.broadcast(slot_table(stored(slot_counts(training, ranks, codes, hash_bits, slot_bits), "slots"), slot_bits))
+    weights = sc.broadcast(learned_weights(gate_sums(training, ranks, codes, tables, hash_bits, slot_bits)))
     base_log = log10(total + distinct + 1)
 
-    rows = stored(score_rows(docs, ranks, codes, tables, known_log, share_log, hash_bits), "scored-rows")
+    rows = stored(score_rows(docs, ranks, codes, tables, known_log, share_log, hash_bits, weights), "scored-rows")
     rare = rows.select("row_id", F.explode(F.arrays_zip("rare", "rare_n")).alias("r"))
     rare = rare.select("row_id", F.col("r.rare").cast("string").alias("token"), F.col("r.rare_n").alias("tf"))
     own = F.coalesce(F.get(F.filter("members", lambda m: m["token"] == F.col("token")), F.lit(0))["n"], F.lit(0))

@@ -283,6 +283,34 @@ def test_refining_weights_helps_on_a_regular_text(monkeypatch):
     assert refined > mixlm.mixed_log2(text, np.array([0]), logit, sure)[0]
 
 
+def test_weights_are_refined_after_every_token():
+    rng = np.random.default_rng(8)
+    logit, sure = rng.normal(0, 2, mixlm.SLOTS).astype(np.float32), rng.integers(0, 3, mixlm.SLOTS).astype(np.uint8)
+    text = rng.integers(0, 6, 40)
+    _, depth, bit, slots = mixlm.decisions(text, np.array([0]), 16, mixlm.SLOT_BITS)
+    token = mixlm.decisions(text, np.array([0]), 16, mixlm.SLOT_BITS)[0]
+    weights, want = np.full((mixlm.GATES, 3), mixlm.START_WEIGHT), 0.0
+    for n in range(bit.size):
+        gate, x = (int(depth[n]) * 3 + sure[slots[1, n]]) * 3 + sure[slots[2, n]], logit[slots[:, n]]
+        z = float(weights[gate] @ x)
+        want -= np.log2(1 + np.exp(-z if bit[n] else z))
+        weights[gate] += mixlm.RATE * (bit[n] - 1 / (1 + np.exp(-z))) * x
+    assert token[-1] == 39 and mixlm.mixed_log2(text, np.array([0]), logit, sure)[0] == pytest.approx(want, abs=1e-3)
+
+
+def test_start_weights_are_learned_from_all_training_documents(spark):
+    docs = spark.createDataFrame([(i, f"a b w{i % 7} a b c{i}") for i in range(300)], "doc_id bigint, text string")
+    tops = [("a", 600), ("b", 600), ("", 300), *((f"w{i}", 43) for i in range(7))]
+    ranks, codes = (spark.sparkContext.broadcast(v) for v in (
+        {t.encode(): i for i, (t, _) in enumerate(tops)}, np.array([*range(1, len(tops) + 1), 0], np.int64)))
+    table = mixlm.slot_table(mixlm.slot_counts(docs, ranks, codes, 8, mixlm.SLOT_BITS), mixlm.SLOT_BITS)
+    assert table[:, 0].tolist() == [300, 1800]
+    tables = spark.sparkContext.broadcast(table)
+    found = [mixlm.learned_weights(mixlm.gate_sums(docs.repartition(n), ranks, codes, tables, 8, mixlm.SLOT_BITS)) for n in (1, 5)]
+    assert found[0] == pytest.approx(found[1], abs=1e-5) and (found[0] != np.float32(mixlm.START_WEIGHT)).any()
+    assert (found[0][9 * (mixlm.BITS + 9):] == np.float32(mixlm.START_WEIGHT)).all()
+
+
 @needs_tables
 def test_model_beats_single_words_on_held_out_documents(spark):
     got = queries.QUERIES["op10_language_model"](spark, SF).where("held_out")
