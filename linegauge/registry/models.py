@@ -70,8 +70,8 @@ SELECT doc_id, CAST(coalesce(v.code, -1) AS DOUBLE) AS text_code FROM documents
 def encode_long_categories(spark, sf):
     """Whole texts as categories, known from the labelled documents; texts of other documents only are unseen."""
     docs = table(spark, sf, "documents")
-    known = features.categories(docs.join(table(spark, sf, "labels"), "doc_id"), ["text"])
-    return features.with_ordinals(docs.select("doc_id", "text"), known).select("doc_id", "text_code")
+    known = features.category_codes(docs.join(table(spark, sf, "labels"), "doc_id"), ["text"])
+    return features.with_codes(docs.select("doc_id", "text"), known, ["text"]).select("doc_id", "text_code")
 
 
 @query("column_audit", "M4", f"""

@@ -121,6 +121,17 @@ def test_encoders_handle_unseen(spark):
     assert roles == {"c": "target", "x": "non_predictive", "gone": "leakage"}
 
 
+def test_vocabulary_tables_give_the_codes_of_vocabularies(spark, monkeypatch):
+    known = spark.createDataFrame([(f"v{i * 37 % 501}", i % 3) for i in range(900)] + [(None, None), ("", 7), ("é" * 500, 1)], "c string, d int")
+    rows = known.unionByName(spark.createDataFrame([("new", 99)], "c string, d int"))
+    want = sorted(tuple(r) for r in features.with_ordinals(rows, features.categories(known, ["c", "d"])).fillna("none").fillna(-9).collect())
+    monkeypatch.setattr(features, "categories", None)
+    monkeypatch.setattr(features, "StringIndexerModel", None)
+    got = features.with_codes(rows, features.category_codes(known, ["c", "d"]), ["c", "d"])
+    assert sorted(tuple(r) for r in got.fillna("none").fillna(-9).collect()) == want
+
+
+
 # -- training and attribution -------------------------------------------------------
 
 SPACE = {
