@@ -41,6 +41,8 @@ NOTICES = {
     "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
 }
 PAIR = 2
+#: Template places in one bit mask; longer templates have several.
+MASK = 64
 #: Diagonals of one template that differ by at most this many words belong to one span.
 SLACK = 2
 #: Share of a notice's pairs a span must have.
@@ -65,15 +67,15 @@ def pairs(items: Column) -> Column:
 
 
 def votes(docs: DataFrame, table: DataFrame) -> DataFrame:
-    """doc_key, template, diagonal, number of distinct template places that voted."""
+    """doc_key, template, diagonal, word, places: a bit per template place that voted, ``MASK`` places to a word."""
     places = table.select("template", F.posexplode(pairs(F.split("text", " "))).alias("at", "pair"))
     places = places.select("template", "at", F.col("pair").alias("_pair"), F.xxhash64("pair").alias("hash"))
     # the templates are constants of this module or of the caller's code, a few hundred rows
     listed = docs.select(row_key().alias("doc_key"), let(words(F.col("text")), pairs).alias("all"))
     matched = (listed.select("doc_key", F.posexplode("all").alias("pos", "pair")).withColumn("hash", F.xxhash64("pair")).join(F.broadcast(places), "hash").where("pair = _pair"))
     # repeated rows share a key: a bit per template place counts each place once
-    return (matched.groupBy("doc_key", "template", (F.col("pos") - F.col("at")).alias("diagonal"))
-            .agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("places")))
+    return (matched.groupBy("doc_key", "template", (F.col("pos") - F.col("at")).alias("diagonal"), F.floor(F.col("at") / MASK).alias("word"))
+            .agg(F.bit_or(F.expr(f"shiftleft(1L, at % {MASK})")).alias("places")))
 
 
 def spans(voted: DataFrame, table: DataFrame) -> DataFrame:
@@ -82,15 +84,16 @@ def spans(voted: DataFrame, table: DataFrame) -> DataFrame:
     A phrase's span is one diagonal with all its pairs, which cannot be shared between diagonals.
     """
     known = voted.join(F.broadcast(table.drop("text")), "template")
-    whole = F.expr("shiftleft(1L, pairs) - 1")
-    phrases = known.where(F.col("is_phrase") & (F.col("places") == whole)).select(
-        "doc_key", "template", "label", "is_phrase", F.col("diagonal").alias("start"), F.lit(1.0).alias("cover"))
-    order = W.partitionBy("doc_key", "template").orderBy("diagonal")
+    voters = F.sum(F.bit_count("places"))
+    phrases = (known.where("is_phrase").groupBy("doc_key", "template", "label", "is_phrase", "pairs", "diagonal").agg(voters.alias("n"))
+               .where("n = pairs").select("doc_key", "template", "label", "is_phrase", F.col("diagonal").alias("start"), F.lit(1.0).alias("cover")))
+    order = W.partitionBy("doc_key", "template").orderBy("diagonal", "word")
     breaks = F.when(F.col("diagonal") - F.lag("diagonal").over(order) <= SLACK, 0).otherwise(1)
     merged = (known.where("NOT is_phrase").withColumn("breaks", breaks)
               .withColumn("span", F.sum("breaks").over(order.rowsBetween(W.unboundedPreceding, 0)))
-              .groupBy("doc_key", "template", "label", "is_phrase", "pairs", "span")
-              .agg(F.min("diagonal").alias("start"), F.bit_count(F.bit_or("places")).alias("n")))
+              .groupBy("doc_key", "template", "label", "is_phrase", "pairs", "span", "word")
+              .agg(F.min("diagonal").alias("start"), F.bit_or("places").alias("places"))
+              .groupBy("doc_key", "template", "label", "is_phrase", "pairs", "span").agg(F.min("start").alias("start"), voters.alias("n")))
     notices = merged.select("doc_key", "template", "label", "is_phrase", "start", (F.col("n") / F.col("pairs")).alias("cover"))
     return phrases.unionByName(notices)
 

@@ -174,3 +174,14 @@ def test_native_operators_run_no_python(spark, odd, tmp_path):
     for df in frames:
         plan = df._jdf.queryExecution().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct"))
+
+
+def test_long_license_texts_are_templates(spark):
+    body = " ".join(f"term{i}" for i in range(150))
+    words = body.split()
+    torn = " ".join(w for i, w in enumerate(words) if i not in (40, 100))
+    docs = spark.createDataFrame([(1, "so " + body), (2, torn), (3, " ".join(words[:70])), (4, " ".join(words[:129]))], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in licenses.scan(docs, {body: "phrase"}, {body: "notice"}).collect()}
+    assert (got[1].n_base, got[1].first_word, got[1].labels, got[1].score) == (1, 1, "notice,phrase", 1.0)
+    assert [(got[i].n_base, got[i].labels) for i in (2, 3, 4)] == [(0, "notice"), (0, ""), (0, "notice")]
+    assert [round(got[i].score * 149) for i in (2, 3, 4)] == [145, 69, 128]
