@@ -3,7 +3,8 @@
 Every task writes one gzip archive to the shared folder, a record at a time. Archives are read back
 as rows (archive, record, chunk number, data) of at most ``CHUNK`` payload bytes: a payload of any
 size passes through in chunks, each with its payload's SHA-256 up to there, so the last chunk has
-the digest of the whole and no task holds a record. Headers are small and travel with chunk 0.
+the digest of the whole and no reading task holds a record. Headers are small and travel with chunk 0.
+Chunks serve the reading side only: hashing and writing hold whole payloads, in batches of whole rows.
 
 Records with equal payloads of at least ``MIN_REVISIT`` bytes are stored once: the one with the
 smallest page id is a response, the others revisit it (rows that share this id are all responses).
