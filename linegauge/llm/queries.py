@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linegauge.llm import decontaminate, licenses, mixing, mixlm, quality, secrets, sharding, simhash, urlfilter, warc
+from linegauge.llm import (centroids, decontaminate, licenses, mixing, mixlm, periodic, pii, quality, secrets, sharding, simhash, urlfilter,
+                           warc)
 from linegauge.llm.common import documents
 from linegauge.session import scratch_path
 
@@ -190,3 +191,60 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_language_model")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return mixlm.score(documents(spark, sf))
+
+
+@query("op11_personal_data")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.extract(documents(spark, sf))
+    base = F.col("base")
+    return found.select("doc_id", *[pii.count_kind(base, k).alias(f"n_{k}") for k in pii.STRICT],
+                        F.sha2(pii.span_text(base).cast("binary"), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
+
+
+def _op12_rounds() -> str:
+    """Assignment a<n> and centroids c<n + 1> of every round."""
+    out = []
+    for n in range(centroids.ROUNDS + 1):
+        out.append(f"""a{n} AS MATERIALIZED (
+    SELECT r, min(CAST(list_inner_product(v.f, v.f) - 2 * list_inner_product(v.f, c.f) + list_inner_product(c.f, c.f) AS BIGINT)
+                  * {centroids.CLUSTERS} + c.c) AS best FROM v, c{n} c GROUP BY r)""")
+        if n < centroids.ROUNDS:
+            out.append(f"""s{n} AS (
+    SELECT c, d, count(*) AS n, CAST(sum(CAST(f[d] AS BIGINT)) AS BIGINT) AS s
+    FROM (SELECT best % {centroids.CLUSTERS} AS c, f, unnest(range(1, {centroids.DIMENSIONS + 1})) AS d FROM a{n} JOIN v USING (r)) GROUP BY c, d),
+c{n + 1} AS MATERIALIZED (
+    SELECT c{n}.c, coalesce(m.f, c{n}.f) AS f
+    FROM c{n} LEFT JOIN (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY d) AS f FROM s{n} GROUP BY c) m ON m.c = c{n}.c)""")
+    return ",\n".join(out)
+
+
+OP12_SQL = f"""
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({centroids.SCALE} * CAST(x AS DOUBLE))) AS f
+    FROM embeddings WHERE len(embedding) = {centroids.DIMENSIONS}
+         AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {centroids.DIMENSIONS}),
+c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY h, f) - 1 AS c, f
+    FROM (SELECT sha256('{centroids.SEED}:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, f FROM v ORDER BY h, f LIMIT {centroids.CLUSTERS})),
+{_op12_rounds()},
+d AS (SELECT vec_id, best % {centroids.CLUSTERS} AS c, best // {centroids.CLUSTERS} AS distance FROM a{centroids.ROUNDS} JOIN v USING (r))
+SELECT vec_id, CAST(d.c AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY d.c) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(e.f, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM d JOIN c{centroids.ROUNDS} e ON e.c = d.c
+"""
+
+
+@query("op12_centroid_clusters", OP12_SQL)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return centroids.with_centroid_digests(*centroids.cluster(documents(spark, sf, "embeddings")))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    found = periodic.periodic_runs(documents(spark, sf), repeat_tails=True)
+    line = lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "start", "length", "period",
+                        F.expr("(1000 * length) div period").alias("exponent_milli"),
+                        digest(F.array_join(F.transform("runs", line), "")).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"))
