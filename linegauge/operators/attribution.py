@@ -2,7 +2,7 @@
 
 Linear: coefficient times distance from the mean. Trees: path-dependent Shapley values per
 leaf, vectorised over the rows of an Arrow batch; the flattened ensemble travels to the
-tasks as a broadcast variable of bounded size (leaves x depth).
+tasks as a broadcast variable whose size depends on the model (leaves x depth), not on the data.
 """
 
 from __future__ import annotations
@@ -19,14 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linegauge.functions.nested import driver, top_drivers
-
+from linegauge.operators.trees import TreeScorer
 
 # Numbers in one block of leaves x path x rows.
 BLOCK_CELLS = 1 << 20
 
 
 def input_names(model: PipelineModel, df: DataFrame) -> list[str]:
-    """Name of every slot of the feature vector, from the vector's own attributes."""
+    """Name of every input of a tree model, or of every slot of a linear one's vector, by the vector's own attributes."""
+    if isinstance(model.stages[-1], TreeScorer):
+        return model.stages[-1].getInputCols()
     meta = model.transform(df.limit(0)).schema["features"].metadata["ml_attr"]
     slots = {a["idx"]: a["name"] for group in meta["attrs"].values() for a in group}
     assembled = [c for c in model.stages[-2].getInputCols()]
@@ -41,81 +43,49 @@ def plain_name(slot: str, originals: Sequence[str]) -> str:
 
 # -- trees ---------------------------------------------------------------------
 
-def leaf_rules(tree, weight: float) -> list[tuple[float, dict]]:
-    """Leaves as (value, {feature: [lower, upper, share]}) from a fitted Spark tree.
+Leaf = tuple[float, dict]  # value, {input: (lower, upper, missing, share)}
 
-    ``share`` is the product of the cover shares of the splits on that feature along the
-    path: the probability of following them when the feature is unknown.
-    """
-    def cover(node) -> float:
-        return float(node.impurityStats().count())
-
-    def walk(node, rules):
-        if node.subtreeDepth() == 0:
-            yield weight * leaf_value(node), rules
-            return
-        split, here = node.split(), cover(node)
-        feature, cut = int(split.featureIndex()), float(split.threshold())
-        for child, low, high in ((node.leftChild(), -np.inf, cut), (node.rightChild(), cut, np.inf)):
-            a, b, z = rules.get(feature, (-np.inf, np.inf, 1.0))
-            share = cover(child) / here if here > 0 else 0.0
-            yield from walk(child, {**rules, feature: (max(a, low), min(b, high), z * share)})
-
-    def leaf_value(node) -> float:
-        stats = list(node.impurityStats().stats())
-        if is_classifier:
-            return float(stats[1] / sum(stats)) if sum(stats) > 0 else 0.0
-        return float(node.prediction())
-
-    is_classifier = "Classification" in tree._java_obj.getClass().getSimpleName()
-    return list(walk(tree._java_obj.rootNode(), {}))
-
-
-def ensemble_rules(model) -> list[tuple[float, dict]]:
-    """All leaves of an ensemble on its additive scale.
-
-    Random forest: mean of the tree probabilities. Boosted trees: log-odds (twice the
-    weighted sum of the trees).
-    """
-    boosted = type(model).__name__.startswith("GBT")
-    weights = [2.0 * w for w in model.treeWeights] if boosted else [1.0 / model.getNumTrees] * model.getNumTrees
-    return [leaf for tree, w in zip(model.trees, weights) for leaf in leaf_rules(tree, w)]
+
+def ensemble_rules(model: TreeScorer) -> list[Leaf]:
+    """All leaves of a stored ensemble on its additive scale: log-odds of boosted trees, probability of forests."""
+    return list(model.node_arrays().leaves())
 
 
-def leaf_groups(rules: Sequence[tuple[float, dict]]) -> list[tuple[np.ndarray, ...]]:
-    """Leaves by path length: values and (leaf x path) arrays of features, bounds and shares."""
+def leaf_groups(rules: Sequence[Leaf]) -> list[tuple[np.ndarray, ...]]:
+    """Leaves by path length: values and (leaf x path) arrays of inputs, bounds, missing and shares."""
     by_length: dict[int, list] = {}
     for value, path in rules:
         if path and value != 0.0:
             by_length.setdefault(len(path), []).append((value, list(path.items())))
     groups = []
     for leaves in by_length.values():
-        column = lambda k: np.array([[p[1][k] for p in path] for _, path in leaves], float)
-        features = np.array([[p[0] for p in path] for _, path in leaves], int)
-        groups.append((np.array([v for v, _ in leaves]), features, column(0), column(1), column(2)))
+        column = lambda k, kind=float: np.array([[p[1][k] for p in path] for _, path in leaves], kind)
+        inputs = np.array([[p[0] for p in path] for _, path in leaves], int)
+        groups.append((np.array([v for v, _ in leaves]), inputs, column(0), column(1), column(2, bool), column(3)))
     return groups
 
 
-def leaf_contributions(x: np.ndarray, rules: Sequence[tuple[float, dict]]) -> np.ndarray:
-    """Shapley values (rows x features) summed over leaves.
+def leaf_contributions(x: np.ndarray, rules: Sequence[Leaf]) -> np.ndarray:
+    """Shapley values (rows x inputs; NaN is missing) summed over leaves.
 
-    A leaf pays its value when every feature on its path is either known and inside its
-    interval, or unknown with probability ``share``. For a feature i the weighted sum over
-    subsets of the other path features is a polynomial in the subset size, built up one
-    feature at a time. All leaves of one path length are worked through together, a block of
+    A leaf pays its value when every input on its path is either known and on the leaf's side of its
+    splits, or unknown with probability ``share``. For an input i the weighted sum over
+    subsets of the other path inputs is a polynomial in the subset size, built up one
+    input at a time. All leaves of one path length are worked through together, a block of
     them at a time so that the arrays stay small.
     """
     n, width = x.shape
     out = np.zeros((width, n))
-    for values, features, low, high, share in leaf_groups(rules):
-        d = features.shape[1]
+    for values, inputs, low, high, missing, share in leaf_groups(rules):
+        d = inputs.shape[1]
         weights = [factorial(k) * factorial(d - k - 1) / factorial(d) for k in range(d)]
         block = max(1, BLOCK_CELLS // (n * d))
         for at in range(0, values.size, block):
             part = slice(at, at + block)
-            f, z = features[part], share[part, :, None]
+            f, z = inputs[part], share[part, :, None]
             cells = x.T[f]
-            inside = ((cells > low[part, :, None]) & (cells <= high[part, :, None])).astype(float)
+            within = (cells > low[part, :, None]) & (cells <= high[part, :, None])
+            inside = np.where(np.isnan(cells), missing[part, :, None], within).astype(float)
             for i in range(d):
                 poly = np.zeros((d, f.shape[0], n))
                 poly[0] = 1.0
@@ -157,15 +127,17 @@ def attribute(scored: DataFrame, model: PipelineModel, key: str, period: str | N
     rules = scored.sparkSession.sparkContext.broadcast(ensemble_rules(last))
 
     @F.pandas_udf("array<double>")
-    def contributions(xs: pd.Series) -> pd.Series:
-        return pd.Series(list(leaf_contributions(np.stack(xs.to_numpy()), rules.value))) if len(xs) else xs
+    def contributions(*inputs: pd.Series) -> pd.Series:
+        x = np.column_stack([s.to_numpy(float, na_value=np.nan) for s in inputs])
+        return pd.Series(list(leaf_contributions(x, rules.value))) if len(x) else pd.Series([], dtype=object)
 
-    return scored.withColumn("contributions", contributions(vector_to_array("features")))
+    inputs = [F.col(c).cast("double") for c in last.getInputCols()]
+    return scored.withColumn("features", F.array(*inputs)).withColumn("contributions", contributions(*inputs))
 
 
 def with_drivers(attributed: DataFrame, names: Sequence[str], k: int = 3) -> DataFrame:
     """Top-k drivers and the flat columns of the first one."""
-    x = vector_to_array("features")
+    x = F.col("features") if attributed.schema["features"].dataType.typeName() == "array" else vector_to_array("features")
     entries = F.array(*[driver(n, F.get("_x", F.lit(i)), F.get("contributions", F.lit(i)))
                         for i, n in enumerate(names)])
     out = attributed.withColumn("_x", x).withColumn("drivers", top_drivers(entries, k)).drop("_x", "contributions")

@@ -7,6 +7,7 @@ All features and periods are measured in one plan over value counts: rows are me
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,15 +43,65 @@ def melt_numbers(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -
 def side_counts(reference: DataFrame, current: DataFrame, period: str, periods: Sequence[str]) -> DataFrame:
     """(feature, value, n_ref, n_0, n_1, ...): rows of the reference and of every period per value.
 
-    One shuffle for all periods; the reference is counted once, whatever their number.
+    One shuffle for all periods; the reference is counted once, whatever their number, or comes
+    counted, with its rows per value in ``n``.
     """
-    both = reference.select("feature", "value", F.lit(None).cast("string").alias("_p")).unionByName(
-        current.select("feature", "value", F.col(period).cast("string").alias("_p")))
+    own = F.col("n") if "n" in reference.columns else F.lit(1).cast("bigint")
+    both = reference.select("feature", "value", F.lit(None).cast("string").alias("_p"), own.alias("_n")).unionByName(
+        current.select("feature", "value", F.col(period).cast("string").alias("_p"), F.lit(1).cast("bigint").alias("_n")))
     return both.groupBy("feature", "value").agg(
-        F.count_if(F.col("_p").isNull()).alias("n_ref"),
+        F.sum(F.when(F.col("_p").isNull(), F.col("_n")).otherwise(0)).alias("n_ref"),
         *[F.count_if(F.col("_p") == p).alias(f"n_{i}") for i, p in enumerate(periods)])
 
 
+# -- counted references ----------------------------------------------------------
+
+PROFILE = "feature string, text string, number double, n long"
+
+
+def value_counts(df: DataFrame, categorical: Sequence[str], numbers: Sequence[str]) -> DataFrame:
+    """(feature, text, number, n): how often every value of every feature occurs, a mergeable profile of ``df``.
+
+    One scan and one shuffle of counts; a value that fills a third of the rows is one row per task.
+    """
+    parts = []
+    if categorical:
+        parts.append(melt_text(df, categorical).select("feature", F.col("value").alias("text"), F.lit(None).cast("double").alias("number")))
+    if numbers:
+        parts.append(melt_numbers(df, numbers).select("feature", F.lit(None).cast("string").alias("text"), F.col("value").alias("number")))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return rows.groupBy("feature", "text", "number").agg(F.count("*").alias("n"))
+
+
+def merged_counts(*profiles: DataFrame) -> DataFrame:
+    """The profile of all rows that any of the profiles counted."""
+    both = reduce(lambda a, b: a.unionByName(b), profiles)
+    return both.groupBy("feature", "text", "number").agg(F.sum("n").alias("n"))
+
+
+def profile_texts(profile: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return profile.where(F.col("text").isNotNull() & F.col("feature").isin(list(cols))).select("feature", F.col("text").alias("value"), "n")
+
+
+def profile_numbers(profile: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return profile.where(F.col("number").isNotNull() & F.col("feature").isin(list(cols))).select("feature", F.col("number").alias("value"), "n")
+
+
+def profile_mean(profile: DataFrame, feature: str) -> Column:
+    """Mean of a number of the profile, as a scalar subquery."""
+    rows = profile_numbers(profile, [feature])
+    return rows.agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("v")).scalar()
+
+
+def _deviations(ref: DataFrame) -> DataFrame:
+    """(feature, _d): population standard deviation about the mean, of rows or of counted values."""
+    if "n" not in ref.columns:
+        return ref.groupBy("feature").agg(F.stddev_pop("value").alias("_d"))
+    means = ref.groupBy("feature").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("_mean"))  # one row per feature
+    off = F.col("value") - F.col("_mean")
+    return ref.join(means, "feature").groupBy("feature").agg(F.sqrt(F.sum(off * off * F.col("n")) / F.sum("n")).alias("_d"))
+
+
 def _js(i: int) -> Column:
     """Jensen-Shannon distance (square root, natural log) from counts and totals, as an aggregate.
 
@@ -73,7 +124,12 @@ def _by_period(wide: DataFrame, periods: Sequence[str], period: str, **cols: str
 def text_distances(reference: DataFrame, current: DataFrame, cols: Sequence[str], period: str,
                    periods: Sequence[str]) -> DataFrame:
     """Jensen-Shannon distance of categorical columns: (feature, period, js)."""
-    counts = side_counts(melt_text(reference, cols), melt_text(current, cols, [period]), period, periods)
+    return text_count_distances(melt_text(reference, cols), melt_text(current, cols, [period]), period, periods)
+
+
+def text_count_distances(ref: DataFrame, cur: DataFrame, period: str, periods: Sequence[str]) -> DataFrame:
+    """The same of melted features; the reference may come counted."""
+    counts = side_counts(ref, cur, period, periods)
     sides = ["n_ref", *[f"n_{i}" for i in range(len(periods))]]
     totals = counts.groupBy("feature").agg(*[F.sum(n).alias(f"{n}_total") for n in sides])  # one row per feature
     wide = counts.join(totals, "feature").groupBy("feature").agg(
@@ -91,7 +147,7 @@ def number_distances(ref: DataFrame, cur: DataFrame, period: str, periods: Seque
     without rows gives null.
     """
     ranges = fan_out(ref.sparkSession)
-    cuts, _ = split_points(ref.select("value").unionByName(cur.select("value")), "value", ranges)
+    cuts = split_points(ref.select("value").unionByName(cur.select("value")), "value", ranges)
     sides = ["n_ref", *[f"n_{i}" for i in range(len(periods))]]
     run = running_sums(side_counts(ref, cur, period, periods), ["feature"], "value", sides, ranges, cuts)
     cdf = lambda n: F.try_divide(f"{n}_upto", f"{n}_total")
@@ -100,8 +156,7 @@ def number_distances(ref: DataFrame, cur: DataFrame, period: str, periods: Seque
         *[_js(i).alias(f"js_{i}") for i in range(len(periods))],
         *[F.sum(F.abs(cdf("n_ref") - cdf(f"n_{i}")) * step).alias(f"_w_{i}") for i in range(len(periods))],
         F.count_if(F.col("n_ref") > 0).alias("n_ref_values"))
-    deviations = ref.groupBy("feature").agg(F.stddev_pop("value").alias("_d"))  # one row per feature
-    wide = sums.join(deviations, "feature", "left").withColumn("_d", F.greatest("_d", F.lit(0.001)))
+    wide = sums.join(_deviations(ref), "feature", "left").withColumn("_d", F.greatest("_d", F.lit(0.001)))
     wide = wide.select("*", *[(F.col(f"_w_{i}") / F.col("_d")).alias(f"w_{i}") for i in range(len(periods))])
     return _by_period(wide, periods, period, js="js", w="w")
 
@@ -126,17 +181,32 @@ def feature_scores(reference: DataFrame, current: DataFrame, period: str, period
     Melted numbers of other frames (such as published scores) may ride along in the extras,
     so that they share the passes and the shuffle.
     """
+    ref_numbers = melt_numbers(reference, numbers)
+    return _scores(melt_text(reference, categorical) if categorical else None,
+                   ref_numbers if ref_extra is None else ref_numbers.unionByName(ref_extra),
+                   current, period, periods, categorical, numbers, cur_extra)
+
+
+def profile_scores(profile: DataFrame, current: DataFrame, period: str, periods: Sequence[str], categorical: Sequence[str],
+                   numbers: Sequence[str], cur_extra: DataFrame | None = None, extra: Sequence[str] = ()) -> DataFrame:
+    """``feature_scores`` against a counted reference; ``extra`` names its numbers that ``cur_extra`` holds."""
+    return _scores(profile_texts(profile, categorical), profile_numbers(profile, [*numbers, *extra]), current, period, periods, categorical,
+                   numbers, cur_extra)
+
+
+def _scores(ref_texts: DataFrame | None, ref_numbers: DataFrame, current: DataFrame, period: str, periods: Sequence[str],
+            categorical: Sequence[str], numbers: Sequence[str], cur_extra: DataFrame | None) -> DataFrame:
     by_js, by_w = F.lit("Jensen-Shannon distance"), F.lit("Wasserstein distance (normed)")
     parts = []
     if categorical:
-        parts.append(text_distances(reference, current, categorical, period, periods).select(
+        parts.append(text_count_distances(ref_texts, melt_text(current, categorical, [period]), period, periods).select(
             period, "feature", F.col("js").alias("score"), by_js.alias("test_method")))
-    ref, cur = melt_numbers(reference, numbers), melt_numbers(current, numbers, [period])
-    if ref_extra is not None:
-        ref, cur = ref.unionByName(ref_extra), cur.unionByName(cur_extra)
-    if numbers or ref_extra is not None:
+    cur = melt_numbers(current, numbers, [period])
+    if cur_extra is not None:
+        cur = cur.unionByName(cur_extra)
+    if numbers or cur_extra is not None:
         few = F.col("n_ref_values") <= FEW_VALUES
-        parts.append(number_distances(ref, cur, period, periods).select(
+        parts.append(number_distances(ref_numbers, cur, period, periods).select(
             period, "feature", F.when(few, F.col("js")).otherwise(F.col("w")).alias("score"),
             F.when(few, by_js).otherwise(by_w).alias("test_method")))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -151,7 +221,12 @@ def feature_drift(reference: DataFrame, current: DataFrame, period: str, periods
     Wasserstein distance unless the reference has only a few distinct values. The limit is
     compared with the unrounded score.
     """
-    scores = feature_scores(reference, current, period, periods, categorical, [*numeric, *interaction])
+    return drift_table(feature_scores(reference, current, period, periods, categorical, [*numeric, *interaction]), period, categorical,
+                       interaction, limit)
+
+
+def drift_table(scores: DataFrame, period: str, categorical: Sequence[str], interaction: Sequence[str] = (), limit: float = DRIFT_LIMIT) -> DataFrame:
+    """Scores of all features with their type and verdict."""
     return scores.select(
         period, "feature", _kind(categorical, interaction).alias("feature_type"),
         F.coalesce(F.col("score") >= limit, F.lit(False)).alias("drift_detected"), F.round("score", 4).alias("drift_score"), "test_method",

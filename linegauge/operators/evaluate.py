@@ -30,7 +30,7 @@ def score_counts(df: DataFrame, score: str, label: str, keys: Sequence[str] = ()
 def ranked_scores(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
     """Per distinct score: positives and negatives at, and at or above, the score, and totals."""
     ranges = fan_out(df.sparkSession) if ranges is None else ranges
-    cuts = split_points(df, score, ranges)[0] if ranges else None
+    cuts = split_points(df, score, ranges) if ranges else None
     run = running_sums(score_counts(df, score, label, keys), keys, "score", ["pos", "neg"], ranges, cuts)
     at_or_above = lambda m: (F.col(f"{m}_total") - F.col(f"{m}_upto") + F.col(m))
     return run.select(*keys, "score", "pos", "neg", "pos_total", "neg_total",
@@ -43,7 +43,7 @@ def metrics(df: DataFrame, score: str, label: str, threshold: float = 0.5, keys:
     """ROC-AUC, average precision, F1, precision, recall at a threshold; 0 where undefined."""
     r = ranked_scores(df, score, label, keys, ranges)
     area = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2)) / F.max(
-        F.nullif(F.col("pos_total") * F.col("neg_total"), F.lit(0)))
+        F.nullif(F.col("pos_total").cast("double") * F.col("neg_total"), F.lit(0.0)))  # no 64-bit product of two counts
     ap = F.sum(F.col("pos") / F.nullif("pos_total", F.lit(0)) * F.col("tp") / (F.col("tp") + F.col("fp")))
     above = F.col("score") >= threshold
     out = r.groupBy(*keys).agg(

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Pipeline
+from pyspark import keyword_only
+from pyspark.ml import Pipeline, Transformer
 from pyspark.ml.feature import (
-    OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler)
+    OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler)
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCols, HasOutputCols
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from linegauge.functions.exprs import bit
-from linegauge.session import cut_lineage, fan_out
+from linegauge.session import cut_lineage, fan_out, scratch_path
 
 # The feature contract.
 CATEGORICAL = ["machine_type", "machine_id", "shift_code", "operator_id", "complexity", "material_type", "supplier",
@@ -86,41 +90,7 @@ def column_audit(df: DataFrame, leakage: Sequence[str] = LEAKAGE, non_predictive
 
 # -- encoders ------------------------------------------------------------------
 
-def categories(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct values per column, on the driver: for columns of few values; ``category_codes`` has no bound."""
-    found = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
-    rows = found.where(F.col("value").isNotNull()).distinct().orderBy("column", "value")
-    values: dict[str, list[str]] = {c: [] for c in cols}
-    for r in rows.toLocalIterator(prefetchPartitions=True):
-        values[r["column"]].append(r["value"])
-    return values
-
-
-def code_stages(vocab: Mapping[str, Sequence[str]], suffix: str) -> list:
-    """Stages that give every column its place among the known values; unseen or missing is -1.
-
-    The values are looked up by hash. The indexer gives anything unseen a number past the last value.
-    """
-    known = {c: v for c, v in vocab.items() if v}
-    texts = [f"cast(`{c}` as string) AS `{c}{suffix}_text`" for c in known]
-    places = [f"if(`{c}{suffix}_place` >= {len(v)}, -1.0, `{c}{suffix}_place`) AS `{c}{suffix}`" for c, v in known.items()]
-    places += [f"cast(-1 as double) AS `{c}{suffix}`" for c in vocab if c not in known]
-    last = SQLTransformer(statement=f"SELECT *, {', '.join(places)} FROM __THIS__")
-    if not known:
-        return [last]
-    indexer = StringIndexerModel.from_arrays_of_labels(
-        list(known.values()), inputCols=[f"{c}{suffix}_text" for c in known],
-        outputCols=[f"{c}{suffix}_place" for c in known], handleInvalid="keep")
-    return [SQLTransformer(statement=f"SELECT *, {', '.join(texts)} FROM __THIS__"), indexer, last]
-
-
-def with_ordinals(df: DataFrame, vocab: Mapping[str, Sequence[str]], suffix: str = "_code") -> DataFrame:
-    out = df
-    for stage in code_stages(vocab, suffix):
-        out = stage.transform(out)
-    return out.select(*df.columns, *[f"{c}{suffix}" for c in vocab])
-
-
+VOCABULARY = "column string, hash bigint, value string, code double"
 #: Characters of a value that its range is told by.
 RANGE_CHARS = 128
 
@@ -128,7 +98,7 @@ RANGE_CHARS = 128
 def category_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, hash, value, code): the vocabulary as a table, for columns whose values have no known bound.
 
-    Codes are places in the order of the values, as in ``categories``. Values are dealt out by range of
+    Codes are places in the order of the values; nulls have none. Values are dealt out by range of
     themselves and numbered inside their part; only the number of values of each part is summed up.
     """
     found = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
@@ -147,7 +117,7 @@ def category_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def with_codes(df: DataFrame, codes: DataFrame, cols: Sequence[str], suffix: str = "_code") -> DataFrame:
-    """``with_ordinals`` by a vocabulary table: a left join per column; unseen or missing is -1."""
+    """Codes by a vocabulary table: a left join per column; unseen or missing is -1."""
     out = df
     for c in cols:
         own = codes.where(F.col("column") == c).select(F.col("hash").alias("_hash"), F.col("value").alias("_value"), F.col("code").alias("_code"))
@@ -157,13 +127,36 @@ def with_codes(df: DataFrame, codes: DataFrame, cols: Sequence[str], suffix: str
     return out
 
 
-def tree_stages(vocab: Mapping[str, Sequence[str]], numeric: Sequence[str], out: str = "features") -> list:
-    """Ordinal codes (unseen -1) and plain numbers in one vector, as persistable stages."""
-    codes = code_stages(vocab, "_code") if vocab else []
-    numbers = [f"cast(coalesce(`{c}`, 0) as double) AS `{c}_num`" for c in numeric]
-    plain = [SQLTransformer(statement=f"SELECT *, {', '.join(numbers)} FROM __THIS__")] if numbers else []
-    cols = [f"{c}_code" for c in vocab] + [f"{c}_num" for c in numeric]
-    return [*codes, *plain, VectorAssembler(inputCols=cols, outputCol=out)]
+class VocabularyEncoder(Transformer, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Codes of values by a stored vocabulary table (``category_codes``); unseen or missing is -1.
+
+    A persistable pipeline stage that holds the table's folder only. The table has one row per value, so a
+    value that fills many rows is the skewed side of a join with unique keys, which Spark splits; a
+    table under the session's threshold is broadcast by its measured size.
+    """
+
+    path = Param(Params._dummy(), "path", "folder of the vocabulary table", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, path=None, inputCols=None, outputCols=None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        columns = self.getInputCols()
+        if not columns:
+            return df
+        codes = df.sparkSession.read.schema(VOCABULARY).parquet(self.getOrDefault(self.path))
+        out = with_codes(df, codes, columns, "__code")
+        return out.withColumnsRenamed({f"{c}__code": o for c, o in zip(columns, self.getOutputCols())})
+
+
+def vocabulary_encoder(df: DataFrame, cols: Sequence[str], root: str | None = None) -> VocabularyEncoder:
+    """Store the values of ``df`` (below ``root`` or in the scratch folder) and encode by them."""
+    path = f"{root}/vocabulary" if root else scratch_path(df.sparkSession, "vocabulary")
+    if cols:
+        category_codes(df, cols).write.mode("overwrite").parquet(path)
+    return VocabularyEncoder(path=path, inputCols=list(cols), outputCols=[f"{c}_code" for c in cols])
 
 
 def linear_stages(categorical: Sequence[str], numeric: Sequence[str], out: str = "features") -> list:

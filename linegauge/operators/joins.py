@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -44,6 +45,19 @@ def orphan_sample(child: DataFrame, child_key: str, parent: DataFrame, parent_ke
     return orphans(child, child_key, parent, parent_key).orderBy(child_key).limit(n)
 
 
+def integrity_report(tables: Mapping[str, DataFrame], relations: Sequence[tuple[str, str, str, str]], n: int = 6) -> DataFrame:
+    """Per relation (child, key, parent, key): match rates, orphan keys and the first ``n`` of them."""
+    rows = []
+    for child, child_key, parent, parent_key in relations:
+        sides = tables[child], child_key, tables[parent], parent_key
+        first = orphan_sample(*sides, n=n).agg(F.array_join(F.transform(F.array_sort(F.collect_list(child_key)), lambda k: k.cast("string")), ",")
+                                               .alias("v"))
+        rows.append(key_match(*sides).select(
+            F.lit(f"{child}.{child_key} -> {parent}.{parent_key}").alias("relation"), "row_match_pct", "distinct_match_pct", "orphan_keys",
+            F.coalesce(first.scalar(), F.lit("")).alias("sample")))
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
 def in_segment(events: DataFrame, orders: DataFrame, key: str, segment: Column) -> DataFrame:
     """Events whose order belongs to a segment."""
     return events.join(orders.where(segment).select(key), key, "left_semi")

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linegauge.functions.exprs import flag, ratio_or_zero, reasons
-from linegauge.operators.drift import DRIFT_LIMIT, feature_scores, melt_numbers
+from linegauge.operators.drift import (
+    DRIFT_LIMIT, feature_scores, melt_numbers, merged_counts, profile_mean, profile_scores, value_counts)
 from linegauge.operators.evaluate import HIGH_RISK, MEDIUM_RISK
 
 # Limits of the retraining decision.
@@ -79,6 +80,9 @@ def target_drift(predicted: DataFrame, label: str, period: str, train_rate: Colu
         period, "train_defect_rate", "period_defect_rate", "target_rate_delta", "target_drift_detected")
 
 
+SCORE = "defect_probability"
+
+
 def monitoring_table(reference: DataFrame, validation_scores: DataFrame, current: DataFrame, predicted: DataFrame,
                      period: str, periods: Sequence[str], label: str, target: str, categorical: Sequence[str],
                      numeric: Sequence[str], interaction: Sequence[str] = ()) -> DataFrame:
@@ -87,16 +91,36 @@ def monitoring_table(reference: DataFrame, validation_scores: DataFrame, current
     The published scores are measured together with the numeric features, and everything
     about the predictions comes from one aggregate: two small results are joined.
     """
-    score = "defect_probability"
     scores = feature_scores(reference, current, period, periods, categorical, [*numeric, *interaction],
-                            melt_numbers(validation_scores, [score]), melt_numbers(predicted, [score], [period]))
-    is_score = F.col("feature") == score
+                            melt_numbers(validation_scores, [SCORE]), melt_numbers(predicted, [SCORE], [period]))
+    train_rate = reference.agg(F.avg(F.col(target).cast("double")).alias("v")).scalar()
+    ref_mean = validation_scores.agg(F.round(F.avg(SCORE), 4).alias("v")).scalar()
+    return _table(scores, predicted, period, label, train_rate, ref_mean)
+
+
+def frozen_reference(reference: DataFrame, validation_scores: DataFrame, target: str, categorical: Sequence[str],
+                     numeric: Sequence[str], interaction: Sequence[str] = ()) -> DataFrame:
+    """All that monitoring needs of the training rows and the validation scores, as one table of value counts."""
+    label = reference.select(F.col(target).cast("double").alias(target))
+    return merged_counts(value_counts(reference, categorical, [*numeric, *interaction]), value_counts(label, [], [target]),
+                         value_counts(validation_scores, [], [SCORE]))
+
+
+def monitoring_table_of(profile: DataFrame, current: DataFrame, predicted: DataFrame, period: str, periods: Sequence[str],
+                        label: str, target: str, categorical: Sequence[str], numeric: Sequence[str],
+                        interaction: Sequence[str] = ()) -> DataFrame:
+    """``monitoring_table`` against a frozen reference: neither training rows nor validation scores are read."""
+    scores = profile_scores(profile, current, period, periods, categorical, [*numeric, *interaction],
+                            melt_numbers(predicted, [SCORE], [period]), [SCORE])
+    return _table(scores, predicted, period, label, profile_mean(profile, target), F.round(profile_mean(profile, SCORE), 4))
+
+
+def _table(scores: DataFrame, predicted: DataFrame, period: str, label: str, train_rate: Column, ref_mean: Column) -> DataFrame:
+    is_score = F.col("feature") == SCORE
     distances = scores.groupBy(period).agg(
         F.count_if(~is_score).alias("n_features_monitored"),
         F.count_if(~is_score & (F.col("score") >= DRIFT_LIMIT)).alias("n_features_drifted"),
         F.max(F.when(is_score, F.col("score"))).alias("_s"))
-    train_rate = reference.agg(F.avg(F.col(target).cast("double")).alias("v")).scalar()
-    ref_mean = validation_scores.agg(F.round(F.avg(score), 4).alias("v")).scalar()
     table = outcomes(predicted, label, period, train_rate).join(distances, period).select(
         "*", F.round("_s", 4).alias("prediction_drift_score"), F.lit(DRIFT_LIMIT).alias("prediction_drift_threshold"),
         F.coalesce(F.col("_s") >= DRIFT_LIMIT, F.lit(False)).alias("prediction_drift_detected"), ref_mean.alias("ref_pred_mean")).drop("_s")

@@ -16,30 +16,40 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def split_points(df: DataFrame, col: str, ranges: int, measure: Column | None = None) -> tuple[list[float], int]:
-    """At most ranges - 1 ascending cut points at approximate quantiles of ``col``, and a count.
+#: Tasks whose value summaries are merged by one task.
+MERGED_TASKS = 64
 
-    One pass with partial aggregation and no shuffle of rows; only the cut points and the
-    optional ``measure`` of the same pass come to the driver.
+
+def split_points(df: DataFrame, col: str, ranges: int) -> list[float]:
+    """At most ranges - 1 ascending cut points at approximate quantiles of ``col``.
+
+    One pass: every task summarises its values, ``MERGED_TASKS`` summaries at a time are merged into
+    quantiles, and the cut points are quantiles of these. No rows are shuffled, no task reads the summaries
+    of all others, and only the cut points come to the driver.
     """
     probs = [i / max(ranges, 1) for i in range(1, max(ranges, 1))]
-    quantiles = F.percentile_approx(F.col(col).cast("double"), probs, 4 * ranges) if probs else F.lit(None)
-    extra = F.lit(0) if measure is None else measure
-    row = df.agg(quantiles.alias("cuts"), extra.alias("measure")).first()
-    return sorted(set(row["cuts"] or [])), int(row["measure"] or 0)
+    if not probs:
+        return []
 
+    def at_probs(value: Column | str) -> Column:
+        return F.percentile_approx(value, probs, 2 * ranges)
 
-def range_number(col: str, cuts: Sequence[float]) -> Column:
-    """How many cut points are <= the value, by halving."""
-    value = F.col(col).cast("double")
+    values = df.select(F.col(col).cast("double").alias("v"), F.floor(F.spark_partition_id() / MERGED_TASKS).alias("tasks"))
+    merged = values.groupBy("tasks").agg(at_probs("v").alias("cuts")).select(F.explode("cuts").alias("v"))
+    return sorted(set(merged.agg(at_probs("v").alias("cuts")).first()["cuts"] or []))
 
-    def pick(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(value < F.lit(float(cuts[mid])), pick(lo, mid)).otherwise(pick(mid + 1, hi))
 
-    return pick(0, len(cuts))
+def range_number(col: str, cuts: Sequence[float]) -> Column:
+    """How many cut points are <= the value, by halving a sorted array; null counts as above all.
+
+    The expression has one array and a step per bit, whatever the number of cut points.
+    """
+    bits = len(cuts).bit_length()
+    value = F.col(col).cast("double")
+    table = F.lit([*map(float, cuts), *[float("inf")] * ((1 << bits) - 1 - len(cuts))]) if cuts else F.array().cast("array<double>")
+    steps = F.lit([1 << b for b in reversed(range(bits))]) if cuts else F.array().cast("array<int>")
+    at = F.aggregate(steps, F.lit(0), lambda at, step: F.when(value < F.get(table, at + step - 1), at).otherwise(at + step))
+    return F.least(at, F.lit(len(cuts)))
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -68,7 +78,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: str, measures: Seque
             F.lead(order).over(W.partitionBy(*keys).orderBy(order)).alias(f"next_{order}"))
 
     if cuts is None:
-        cuts, _ = split_points(df, order, ranges)
+        cuts = split_points(df, order, ranges)
     cells = df.withColumn("_range", range_number(order, cuts))
     totals = cells.groupBy(*keys, "_range").agg(
         *[F.sum(m).alias(f"_s_{m}") for m in measures], F.min(order).alias("_first"))

@@ -135,6 +135,24 @@ def _xor(names: Sequence[str]) -> Column:
     return reduce(lambda a, b: a.bitwiseXOR(b), [F.col(n) for n in names])
 
 
+#: Columns left out of duplicate analysis, per table: those expected to differ between otherwise identical rows.
+IGNORE = {"machines": ["machine_id"], "operators": ["operator_id"], "material_lots": ["lot_id_clean"], "part_catalog": ["part_number"],
+          "production_orders": ["work_order_id"], "inspections": ["inspection_id", "inspection_date"], "scrap_events": ["scrap_id"]}
+
+
+def content_columns(df: DataFrame, name: str, ignore: Mapping[str, Sequence[str]] = IGNORE) -> list[str]:
+    """Columns of a table that tell whether two rows are the same record."""
+    left_out = set(ignore.get(name, ()))
+    return [c for c in df.columns if c not in left_out]
+
+
+def duplicate_report(tables: Mapping[str, DataFrame], ignore: Mapping[str, Sequence[str]] = IGNORE, fold_case: bool = True) -> DataFrame:
+    """One row per table: rows, rows and groups of identical content, percentage; a table is scanned once."""
+    rows = [exact_duplicates(df, content_columns(df, name, ignore), fold_case).select(F.lit(name).alias("table"), "*")
+            for name, df in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
 def exact_duplicates(df: DataFrame, content: Sequence[str], fold_case: bool = False) -> DataFrame:
     """Rows whose content columns all repeat, with their percentage (128-bit row fingerprint)."""
     k = len(content)

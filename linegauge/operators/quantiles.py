@@ -24,7 +24,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
     keys = list(keys)
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
     ranges = max(64, fan_out(df.sparkSession)) if ranges is None else ranges
-    cuts, _ = split_points(rows, "_v", ranges)
+    cuts = split_points(rows, "_v", ranges)
     counted = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
     placed = counted.withColumn("_range", range_number("_v", cuts))
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,53 +38,51 @@ def regression(df: DataFrame, y: str, x: str, keys: Sequence[str] = ()) -> DataF
         F.corr(_d(x), _d(y)).alias("r"), F.regr_count(_d(y), _d(x)).alias("n"))
 
 
-# -- p-values: a scalar function applied to aggregated rows only ------------------
+# -- p-values: an expression on aggregated rows -----------------------------------
 
-def _beta_fraction(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function (modified Lentz iteration)."""
-    floor = 1e-300
-    c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
-    d = 1.0 / (d if abs(d) > floor else floor)
-    value = d
-    for m in range(1, 400):
+#: Half steps of the continued fraction; below 1e-14 after 50 at any degrees of freedom.
+HALF_STEPS = 200
+#: Steps by which the gamma functions' argument is raised before their ratio's series is used.
+RAISED = 12
+
+
+def _log_gamma_ratio(a: Column) -> Column:
+    """ln(gamma(a + 1/2) / gamma(a)), without the difference of two large numbers."""
+    z = a + RAISED
+    series = F.log(z) / 2 - 1 / (8 * z) + 1 / (192 * z ** 3) - 1 / (640 * z ** 5) + F.lit(17.0) / (14336 * z ** 7)
+    lowered = reduce(lambda x, y: x + y, [F.log((a + i) / (a + i + 0.5)) for i in range(RAISED)])
+    return series + lowered
+
+
+def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
+    """Continued fraction of the incomplete beta function, evaluated forwards by a fixed number of half steps."""
+    def coefficient(k: Column) -> Column:
+        m = F.floor(k / 2)
         even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
         odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        step = 1.0
-        for term in (even, odd):
-            d = 1.0 + term * d
-            c = 1.0 + term / c
-            d = 1.0 / (d if abs(d) > floor else floor)
-            c = c if abs(c) > floor else floor
-            step = d * c
-            value *= step
-        if abs(step - 1.0) < 1e-14:
-            break
-    return value
-
-
-def incomplete_beta(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta function I_x(a, b)."""
-    if x <= 0.0 or x >= 1.0:
-        return float(x >= 1.0)
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-                     + a * math.log(x) + b * math.log1p(-x))
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * _beta_fraction(a, b, x) / a
-    return 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
-
-
-def t_two_sided(t: float, df: float) -> float:
-    """Two-sided p-value of Student's t."""
-    return incomplete_beta(df / 2.0, 0.5, df / (df + t * t))
+        return F.when(k % 2 == 0, even).otherwise(odd)
 
+    def apart(v: Column) -> Column:  # from zero
+        return F.when(F.abs(v) < 1e-300, F.lit(1e-300)).otherwise(v)
 
-def p_two_sided(t: Column, df: Column) -> Column:
-    @F.pandas_udf("double")
-    def p(ts: pd.Series, ds: pd.Series) -> pd.Series:
-        return pd.Series([t_two_sided(a, b) if pd.notna(a) and pd.notna(b) else None
-                          for a, b in zip(ts, ds)], dtype="float64")
+    def step(s: Column, k: Column) -> Column:
+        d, c = 1 / apart(1 + coefficient(k) * s["d"]), apart(1 + coefficient(k) / s["c"])
+        return F.struct(c.alias("c"), d.alias("d"), (s["value"] * c * d).alias("value"))
+
+    first = 1 / apart(1 + coefficient(F.lit(1)))
+    start = F.struct(F.lit(1.0).alias("c"), first.alias("d"), first.alias("value"))
+    return F.aggregate(F.sequence(F.lit(2), F.lit(HALF_STEPS)), start, step, lambda s: s["value"])
 
-    return p(t, df)
+
+def p_two_sided(t: Column, df: Column) -> Column:
+    """Two-sided p-value of Student's t, in built-in functions; null where t or a positive df is missing."""
+    a, b, square = df / 2, F.lit(0.5), t * t
+    x, rest = df / (df + square), square / (df + square)
+    front = F.exp(_log_gamma_ratio(a) - 0.5 * math.log(math.pi) - a * F.log1p(square / df) + b * F.log(rest))
+    tail = F.when(x < (a + 1) / (a + b + 2), front * _beta_fraction(a, b, x) / a).otherwise(
+        1 - front * _beta_fraction(b, a, rest) / b)
+    known = (df > 0) & t.isNotNull() & ~F.isnan(t)
+    return F.when(known & (t == 0), 1.0).when(known & (F.abs(t) > 1e150), 0.0).when(known, tail)
 
 
 def welch(df: DataFrame, value: str, in_a: Column, in_b: Column, keys: Sequence[str] = ()) -> DataFrame:

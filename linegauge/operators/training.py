@@ -16,13 +16,17 @@ from threading import Lock
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from linegauge.operators import trees
 from linegauge.operators.evaluate import metrics
-from linegauge.operators.features import categories, fit_stages, linear_stages, tree_stages
+from linegauge.operators.features import fit_stages, linear_stages, vocabulary_encoder
+from linegauge.operators.prefix import running_sums
+from linegauge.session import fan_out
 
 SEED = 42
 
@@ -67,77 +71,116 @@ def draw(rng: random.Random, space: Mapping[str, tuple]) -> dict:
 # Search spaces of the three families.
 SPACES = {
     "logistic_regression": {"C": ("log", 1e-3, 100.0)},
-    "random_forest": {"trees": ("int", 20, 60), "depth": ("int", 3, 10), "leaf": ("int", 1, 50),
+    "random_forest": {"trees": ("int", 100, 500), "depth": ("int", 3, 20), "leaf": ("int", 1, 50),
                       "subset": ("choice", ["sqrt", "log2", "0.5"])},
-    "boosted_trees": {"step": ("log", 0.01, 0.3), "depth": ("int", 3, 6), "sample": ("uniform", 0.6, 1.0),
-                      "leaf": ("int", 1, 10)},
+    "boosted_trees": {"step": ("log", 0.01, 0.3), "depth": ("int", 3, 10), "sample": ("uniform", 0.6, 1.0),
+                      "columns": ("uniform", 0.6, 1.0), "leaf": ("int", 1, 10)},
 }
+#: Most rounds of boosting, and rounds without a higher validation ROC-AUC after which it ends.
+ROUNDS, PATIENCE = 1000, 30
+#: Rounds of boosting where nothing is held out to end it early.
+CURVE_ROUNDS = 200
 
 
-def estimator(family: str, p: Mapping, label: str, n_rows: int, rounds: int = 20, early_stopping: bool = True):
-    if family == "logistic_regression":
-        # penalty 1 / (C n) on the summed loss is 1 / C on the mean loss per row
-        return LogisticRegression(labelCol=label, regParam=1.0 / (p["C"] * max(n_rows, 1)), elasticNetParam=0.0,
-                                  standardization=False, maxIter=100)
-    if family == "random_forest":
-        return RandomForestClassifier(labelCol=label, numTrees=p["trees"], maxDepth=p["depth"],
-                                      minInstancesPerNode=p["leaf"], featureSubsetStrategy=p["subset"], seed=SEED)
-    held_out = {"validationIndicatorCol": "_held_out"} if early_stopping else {}
-    return GBTClassifier(labelCol=label, stepSize=p["step"], maxDepth=p["depth"], subsamplingRate=p["sample"],
-                         minInstancesPerNode=p["leaf"], maxIter=rounds, seed=SEED, weightCol="_weight", **held_out)
+def logistic(p: Mapping, n_rows: int) -> LogisticRegression:
+    # penalty 1 / (C n) on the summed loss is 1 / C on the mean loss per row
+    return LogisticRegression(labelCol="y", regParam=1.0 / (p["C"] * max(n_rows, 1)), elasticNetParam=0.0,
+                              standardization=False, maxIter=100)
 
 
-def prepare(train: DataFrame, family: str, categorical: Sequence[str], numeric: Sequence[str]) -> PipelineModel:
-    if family == "logistic_regression":
-        return fit_stages(linear_stages(categorical, numeric), train)
-    return fit_stages(tree_stages(categories(train, categorical), numeric), train)
+def forest(p: Mapping) -> RandomForestClassifier:
+    return RandomForestClassifier(labelCol="y", numTrees=p["trees"], maxDepth=p["depth"], minInstancesPerNode=p["leaf"],
+                                  featureSubsetStrategy=p["subset"], seed=SEED)
+
+
+class Preparation:
+    """Fitted encoders of one family: ``vectors`` for fitting, and the stages a stored model begins with."""
+
+    def __init__(self, train: DataFrame, family: str, categorical: Sequence[str], numeric: Sequence[str], root: str | None = None):
+        self.family, self.root = family, root
+        if family == "logistic_regression":
+            self.stages = fit_stages(linear_stages(categorical, numeric), train).stages
+            return
+        encoder = vocabulary_encoder(train, categorical, root)
+        self.stages = [encoder]
+        self.codes, self.numbers = encoder.getOutputCols(), list(numeric)
+        self.slots = trees.slots_of(len(self.codes), len(self.numbers))
+
+    def vectors(self, df: DataFrame) -> DataFrame:
+        """``df`` with features; for trees these are slots."""
+        out = PipelineModel(self.stages).transform(df)
+        return out if self.family == "logistic_regression" else out.withColumn("features", trees.slot_vector(self.codes, self.numbers))
+
+    def tree_model(self, nodes: DataFrame, logit: bool) -> PipelineModel:
+        path = trees.stored_nodes(nodes, self.root)
+        return PipelineModel([*self.stages, trees.TreeScorer(path=path, inputCols=[*self.codes, *self.numbers], logit=logit)])
+
+    def boosted_model(self, spark, rows: Sequence[tuple]) -> PipelineModel:
+        return self.tree_model(spark.createDataFrame(rows, trees.NODES), True)
+
+    def forest_model(self, spark, model) -> PipelineModel:
+        return self.tree_model(trees.forest_nodes(spark, model, self.slots), False)
 
 
 def tune(train: DataFrame, validation: DataFrame, label: str, family: str, categorical: Sequence[str],
-         numeric: Sequence[str], trials: int = 150, parallelism: int = 4, rounds: int = 20,
-         space: Mapping[str, tuple] | None = None) -> Trained:
+         numeric: Sequence[str], trials: int = 150, parallelism: int = 4, rounds: int = ROUNDS,
+         space: Mapping[str, tuple] | None = None, patience: int = PATIENCE, root: str | None = None) -> Trained:
     """Seeded random search; the best validation ROC-AUC wins.
 
-    Boosted trees see the validation rows only as the early-stopping set, weighted by the
-    class odds of the training rows.
+    Boosted trees see the validation rows only to end early, and are weighted by the class odds of the
+    training rows. Missing numbers go to the better side of each split of a tree; the linear family
+    takes them for 0. Tables of a tree model are stored below ``root``, or in the scratch folder.
     """
+    spark = train.sparkSession
     # fitting the encoders takes several passes; the rows are computed once
     train = train.select(*categorical, *numeric, label).persist(StorageLevel.MEMORY_AND_DISK)
-    prep = prepare(train, family, categorical, numeric)
-    y = F.col(label).cast("double").alias(label)
-    weight = positive_weight(train, label) if family == "boosted_trees" else 1.0
-
-    def vectors(df: DataFrame, held_out: bool) -> DataFrame:
-        w = F.when(F.col(label).cast("int") == 1, weight).otherwise(1.0).alias("_weight")
-        return prep.transform(df).select("features", y, w, F.lit(held_out).alias("_held_out"))
-
-    held_out = vectors(validation, True).persist(StorageLevel.MEMORY_AND_DISK)
-    fit_rows = vectors(train, False)
-    if family == "boosted_trees":
-        fit_rows = fit_rows.unionByName(held_out)
-    fit_rows = fit_rows.persist(StorageLevel.MEMORY_AND_DISK)
-    n_rows = train.count()
+    cached = [train]
     rng = random.Random(SEED)
     params = [draw(rng, space or SPACES[family]) for _ in range(trials)]
-
     best: list = []  # value, trial and model of the best so far; the others are dropped as they come
     lock = Lock()
-
-    def run(trial: int) -> None:
-        model = estimator(family, params[trial], label, n_rows, rounds).fit(fit_rows)
-        value = auc(probability(model.transform(held_out)), label)
-        with lock:
-            if not best or (value, -trial) > (best[0], -best[1]):
-                best[:] = [value, trial, model]
-
     try:
+        prep = Preparation(train, family, categorical, numeric, root)
+        y = F.col(label).cast("double").alias("y")
+        weight = positive_weight(train, label) if family == "boosted_trees" else 1.0
+        n_rows = train.count()
+
+        def vectors(df: DataFrame, held_out: bool) -> DataFrame:
+            w = F.when(F.col(label).cast("int") == 1, weight).otherwise(1.0).alias("weight")
+            return prep.vectors(df).select("features", y, w, F.lit(held_out).alias("held_out"))
+
+        fit_rows, held_out = vectors(train, False), vectors(validation, True)
+        if family == "boosted_trees":
+            both = fit_rows.unionByName(held_out).persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(both)
+        else:
+            fit_rows, held_out = (rows.persist(StorageLevel.MEMORY_AND_DISK) for rows in (fit_rows, held_out))
+            cached += [fit_rows, held_out]
+
+        def run(trial: int) -> None:
+            p = params[trial]
+            if family == "boosted_trees":
+                model, aucs = trees.boost(both, p, prep.slots, rounds, patience, SEED)
+                value = max(aucs, default=0.0)
+            else:
+                model = (logistic(p, n_rows) if family == "logistic_regression" else forest(p)).fit(fit_rows)
+                value = auc(probability(model.transform(held_out)), "y")
+            with lock:
+                if not best or (value, -trial) > (best[0], -best[1]):
+                    best[:] = [value, trial, model]
+
         with ThreadPoolExecutor(parallelism) as pool:
             list(pool.map(run, range(trials)))
     finally:
-        for cached in (fit_rows, held_out, train):
-            cached.unpersist()
+        for rows in cached:
+            rows.unpersist()
     value, trial, model = best
-    return Trained(family, params[trial], PipelineModel([*prep.stages, model]), value)
+    found = params[trial]
+    if family == "logistic_regression":
+        return Trained(family, found, PipelineModel([*prep.stages, model]), value)
+    if family == "random_forest":
+        return Trained(family, found, prep.forest_model(spark, model), value)
+    return Trained(family, {**found, "rounds": 1 + max((r[0] for r in model), default=-1)}, prep.boosted_model(spark, model), value)
 
 
 def best_of(candidates: Sequence[Trained]) -> Trained:
@@ -156,37 +199,85 @@ def fold_of(key: str, folds: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(SEED), F.col(key)), F.lit(folds))
 
 
+#: Hex digits of the hash that puts rows in an order of their own.
+ORDER_DIGITS = 13
+
+
+def class_folds(df: DataFrame, key: str, label: str, folds: int = 3, ranges: int | None = None) -> DataFrame:
+    """``df`` with fold, and place_<f>: the row's place among those trained on when fold f is held out.
+
+    Rows are put in the order of a hash of their id (then of the id). Every class deals its rows out to
+    the folds in turn, so all folds have the same class shares and sizes up to one row per class, and
+    the first n places are exactly n rows. Ranks are running counts over ranges of the hash, so no task
+    orders all rows of a class.
+    """
+    ranges = fan_out(df.sparkSession) if ranges is None else ranges
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    order = F.conv(F.substring(F.md5(F.concat(F.lit(f"{SEED}:"), text).cast("binary")), 1, ORDER_DIGITS), 16, 10).cast("bigint")
+    rows = df.withColumn("_order", order)
+
+    def before(counts: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+        """Per (keys, _order), the sums of all smaller hashes."""
+        run = running_sums(counts, keys, "_order", measures, ranges)
+        return run.select(*keys, "_order", *[(F.col(f"{m}_upto") - F.col(m)).alias(f"_before_{m}") for m in measures])
+
+    sizes = before(rows.groupBy(label, "_order").agg(F.count("*").alias("n")), [label], ["n"])
+    # rows of one hash are few: two of them meet once in 2^52
+    rank = F.col("_before_n") + F.row_number().over(W.partitionBy(label, "_order").orderBy(key)) - 1
+    dealt = rows.join(sizes, [label, "_order"]).withColumn("fold", (rank % folds).cast("int")).drop("_before_n")
+    own = [(F.col("fold") != f).cast("bigint").alias(f"m{f}") for f in range(folds)]
+    marked = dealt.select("*", *own)
+    measures = [f"m{f}" for f in range(folds)]
+    sizes = before(marked.groupBy("_order").agg(*[F.sum(m).alias(m) for m in measures]), [], measures)
+    inside = W.partitionBy("_order").orderBy(label, key).rowsBetween(W.unboundedPreceding, W.currentRow)
+    places = [F.when(F.col(m) == 1, F.col(f"_before_{m}") + F.sum(m).over(inside) - 1).alias(f"place_{f}") for f, m in enumerate(measures)]
+    return marked.join(sizes, "_order").select(*df.columns, "fold", *places)
+
+
+def curve_sizes(folded: DataFrame, folds: int, sizes: Sequence[float]) -> list[int]:
+    """Rows of every prefix: parts of the smallest training side, that of fold 0."""
+    most = folded.where("fold <> 0").count() if folds > 1 else folded.count()
+    return [max(1, int(size * most + 1e-9)) for size in sizes]
+
+
 def learning_curve(df: DataFrame, key: str, label: str, family: str, params: Mapping, categorical: Sequence[str],
                    numeric: Sequence[str], sizes: Sequence[float] | None = None, folds: int = 3,
-                   parallelism: int = 4) -> DataFrame:
-    """Mean and spread of train and validation ROC-AUC by train size (8 sizes x 3 folds).
+                   parallelism: int = 4, rounds: int = CURVE_ROUNDS) -> DataFrame:
+    """Mean and spread of train and validation ROC-AUC by train size (8 sizes x 3 folds with equal class shares).
 
-    Folds and prefixes come from hashes of the id, so a prefix is a filter, not a sort.
+    Boosted trees have ``rounds`` rounds here, as nothing is held out to end them early.
     """
     sizes = sizes or [0.1 + 0.9 * i / 7 for i in range(8)]
-    prep = prepare(df, family, categorical, numeric)
-    place = F.pmod(F.xxhash64(F.lit(SEED + 1), F.col(key)), F.lit(10_000)) / 10_000
-    rows = prep.transform(df).select(
-        "features", F.col(label).cast("double").alias(label), fold_of(key, folds).alias("_fold"),
-        place.alias("_place"), F.lit(1.0).alias("_weight"))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-
-    def run(job: tuple[int, float]):
-        fold, size = job
-        inside = rows.where((F.col("_fold") != fold) & (F.col("_place") < size))
-        n = inside.count()
-        model = estimator(family, params, label, n, early_stopping=False)
-        fitted = model.fit(inside)
-        scored = probability(fitted.transform(rows.where(F.col("_fold") == fold)))
-        return size, fold, n, auc(probability(fitted.transform(inside)), label), auc(scored, label)
-
+    folded = class_folds(df.where(F.col(label).isNotNull()).select(key, label, *categorical, *numeric), key, label, folds)
+    folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = [folded]
+    spark = df.sparkSession
     try:
+        prep = Preparation(folded, family, categorical, numeric)
+        rows = prep.vectors(folded).select("features", F.col(label).cast("double").alias("y"), "fold", *[f"place_{f}" for f in range(folds)],
+                                           F.lit(1.0).alias("weight"), F.lit(False).alias("held_out"),
+                                           *([] if family == "logistic_regression" else [*prep.codes, *prep.numbers]))
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(rows)
+        steps = curve_sizes(folded, folds, sizes)
+
+        def run(job: tuple[int, float, int]):
+            fold, size, n = job
+            inside = rows.where(F.col(f"place_{fold}") < n)
+            if family == "boosted_trees":
+                nodes, _ = trees.boost(inside, params, prep.slots, rounds, None, SEED)
+                fitted = prep.boosted_model(spark, nodes).stages[-1]
+            else:
+                fitted = (logistic(params, n) if family == "logistic_regression" else forest(params)).fit(inside)
+            score = lambda part: auc(probability(fitted.transform(part)), "y")
+            return size, fold, n, score(inside), score(rows.where(F.col("fold") == fold))
+
         with ThreadPoolExecutor(parallelism) as pool:
-            points = list(pool.map(run, [(f, float(s)) for s in sizes for f in range(folds)]))
+            points = list(pool.map(run, [(f, float(s), n) for s, n in zip(sizes, steps) for f in range(folds)]))
     finally:
-        rows.unpersist()
-    out = df.sparkSession.createDataFrame(
-        points, "size double, fold int, n long, train_auc double, validation_auc double")
+        for kept in cached:
+            kept.unpersist()
+    out = spark.createDataFrame(points, "size double, fold int, n long, train_auc double, validation_auc double")
     return out.groupBy("size").agg(
         F.avg("n").alias("train_size"), F.avg("train_auc").alias("train_roc_auc"),
         F.stddev_pop("train_auc").alias("train_roc_auc_std"), F.avg("validation_auc").alias("val_roc_auc"),

@@ -16,38 +16,44 @@ from linegauge.functions.exprs import in_period
 from linegauge.operators import drift, evaluate, monitoring, scoring, training
 from linegauge.operators import features as ft
 from linegauge.operators.attribution import attribute, importance, input_names
-from linegauge.sources import runlog, sinks
+from linegauge.sources import runlog, sinks, snapshots
 from linegauge.sources.readers import require_rows
 
 MODEL = "defect_risk"
 Period = tuple[str, str, str]  # label, first day, last day
 NUMBERS = ft.NUMERIC + ft.INTERACTION
+# requires_welding is measured as a number
+DRIFT_TEXTS = [c for c in ft.CATEGORICAL if c != "requires_welding"]
+DRIFT_NUMBERS = [*ft.NUMERIC, "requires_welding"]
 
 
 def prepare_features(mart: DataFrame, store: str, train_end: str, validation_end: str, **kw) -> str:
-    """Feature rows of every split, written by split."""
-    return sinks.write_partitioned(ft.feature_table(mart, "actual_start", train_end, validation_end, **kw).where(
-        F.col("split").isNotNull()), f"{store}/features", "split")
+    """Feature rows of every split, exported as the next version of the feature snapshot; returns its folder."""
+    rows = ft.feature_table(mart, "actual_start", train_end, validation_end, **kw).where(F.col("split").isNotNull())
+    snapshots.export(rows, f"{store}/features")
+    return f"{store}/features"
 
 
 def load_split(spark: SparkSession, store: str, split: str) -> DataFrame:
-    """One split; the filter prunes to its partition."""
-    rows = spark.read.parquet(f"{store}/features").where(F.col("split") == split).drop("split")
+    """One split of the latest version; the filter prunes to its partition."""
+    rows = snapshots.read(spark, f"{store}/features", part=split).drop("split")
     return rows.withColumn(ft.TARGET, F.col(ft.TARGET).cast("int"))
 
 
 def write_artifacts(scored: DataFrame, path: str, label: str = ft.TARGET) -> None:
     """Curves, calibration and confusion of validation scores as tables."""
     rows = scored.select(F.col("probability_1").alias("score"), F.col(label).cast("int").alias("y")).persist()
-    tables = {"pr_curve": evaluate.pr_curve(rows, "score", "y"), "roc_curve": evaluate.roc_curve(rows, "score", "y"),
-              "calibration": evaluate.calibration(rows, "score", "y"),
-              "confusion_matrix": evaluate.confusion(rows, "score", "y", evaluate.HIGH_RISK)}
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
-    rows.unpersist()
+    try:
+        tables = {"pr_curve": evaluate.pr_curve(rows, "score", "y"), "roc_curve": evaluate.roc_curve(rows, "score", "y"),
+                  "calibration": evaluate.calibration(rows, "score", "y"),
+                  "confusion_matrix": evaluate.confusion(rows, "score", "y", evaluate.HIGH_RISK)}
+        for name, df in tables.items():
+            df.write.mode("overwrite").parquet(f"{path}/{name}")
+    finally:
+        rows.unpersist()
 
 
-def train(spark: SparkSession, store: str, run_id: str, trials: int = 150, rounds: int = 100,
+def train(spark: SparkSession, store: str, run_id: str, trials: int = 150, rounds: int = training.ROUNDS,
           families: Sequence[str] = tuple(training.SPACES), spaces=None, curve: bool = False) -> training.Trained:
     """Tune every family, keep the best by validation ROC-AUC, test it once, register it."""
     train_rows = require_rows(load_split(spark, store, "train"), "training rows")
@@ -55,7 +61,7 @@ def train(spark: SparkSession, store: str, run_id: str, trials: int = 150, round
     found = []
     for family in families:
         got = training.tune(train_rows, validation, ft.TARGET, family, ft.CATEGORICAL, NUMBERS, trials, rounds=rounds,
-                            space=(spaces or training.SPACES)[family])
+                            space=(spaces or training.SPACES)[family], root=f"{store}/model_tables/{run_id}-{family}")
         scored = training.probability(got.model.transform(validation))
         path = f"{store}/artifacts/{run_id}-{family}"
         write_artifacts(scored, path)
@@ -75,6 +81,9 @@ def train(spark: SparkSession, store: str, run_id: str, trials: int = 150, round
     latest = runlog.latest_version(spark, store, MODEL).first()
     version = latest["version"] + 1 if latest else 1
     best.model.write().overwrite().save(f"{store}/models/{MODEL}/{version}")
+    reference = monitoring.frozen_reference(train_rows, spark.read.parquet(f"{store}/validation_predictions"), ft.TARGET, DRIFT_TEXTS,
+                                            DRIFT_NUMBERS, ft.INTERACTION)
+    reference.write.mode("overwrite").parquet(f"{store}/references/{MODEL}/{version}")
     runlog.log_run(spark, store, run_id, "training", MODEL, version, values, {"family": best.family, **best.params})
     return best
 
@@ -134,18 +143,19 @@ def load_predictions(spark: SparkSession, store: str, periods: Sequence[Period])
 
 def monitor_periods(spark: SparkSession, store: str, mart: DataFrame, periods: Sequence[Period], run_id: str,
                     closed_at_midnight: bool = False) -> DataFrame:
-    """Every monitoring layer of all periods; stores the table and the drift of each feature."""
+    """Every monitoring layer of all periods; stores the table and the drift of each feature.
+
+    What is compared with is the frozen profile of the registered model; no training row is read.
+    """
     labels = [p[0] for p in periods]
-    reference = require_rows(load_split(spark, store, "train"), "training reference")
-    validation = spark.read.parquet(f"{store}/validation_predictions")
+    version = require_rows(runlog.latest_version(spark, store, MODEL), "registered model").first()["version"]
+    profile = spark.read.schema(drift.PROFILE).parquet(f"{store}/references/{MODEL}/{version}")
     current = period_rows(mart, periods, closed_at_midnight)
     predicted = load_predictions(spark, store, periods)
-    # requires_welding is measured as a number
-    texts = [c for c in ft.CATEGORICAL if c != "requires_welding"]
-    numbers = [*ft.NUMERIC, "requires_welding"]
-    drift.feature_drift(reference, current, "period_label", labels, texts, numbers, ft.INTERACTION).write.mode(
-        "overwrite").parquet(f"{store}/monitoring/feature_drift/{run_id}")
+    scores = drift.profile_scores(profile, current, "period_label", labels, DRIFT_TEXTS, [*DRIFT_NUMBERS, *ft.INTERACTION])
+    drift.drift_table(scores, "period_label", DRIFT_TEXTS, ft.INTERACTION).write.mode("overwrite").parquet(
+        f"{store}/monitoring/feature_drift/{run_id}")
     path = f"{store}/monitoring/periods/{run_id}"
-    monitoring.monitoring_table(reference, validation, current, predicted, "period_label", labels, "actual_defect_flag",
-                                ft.TARGET, texts, numbers, ft.INTERACTION).write.mode("overwrite").parquet(path)
+    monitoring.monitoring_table_of(profile, current, predicted, "period_label", labels, "actual_defect_flag", ft.TARGET, DRIFT_TEXTS,
+                                   DRIFT_NUMBERS, ft.INTERACTION).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -309,15 +309,16 @@ def cost_per_event(spark, sf):
                       .alias("cost_per_event"))
 
 
-@query("weekly_by_category", "A26 F17", """
-SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') AS week, count(*) FILTER (WHERE event_type = 'error') AS error,
-       count(*) FILTER (WHERE event_type = 'view') AS view, count(*) FILTER (WHERE event_type = 'click') AS click
-FROM events WHERE event_type IN ('error', 'view', 'click') GROUP BY 1
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+@query("weekly_by_category", "A26 F17", f"""
+SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') AS week,
+       {", ".join(f"count(*) FILTER (WHERE event_type = '{t}') AS {t}" for t in EVENT_TYPES)} FROM events GROUP BY 1
 """)
 def weekly_by_category(spark, sf):
-    kinds = ["error", "view", "click"]
-    rows = table(spark, sf, "events").where(F.col("event_type").isin(kinds)).withColumn("week", x.week_start("ts"))
-    return rates.matrix(rows, [day("week").alias("week")], "event_type", kinds, F.count(F.lit(1)))
+    rows = table(spark, sf, "events").withColumn("week", x.week_start("ts"))
+    return rates.matrix(rows, [day("week").alias("week")], "event_type", EVENT_TYPES, F.count(F.lit(1)))
 
 
 # -- windows ------------------------------------------------------------------
@@ -336,7 +337,9 @@ def dedup_first(spark, sf):
 WITH m AS (SELECT l_returnflag, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 AS dup FROM lineitem)
 SELECT l_returnflag, count(*) AS n, count(*) FILTER (WHERE dup) AS in_duplicate_groups,
        CAST((SELECT coalesce(sum(c), 0) FROM (SELECT count(*) AS c FROM documents GROUP BY text, lang, source, n_chars
-         HAVING count(*) > 1)) AS BIGINT) AS content_duplicates
+         HAVING count(*) > 1)) AS BIGINT) AS content_duplicates,
+       CAST((SELECT coalesce(sum(c), 0) FROM (SELECT *, count(*) AS c FROM lineitem GROUP BY ALL HAVING count(*) > 1)) AS BIGINT) AS
+         row_duplicates
 FROM m GROUP BY 1
 """)
 def duplicate_groups(spark, sf):
@@ -346,7 +349,8 @@ def duplicate_groups(spark, sf):
                                    ["l_orderkey", "l_linenumber"], "dup")
     return marked.groupBy("l_returnflag").agg(
         F.count("*").alias("n"), F.count_if("dup").alias("in_duplicate_groups")).withColumn(
-        "content_duplicates", content.select("dup_rows").scalar())
+        "content_duplicates", content.select("dup_rows").scalar()).withColumn(
+        "row_duplicates", dedup.duplicate_rows(rows).select("dup_rows").scalar())
 
 
 @query("lag_pairs_acf", "W4 ST6", """
@@ -448,11 +452,11 @@ def topn_per_group(spark, sf):
 
 
 @query("rank_forced_last", "W11 K21", """
-WITH t AS (SELECT event_type, count(*) AS n FROM events WHERE value > 5 GROUP BY 1 ORDER BY n DESC, event_type LIMIT 4)
+WITH t AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, event_type LIMIT 4)
 SELECT event_type, n, CAST(row_number() OVER (ORDER BY event_type = 'click', n DESC, event_type) AS INTEGER) AS rank FROM t
 """)
 def rank_forced_last(spark, sf):
-    return ranked_drivers(table(spark, sf, "events").where("value > 5"), "event_type", "click", 4)
+    return ranked_drivers(table(spark, sf, "events"), "event_type", "click", 4)
 
 
 @query("cumulative_distribution", "W12", """
@@ -465,7 +469,7 @@ FROM c WINDOW w AS (PARTITION BY event_type ORDER BY value ROWS BETWEEN UNBOUNDE
 def cumulative_distribution(spark, sf):
     events, ranges = table(spark, sf, "events"), fan_out(spark)
     counts = events.groupBy("event_type", "value").agg(F.count("*").alias("n"))
-    run = running_sums(counts, ["event_type"], "value", ["n"], ranges, split_points(events, "value", ranges)[0])
+    run = running_sums(counts, ["event_type"], "value", ["n"], ranges, split_points(events, "value", ranges))
     return run.select("event_type", "value", "n", F.col("n_upto").alias("upto"),
                       F.round(F.col("n_upto") / F.col("n_total"), 6).alias("cdf"), "next_value")
 

@@ -1,11 +1,11 @@
 """Encoders, exact metrics, training, attribution, scoring on labelled documents."""
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-
-from linegauge.operators import attribution, evaluate, features, scoring, training
-from linegauge.registry.base import ORDER_LINES, SCORED, order_lines, query, scored_documents, table
-from linegauge.session import scratch_path
+from linegauge.operators import attribution, evaluate, features, scoring, training, trees
+from linegauge.registry.base import ORDER_LINES, SCORED, day, order_lines, query, scored_documents, table
+from linegauge.session import cut_lineage, scratch_path
 from linegauge.sources import runlog
 
 # -- features -------------------------------------------------------------------
@@ -58,8 +58,8 @@ SELECT p_partkey, CAST(coalesce(v.code, -1) AS DOUBLE) AS p_name_code, CAST(coal
 """)
 def encode_ordinal(spark, sf):
     part = table(spark, sf, "part")
-    vocab = features.categories(part.where("p_size = 1"), ["p_name", "p_brand"])
-    return features.with_ordinals(part, vocab).select("p_partkey", "p_name_code", "p_brand_code")
+    encoder = features.vocabulary_encoder(part.where("p_size = 1"), ["p_name", "p_brand"])
+    return encoder.transform(part).select("p_partkey", "p_name_code", "p_brand_code")
 
 
 @query("encode_long_categories", "M5", """
@@ -74,19 +74,24 @@ def encode_long_categories(spark, sf):
     return features.with_codes(docs.select("doc_id", "text"), known, ["text"]).select("doc_id", "text_code")
 
 
+AUDIT_LEAKAGE = ["l_returnflag", "l_linestatus", "l_receiptdate", "l_discount", "gone_after_production"]
+AUDIT_NON_PREDICTIVE = ["l_orderkey", "l_linenumber", "o_orderkey", "o_comment"]
+
+
 @query("column_audit", "M4", f"""
-WITH have(c) AS (VALUES {", ".join(f"('{c}')" for c in [*features.FEATURES, *features.LEAKAGE[:8], *features.NON_PREDICTIVE[:6]])}),
-listed AS (SELECT c, 'leakage' AS role FROM (VALUES {", ".join(f"('{c}')" for c in features.LEAKAGE)}) t(c) UNION ALL
-  SELECT c, 'non_predictive' FROM (VALUES {", ".join(f"('{c}')" for c in features.NON_PREDICTIVE)}) t(c))
-SELECT coalesce(have.c, listed.c) AS "column", CASE WHEN listed.c = 'defect_flag' THEN 'target' ELSE
-  coalesce(role, 'candidate') END AS role, have.c IS NOT NULL AS present, (SELECT count(*) FROM lineitem) AS n_rows
-FROM have FULL JOIN listed ON have.c = listed.c
+WITH have AS (SELECT column_name AS c FROM information_schema.columns WHERE table_name = 'lineitem'),
+listed AS (SELECT unnest({AUDIT_LEAKAGE!r}) AS c, 'leakage' AS role UNION ALL SELECT unnest({AUDIT_NON_PREDICTIVE!r}), 'non_predictive'),
+stats AS (UNPIVOT (SELECT count(COLUMNS(*)) FROM lineitem) ON COLUMNS(*) INTO NAME c VALUE n_values)
+SELECT coalesce(have.c, listed.c) AS "column", CASE WHEN listed.c = 'l_linestatus' THEN 'target' ELSE
+  coalesce(role, 'candidate') END AS role, have.c IS NOT NULL AS present, coalesce(n_values, 0) AS n_values
+FROM have FULL JOIN listed ON have.c = listed.c LEFT JOIN stats ON stats.c = have.c
 """)
 def column_audit(spark, sf):
-    """Roles of the columns of a wide table by the published lists."""
-    cols = [*features.FEATURES, *features.LEAKAGE[:8], *features.NON_PREDICTIVE[:6]]
-    wide = table(spark, sf, "lineitem").select(*[F.lit(None).cast("string").alias(c) for c in cols])
-    return features.column_audit(wide).withColumn("n_rows", wide.agg(F.count("*")).scalar())
+    """Roles of the order lines' own columns by lists of leaking and non-predictive columns, and how many values each has."""
+    rows = table(spark, sf, "lineitem")
+    roles = features.column_audit(rows, AUDIT_LEAKAGE, AUDIT_NON_PREDICTIVE, "l_linestatus")
+    filled = rows.agg(*[F.count(c).alias(c) for c in rows.columns]).unpivot([], rows.columns, "column", "n_values")
+    return roles.join(filled, "column", "left").withColumn("n_values", F.coalesce("n_values", F.lit(0)))
 
 
 @query("encode_onehot_scale", "M6 M7", """
@@ -195,34 +200,43 @@ def accuracy_by_tier(spark, sf):
 # -- models ---------------------------------------------------------------------
 
 CATEGORICAL, NUMERIC, LABEL, KEY = ["lang", "source"], ["n_chars", "n_words", "n_lines"], "quality", "doc_id"
-SMALL_SPACES = {
-    "logistic_regression": {"C": ("log", 1e-2, 10.0)},
-    "random_forest": {"trees": ("int", 5, 10), "depth": ("int", 3, 5), "leaf": ("int", 1, 10),
-                      "subset": ("choice", ["sqrt", "log2", "0.5"])},
-    "boosted_trees": {"step": ("log", 0.05, 0.3), "depth": ("int", 2, 4), "sample": ("uniform", 0.6, 1.0),
-                      "leaf": ("int", 1, 10)},
-}
+#: What the registered training queries search: trials, and rounds of boosting. The operator's defaults are in ``training``.
+TRIALS, ROUNDS = 1, 6
 
 
 def _documents(spark, sf):
-    """Labelled documents with text features; whole texts are read."""
+    """Labelled documents with text features; whole texts are read. A text of one line has no number of lines."""
+    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1
     docs = table(spark, sf, "documents").select(
         "doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
-        F.size(F.split(F.trim("text"), r"\s+")).cast("double").alias("n_words"),
-        (F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1).cast("double").alias("n_lines"))
-    split = F.when(training.fold_of("doc_id", 4) == 0, "validation").otherwise("train")
+        (F.length("text") - F.length(F.replace("text", F.lit(" "))) + 1).cast("double").alias("n_words"),
+        F.nullif(lines, F.lit(1)).cast("double").alias("n_lines"))
+    part = F.conv(F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint") % 4
+    split = F.when(part == 0, "validation").otherwise("train")
     return table(spark, sf, "labels").select("doc_id", "quality").join(docs, "doc_id").withColumn("split", split)
 
 
+MODEL_ROWS = """
+md AS (SELECT l.doc_id, l.quality, d.lang, d.source, CAST(d.n_chars AS DOUBLE) AS n_chars,
+         length(text) - length(replace(text, ' ', '')) + 1 AS n_words,
+         nullif(length(text) - length(replace(text, chr(10), '')) + 1, 1) AS n_lines,
+         ('0x' || substr(md5(CAST(l.doc_id AS VARCHAR)), 1, 8))::BIGINT % 4 = 0 AS held_out
+       FROM labels l JOIN documents d USING (doc_id)),
+lv AS (SELECT lang, row_number() OVER (ORDER BY lang) - 1 AS lang_code FROM (SELECT DISTINCT lang FROM md WHERE lang IS NOT NULL)),
+sv AS (SELECT source, row_number() OVER (ORDER BY source) - 1 AS source_code FROM (SELECT DISTINCT source FROM md WHERE source IS NOT NULL)),
+x AS (SELECT md.*, coalesce(lang_code, -1) AS lang_code, coalesce(source_code, -1) AS source_code
+      FROM md LEFT JOIN lv USING (lang) LEFT JOIN sv USING (source))
+"""
+
+
 def _sides(spark, sf):
     rows = _documents(spark, sf)
     return rows.where("split = 'train'"), rows.where("split = 'validation'")
 
 
-def _trained(spark, sf, family, trials=1):
+def _trained(spark, sf, family, trials=TRIALS):
     train, validation = _sides(spark, sf)
-    return training.tune(train, validation, LABEL, family, CATEGORICAL, NUMERIC, trials=trials, rounds=8,
-                         space=SMALL_SPACES[family])
+    return training.tune(train, validation, LABEL, family, CATEGORICAL, NUMERIC, trials=trials, rounds=ROUNDS)
 
 
 def _report(spark, sf, family):
@@ -250,7 +264,7 @@ def train_gbt(spark, sf):
 
 @query("tune", "M11 M20 O7")
 def tune(spark, sf):
-    found = [_trained(spark, sf, f, trials=2) for f in SMALL_SPACES]
+    found = [_trained(spark, sf, f) for f in training.SPACES]
     best = training.best_of(found).family
     return training.comparison(spark, found).select(
         "family", F.round("validation_auc", 4).alias("validation_auc"), (F.col("family") == best).alias("selected"))
@@ -263,49 +277,173 @@ def learning_curve(spark, sf):
     return out.select(*[F.round(c, 4).alias(c) for c in out.columns])
 
 
-def _scored(spark, sf, family="boosted_trees"):
-    got = _trained(spark, sf, family)
-    rows = _documents(spark, sf)
-    return got.model, scoring.score_with_drivers(got.model, rows, KEY, CATEGORICAL + NUMERIC)
+CURVE_PARTS = [0.1 + 0.9 * i / 7 for i in range(8)]
+
+
+@query("learning_curve_rows", "M18", f"""
+WITH o AS (SELECT doc_id, quality, ('0x' || substr(md5('{training.SEED}:' || doc_id), 1, {training.ORDER_DIGITS}))::BIGINT AS h FROM labels),
+d AS (SELECT *, (row_number() OVER (PARTITION BY quality ORDER BY h, doc_id) - 1) % 3 AS own FROM o),
+t AS (SELECT f.fold, doc_id, quality, row_number() OVER (PARTITION BY f.fold ORDER BY h, quality, doc_id) - 1 AS place
+      FROM d, (SELECT unnest(range(0, 3)) AS fold) f WHERE own <> f.fold),
+s AS (SELECT part, CAST(floor(part * (SELECT count(*) FROM d WHERE own <> 0) + 1e-9) AS BIGINT) AS n FROM (SELECT unnest({CURVE_PARTS!r}) AS part))
+SELECT CAST(fold AS INTEGER) AS fold, n AS wanted, count(*) AS n_train, CAST(sum(quality) AS BIGINT) AS n_positive, CAST(sum(doc_id) AS BIGINT) AS id_sum
+FROM t, s WHERE place < n GROUP BY fold, n
+""")
+def learning_curve_rows(spark, sf):
+    """Rows, positives and the sum of ids that every fold and size of the learning curve trains on."""
+    folded = training.class_folds(table(spark, sf, "labels").select(KEY, LABEL), KEY, LABEL, 3)
+    folded = cut_lineage(folded)
+    steps = training.curve_sizes(folded, 3, CURVE_PARTS)
+    places = F.array(*[F.struct(F.lit(f).alias("fold"), F.col(f"place_{f}").alias("place")) for f in range(3)])
+    each = folded.select(KEY, LABEL, F.inline(places)).where(F.col("place").isNotNull())
+    each = each.withColumn("wanted", F.explode(F.lit(steps))).where(F.col("place") < F.col("wanted"))
+    return each.groupBy("fold", F.col("wanted").cast("bigint").alias("wanted")).agg(
+        F.count("*").alias("n_train"), F.sum(F.col(LABEL).cast("bigint")).alias("n_positive"), F.sum(KEY).alias("id_sum"))
+
+
+# A small fixed model over codes of lang and source and three numbers: tree, node, input, cut, missing goes left,
+# left, right, value, rows. It is stored and loaded like any other, so SQL can tell its results.
+INPUTS = ["lang_code", "source_code", "n_chars", "n_words", "n_lines"]
+MODEL_NODES = [
+    (0, 0, 2, 900.0, False, 1, 2, None, 100.0), (0, 1, None, None, None, None, None, -0.8, 40.0),
+    (0, 2, 3, 400.0, False, 3, 4, None, 60.0), (0, 3, None, None, None, None, None, 0.6, 24.0),
+    (0, 4, None, None, None, None, None, 1.2, 36.0),
+    (1, 0, 4, 6.0, False, 1, 2, None, 100.0), (1, 1, None, None, None, None, None, 0.4, 30.0),
+    (1, 2, 0, 1.0, True, 3, 4, None, 70.0), (1, 3, None, None, None, None, None, 0.2, 42.0),
+    (1, 4, None, None, None, None, None, -0.6, 28.0),
+    (2, 0, 1, 2.0, True, 1, 2, None, 50.0), (2, 1, 4, 3.0, True, 3, 4, None, 25.0),
+    (2, 2, None, None, None, None, None, 0.2, 25.0), (2, 3, None, None, None, None, None, -0.2, 15.0),
+    (2, 4, None, None, None, None, None, 0.8, 10.0)]
+
+# leaf value, first input, its side, its share, second input, its side, its share
+MODEL_LEAVES = [
+    (-0.8, "n_chars", "n_chars <= 900", 0.4, None, "TRUE", 1.0),
+    (0.6, "n_chars", "n_chars > 900", 0.6, "n_words", "n_words <= 400", 0.4),
+    (1.2, "n_chars", "n_chars > 900", 0.6, "n_words", "n_words > 400", 0.6),
+    (0.4, "n_lines", "coalesce(n_lines <= 6, FALSE)", 0.3, None, "TRUE", 1.0),
+    (0.2, "n_lines", "coalesce(n_lines > 6, TRUE)", 0.7, "lang", "lang_code <= 1", 0.6),
+    (-0.6, "n_lines", "coalesce(n_lines > 6, TRUE)", 0.7, "lang", "lang_code > 1", 0.4),
+    (-0.2, "source", "source_code <= 2", 0.5, "n_lines", "coalesce(n_lines <= 3, TRUE)", 0.6),
+    (0.8, "source", "source_code <= 2", 0.5, "n_lines", "coalesce(n_lines > 3, FALSE)", 0.4),
+    (0.2, "source", "source_code > 2", 0.5, None, "TRUE", 1.0)]
+
+
+def _leaf_sql(value, one, side_one, share_one, two, side_two, share_two):
+    second = f"'{two}'" if two else "NULL"
+    return (f"SELECT doc_id, {value} AS v, '{one}' AS f1, CAST({side_one} AS INTEGER) AS i1, {share_one} AS z1, {second} AS f2, "
+            f"CAST({side_two} AS INTEGER) AS i2, {share_two} AS z2 FROM x")
+
+
+MODEL_SQL = MODEL_ROWS + f""",
+leaves AS ({" UNION ALL ".join(_leaf_sql(*leaf) for leaf in MODEL_LEAVES)}),
+p AS (SELECT doc_id, 1 / (1 + exp(-sum(v * i1 * i2))) AS p FROM leaves GROUP BY doc_id),
+scored AS (SELECT x.*, p, CASE WHEN p <= 0.65 THEN 'Low' WHEN p <= 0.75 THEN 'Medium' ELSE 'High' END AS risk_tier FROM x JOIN p USING (doc_id)),
+names AS (SELECT unnest(['lang', 'source', 'n_chars', 'n_words', 'n_lines']) AS feature),
+phi AS (SELECT doc_id, f1 AS feature, v * (i1 - z1) * CASE WHEN f2 IS NULL THEN 1 ELSE (i2 + z2) / 2 END AS c FROM leaves
+        UNION ALL SELECT doc_id, f2, v * (i2 - z2) * (i1 + z1) / 2 FROM leaves WHERE f2 IS NOT NULL),
+contributions AS (SELECT doc_id, feature, sum(coalesce(c, 0)) AS c FROM x CROSS JOIN names LEFT JOIN phi USING (doc_id, feature) GROUP BY 1, 2)
+"""
+
+
+def _stored_model(spark, sf):
+    """The fixed model with the vocabulary of the labelled documents, stored and loaded again."""
+    root = scratch_path(spark, "fixed-model")
+    encoder = features.vocabulary_encoder(_documents(spark, sf), CATEGORICAL, root)
+    path = trees.stored_nodes(spark.createDataFrame(MODEL_NODES, trees.NODES), root)
+    PipelineModel([encoder, trees.TreeScorer(path=path, inputCols=INPUTS, logit=True)]).write().save(f"{root}/model")
+    return PipelineModel.load(f"{root}/model")
 
 
-@query("importance", "M19")
+@query("importance", "M19", f"""
+WITH {MODEL_SQL} SELECT feature, round(avg(abs(c)), 6) AS mean_abs_contribution FROM contributions GROUP BY feature
+""")
 def importance(spark, sf):
-    model = _trained(spark, sf, "random_forest").model
-    rows = _documents(spark, sf)
+    model, rows = _stored_model(spark, sf), _documents(spark, sf)
     names = [attribution.plain_name(n, CATEGORICAL + NUMERIC) for n in attribution.input_names(model, rows)]
     out = attribution.importance(attribution.attribute(model.transform(rows), model, KEY), names)
     return out.withColumn("mean_abs_contribution", F.round("mean_abs_contribution", 6))
 
 
-@query("drivers", "M24 W10 F28 F29 F32")
+def _scored(spark, sf):
+    return scoring.score_with_drivers(_stored_model(spark, sf), _documents(spark, sf), KEY, CATEGORICAL + NUMERIC)
+
+
+@query("drivers", "M24 W10 F28 F29 F32", f"""
+WITH {MODEL_SQL}, ranked AS (SELECT doc_id, feature, c, row_number() OVER (PARTITION BY doc_id ORDER BY -abs(round(c, 4)), feature) AS n
+  FROM contributions),
+said AS (SELECT *, CASE feature WHEN 'n_chars' THEN 'Text length' WHEN 'n_words' THEN 'Word count' WHEN 'n_lines' THEN 'Line count'
+  WHEN 'lang' THEN 'Lang' ELSE 'Source' END || CASE WHEN c > 1e-9 THEN ' (increases risk)' ELSE ' (decreases risk)' END AS words
+  FROM ranked WHERE n <= 3)
+SELECT doc_id, max(feature) FILTER (WHERE n = 1) AS top_driver_feature, max(CASE WHEN c > 1e-9 THEN 'increases_risk' ELSE
+  'decreases_risk' END) FILTER (WHERE n = 1) AS top_driver_direction, string_agg(words, '; ' ORDER BY n) AS sentence, CAST(count(*) AS
+  INTEGER) AS n_drivers FROM said GROUP BY doc_id
+""")
 def drivers(spark, sf):
     from linegauge.functions.nested import driver_sentence
 
-    _, scored = _scored(spark, sf)
     labels = {"n_chars": "Text length", "n_words": "Word count", "n_lines": "Line count"}
-    return scored.select(KEY, "top_driver_feature", "top_driver_direction",
-                         driver_sentence(F.col("drivers"), labels).alias("sentence"),
-                         F.size("drivers").alias("n_drivers"))
+    return _scored(spark, sf).select(KEY, "top_driver_feature", "top_driver_direction",
+                                     driver_sentence(F.col("drivers"), labels).alias("sentence"),
+                                     F.size("drivers").alias("n_drivers"))
 
 
-@query("score_batch", "M22 M23 S5 S6")
+@query("score_batch", "M22 M23 S5 S6", f"""
+WITH {MODEL_SQL} SELECT '2026' || lang AS period_label, risk_tier, count(*) AS n,
+  round(count(*) / sum(count(*)) OVER (PARTITION BY '2026' || lang), 6) AS share FROM scored GROUP BY 1, 2
+""")
 def score_batch(spark, sf):
     from linegauge.sources.sinks import write_partitioned
 
-    _, scored = _scored(spark, sf, "logistic_regression")
-    out = scored.select(KEY, "lang", "defect_probability", "risk_tier", "drivers", "top_driver_feature",
-                        F.col(LABEL).alias("actual_defect_flag"), F.concat(F.lit("2026"), "lang").alias("period_label"))
+    out = _scored(spark, sf).select(KEY, "lang", "defect_probability", "risk_tier", "drivers", "top_driver_feature",
+                                    F.col(LABEL).alias("actual_defect_flag"), F.concat(F.lit("2026"), "lang").alias("period_label"))
     path = write_partitioned(out, scratch_path(spark, "predictions"), "period_label")
     back = spark.read.parquet(path)
     return evaluate.tier_counts(back, "risk_tier", ["period_label"]).withColumn("share", F.round("share", 6))
 
 
-@query("validation_reference", "M21")
+@query("stored_scores", "M22", f"""
+WITH {MODEL_SQL} SELECT doc_id, round(p, 4) AS defect_probability, risk_tier FROM scored
+""")
+def stored_scores(spark, sf):
+    return scoring.score(_stored_model(spark, sf), _documents(spark, sf)).select(KEY, "defect_probability", "risk_tier")
+
+
+@query("validation_reference", "M21", f"""
+WITH {MODEL_SQL} SELECT round(p, 4) AS defect_probability, CAST(quality AS INTEGER) AS quality FROM scored WHERE held_out
+""")
 def validation_reference(spark, sf):
-    got = _trained(spark, sf, "random_forest")
     _, validation = _sides(spark, sf)
-    return scoring.validation_reference(got.model, validation, LABEL)
+    return scoring.validation_reference(_stored_model(spark, sf), validation, LABEL)
+
+
+@query("feature_export", "M3", """
+WITH r AS (SELECT o_orderkey, o_totalprice, o_orderdate, CASE WHEN o_orderdate < TIMESTAMP '1999-01-01' THEN 'train' WHEN
+  o_orderdate < TIMESTAMP '2000-07-01' THEN 'validation' ELSE 'test' END AS split, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y
+  FROM orders WHERE o_orderdate IS NOT NULL)
+SELECT split, CAST(2 AS BIGINT) AS version, count(*) AS n, count(*) AS n_listed, CAST(sum(o_orderkey) AS BIGINT) AS id_sum,
+  CAST(sum(y) AS BIGINT) AS n_positive, round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE), 2) AS value_sum, 3 AS n_features,
+  strftime(min(o_orderdate), '%Y-%m-%d') AS first_day, strftime(max(o_orderdate), '%Y-%m-%d') AS last_day FROM r GROUP BY split
+""")
+def feature_export(spark, sf):
+    """Feature rows exported twice as a snapshot, the second version read back by split: rows, features and time order."""
+    from linegauge.sources import snapshots
+
+    orders = table(spark, sf, "orders")
+    rows = orders.select("o_orderkey", "o_totalprice", "o_orderpriority", "o_orderdate", (F.col("o_orderstatus") == "F").cast("int").alias("y"),
+                         features.time_split("o_orderdate", "1998-12-31", "2000-06-30").alias("split"))
+    rows = rows.where("split IS NOT NULL")
+    root = scratch_path(spark, "feature-snapshots")
+    snapshots.export(rows.limit(0), root, "split")
+    snapshots.export(rows, root, "split")
+    back = snapshots.read(spark, root)
+    found = back.groupBy("split").agg(
+        F.count("*").alias("n"), F.sum("o_orderkey").alias("id_sum"), F.sum("y").alias("n_positive"),
+        F.round(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double"), 2).alias("value_sum"),
+        day(F.min("o_orderdate")).alias("first_day"), day(F.max("o_orderdate")).alias("last_day"))
+    listed = snapshots.manifest(spark, root).select("split", "version", F.col("n").alias("n_listed"))
+    n_features = len([c for c in back.columns if c not in ("o_orderkey", "y", "split")])
+    return found.join(listed, "split").withColumn("n_features", F.lit(n_features)).select(
+        "split", "version", "n", "n_listed", "id_sum", "n_positive", "value_sum", "n_features", "first_day", "last_day")
 
 
 @query("model_log", "M26 S12", f"""

@@ -123,27 +123,65 @@ def profile_long_texts(spark, sf):
     return case.unionByName(types)
 
 
-CONTENT = ["text", "lang", "source", "n_chars"]  # every column but the id
+CONTENT = ["text", "lang", "source", "n_chars"]  # every column of documents but the id
+LINE_CONTENT = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
-@query("profile_dups_exact", "R7", f"""
-WITH g AS (SELECT count(*) AS n FROM documents GROUP BY {', '.join(CONTENT)})
+def _exact_sql(name: str, content: list[str]) -> str:
+    return f"""
+WITH g AS (SELECT count(*) AS n FROM {name} GROUP BY {', '.join(content)})
 SELECT CAST(sum(n) AS BIGINT) AS total_rows, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS dup_rows,
        count(*) FILTER (WHERE n > 1) AS dup_groups,
        round(coalesce(sum(n) FILTER (WHERE n > 1), 0) * 100.0 / sum(n), 4) AS dup_pct
 FROM g
-""")
-def profile_dups_exact(spark, sf):
-    return profile.exact_duplicates(table(spark, sf, "documents"), CONTENT).withColumn("dup_pct", F.round("dup_pct", 4))
+"""
 
 
-@query("profile_dups_near", "R8", f"WITH m AS (SELECT *, count(*) OVER (PARTITION BY {', '.join(CONTENT)}) > 1 AS x "
-       "FROM documents) " + " UNION ALL ".join(f"""
+def _near_sql(name: str, content: list[str]) -> str:
+    return (f"WITH m AS (SELECT *, count(*) OVER (PARTITION BY {', '.join(content)}) > 1 AS x FROM {name}) " + " UNION ALL ".join(f"""
 SELECT * FROM (SELECT '{c}' AS differing_col, count(*) FILTER (WHERE s > 1 AND NOT x) AS dup_rows,
   round(count(*) FILTER (WHERE s > 1 AND NOT x) * 100.0 / count(*), 4) AS dup_pct FROM (SELECT x, count(*) OVER
-  (PARTITION BY {', '.join(o for o in CONTENT if o != c)}) AS s FROM m)) WHERE dup_rows > 0""" for c in CONTENT))
+  (PARTITION BY {', '.join(o for o in content if o != c)}) AS s FROM m)) WHERE dup_rows > 0""" for c in content))
+
+
+def _rounded_pct(df):
+    return df.withColumn("dup_pct", F.round("dup_pct", 4))
+
+
+@query("profile_dups_exact", "R7", _exact_sql("lineitem", LINE_CONTENT))
+def profile_dups_exact(spark, sf):
+    return _rounded_pct(profile.exact_duplicates(table(spark, sf, "lineitem"), LINE_CONTENT))
+
+
+@query("profile_dups_near", "R8", _near_sql("lineitem", LINE_CONTENT))
 def profile_dups_near(spark, sf):
-    return profile.near_duplicates(table(spark, sf, "documents"), CONTENT).withColumn("dup_pct", F.round("dup_pct", 4))
+    return _rounded_pct(profile.near_duplicates(table(spark, sf, "lineitem"), LINE_CONTENT))
+
+
+@query("content_dups_exact", "R7", _exact_sql("documents", CONTENT))
+def content_dups_exact(spark, sf):
+    return _rounded_pct(profile.exact_duplicates(table(spark, sf, "documents"), CONTENT))
+
+
+@query("content_dups_near", "R8", _near_sql("documents", CONTENT))
+def content_dups_near(spark, sf):
+    return _rounded_pct(profile.near_duplicates(table(spark, sf, "documents"), CONTENT))
+
+
+IGNORED = {"lineitem": ["l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey"],
+           "orders": ["o_orderkey", "o_orderdate", "o_totalprice"], "documents": ["doc_id"], "pages": ["page_id"]}
+KEPT = {"lineitem": ["l_quantity", "l_discount", "l_tax", "lower(trim(l_returnflag))", "lower(trim(l_linestatus))"],
+        "orders": ["o_custkey", "lower(trim(o_orderstatus))", "lower(trim(o_orderpriority))"],
+        "documents": ["lower(trim(text))", "lower(trim(lang))", "lower(trim(source))", "n_chars"],
+        "pages": ["lower(trim(url))", "lower(trim(html))"]}
+
+
+@query("duplicate_report", "R7 R12", " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", * FROM ({_exact_sql(t, kept)})" for t, kept in KEPT.items()))
+def duplicate_report(spark, sf):
+    """Identical content per table, keys and sequence columns left out, text compared without case."""
+    return _rounded_pct(profile.duplicate_report({t: table(spark, sf, t) for t in IGNORED}, IGNORED))
 
 
 @query("profile_dup_agreement", "R9 R11", """

@@ -102,6 +102,25 @@ def point_biserial(spark, sf):
     return out.select("column", F.round("r", 6).alias("r"), "n", F.round("t", 5).alias("t"))
 
 
+@query("biserial_p_value", "ST5", """
+WITH d AS (SELECT l.quality, d.n_chars, length(d.source) AS source_len FROM labels l JOIN documents d USING (doc_id)),
+r AS (SELECT 'n_chars' AS "column", corr(quality, n_chars) AS r, count(*) - 2 AS n FROM d UNION ALL
+  SELECT 'source_len', corr(quality, source_len), count(*) - 2 FROM d),
+a AS (SELECT "column", n, atan(abs(r) * sqrt(n / (1 - r * r)) / sqrt(n)) AS angle FROM r),
+k AS (SELECT "column", n, angle, unnest(range(0, n // 2)) AS k FROM a),
+f AS (SELECT *, CASE WHEN k = 0 THEN CASE WHEN n % 2 = 1 THEN ln(cos(angle)) ELSE 0 END WHEN n % 2 = 1 THEN
+  ln(cos(angle) * cos(angle) * 2 * k / (2 * k + 1)) ELSE ln(cos(angle) * cos(angle) * (2 * k - 1) / (2 * k)) END AS step FROM k),
+t AS (SELECT "column", n, angle, sum(exp(term)) AS total FROM (SELECT *, sum(step) OVER (PARTITION BY "column" ORDER BY k) AS term
+  FROM f) GROUP BY 1, 2, 3)
+SELECT "column", round(1 - CASE WHEN n % 2 = 1 THEN 2 / pi() * (angle + sin(angle) * total) ELSE sin(angle) * total END, 6) AS p FROM t
+""")
+def biserial_p_value(spark, sf):
+    """p-values at whole degrees of freedom, where SQL can add up the closed form."""
+    rows = table(spark, sf, "labels").join(
+        table(spark, sf, "documents").select("doc_id", "n_chars", F.length("source").alias("source_len")), "doc_id")
+    return stats.point_biserial(rows, "quality", ["n_chars", "source_len"]).select("column", F.round("p", 6).alias("p"))
+
+
 @query("categorical_signal", "ST10", """
 WITH d AS (SELECT quality, lang, source FROM labels JOIN documents USING (doc_id)),
 g AS (SELECT 'lang' AS "column", lang AS v, avg(quality) AS r FROM d GROUP BY 2 UNION ALL

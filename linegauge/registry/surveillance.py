@@ -8,6 +8,7 @@ from linegauge.operators import drift, monitoring
 from linegauge.operators.evaluate import tier_counts, risk_tier
 from linegauge.operators.quantiles import histogram
 from linegauge.registry.base import query, table
+from linegauge.session import scratch_path
 
 PERIODS = ["p2", "p3"]
 WITH_EMPTY = [*PERIODS, "p4"]  # a period without rows must not disturb the others
@@ -184,7 +185,7 @@ mt AS (SELECT pf.*, pd.* EXCLUDE (period_label), td.t, td.r, dn.* EXCLUDE (perio
 """
 
 
-@query("monitoring_table", "N6 N7 N8", f"""
+MONITORING_SQL = f"""
 WITH {MONITOR_SQL}, d AS (SELECT *, list_filter([CASE WHEN high_precision < 0.85 THEN 'High-tier precision ' ||
     format('{{:.1f}}', high_precision * 100) || '% below 85% floor' END, CASE WHEN abs(r - t) > 0.1 THEN
     'Defect rate shifted ' || format('{{:.1f}}', abs(r - t) * 100) || '% from training baseline (> 10%)' END],
@@ -197,11 +198,39 @@ SELECT period_label, high_flagged, high_precision, high_recall, medium_precision
   abs(r - t) > 0.1 AS target_drift_detected, n_features_monitored, n_features_drifted,
   CASE WHEN len(a) > 0 THEN 'RETRAIN' WHEN len(b) > 0 THEN 'INVESTIGATE' ELSE 'HEALTHY' END AS status,
   len(a) > 0 AS retrain_recommended, array_to_string(a || b, ' | ') AS reasons FROM d
-""")
+"""
+
+
+@query("monitoring_table", "N6 N7 N8", MONITORING_SQL)
 def monitoring_table(spark, sf):
     return _monitoring(spark, sf)
 
 
+def _frozen(spark, sf):
+    """The first period's profile, counted in two halves, merged, stored and read back."""
+    ref, cur = _sides(spark, sf)
+    halves = [monitoring.frozen_reference(part, part, "defect_flag", CATEGORICAL, NUMERIC, INTERACTION)
+              for part in (ref.where("hash(value) % 2 = 0"), ref.where("hash(value) % 2 <> 0"))]
+    path = scratch_path(spark, "frozen-reference")
+    drift.merged_counts(*halves).write.parquet(path)
+    return spark.read.schema(drift.PROFILE).parquet(path), cur
+
+
+@query("frozen_feature_drift", "N3 M21", f"WITH {EVENTS}, {DRIFT_SQL} SELECT * FROM fd")
+def frozen_feature_drift(spark, sf):
+    profile, cur = _frozen(spark, sf)
+    scores = drift.profile_scores(profile, cur, "period_label", PERIODS, CATEGORICAL, [*NUMERIC, *INTERACTION])
+    return drift.drift_table(scores, "period_label", CATEGORICAL, INTERACTION, limit=0.02)
+
+
+@query("frozen_monitoring", "N4 N7 N8 M21", MONITORING_SQL)
+def frozen_monitoring(spark, sf):
+    """The monitoring table without the reference rows."""
+    profile, cur = _frozen(spark, sf)
+    return monitoring.monitoring_table_of(profile, cur, cur, "period_label", WITH_EMPTY, "defect_flag", "defect_flag", CATEGORICAL, NUMERIC,
+                                          INTERACTION)
+
+
 @query("retraining_rules", "N12 N13", f"""
 WITH {MONITOR_SQL}, l AS (SELECT * FROM mt WHERE period_label = (SELECT max(period_label) FROM mt)),
 r AS (SELECT period_label, 'high_precision' AS layer, high_precision AS value, 0.85 AS lim, high_precision < 0.85 AS alert

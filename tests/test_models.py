@@ -6,7 +6,7 @@ import pytest
 from conftest import one
 from pyspark.sql import functions as F
 
-from linegauge.operators import attribution, drift, evaluate, features, monitoring, scoring, training
+from linegauge.operators import attribution, drift, evaluate, features, monitoring, scoring, training, trees
 
 
 def _sample(spark, n=200, seed=42):
@@ -59,6 +59,15 @@ def test_perfect_scores_and_undefined_cases(spark):
     assert one(evaluate.metrics(df.where("y = 1"), "s", "y"))["roc_auc"] is None
 
 
+def test_counts_beyond_64_bits_when_multiplied(spark):
+    big = spark.createDataFrame([(0.9, 4 * 10 ** 9, 10 ** 9), (0.1, 10 ** 9, 4 * 10 ** 9)], "score double, pos long, neg long")
+    import unittest.mock as mock
+
+    with mock.patch.object(evaluate, "score_counts", lambda *a: big):
+        m = one(evaluate.metrics(big.withColumn("y", F.lit(1)), "score", "y", ranges=0))
+    assert m["roc_auc"] == pytest.approx(0.8 * 0.8 + 0.5 * (0.8 * 0.2 + 0.2 * 0.8))
+
+
 def test_curves_and_calibration(spark):
     df = spark.createDataFrame([(0.1, 0), (0.1, 1), (0.4, 0), (0.9, 1)], "s double, y int")
     pr = {r["threshold"]: (r["precision"], r["recall"]) for r in evaluate.pr_curve(df, "s", "y").collect()}
@@ -101,35 +110,29 @@ def test_interactions_and_split(spark):
 def test_encoders_handle_unseen(spark):
     train = spark.createDataFrame([("b", 1.0), ("a", 3.0), ("b", 5.0)], "c string, x double")
     new = spark.createDataFrame([("a", 1.0), ("zz", 3.0), (None, 5.0)], "c string, x double")
-    vocab = features.categories(train, ["c"])
-    assert vocab == {"c": ["a", "b"]}
-    assert [r["c_code"] for r in features.with_ordinals(new, vocab).collect()] == [0.0, -1.0, -1.0]
-    tree = features.fit_stages(features.tree_stages(vocab, ["x"]), train).transform(new)
-    assert [list(r["features"].toArray()) for r in tree.collect()] == [[0, 1], [-1, 3], [-1, 5]]
+    assert [r["c_code"] for r in features.vocabulary_encoder(train, ["c"]).transform(new).orderBy("x").collect()] == [0.0, -1.0, -1.0]
     linear = features.fit_stages(features.linear_stages(["c"], ["x"]), train).transform(new)
     hot = [list(r["features"].toArray()) for r in linear.collect()]
     assert [h[:2] for h in hot] == [[1, 0], [0, 0], [0, 0]]
     assert hot[1][2] == pytest.approx(0.0)
-    long = spark.createDataFrame([("x" * 90 + str(i),) for i in range(20)], "c string")
-    codes = features.with_ordinals(long, features.categories(long, ["c"]))
-    assert sorted(r["c_code"] for r in codes.collect()) == [float(i) for i in range(20)]
-    two = {"c": ["a", "b"], "x": []}
-    assert [r["x_code"] for r in features.with_ordinals(train, two).collect()] == [-1.0] * 3
     z = [r["x_z"] for r in features.standardised(train, ["x"]).collect()]
     assert np.std(z) == pytest.approx(1.0)
     roles = {r["column"]: r["role"] for r in features.column_audit(train, ["gone"], ["x"], "c").collect()}
     assert roles == {"c": "target", "x": "non_predictive", "gone": "leakage"}
 
 
-def test_vocabulary_tables_give_the_codes_of_vocabularies(spark, monkeypatch):
-    known = spark.createDataFrame([(f"v{i * 37 % 501}", i % 3) for i in range(900)] + [(None, None), ("", 7), ("é" * 500, 1)], "c string, d int")
-    rows = known.unionByName(spark.createDataFrame([("new", 99)], "c string, d int"))
-    want = sorted(tuple(r) for r in features.with_ordinals(rows, features.categories(known, ["c", "d"])).fillna("none").fillna(-9).collect())
-    monkeypatch.setattr(features, "categories", None)
-    monkeypatch.setattr(features, "StringIndexerModel", None)
-    got = features.with_codes(rows, features.category_codes(known, ["c", "d"]), ["c", "d"])
-    assert sorted(tuple(r) for r in got.fillna("none").fillna(-9).collect()) == want
-
+def test_vocabularies_are_tables(spark, tmp_path):
+    known = [(f"v{i * 37 % 501}", i % 3) for i in range(900)] + [(None, None), ("", 7), ("é" * 500, 1), ("é" * 500 + "a", 1)]
+    rows = known + [("new", 99)]
+    encoder = features.vocabulary_encoder(spark.createDataFrame(known, "c string, d int"), ["c", "d"], str(tmp_path))
+    encoder.write().save(f"{tmp_path}/encoder")
+    frame = spark.createDataFrame(rows, "c string, d int").withColumn("value", F.lit("mine")).withColumn("code", F.lit(3))
+    got = features.VocabularyEncoder.load(f"{tmp_path}/encoder").transform(frame)
+    places = [{v: float(n) for n, v in enumerate(sorted({str(r[k]) for r in known if r[k] is not None}, key=str.encode))} for k in (0, 1)]
+    want = [(c, d, places[0].get(c, -1.0), places[1].get(str(d), -1.0)) for c, d in rows]
+    key = lambda r: tuple(map(repr, r))
+    assert sorted((tuple(r) for r in got.select("c", "d", "c_code", "d_code").collect()), key=key) == sorted(want, key=key)
+    assert features.vocabulary_encoder(frame, []).transform(frame).columns == frame.columns
 
 
 # -- training and attribution -------------------------------------------------------
@@ -138,7 +141,7 @@ SPACE = {
     "logistic_regression": {"C": ("log", 0.1, 10.0)},
     "random_forest": {"trees": ("int", 4, 6), "depth": ("int", 3, 3), "leaf": ("int", 1, 5), "subset": ("choice", ["sqrt"])},
     "boosted_trees": {"step": ("log", 0.1, 0.3), "depth": ("int", 2, 3), "sample": ("uniform", 0.8, 1.0),
-                      "leaf": ("int", 1, 5)},
+                      "columns": ("uniform", 0.6, 1.0), "leaf": ("int", 1, 5)},
 }
 
 
@@ -146,7 +149,7 @@ SPACE = {
 def trained(spark):
     df = _sample(spark, 600).cache()
     train, valid = df.where("id < 400"), df.where("id >= 400")
-    return df, valid, {f: training.tune(train, valid, "y", f, ["complexity"], ["x", "qty"], trials=2, rounds=6,
+    return df, valid, {f: training.tune(train, valid, "y", f, ["complexity"], ["x", "qty"], trials=2, rounds=4,
                                         space=SPACE[f]) for f in SPACE}
 
 
@@ -170,37 +173,127 @@ def test_search_is_reproducible(spark, trained):
 
 
 def _expectation(rules, x, known):
-    """Value of the path-dependent game: unknown features follow the cover shares."""
+    """Value of the path-dependent game: unknown inputs follow the cover shares."""
     total = 0.0
     for value, path in rules:
         p = 1.0
-        for f, (low, high, share) in path.items():
-            p *= float(low < x[f] <= high) if f in known else share
+        for f, (low, high, missing, share) in path.items():
+            p *= share if f not in known else float(missing) if math.isnan(x[f]) else float(low < x[f] <= high)
         total += value * p
     return total
 
 
-@pytest.mark.parametrize("family", ["random_forest", "boosted_trees"])
-def test_tree_attribution_equals_subset_enumeration(trained, family):
-    df, _, found = trained
-    model = found[family].model
-    rules = attribution.ensemble_rules(model.stages[-1])
-    rows = model.transform(df.limit(8)).select("features", "probability").collect()
-    x = np.array([r["features"].toArray() for r in rows])
+def _inputs(model, df):
+    scorer = model.stages[-1]
+    rows = model.transform(df).select("probability", *scorer.getInputCols()).collect()
+    x = np.array([[np.nan if r[c] is None else r[c] for c in scorer.getInputCols()] for r in rows], float)
+    return scorer, x, [r["probability"][1] for r in rows]
+
+
+def _assert_shapley(scorer, x, probabilities):
+    rules = attribution.ensemble_rules(scorer)
     got = attribution.leaf_contributions(x, rules)
     d = x.shape[1]
-    for i in range(len(rows)):
+    for i in range(len(x)):
         for f in range(d):
             others = [j for j in range(d) if j != f]
             want = sum(math.factorial(len(s)) * math.factorial(d - len(s) - 1) / math.factorial(d)
                        * (_expectation(rules, x[i], {*s, f}) - _expectation(rules, x[i], set(s)))
                        for k in range(d) for s in itertools.combinations(others, k))
             assert got[i, f] == pytest.approx(want, abs=1e-9)
-        p = rows[i]["probability"][1]
-        scale = math.log(p / (1 - p)) if family == "boosted_trees" else p
+        p = probabilities[i]
+        scale = math.log(p / (1 - p)) if scorer.getOrDefault("logit") else p
         assert got[i].sum() + _expectation(rules, x[i], set()) == pytest.approx(scale, abs=1e-6)
 
 
+@pytest.mark.parametrize("family", ["random_forest", "boosted_trees"])
+def test_tree_attribution_equals_subset_enumeration(trained, family):
+    df, _, found = trained
+    _assert_shapley(*_inputs(found[family].model, df.limit(8)))
+
+
+# -- trees as tables ----------------------------------------------------------------
+
+def _with_gaps(spark, n=400):
+    """y depends on whether x is missing, and on its being exactly 0 the other way round."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(n):
+        x = [None, 0.0, float(rng.normal()), float("nan")][i % 4]
+        p = 0.9 if x is None or x != x else 0.1 if x == 0 else 0.5 + 0.3 * (x > 0)
+        rows.append((i, str(rng.choice(["a", "b"])), x, float(i % 5), int(rng.random() < p)))
+    return spark.createDataFrame(rows, "id long, c string, x double, q double, y int")
+
+
+@pytest.mark.parametrize("family", ["random_forest", "boosted_trees"])
+def test_missing_numbers_are_no_zeros(spark, tmp_path, family):
+    df = _with_gaps(spark).cache()
+    space = {**SPACE[family], "leaf": ("int", 1, 1), "subset": ("choice", ["0.5"]), "trees": ("int", 8, 8)}
+    got = training.tune(df, df, "y", family, ["c"], ["x", "q"], trials=1, rounds=5, space=space, root=str(tmp_path / "tables"))
+    got.model.write().save(str(tmp_path / "model"))
+    model = type(got.model).load(str(tmp_path / "model"))
+    mean = {r["kind"]: r["p"] for r in training.probability(model.transform(df)).groupBy(
+        F.when(F.col("x").isNull() | F.isnan("x"), "missing").when(F.col("x") == 0, "zero").otherwise("other").alias("kind")).agg(
+        F.avg("probability_1").alias("p")).collect()}
+    assert mean["missing"] > 0.55 and mean["zero"] < mean["missing"] - 0.15
+    scorer, x, p = _inputs(model, df.where("id < 8"))
+    assert np.isnan(x[:, 1]).sum() == 4
+    _assert_shapley(scorer, x, p)
+    scored = scoring.score_with_drivers(model, df, "id", ["c", "x", "q"])
+    tops = {r["top_driver_feature"] for r in scored.where("x IS NULL").select("top_driver_feature").collect()}
+    assert tops == {"x"}
+    assert {d["feature"] for d in scored.first()["drivers"]} == {"c", "x", "q"}
+
+
+def test_node_tables_score_like_the_forest_they_come_from(spark):
+    df = _sample(spark, 300).cache()
+    prep = training.Preparation(df, "random_forest", ["complexity"], ["x", "qty"])
+    vectors = prep.vectors(df).withColumn("y", F.col("y").cast("double"))
+    fitted = training.forest({"trees": 7, "depth": 6, "leaf": 2, "subset": "sqrt"}).fit(vectors)
+    want = {r["id"]: r["probability_1"] for r in training.probability(fitted.transform(vectors)).collect()}
+    got = training.probability(prep.forest_model(spark, fitted).transform(df)).collect()
+    assert {r["id"]: r["probability_1"] for r in got} == pytest.approx(want)
+
+
+def _margins(rows, x):
+    """Running sums after every tree, walked node by node."""
+    out, total = [], 0.0
+    for number in sorted({r[0] for r in rows}):
+        nodes = {r[1]: r for r in rows if r[0] == number}
+        at = nodes[0]
+        while at[2] is not None:
+            v = x[at[2]]
+            at = nodes[at[5] if (at[4] if v is None or v != v else v <= at[3]) else at[6]]
+        total += at[7]
+        out.append(total)
+    return out
+
+
+def test_boosting_ends_at_the_best_round(spark):
+    df = _with_gaps(spark, 300)
+    prep = training.Preparation(df, "boosted_trees", ["c"], ["x", "q"])
+    rows = prep.vectors(df).withColumns({"y": F.col("y").cast("double"), "weight": F.lit(1.0), "held_out": F.col("id") % 3 == 0}).cache()
+    params = {"step": 0.5, "depth": 3, "sample": 0.9, "columns": 0.7, "leaf": 2}
+    every, aucs = trees.boost(rows, params, prep.slots, 8, 8)
+    held = rows.where("held_out").select("c_code", "x", "q", "y").collect()
+    full, _ = trees.boost(rows, params, prep.slots, 8, None)
+    sums = [_margins(full, r[:3]) for r in held]
+    want = [_auc([s[n] for s in sums], [r["y"] for r in held]) for n in range(8)]
+    assert aucs == pytest.approx(want)
+    best = max(range(8), key=lambda n: (want[n], -n))
+    assert max(r[0] for r in every) == best and every == [r for r in full if r[0] <= best]
+    short, _ = trees.boost(rows, params, prep.slots, 8, 2)
+    assert max(r[0] for r in short) == trees.best_round(want, 2)[0]
+    used = [{r[2] for r in full if r[0] == n and r[2] is not None} for n in range(8)]
+    assert all(len(u) <= 2 for u in used) and set().union(*used) == {0, 1, 2}
+
+
+def test_patience():
+    assert trees.best_round([0.5, 0.6, 0.6, 0.55, 0.9], 2) == (1, True)
+    assert trees.best_round([0.5, 0.6, 0.6, 0.55, 0.9], 4) == (4, False)
+    assert trees.best_round([], 3) == (0, False)
+
+
 def test_drivers_of_a_linear_model(trained):
     df, _, found = trained
     model = found["logistic_regression"].model
@@ -241,15 +334,28 @@ def test_auc_uses_raw_scores(spark):
     assert training.auc(df, "y") == pytest.approx(want)
 
 
-def test_learning_curve(spark):
-    out = training.learning_curve(_sample(spark, 400), "id", "y", "boosted_trees",
-                                  {"step": 0.2, "depth": 2, "sample": 1.0, "leaf": 1}, ["complexity"], ["x", "qty"],
-                                  sizes=[0.5, 1.0], folds=2).collect()
-    assert [r["size"] for r in out] == [0.5, 1.0]
-    assert out[0]["train_size"] < out[1]["train_size"]
+@pytest.mark.parametrize("family", list(SPACE))
+def test_learning_curve(spark, family):
+    params = {"C": 1.0, "step": 0.2, "depth": 2, "sample": 1.0, "leaf": 1, "trees": 3, "subset": "sqrt"}
+    out = training.learning_curve(_sample(spark, 300), "id", "y", family, params, ["complexity"], ["x", "qty"],
+                                  sizes=[0.5, 1.0], folds=2, rounds=2).collect()
+    assert [(r["size"], r["train_size"]) for r in out] == [(0.5, 75.0), (1.0, 150.0)]
     assert all(0 <= r["val_roc_auc"] <= 1 for r in out)
 
 
+@pytest.mark.parametrize("ranges", [1, 9])
+def test_folds_keep_class_shares_and_prefixes_are_exact(spark, ranges):
+    rows = [(i // 2 if i < 40 else i, int(i % 7 == 0)) for i in range(301)] + [(None, 1)]
+    got = [r.asDict() for r in training.class_folds(spark.createDataFrame(rows, "id long, y int"), "id", "y", 3, ranges).collect()]
+    assert len(got) == len(rows)
+    for y in (0, 1):
+        sizes = [sum(r["y"] == y and r["fold"] == f for r in got) for f in range(3)]
+        assert max(sizes) - min(sizes) <= 1 and sizes == sorted(sizes, reverse=True)
+    for f in range(3):
+        places = sorted(r[f"place_{f}"] for r in got if r["fold"] != f)
+        assert places == list(range(len(places))) and all(r[f"place_{f}"] is None for r in got if r["fold"] == f)
+
+
 # -- drift and monitoring -----------------------------------------------------------
 
 def _periods(spark):

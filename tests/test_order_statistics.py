@@ -1,11 +1,14 @@
 """Operators that avoid a global order must equal the plain computation, hot keys included."""
 
+import math
+from bisect import bisect_right
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from linegauge.operators import dedup, quantiles
-from linegauge.operators.prefix import range_number, running_sums
+from linegauge.operators.prefix import range_number, running_sums, split_points
 
 
 def _skewed(n=4000, seed=1):
@@ -53,10 +56,28 @@ def test_running_sums_equal_plain_accumulation(spark, ranges):
 
 
 def test_range_number_of_many_cuts(spark):
-    cuts = [float(i) for i in range(511)]
-    df = spark.range(-2, 520).select(F.col("id").cast("double").alias("v"))
-    got = {r["v"]: r["r"] for r in df.select("v", range_number("v", cuts).alias("r")).collect()}
-    assert all(r == min(max(int(v) + 1, 0), 511) for v, r in got.items())
+    df = spark.createDataFrame([(v / 2,) for v in range(-4, 9000)] + [(float("inf"),), (float("-inf"),), (float("nan"),), (None,)], "v double")
+    for n in (0, 1, 2, 3, 7, 8, 511, 4001):
+        cuts = [float(i) for i in range(n)]
+        for r in df.select("v", range_number("v", cuts).alias("r")).collect():
+            above = r["v"] is None or math.isnan(r["v"])
+            assert r["r"] == (n if above else bisect_right(cuts, r["v"])), (n, r)
+
+
+def test_a_range_number_is_as_short_for_many_cuts_as_for_few(spark):
+    df = spark.range(5).select(F.col("id").cast("double").alias("v"))
+    nodes = lambda n: df.select(range_number("v", [float(i) for i in range(n)]).alias("r"))._jdf.queryExecution().analyzed().toString().count("CASE")
+    assert nodes(4000) == nodes(10) == 1
+
+
+def test_split_points_cut_into_even_parts(spark):
+    values = spark.range(0, 40_000, 1, 300).select((F.col("id") * F.col("id")).cast("double").alias("v"))
+    cuts = split_points(values, "v", 50)
+    assert len(cuts) == 49 and cuts == sorted(cuts)
+    sizes = values.groupBy(range_number("v", cuts).alias("r")).count().collect()
+    assert len(sizes) == 50 and max(r["count"] for r in sizes) < 2 * 800
+    assert split_points(values.limit(0), "v", 5) == [] and split_points(values, "v", 1) == []
+    assert split_points(values.select(F.lit(None).cast("double").alias("v")), "v", 5) == []
 
 
 def test_box_stats_and_histogram(spark):

@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from linegauge import session
-from linegauge.sources import readers, runlog, sinks
+from linegauge.sources import readers, runlog, sinks, snapshots
 
 
 def test_partitions_are_replaced_one_by_one(spark, tmp_path):
@@ -70,3 +70,32 @@ def test_lineage_is_cut_in_reliable_storage(spark):
     assert "Scan ExistingRDD" in df._jdf.queryExecution().toString()
     a, b = session.scratch_path(spark, "x"), session.scratch_path(spark, "x")
     assert a != b and "/linegauge/x-" in a
+
+
+def test_snapshots_are_seen_whole(spark, tmp_path):
+    root = str(tmp_path / "features")
+    rows = spark.createDataFrame([(1, "train", 2.0), (2, "train", None), (3, "07", 1.5)], "id long, split string, x double")
+    with pytest.raises(FileNotFoundError):
+        snapshots.read(spark, root)
+    assert snapshots.export(rows, root) == 1 and snapshots.export(rows.where("id < 3"), root) == 2
+    assert snapshots.export(rows.limit(0), root) == 3
+    assert snapshots.read(spark, root).isEmpty() and snapshots.manifest(spark, root).isEmpty()
+    assert set(snapshots.read(spark, root).columns) == {"id", "split", "x"}
+    listed = {r["split"]: r["n"] for r in snapshots.manifest(spark, root, 1).collect()}
+    assert listed == {"train": 2, "07": 1}
+    assert snapshots.read(spark, root, version=2).count() == 2
+    assert [r["id"] for r in snapshots.read(spark, root, part="07", version=1).collect()] == [3]
+    plan = snapshots.read(spark, root, part="07", version=1)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(split" in plan
+    for version in (1, 2, 3):
+        snapshots.verify(spark, root, version=version)
+    # a writer that stopped before its manifest
+    rows.write.partitionBy("split").parquet(f"{root}/data-unfinished")
+    assert snapshots.read(spark, root, version=2).count() == 2
+    folder = snapshots._manifests(spark, root).where("version = 2").first()["folder"]
+    rows.where("id = 1").write.mode("append").partitionBy("split").parquet(f"{root}/{folder}")
+    with pytest.raises(snapshots.BrokenSnapshot):
+        snapshots.verify(spark, root, version=2)
+    with pytest.raises(ValueError):
+        snapshots.export(rows.withColumn("split", F.when(F.col("id") > 1, F.col("split"))), root)
+    assert snapshots.read(spark, root).isEmpty()
