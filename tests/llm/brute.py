@@ -7,6 +7,7 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import xxhash
 
 FOLD = {i: i + 32 for i in range(65, 91)}
@@ -226,3 +227,88 @@ def base_scores(docs):
     n, v = sum(counts.values()), len(counts)
     return [(held_out(d["doc_id"]), len(t), sum(1 for x in t if counts[x]), n,
              sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in t)) for d, t in zip(docs, own)]
+
+
+M32 = (1 << 32) - 1
+
+
+def spread32(h):
+    h ^= h >> 15
+    h = h * 0x2C1B3C6D & M32
+    h ^= h >> 13
+    h = h * 0x297A2D39 & M32
+    return h ^ h >> 16
+
+
+def text_decisions(codes):
+    """(place, bit, slots of three orders) of every token of a text of 12-bit codes; slots as keys."""
+    out = []
+    for i, code in enumerate(codes):
+        one, two = (codes[i - 1] + 1 if i > 0 else 0), (codes[i - 2] + 1 if i > 1 else 0)
+        h1 = spread32((one * 0x9E3779B1 + 1) & M32)
+        h2 = spread32(h1 ^ (two * 0xC2B2AE35 + 0x27D4EB2F & M32))
+        row = []
+        for place in range(12):
+            group, j = divmod(place, 4)
+            begun = (code >> 4 * (3 - group)) + (0, 1, 17)[group]
+            node = 1 << j | (code >> 4 * (2 - group) & 15) >> (4 - j)
+            line = [spread32(h + begun * 0x85EBCA6B & M32) >> 14 for h in (h1, h2)]
+            row.append((place, code >> (11 - place) & 1, [("a", begun, node), ("b", line[0], node), ("c", line[1], node)]))
+        out.append(row)
+    return out
+
+
+def mixed_scores(docs):
+    """log10 probability of every document by the mixed model, one decision after the other."""
+    counts = Counter()
+    own = [[*tokens(low(d["text"])), ""] for d in docs]
+    for d, t in zip(docs, own):
+        if not held_out(d["doc_id"]):
+            counts.update(t)
+    number = {t: i for i, (t, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))) if i < 3072}
+    code = lambda t: number.get(t, 3072 + zlib.crc32(t.encode()) % 1024)
+    mass = Counter()
+    for t, n in counts.items():
+        mass[code(t)] += n + 1
+    laid = [text_decisions([code(x) for x in t]) for t in own]
+    seen = defaultdict(lambda: [0, 0])
+    for d, rows in zip(docs, laid):
+        if not held_out(d["doc_id"]):
+            for row in rows:
+                for _, bit, slots in row:
+                    for k in slots:
+                        seen[k][bit] += 1
+    for c in seen.values():
+        most = max(c)
+        if most > 255:
+            c[:] = [max(x * 255 // most, int(x > 0)) for x in c]
+    logit = lambda c: math.log((c[1] + 0.4) / (c[0] + 0.4))
+    sure = lambda c: int(sum(c) > 0) + int(sum(c) >= 8)
+    slope, bend = defaultdict(lambda: np.zeros(3)), defaultdict(lambda: np.eye(3))
+    for d, rows in zip(docs, laid):
+        for row in rows if not held_out(d["doc_id"]) else ():
+            for place, bit, slots in row:
+                left = [[seen[k][0] - (bit == 0), seen[k][1] - bit] for k in slots]
+                x = np.array([logit(c) for c in left])
+                p = 1 / (1 + math.exp(-0.4 * x.sum()))
+                gate = place, sure(left[1]), sure(left[2])
+                slope[gate] += (bit - p) * x
+                bend[gate] += p * (1 - p) * np.outer(x, x)
+    start = {}
+    for gate in slope:
+        step = np.linalg.solve(bend[gate], slope[gate])
+        start[gate] = 0.4 + step / max(1.0, np.abs(step).max())
+    out = []
+    for t, rows in zip(own, laid):
+        weights, total = {}, 0.0
+        for row in rows:
+            for place, bit, slots in row:
+                gate = place, sure(seen[slots[1]]), sure(seen[slots[2]])
+                w = weights.setdefault(gate, start.get(gate, np.full(3, 0.4)).copy())
+                x = np.array([logit(seen[k]) for k in slots])
+                p = 1 / (1 + math.exp(-float(w @ x)))
+                total += math.log10(p if bit else 1 - p)
+                w += 0.02 * (bit - p) * x
+        total += sum(math.log10((counts[x] + 1) / (mass[code(x)] + 1)) for x in t if x not in number)
+        out.append(total)
+    return out

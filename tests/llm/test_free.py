@@ -216,6 +216,33 @@ def test_fingerprint_of_a_text_longer_than_a_block():
 # --- language model
 
 
+def corpus(n=260, seed=12):
+    """Documents with regular parts, copies, tokens beyond the symbols, and tokens of held-out documents only."""
+    rng = random.Random(seed)
+    usual = [f"w{i}" for i in range(60)]
+    phrase = "the quick brown fox jumps over the lazy dog".split()
+    docs = []
+    for i in range(n):
+        words = []
+        for _ in range(rng.randrange(9)):
+            words += rng.choice(([rng.choice(usual)], phrase, [f"rare{rng.randrange(4000)}" for _ in range(3)], [f"own{i}"]))
+        docs.append({"doc_id": i, "text": " ".join(words)})
+    return docs + [{"doc_id": 1, "text": docs[1]["text"]}, {"doc_id": None, "text": "the quick"}, {"doc_id": 900, "text": None},
+                   {"doc_id": 901, "text": " ".join(f"many{i}" for i in range(3500))}, {"doc_id": 902, "text": "w1 " * 400}]
+
+
+def test_scores_are_those_of_the_model(spark):
+    docs = corpus()
+    frame = spark.createDataFrame([(d["doc_id"], d["text"]) for d in docs], "doc_id bigint, text string").withColumn("codes", F.lit("mine"))
+    want = list(zip(docs, brute.base_scores(docs), brute.mixed_scores(docs)))
+    for rows in (frame.repartition(1), frame.repartition(7)):
+        got = ordered(tuple(r) for r in mixlm.score(rows).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6),
+                                                                   F.round("score", 2)).collect())
+        assert len(got) == len(docs)
+        for g, w in zip(got, ordered((d["doc_id"], *b[:-1], round(b[-1], 6), m) for d, b, m in want)):
+            assert g[:-1] == w[:-1] and g[-1] == pytest.approx(w[-1], rel=1e-4, abs=0.02)
+
+
 def test_base_scores(odd, odd_texts, nothing):
     docs = [dict(zip(odd.columns, r)) for r in odd_texts]
     got = mixlm.score(odd.withColumn("mixed", F.lit("mine"))).select(
@@ -224,11 +251,18 @@ def test_base_scores(odd, odd_texts, nothing):
     assert mixlm.score(nothing).isEmpty()
 
 
+def test_without_training_documents_every_decision_is_even(spark):
+    alone = next(i for i in range(100) if brute.held_out(i))
+    row = mixlm.score(spark.createDataFrame([(alone, "a b c")], "doc_id bigint, text string")).first()
+    assert (row.train_tokens, row.n_known, row.score) == (0, 0, pytest.approx(-4 * 12 * np.log10(2)))
+
+
 @needs_tables
 def test_rare_tokens_are_joined(spark, monkeypatch):
     docs = documents(spark, SF)
+    monkeypatch.setattr(mixlm, "SYMBOLS", 64)
     whole = {r.doc_id: r for r in mixlm.score(docs).collect()}
-    monkeypatch.setattr(mixlm, "FREQUENT", 4 * mixlm.SYMBOLS)
+    monkeypatch.setattr(mixlm, "FREQUENT", 300)
     for r in mixlm.score(docs).collect():
         assert r.n_known == whole[r.doc_id].n_known
         assert (r.base_score, r.score) == pytest.approx((whole[r.doc_id].base_score, whole[r.doc_id].score), abs=1e-5)
@@ -243,72 +277,56 @@ def test_frequent_tokens_are_bounded(spark):
         assert len(got) == min(most, 2000) or len({n for _, n in every[len(got):most + 1]}) <= most / 4
 
 
+def a_table(seed=1):
+    return np.random.default_rng(seed).integers(0, 1 << 16, mixlm.LINE * mixlm.LINES, dtype=np.uint16)
+
+
+def alone(codes, table):
+    codes = np.asarray(codes, np.uint16)
+    return mixlm.mixed_log2(codes, np.array([0, codes.size]), table)[0]
+
+
 def test_probabilities_add_up():
-    rng = np.random.default_rng(1)
-    logit = rng.normal(0, 2, mixlm.SLOTS).astype(np.float32)
-    sure = rng.integers(0, 3, mixlm.SLOTS).astype(np.uint8)
-    before = [5, 0, 17]
-    every = np.concatenate([[*before, s] for s in range(mixlm.SYMBOLS + 1)])
-    bits = mixlm.mixed_log2(every, np.arange(0, every.size, 4), logit, sure)
-    alone = mixlm.mixed_log2(np.array(before), np.array([0]), logit, sure)[0]
-    assert np.exp2(bits - alone).sum() == pytest.approx(1.0, abs=1e-5)
-
-
-def test_tokens_outside_the_symbols_are_coded_in_their_contexts():
-    rng = np.random.default_rng(6)
-    logit, sure = rng.normal(0, 2, mixlm.SLOTS).astype(np.float32), rng.integers(0, 3, mixlm.SLOTS).astype(np.uint8)
-    word = lambda h: mixlm.SYMBOLS + 1 + (h << 24)
-    price = lambda *codes: mixlm.mixed_log2(np.array(codes), np.array([0]), logit, sure, 8)[0]
-    other = [price(3, word(h)) for h in range(256)]
-    assert np.exp2(np.array(other) - price(3, 0)).sum() == pytest.approx(1.0, abs=1e-5)
-    assert price(3, word(5)) - price(3) != pytest.approx(price(word(9), word(5)) - price(word(9)), abs=1e-3)
-    assert price(word(8), word(5)) - price(word(8)) != pytest.approx(price(word(9), word(5)) - price(word(9)), abs=1e-3)
-
-
-def test_documents_do_not_affect_each_other():
-    rng = np.random.default_rng(2)
-    logit, sure = rng.normal(0, 2, mixlm.SLOTS).astype(np.float32), rng.integers(0, 3, mixlm.SLOTS).astype(np.uint8)
-    texts = [rng.integers(0, 30, n) for n in (1, 2, 70, 500, 3, 64, 65)]
-    starts = np.cumsum([0, *map(len, texts[:-1])])
-    together = mixlm.mixed_log2(np.concatenate(texts), starts, logit, sure)
-    assert together == pytest.approx([mixlm.mixed_log2(t, np.array([0]), logit, sure)[0] for t in texts], rel=1e-6)
+    table, before = a_table(), [5, 0, 4017]
+    total = sum(np.exp2(alone([*before, c], table) - alone(before, table)) for c in range(mixlm.CODES))
+    assert total == pytest.approx(1.0, abs=1e-3)
+
+
+def test_documents_do_not_affect_each_other(monkeypatch):
+    rng, table = np.random.default_rng(2), a_table(2)
+    texts = [rng.integers(0, mixlm.CODES, n).astype(np.uint16) for n in (1, 2, 70, 500, 3, 64, 65, 1)]
+    bounds = np.cumsum([0, *map(len, texts)])
+    want = [alone(t, table) for t in texts]
+    for tokens in (1, 40, 10_000):
+        monkeypatch.setattr(mixlm, "GROUP_TOKENS", tokens)
+        assert mixlm.mixed_log2(np.concatenate(texts), bounds, table) == pytest.approx(want, rel=1e-5)
 
 
 def test_refining_weights_helps_on_a_regular_text(monkeypatch):
-    logit = np.random.default_rng(4).normal(0, 1, mixlm.SLOTS).astype(np.float32)
-    sure = np.ones(mixlm.SLOTS, np.uint8)
     text = np.tile([3, 9, 27], 700)
-    refined = mixlm.mixed_log2(text, np.array([0]), logit, sure)[0]
+    refined = alone(text, a_table(4))
     monkeypatch.setattr(mixlm, "RATE", 0.0)
-    assert refined > mixlm.mixed_log2(text, np.array([0]), logit, sure)[0]
-
-
-def test_weights_are_refined_after_every_token():
-    rng = np.random.default_rng(8)
-    logit, sure = rng.normal(0, 2, mixlm.SLOTS).astype(np.float32), rng.integers(0, 3, mixlm.SLOTS).astype(np.uint8)
-    text = rng.integers(0, 6, 40)
-    _, depth, bit, slots = mixlm.decisions(text, np.array([0]), 16, mixlm.SLOT_BITS)
-    token = mixlm.decisions(text, np.array([0]), 16, mixlm.SLOT_BITS)[0]
-    weights, want = np.full((mixlm.GATES, 3), mixlm.START_WEIGHT), 0.0
-    for n in range(bit.size):
-        gate, x = (int(depth[n]) * 3 + sure[slots[1, n]]) * 3 + sure[slots[2, n]], logit[slots[:, n]]
-        z = float(weights[gate] @ x)
-        want -= np.log2(1 + np.exp(-z if bit[n] else z))
-        weights[gate] += mixlm.RATE * (bit[n] - 1 / (1 + np.exp(-z))) * x
-    assert token[-1] == 39 and mixlm.mixed_log2(text, np.array([0]), logit, sure)[0] == pytest.approx(want, abs=1e-3)
-
-
-def test_start_weights_are_learned_from_all_training_documents(spark):
-    docs = spark.createDataFrame([(i, f"a b w{i % 7} a b c{i}") for i in range(300)], "doc_id bigint, text string")
-    tops = [("a", 600), ("b", 600), ("", 300), *((f"w{i}", 43) for i in range(7))]
-    ranks, codes = (spark.sparkContext.broadcast(v) for v in (
-        {t.encode(): i for i, (t, _) in enumerate(tops)}, np.array([*range(1, len(tops) + 1), 0], np.int64)))
-    table = mixlm.slot_table(mixlm.slot_counts(docs, ranks, codes, 8, mixlm.SLOT_BITS), mixlm.SLOT_BITS)
-    assert table[:, 0].tolist() == [300, 1800]
-    tables = spark.sparkContext.broadcast(table)
-    found = [mixlm.learned_weights(mixlm.gate_sums(docs.repartition(n), ranks, codes, tables, 8, mixlm.SLOT_BITS)) for n in (1, 5)]
-    assert found[0] == pytest.approx(found[1], abs=1e-5) and (found[0] != np.float32(mixlm.START_WEIGHT)).any()
-    assert (found[0][9 * (mixlm.BITS + 9):] == np.float32(mixlm.START_WEIGHT)).all()
+    assert refined > alone(text, a_table(4))
+
+
+def test_counts_are_kept_in_proportion():
+    got = mixlm.scaled(np.array([[0, 0], [255, 3], [256, 1], [10 ** 12, 10 ** 6], [5 * 10 ** 9, 10 ** 10]]))
+    assert [divmod(int(x), 256) for x in got] == [(0, 0), (255, 3), (255, 1), (255, 1), (127, 255)]
+
+
+def test_slot_counts_are_merged_in_steps(spark, monkeypatch):
+    docs = corpus(60)
+    codes = [(bytearray(np.array([i * 7 % 4096 for i in range(len(d["text"] or "") + 1)], np.uint16).tobytes()),) for d in docs]
+    rows = spark.createDataFrame(codes, "codes binary")
+    whole = mixlm.slot_table(mixlm.slot_counts(rows.repartition(1)))
+    assert whole.any()
+    monkeypatch.setattr(mixlm, "MERGED", 2)
+    assert (mixlm.slot_table(mixlm.slot_counts(rows.repartition(16))) == whole).all()
+
+
+def test_shared_lines(spark):
+    rows = spark.createDataFrame([(bytearray(np.array(c, np.uint16).tobytes()),) for c in ([1, 2, 3], [1, 2, 3], [9], [])], "codes binary")
+    assert mixlm.shared_lines(rows) == (2, 2)
 
 
 @needs_tables
