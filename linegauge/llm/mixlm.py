@@ -14,7 +14,7 @@ Texts are coded once and their codes stored; counting, learning and scoring read
 per token come from all training documents and are shuffled by token; the ``FREQUENT`` most frequent
 ones are also sent to the tasks, and only the rest is joined, so no frequent word becomes a hot key.
 
-The contexts of an order have 2 ** ``LINE_BITS`` lines of 16 slots (the ways through four bits), two
+The contexts of an order have 2 ** ``LINE_BITS`` lines of 32 slots (the ways through five bits), two
 bytes a slot, sent to all tasks: contexts that hash to the same line share its counts, and share more
 as the corpus grows. ``shared_lines`` measures how many do. Counts of a slot are exact while they are
 gathered and kept in proportion, up to 255, when sent. Documents start from the same weights and do
@@ -41,22 +41,22 @@ from pyspark.sql import functions as F
 from linegauge.llm.common import stored
 
 FOLDS, HELD_OUT = 7, 2
-#: A code is three groups of four bits; each group has a line of 16 slots in every context.
-GROUPS, GROUP_BITS = 3, 4
+#: A code is two groups of five bits; each group has a line of 32 slots in every context.
+GROUPS, GROUP_BITS = 2, 5
 BITS = GROUPS * GROUP_BITS
 CODES = 1 << BITS
-SYMBOLS = 3072
+SYMBOLS = 768
 FREQUENT = 1 << 17
-LINE_BITS = 18
+LINE_BITS = 17
 LINE = 1 << GROUP_BITS
 #: Lines of the context of no token, one for every beginning of a code, and where each group's lines start.
-FIRST_LINES = [0, 1, 1 + LINE]
-LINES = 1 + LINE + LINE * LINE + 2 * (1 << LINE_BITS)
+FIRST_LINES = [sum(LINE ** i for i in range(g)) for g in range(GROUPS)]
+LINES = sum(LINE ** g for g in range(GROUPS)) + 2 * (1 << LINE_BITS)
 ORDERS = 3
 #: Where the lines of each order start and the last one's end.
 ORDER_LINES = [0, LINES - (2 << LINE_BITS), LINES - (1 << LINE_BITS), LINES]
 #: Lines in a packed row of counts.
-PART = 1 << 9
+PART = 1 << 8
 #: Rows of counts that are added up by one call.
 MERGED = 64
 MOST = 255
@@ -70,10 +70,10 @@ SUMS = [(0, None), (1, None), (2, None), (0, 0), (0, 1), (0, 2), (1, 1), (1, 2),
 MOST_STEP = 1.0
 FLUSH_TOKENS = 400_000
 #: Tokens whose decisions are laid out at once; more where each time costs a pass over the counts, and tokens of texts scored together.
-GROUP_TOKENS, COUNT_TOKENS, SCORE_TOKENS = 150_000, 400_000, 4_000_000
+GROUP_TOKENS, COUNT_TOKENS, SCORE_TOKENS = 50_000, 400_000, 4_000_000
 
 # the slot within a line and the bit, for each group value and step
-NODE = np.array([[(1 << j) | (v >> (GROUP_BITS - j)) for j in range(GROUP_BITS)] for v in range(LINE)], np.int32)
+NODE = np.array([[(1 << j) | (v >> (GROUP_BITS - j)) for j in range(GROUP_BITS)] for v in range(LINE)], np.intp)
 BIT = np.array([[v >> (GROUP_BITS - 1 - j) & 1 for j in range(GROUP_BITS)] for v in range(LINE)], np.uint8)
 
 
@@ -208,7 +208,7 @@ def contexts(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
 def decisions(codes: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bits (token x place) and slots (order x token x place) of all decisions of tokens in their ``contexts``."""
     value = np.stack([codes >> GROUP_BITS * (GROUPS - 1 - g) & (LINE - 1) for g in range(GROUPS)], axis=1)
-    lines = np.empty((ORDERS, codes.size, GROUPS), np.int32)
+    lines = np.empty((ORDERS, codes.size, GROUPS), np.intp)
     for g in range(GROUPS):
         begun = (codes >> GROUP_BITS * (GROUPS - g)).astype(np.uint32) + np.uint32(FIRST_LINES[g])
         lines[0, :, g] = begun
@@ -234,15 +234,26 @@ def slot_counts(rows: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, used = np.zeros(2 * LINE * LINES, np.uint32), False  # a task has fewer than 2^32 tokens
+        places: list[list[np.ndarray]] = [[] for _ in range(ORDERS)]
+
+        def add() -> None:
+            for k in range(ORDERS):
+                lo, hi = 2 * LINE * ORDER_LINES[k], 2 * LINE * ORDER_LINES[k + 1]
+                table[lo:hi] += np.bincount(np.concatenate(places[k]), minlength=hi - lo).astype(np.uint32)
+                places[k].clear()
+
         for batch in batches:
             codes, bounds = texts_of(batch.column(0))
-            for first, last in text_groups(bounds, COUNT_TOKENS):
+            for first, last in text_groups(bounds):
                 own = codes[bounds[first]:bounds[last]]
                 bit, slots = decisions(own, contexts(own, bounds[first:last] - bounds[first]))
                 for k in range(ORDERS):
-                    lo, hi = 2 * LINE * ORDER_LINES[k], 2 * LINE * ORDER_LINES[k + 1]
-                    table[lo:hi] += np.bincount((slots[k] * 2 + bit - lo).ravel(), minlength=hi - lo).astype(np.uint32)
+                    places[k].append((2 * (slots[k] - LINE * ORDER_LINES[k]) + bit).astype(np.int32).ravel())
                 used = True
+                if sum(p.size for p in places[0]) > COUNT_TOKENS * BITS:
+                    add()
+        if places[0]:
+            add()
         task = TaskContext.get().partitionId()
         for part in range(0, table.size, size) if used else ():
             yield packed(part // size, task // MERGED, table[part:part + size])
@@ -318,11 +329,11 @@ def gate_sums(rows: DataFrame, tables) -> DataFrame:
             for first, last in text_groups(bounds):
                 part = codes[bounds[first]:bounds[last]]
                 bit, slots = decisions(part, contexts(part, bounds[first:last] - bounds[first]))
-                pairs = table[slots] - np.where(bit, np.uint16(1), np.uint16(256))
+                pairs = np.take(table, slots, mode="wrap") - np.where(bit, np.uint16(1), np.uint16(256))
                 pairs = np.ascontiguousarray(pairs.transpose(2, 0, 1))
                 for place in range(BITS):
-                    x = logit[pairs[place]]
-                    seen = (sure[pairs[place, 1]] * np.uint8(3) + sure[pairs[place, 2]]).astype(np.intp)
+                    x = np.take(logit, pairs[place])
+                    seen = (np.take(sure, pairs[place, 1]) * np.uint8(3) + np.take(sure, pairs[place, 2])).astype(np.intp)
                     p = 1 / (1 + np.exp(np.float32(-START_WEIGHT) * (x[0] + x[1] + x[2])))
                     error, curve = bit[:, place] - p, p * (1 - p)
                     for n, (i, j) in enumerate(SUMS):
@@ -378,14 +389,14 @@ def mixed_log2(codes: np.ndarray, bounds: np.ndarray, table: np.ndarray, weights
         last = max(first + 1, int(np.searchsorted(ends, ends[first] + GROUP_TOKENS)) - 1)
         part = slice(ends[first], ends[last])
         bit, slots = decisions(codes[part], before[:, part])
-        pairs = table[slots]
-        inputs = logit[pairs]
+        pairs = np.take(table, slots, mode="wrap")
+        inputs = np.take(logit, pairs)
         inputs *= bit.astype(np.float32) * 2 - 1  # for the bit that came
-        seen = sure[pairs[1]] * np.uint8(3) + sure[pairs[2]]
+        seen = (np.take(sure, pairs[1]) * np.uint8(3) + np.take(sure, pairs[2])).astype(np.intp)
         odds = np.empty(bit.shape, np.float32)
         for lo, hi in zip((ends[first:last] - ends[first]).tolist(), (ends[first + 1:last + 1] - ends[first]).tolist()):
             g, x = base[:hi - lo] + seen[lo:hi], inputs[:, lo:hi]
-            w = [own[k][g] for k in range(ORDERS)]
+            w = [np.take(own[k], g, mode="wrap") for k in range(ORDERS)]
             z = w[0] * x[0]
             z += w[1] * x[1]
             z += w[2] * x[2]

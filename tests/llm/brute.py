@@ -241,19 +241,19 @@ def spread32(h):
 
 
 def text_decisions(codes):
-    """(place, bit, slots of three orders) of every token of a text of 12-bit codes; slots as keys."""
+    """(place, bit, slots of three orders) of every token of a text of 10-bit codes; slots as keys."""
     out = []
     for i, code in enumerate(codes):
         one, two = (codes[i - 1] + 1 if i > 0 else 0), (codes[i - 2] + 1 if i > 1 else 0)
         h1 = spread32((one * 0x9E3779B1 + 1) & M32)
         h2 = spread32(h1 ^ (two * 0xC2B2AE35 + 0x27D4EB2F & M32))
         row = []
-        for place in range(12):
-            group, j = divmod(place, 4)
-            begun = (code >> 4 * (3 - group)) + (0, 1, 17)[group]
-            node = 1 << j | (code >> 4 * (2 - group) & 15) >> (4 - j)
-            line = [spread32(h + begun * 0x85EBCA6B & M32) >> 14 for h in (h1, h2)]
-            row.append((place, code >> (11 - place) & 1, [("a", begun, node), ("b", line[0], node), ("c", line[1], node)]))
+        for place in range(10):
+            group, j = divmod(place, 5)
+            begun = (code >> 5 * (2 - group)) + (0, 1)[group]
+            node = 1 << j | (code >> 5 * (1 - group) & 31) >> (5 - j)
+            line = [spread32(h + begun * 0x85EBCA6B & M32) >> 15 for h in (h1, h2)]
+            row.append((place, code >> (9 - place) & 1, [("a", begun, node), ("b", line[0], node), ("c", line[1], node)]))
         out.append(row)
     return out
 
@@ -265,8 +265,8 @@ def mixed_scores(docs):
     for d, t in zip(docs, own):
         if not held_out(d["doc_id"]):
             counts.update(t)
-    number = {t: i for i, (t, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))) if i < 3072}
-    code = lambda t: number.get(t, 3072 + zlib.crc32(t.encode()) % 1024)
+    number = {t: i for i, (t, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))) if i < 768}
+    code = lambda t: number.get(t, 768 + zlib.crc32(t.encode()) % 256)
     mass = Counter()
     for t, n in counts.items():
         mass[code(t)] += n + 1
