@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,8 +58,14 @@ def runs(items: Column, k: int, body: Callable[[Column], Column]) -> Column:
 
 
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """Key of a row by its id and text: repeated rows share it and get equal results, null ids work."""
-    return F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit("")))
+    """128-bit key of a row by its id and text, as 32 hex digits: repeated rows share it and get equal results, null ids work."""
+    own, body = F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))
+    return F.md5(F.concat(own, F.lit("\n"), body).cast("binary"))
+
+
+def fresh(name: str) -> str:
+    """A column name that no caller's table has."""
+    return f"_{name}_{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

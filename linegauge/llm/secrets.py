@@ -2,9 +2,11 @@
 
 Strong patterns (an assignment, an access key, a long hex run) are reported wherever they stand.
 Weak parts are not reported by themselves: an identifier of an account, a string that looks like a
-secret, or an endpoint says little alone. They are joined as intervals: inside one scope (a block of
-text without a blank line) an identifier counts if a secret stands within ``REACH`` characters, a
-secret if an identifier does, and an endpoint if both do. Strong spans take part in the links.
+secret, or an endpoint says little alone. Scopes are the blocks of a text without a blank line, whatever
+their length. Parts are assigned to the scope whose interval holds their start, and joined within it: an
+identifier counts if the scope has a secret, a secret if it has an identifier, and an endpoint if it has
+both. Strong spans take part in the links. A scope is reduced to the roles it has before the join, so
+parts are never paired up.
 
 Null and empty texts have no spans; repeated rows get equal results; an empty table gives an empty
 result; extra columns are not read. Positions are code points, ends are exclusive.
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linegauge.llm.common import row_key, stored
+from linegauge.llm.common import stored
 
 # The strong kinds in the order they are listed, and their least lengths
 STRONG = ("assign", "access", "hex")
@@ -41,9 +43,6 @@ MIXED_CLASSES = (re.compile(r"[a-z]"), re.compile(r"[A-Z]"), re.compile(r"[0-9]"
 ENDPOINT = re.compile(r"""(?a:[A-Za-z][A-Za-z0-9+.-]{1,15}://[^\s"'<>]+)|(?ai:\b(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[a-z0-9_.:/-]{3,})""")
 ENDPOINT_HINTS = ("://", "host", "endpoint", "server")
 BLANK_LINE = re.compile(r"\n[ \t\r]*\n")
-#: Characters between two parts that still belong together.
-REACH = 200
-
 ROLES = {"assign": "secret", "access": "identifier", "hex": "secret", "weak_access": "identifier", "weak_secret": "secret",
          "endpoint": "endpoint"}
 SPAN = "struct<start:bigint,rank:int,kind:string,end:bigint>"
@@ -92,7 +91,7 @@ def parts_of(text: str) -> tuple[list, list]:
 
 
 def found_parts(docs: DataFrame) -> DataFrame:
-    """doc_id, row_key, base (strong spans in order) and parts (only where two roles or more occur)."""
+    """doc_id, row (a number of its own), base (strong spans in order) and parts (only where two roles or more occur)."""
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("scope", pa.int64())])
         for batch in batches:
@@ -102,50 +101,36 @@ def found_parts(docs: DataFrame) -> DataFrame:
                 base.append(sorted((start, KINDS.index(kind), kind, end) for kind, start, end in strong))
                 parts.append(all_parts if len({ROLES[p[0]] for p in all_parts}) > 1 else [])
             named = lambda rows, kind: pa.array([[dict(zip(kind.names, r)) for r in row] for row in rows], pa.list_(kind))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), named(base, FOUND), named(parts, part)],
-                                             ["doc_id", "row_key", "base", "parts"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), named(base, FOUND), named(parts, part)],
+                                             ["doc_id", "row", "base", "parts"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), row_key().alias("row_key"), "text")
-    return rows.mapInArrow(search, f"doc_id bigint, row_key bigint, base array<{SPAN}>, "
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.monotonically_increasing_id().alias("row"), "text")
+    return rows.mapInArrow(search, f"doc_id bigint, row bigint, base array<{SPAN}>, "
                                    "parts array<struct<kind:string,start:bigint,end:bigint,scope:bigint>>")
 
 
-def _bins(reach: int) -> Column:
-    first = F.greatest(F.lit(0), F.floor((F.col("start") - reach) / REACH))
-    return F.explode(F.sequence(first.cast("bigint"), F.floor((F.col("end") + reach) / REACH).cast("bigint"))).alias("bin")
-
-
-def near(parts: DataFrame, others: DataFrame) -> DataFrame:
-    """Parts with one of ``others`` in the same scope within ``REACH``: an interval semi-join on bins.
+def linked_parts(parts: DataFrame) -> DataFrame:
+    """Weak parts (row, kind, start, end) in whose scope their complementary parts stand.
 
-    A bin is as long as the reach, so a part stands in a few bins and meets only what stands there;
-    a long document spreads over all tasks.
+    A row per scope says which roles it has; it is combined in the tasks before the shuffle, so a scope of
+    any number of parts is a few rows, and its parts are the skewed side of a join with one row per key.
     """
-    left = parts.select("*", _bins(REACH))
-    right = others.select(F.col("row_key").alias("r_key"), F.col("scope").alias("r_scope"), F.col("start").alias("r_start"),
-                          F.col("end").alias("r_end"), _bins(0).alias("r_bin"))
-    gap = F.greatest(F.col("start") - F.col("r_end"), F.col("r_start") - F.col("end"))
-    meets = (F.col("row_key") == F.col("r_key")) & (F.col("scope") == F.col("r_scope")) & (F.col("bin") == F.col("r_bin")) & (gap <= REACH)
-    return left.join(right, meets, "left_semi").drop("bin").distinct()
-
-
-def linked_parts(parts: DataFrame) -> DataFrame:
-    """Weak parts (row_key, kind, start, end) whose complementary parts co-occur."""
-    parts = parts.withColumn("role", F.coalesce(*[F.when(F.col("kind") == k, F.lit(r)) for k, r in ROLES.items()]))
-    identifiers, secrets = parts.where("role = 'identifier'"), parts.where("role = 'secret'")
-    named, hidden = near(identifiers, secrets), near(secrets, identifiers)
-    reachable = near(near(parts.where("role = 'endpoint'"), named), hidden)
-    return named.unionByName(hidden).unionByName(reachable).where(F.col("kind").isin(*WEAK)).select("row_key", "kind", "start", "end")
+    role = F.coalesce(*[F.when(F.col("kind") == k, F.lit(r)) for k, r in ROLES.items()])
+    parts = parts.withColumn("role", role)
+    has = lambda r: F.max(F.col("role") == r)
+    scopes = parts.groupBy("row", "scope").agg(has("identifier").alias("named"), has("secret").alias("hidden"))
+    linked = (F.when(F.col("role") == "identifier", F.col("hidden")).when(F.col("role") == "secret", F.col("named"))
+              .otherwise(F.col("named") & F.col("hidden")))
+    return parts.where(F.col("kind").isin(*WEAK)).join(scopes, ["row", "scope"]).where(linked).select("row", "kind", "start", "end")
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, base and spans (arrays of start, rank, kind, end in order)."""
     found = stored(found_parts(docs), "secret-parts")
-    parts = found.where(F.size("parts") > 0).select("row_key", F.explode("parts").alias("p")).select("row_key", "p.*").distinct()
-    linked = linked_parts(stored(parts, "parts"))
+    linked = linked_parts(found.where(F.size("parts") > 0).select("row", F.inline("parts")))
     rank = F.coalesce(*[F.when(F.col("kind") == k, F.lit(n)) for n, k in enumerate(KINDS)])
-    added = stored(linked.groupBy("row_key").agg(F.collect_set(F.struct("start", rank.alias("rank"), "kind", "end")).alias("added")), "linked")
-    return found.join(added, "row_key", "left").select(
+    added = stored(linked.groupBy("row").agg(F.collect_list(F.struct("start", rank.alias("rank"), "kind", "end")).alias("added")), "linked")
+    return found.join(added, "row", "left").select(
         "doc_id", "base", F.array_sort(F.concat("base", F.coalesce("added", F.array().cast(f"array<{SPAN}>")))).alias("spans"))
 
 
