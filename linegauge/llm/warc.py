@@ -1,10 +1,11 @@
 """WARC archives read and written as a table of chunks.
 
-Every task writes one gzip archive to the shared folder, a record at a time. Archives are read back
-as rows (archive, record, chunk number, data) of at most ``CHUNK`` payload bytes: a payload of any
-size passes through in chunks, each with its payload's SHA-256 up to there, so the last chunk has
-the digest of the whole and no reading task holds a record. Headers are small and travel with chunk 0.
-Chunks serve the reading side only: hashing and writing hold whole payloads, in batches of whole rows.
+Payloads are cut into rows (record, chunk number, data) of at most ``CHUNK`` bytes by Spark's own
+functions, where a page's row is read; writers see these rows only. Every writing task makes one gzip
+archive in the shared folder, a chunk at a time. Archives are read back as rows (archive, record,
+chunk number, data): a payload of any size passes through in chunks, each with its payload's SHA-256 up
+to there, so the last chunk has the digest of the whole and no Python task holds a record. Headers
+travel with chunk 0, whatever the length of their url. There are as many reading tasks as archives.
 
 Records with equal payloads of at least ``MIN_REVISIT`` bytes are stored once: the one with the
 smallest page id is a response, the others revisit it (rows that share this id are all responses).
@@ -34,7 +35,6 @@ EOL = b"\r\n"
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
-MAX_HEADER = 1 << 20
 
 
 def planned(pages: DataFrame) -> DataFrame:
@@ -47,6 +47,21 @@ def planned(pages: DataFrame) -> DataFrame:
     return rows.join(stored(copies, "copies"), "payload_digest", "left")
 
 
+def chunk_rows(rows: DataFrame) -> DataFrame:
+    """``planned`` rows as records in chunks: the record's fields, its type and length, chunk, last and data.
+
+    A revisit has one chunk without data. A record's chunks follow one another in one task.
+    """
+    revisit = F.col("first_id").isNotNull() & ~F.col("first_id").eqNullSafe(F.col("page_id"))
+    kind = rows.select("page_id", "url", "payload_digest", "first_id", "payload", F.when(revisit, "revisit").otherwise("response").alias("kind"))
+    kind = kind.withColumn("length", F.when(F.col("kind") == "response", F.octet_length("payload")).otherwise(0).cast("bigint"))
+    last = F.floor((F.greatest(F.col("length"), F.lit(1)) - 1) / CHUNK).cast("int")
+    each = kind.withColumn("chunk", F.explode(F.sequence(F.lit(0), last)))
+    first = lambda c: F.when(F.col("chunk") == 0, F.col(c)).alias(c)
+    data = F.when(F.col("kind") == "response", F.substring(F.col("payload"), F.col("chunk") * CHUNK + 1, F.lit(CHUNK))).otherwise(F.lit(b""))
+    return each.select("page_id", first("url"), "payload_digest", "first_id", "kind", "length", "chunk", (F.col("chunk") == last).alias("last"), data.alias("data"))
+
+
 def _clean(value: str) -> bytes:
     return " ".join(value.split()).encode()
 
@@ -65,21 +80,18 @@ def record_header(kind: str, length: int, digest: str, record: str, page_id: int
 
 
 def write_records(batches: Iterator[pa.RecordBatch], sink: Callable[[bytes], None]) -> int:
-    """Write a gzip member per record; the payload goes through in chunks. Returns the number of records."""
-    count = 0
+    """Write a gzip member per record from its chunks in order. Returns the number of records."""
+    count, pack = 0, None
     for batch in batches:
-        for n in range(batch.num_rows):
-            row = {c: batch.column(c)[n] for c in batch.schema.names}
-            page_id, first = row["page_id"].as_py(), row["first_id"].as_py()
-            kind = "revisit" if first is not None and page_id != first else "response"
-            body = memoryview(row["payload"].as_buffer()) if kind == "response" else memoryview(b"")
-            pack = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
-            sink(pack.compress(record_header(kind, len(body), row["payload_digest"].as_py(), str(uuid.uuid4()), page_id,
-                                             row["url"].as_py(), first)))
-            for at in range(0, len(body), CHUNK):
-                sink(pack.compress(body[at:at + CHUNK]))
-            sink(pack.compress(EOL + EOL) + pack.flush())
-            count += 1
+        rows = zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "payload_digest", "first_id", "kind", "length", "chunk", "last")))
+        for (page_id, url, digest, first, kind, length, chunk, last), data in zip(rows, batch.column("data")):
+            if chunk == 0:
+                pack = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
+                sink(pack.compress(record_header(kind, length, digest, str(uuid.uuid4()), page_id, url, first)))
+            sink(pack.compress(memoryview(data.as_buffer())))
+            if last:
+                sink(pack.compress(EOL + EOL) + pack.flush())
+                count += 1
     return count
 
 
@@ -106,15 +118,14 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
             count = write_records(all_batches(), out.write)
         yield pa.RecordBatch.from_pydict({"archive": [f"{folder}/{name}"], "records": [count]})
 
-    columns = rows.select("page_id", "url", "payload", "payload_digest", "first_id")
-    return stored(columns.mapInArrow(write, "archive string, records bigint"), "archives")
+    return stored(chunk_rows(rows).mapInArrow(write, "archive string, records bigint"), "archives")
 
 
 class Members:
     """Bytes of a gzip file of many members, decompressed a buffer at a time."""
 
     def __init__(self, read: Callable[[int], bytes]):
-        self.read_raw, self.unpack, self.rest, self.buffer = read, zlib.decompressobj(31), b"", b""
+        self.read_raw, self.unpack, self.rest, self.buffer = read, zlib.decompressobj(31), b"", bytearray()
 
     def fill(self) -> bool:
         while True:
@@ -129,21 +140,28 @@ class Members:
                 return bool(got)
 
     def until(self, mark: bytes) -> bytes | None:
-        """Bytes before the next ``mark``, which is passed over; None at the end of the file."""
-        while (at := self.buffer.find(mark)) < 0:
-            if len(self.buffer) > MAX_HEADER:
-                raise ValueError("a record header has no end")
+        """Bytes before the next ``mark``, which is passed over; None at the end of the file.
+
+        The search goes on where it stopped, so a header of any length is looked through once.
+        """
+        searched = 0
+        while (at := self.buffer.find(mark, searched)) < 0:
+            searched = max(0, len(self.buffer) - len(mark) + 1)
             if not self.fill():
                 if self.buffer:
                     raise ValueError("the archive ends inside a record")
                 return None
-        out, self.buffer = self.buffer[:at], self.buffer[at + len(mark):]
+        return self.pop(at + len(mark))[:at]
+
+    def pop(self, n: int) -> bytes:
+        out = bytes(self.buffer[:n])
+        del self.buffer[:n]
         return out
 
     def take(self, most: int) -> bytes:
         while not self.buffer and self.fill():
             pass
-        out, self.buffer = self.buffer[:most], self.buffer[most:]
+        out = self.pop(most)
         if not out:
             raise ValueError("the archive ends inside a payload")
         return out
@@ -178,7 +196,7 @@ BATCH = 64
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
-    """The chunk table of all ``archives``, one archive to a task at a time; headers stand in chunk 0."""
+    """The chunk table of all ``archives``, a task to each archive; headers stand in chunk 0."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
@@ -195,7 +213,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), CHUNKS)], schema=CHUNKS)
 
-    return archives.select("archive").repartition(F.col("archive")).mapInArrow(read, CHUNKS_DDL)
+    # the number is given, or the planner would put a listing this small into one task
+    return archives.select("archive").repartitionByRange(max(1, archives.count()), "archive").mapInArrow(read, CHUNKS_DDL)
 
 
 def records(chunks: DataFrame) -> DataFrame:
