@@ -2,14 +2,18 @@
 
 A text's fingerprints are the smallest hash of its k-word runs in every window of w runs, so two
 texts that share k + w - 1 words in a row always share a fingerprint. Documents keep these minima
-(with their positions), benchmark items keep all their k-word hashes, the two are joined, and every
-hit is extended along its offset until the shared words are known exactly.
+(with their positions), benchmark items the set of all their k-word hashes; documents keep the places
+of the fingerprints that a benchmark item has too. A hit is extended both ways to all windows that
+hold its place, and each of these is joined with the items' windows by its words, so shared words are
+known exactly. Places and windows are joined with distinct hashes and texts, never with one another: a
+text that repeats a word any number of times costs a row per place.
 
 An item of 13 words and more is searched by windows of 13 words; a shorter one is a single window
 and uses the parameters that guarantee its length. Only lengths that occur cost anything.
 
-Null and empty texts have no words and no hits, items without words never occur, repeated rows get
-equal results, an empty benchmark leaves every document clean, extra columns are not read.
+Null and empty texts have no words and no hits, items without words never occur, a null item id is
+named by the empty text, repeated rows get equal results, an empty benchmark leaves every document
+clean, extra columns are not read and may have any name.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linegauge.llm.common import gram_hashes, hashes, let, row_key, runs, stored, words
+from linegauge.llm.common import fresh, gram_hashes, hashes, let, row_key, stored, words
 
 WINDOW = 13
 #: Guaranteed length of a shared run: (words in a hashed run, runs in a window).
@@ -54,75 +58,87 @@ def winnow(items: Column, k: int, w: int) -> Column:
     return widen(_packed(items, k), 1)
 
 
-def item_table(benchmark: DataFrame) -> DataFrame:
-    """item_id, words, window length and guarantee of every distinct item that has words."""
-    items = benchmark.select("item_id", words(F.col("text")).alias("words")).where(F.size("words") > 0).distinct()
+def item_windows(benchmark: DataFrame) -> DataFrame:
+    """item (its id as text), words of the window as one text, size of the window and guarantee, of all windows of all items."""
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words(F.col("text")).alias("words")).where(F.size("words") > 0)
     n = F.size("words")
     longest = F.coalesce(*[F.when(n >= g, F.lit(g)) for g in GUARANTEES])
-    return items.select(F.xxhash64(F.coalesce(F.col("item_id").cast("string"), F.lit("")), F.array_join("words", " ")).alias("item_key"),
-                        "item_id", "words", F.least(n, F.lit(WINDOW)).alias("window"), longest.alias("guarantee"))
+    sized = items.select("item", "words", F.least(n, F.lit(WINDOW)).alias("size"), longest.alias("guarantee"))
+    starts = F.sequence(F.lit(1), F.size("words") - F.col("size") + 1)
+    return sized.select("item", "size", "guarantee", F.explode(starts).alias("at"), "words").select(
+        "item", "size", "guarantee", F.array_join(F.slice("words", F.col("at"), F.col("size")), " ").alias("window")).distinct()
 
 
-def candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Distinct (doc_key, item_key, offset of the item in the document) that share a fingerprint."""
+def hit_places(docs: DataFrame, windows: DataFrame) -> DataFrame | None:
+    """(doc_key, guarantee, at): places of document fingerprints that items have, None without items."""
     found = None
-    for guarantee in [r[0] for r in items.select("guarantee").distinct().collect()]:
+    for guarantee in [r[0] for r in windows.select("guarantee").distinct().collect()]:
         k, w = GUARANTEES[guarantee]
-        grams = items.where(F.col("guarantee") == guarantee).select("item_key", F.posexplode(gram_hashes(hashes(F.col("words")), k)).alias("at", "gram"))
-        grams = stored(grams.select("item_key", "at", _short(F.col("gram")).alias("hash")), "item-grams")
+        grams = windows.where(F.col("guarantee") == guarantee).select(F.explode(gram_hashes(hashes(F.split("window", " ")), k)).alias("gram"))
+        grams = stored(grams.select(_short(F.col("gram")).alias("hash")).distinct(), "item-grams")
         prints = docs.select(row_key().alias("doc_key"), winnow(words(F.col("text")), k, w).alias("minima"))
         prints = prints.select("doc_key", F.explode("minima").alias("packed"))
         place = F.col("packed").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
-        hits = (prints.withColumn("hash", F.shiftright("packed", POSITION_BITS)).join(grams, "hash")
-                .select("doc_key", "item_key", (place - F.col("at")).alias("offset")))
+        hits = (prints.withColumn("hash", F.shiftright("packed", POSITION_BITS)).join(grams, "hash", "left_semi")
+                .select("doc_key", F.lit(guarantee).alias("guarantee"), place.cast("int").alias("at")))
         found = hits if found is None else found.unionByName(hits)
-    return None if found is None else found.distinct()
+    return found
 
 
-def _window_starts(doc: Column, hit: Column) -> Column:
-    """Starts in the item of the windows that stand in the document at the hit's offset."""
-    size = F.size(hit["words"])
-    same = F.transform(hit["words"], lambda x, i: F.coalesce(
-        F.when(hit["offset"] + i >= 0, F.get(doc, (hit["offset"] + i).cast("int")) == x), F.lit(False)))
-    starts = F.sequence(F.lit(0), size - hit["window"])
-    return let(same, lambda s: F.filter(starts, lambda at: F.forall(F.slice(s, at + 1, hit["window"]), lambda x: x)))
+def extended(docs: DataFrame, windows: DataFrame, places: DataFrame) -> DataFrame:
+    """(doc_key, start, size, window): all stretches of documents with a hit that may be an item's window.
 
-
-def extend(docs: DataFrame, items: DataFrame, found: DataFrame) -> DataFrame:
+    A document's places are numbers and fewer than its words. Each is extended to the windows that hold it.
+    """
+    sizes = [(r["size"], r["guarantee"]) for r in windows.select("size", "guarantee").distinct().collect()]  # at most WINDOW
+    of_doc = stored(places.groupBy("doc_key").agg(F.collect_set(F.struct("guarantee", "at")).alias("places")), "hit-places")
+    texts = (docs.select(row_key().alias("doc_key"), "text").join(of_doc.select("doc_key"), "doc_key", "left_semi").dropDuplicates(["doc_key"]))
+
+    def stretches(w: Column) -> Column:
+        each = []
+        for size, guarantee in sizes:
+            reach = size - GUARANTEES[guarantee][0]
+            at = F.transform(F.filter("places", lambda p: p["guarantee"] == guarantee), lambda p: p["at"])
+            starts = F.array_distinct(F.flatten(F.transform(at, lambda p: F.sequence(p - reach, p))))
+            inside = F.filter(starts, lambda s: (s >= 0) & (s + size <= F.size(w)))
+            each.append(F.transform(inside, lambda s: F.struct(s.alias("start"), F.lit(size).alias("size"),
+                                                               F.array_join(F.slice(w, s + 1, size), " ").alias("window"))))
+        return F.concat(*each)
+
+    # the windows are cut out before they become rows: a row with all words of a text would be copied for each
+    return texts.join(of_doc, "doc_key").select("doc_key", F.inline(let(words(F.col("text")), stretches)))
+
+
+def occurrences(docs: DataFrame, windows: DataFrame, places: DataFrame) -> DataFrame:
     """doc_key, number of hit words and items that occur, for documents with a true occurrence."""
-    keys = stored(found.select("doc_key").distinct(), "hit-documents")
-    of_item = items.select("item_key", "item_id", "words", "window")
-    hits = (found.join(of_item, "item_key").groupBy("doc_key")
-            .agg(F.collect_list(F.struct("item_id", "words", "window", "offset")).alias("hits")))
-    texts = (docs.select(row_key().alias("doc_key"), "text").join(keys, "doc_key", "left_semi")
-             .dropDuplicates(["doc_key"]))
-    spans = texts.join(hits, "doc_key").withColumn("spans", let(words(F.col("text")), lambda doc: F.flatten(F.transform(
-        "hits", lambda h: F.transform(_window_starts(doc, h), lambda at: F.struct(
-            (h["offset"] + at).alias("start"), (h["offset"] + at + h["window"]).alias("end"),
-            h["item_id"].cast("string").alias("item")))))))
-    covered = F.aggregate(F.array_sort(F.col("spans")), F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("to")),
-                          lambda a, s: F.struct((a["n"] + F.greatest(F.lit(0).cast("bigint"), s["end"] - F.greatest(s["start"], a["to"]))).alias("n"),
+    spans = extended(docs, windows, stored(places, "places"))
+    known = stored(windows.groupBy("size", "window").agg(F.collect_set("item").alias("items")), "known-windows")
+    true = stored(spans.join(known.select("size", "window"), ["size", "window"], "left_semi"), "occurrences")
+    ends = F.struct(F.col("start").alias("start"), (F.col("start") + F.col("size")).alias("end"))
+    covered = F.aggregate(F.array_sort(F.collect_list(ends)), F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).alias("to")),
+                          lambda a, s: F.struct((a["n"] + F.greatest(F.lit(0), s["end"] - F.greatest(s["start"], a["to"]))).alias("n"),
                                                 F.greatest(a["to"], s["end"]).alias("to")), lambda a: a["n"])
-    return (spans.where(F.size("spans") > 0)
-            .select("doc_key", covered.alias("n_hit"), F.array_sort(F.array_distinct("spans.item")).alias("items")))
+    hit = true.groupBy("doc_key").agg(covered.alias("n_hit"))
+    named = (true.select("doc_key", "size", "window").distinct().join(known, ["size", "window"]).select("doc_key", F.explode("items").alias("item"))
+             .groupBy("doc_key").agg(F.array_sort(F.collect_set("item")).alias("items")))
+    return hit.join(named, "doc_key")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, doc_key, n_words, n_hit, items (ids as strings, null if none), contaminated."""
-    items = stored(item_table(benchmark), "items")
+    windows = stored(item_windows(benchmark), "item-windows")
     counted = docs.select("doc_id", row_key().alias("doc_key"), F.size(words(F.col("text"))).cast("bigint").alias("n_words"))
-    found = candidates(docs, items)
-    if found is None:
+    places = hit_places(docs, windows)
+    if places is None:
         joined = counted.withColumns({"n_hit": F.lit(None).cast("bigint"), "items": F.lit(None).cast("array<string>")})
     else:
-        hits = stored(extend(docs, items, stored(found, "candidates")), "hits")
-        joined = counted.join(hits, "doc_key", "left")
+        joined = counted.join(stored(occurrences(docs, windows, places), "hits"), "doc_key", "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
     return joined.withColumn("n_hit", n_hit).withColumn("contaminated", (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words")))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated rows, columns unchanged."""
-    bad = contamination(docs, benchmark).where("contaminated").select("doc_key").distinct()
-    return docs.join(stored(bad.withColumnRenamed("doc_key", "_bad_key"), "contaminated"),
-                     row_key() == F.col("_bad_key"), "left_anti")
+    key = fresh("bad")
+    bad = contamination(docs, benchmark).where("contaminated").select(F.col("doc_key").alias(key)).distinct()
+    return docs.join(stored(bad, "contaminated"), row_key() == F.col(key), "left_anti")
