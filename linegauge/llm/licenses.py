@@ -70,9 +70,9 @@ def votes(docs: DataFrame, table: DataFrame) -> DataFrame:
     """doc_key, template, diagonal, word, places: a bit per template place that voted, ``MASK`` places to a word."""
     places = table.select("template", F.posexplode(pairs(F.split("text", " "))).alias("at", "pair"))
     places = places.select("template", "at", F.col("pair").alias("_pair"), F.xxhash64("pair").alias("hash"))
-    # the templates are constants of this module or of the caller's code, a few hundred rows
+    places = stored(places, "template-places")  # Spark broadcasts them by their stored size
     listed = docs.select(row_key().alias("doc_key"), let(words(F.col("text")), pairs).alias("all"))
-    matched = (listed.select("doc_key", F.posexplode("all").alias("pos", "pair")).withColumn("hash", F.xxhash64("pair")).join(F.broadcast(places), "hash").where("pair = _pair"))
+    matched = (listed.select("doc_key", F.posexplode("all").alias("pos", "pair")).withColumn("hash", F.xxhash64("pair")).join(places, "hash").where("pair = _pair"))
     # repeated rows share a key: a bit per template place counts each place once
     return (matched.groupBy("doc_key", "template", (F.col("pos") - F.col("at")).alias("diagonal"), F.floor(F.col("at") / MASK).alias("word"))
             .agg(F.bit_or(F.expr(f"shiftleft(1L, at % {MASK})")).alias("places")))
@@ -83,7 +83,7 @@ def spans(voted: DataFrame, table: DataFrame) -> DataFrame:
 
     A phrase's span is one diagonal with all its pairs, which cannot be shared between diagonals.
     """
-    known = voted.join(F.broadcast(table.drop("text")), "template")
+    known = voted.join(stored(table.drop("text"), "templates"), "template")
     voters = F.sum(F.bit_count("places"))
     phrases = (known.where("is_phrase").groupBy("doc_key", "template", "label", "is_phrase", "pairs", "diagonal").agg(voters.alias("n"))
                .where("n = pairs").select("doc_key", "template", "label", "is_phrase", F.col("diagonal").alias("start"), F.lit(1.0).alias("cover")))

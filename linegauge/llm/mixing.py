@@ -3,12 +3,13 @@
 Every source has a target repetition rate: the mean number of times one of its documents should be
 seen so that the source fills its share of the mix. A document's count is the inverse of the Poisson
 distribution with that mean at a uniform number hashed from the seed and the document's id; the
-document is exploded by its count and all copies are shuffled globally by a hash. The same seed gives
-the same mix, whatever the partitions or retries.
+document is exploded by its count and all copies are put in the global order of a hash. The same seed
+gives the same mix in the same order, whatever the partitions or retries.
 
 Null sources form a source of their own, null ids draw by their text, null and empty texts count no
 characters (a source without characters is repeated once on average), repeated rows draw alike, an
-empty table gives an empty mix. Extra columns pass through unchanged.
+empty table gives an empty mix. Extra columns pass through unchanged, but for one named ``copy``, which
+comes out as ``copy_in``.
 """
 
 from __future__ import annotations
@@ -68,7 +69,7 @@ def cdf(rate: Column) -> Column:
 
 
 def replicate(docs: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame:
-    """Documents exploded by their Poisson counts, with ``copy`` from 1, shuffled globally by a hash."""
+    """Documents exploded by their Poisson counts, with ``copy`` from 1, in the global order of a hash."""
     if clash := set(RESERVED) & set(docs.columns):
         docs = docs.withColumnsRenamed({c: f"{c}_in" for c in clash})
     table = stored(rates.select(F.col("source").alias("_mix_source"), cdf(F.col("rate")).alias("_cdf")), "rates")
@@ -78,7 +79,9 @@ def replicate(docs: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame:
     copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_count"))))
     key = uniform(*draw_key(seed), F.col("copy").cast("string"), F.lit("order"))
     mixed = copies.drop("_cdf", "_count", "_mix_source").withColumn("_key", key)
-    out = mixed.repartition(F.col("_key")).sortWithinPartitions("_key").drop("_key")
+    # keys are even numbers from 0 to 1, so their ranges need no sample
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = mixed.repartitionById(parts, F.floor(F.col("_key") * parts).cast("int")).sortWithinPartitions("_key").drop("_key")
     return out.withColumnsRenamed({f"{c}_in": c for c in clash if c != "copy"}) if clash else out
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linegauge.llm.common import gram_hashes, hashes, let, stored, tokens
+from linegauge.llm.common import fresh, gram_hashes, hashes, let, stored, tokens
 
 BUCKETS = 1 << 17
 #: Prior of the target multinomial: it expects the raw shares, with this many n-grams in every bucket.
@@ -87,9 +87,10 @@ def duplicate_lines(text: Column) -> Column:
 
 
 def judge(docs: DataFrame, weights: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with the statistics, ``score``, ``base_failed`` and ``kept``."""
+    """``docs`` with the statistics, ``score``, ``base_failed`` and ``kept``; columns of these names are replaced, all others kept."""
     # subqueries may not stand inside higher-order functions; the optimizer folds this column into them
-    table = F.col("_weights")
+    listed, found = fresh("weights"), fresh("measured")
+    table = F.col(listed)
     text = F.coalesce(F.col("text"), F.lit(""))
     hashed = hashes(tokens(text))
 
@@ -105,13 +106,13 @@ def judge(docs: DataFrame, weights: DataFrame, threshold: float = THRESHOLD) ->
                         failed.alias("base_failed"), (~failed & (m["score"] >= threshold)).alias("kept"))
 
     # everything that is read from a text's words stands in one struct: a filter on the verdict takes one pass over them
-    return docs.withColumn("_weights", weight_list(weights)).withColumn("_m", let(let(hashed, measured), judged)).withColumns({
-        "n_words": F.col("_m.n_words"),
+    return docs.withColumn(listed, weight_list(weights)).withColumn(found, let(let(hashed, measured), judged)).withColumns({
+        "n_words": F.col(f"{found}.n_words"),
         "word_chars": (F.char_length(text) - F.regexp_count(text, F.lit(r"[\x20\x09-\x0D]"))).cast("bigint"),
         "n_symbols": F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("bigint"),
         "n_dup_lines": duplicate_lines(text),
-        **{c: F.col(f"_m.{c}") for c in ("n_repeat_words", "score", "base_failed", "kept")},
-    }).drop("_m", "_weights")
+        **{c: F.col(f"{found}.{c}") for c in ("n_repeat_words", "score", "base_failed", "kept")},
+    }).drop(found, listed)
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -3,12 +3,15 @@
 A fingerprint is eight bytes at fixed positions. Two fingerprints that differ in at most 3 bits agree
 in at least 5 of the 8, so they share at least C(5, 4) = 5 of the C(8, 4) = 70 sets of four positional
 bytes. Every distinct fingerprint is posted under its 70 sets; the shared sets of each pair inside a
-posting are tallied, pairs below 5 are dropped, and the bits of the others are compared.
+posting are tallied, pairs below 5 are dropped, and the bits of the others are compared. Members of
+postings are counted before they are joined back, so no task holds a posting it does not pair up.
 
 Equal fingerprints are one node, whatever their number of documents. A posting of more than
 ``MAX_POSTING`` distinct fingerprints is not paired up: each member is posted again under its value
 with every 3 of the 32 bits outside the set left out. Linked members meet there, and such a list has at most 8
-members, so the work stays in proportion to the posting. No link is lost either way.
+members, so the work stays in proportion to the posting: C(32, 3) = 4,960 rows a member, against half
+the posting's size in pairs, so this way starts where pairing up would cost a tenth of it at least and
+grows no further. No link is lost either way.
 
 Null and empty texts have fingerprint zero and link like any other. A null id never names a
 component unless all its members lack ids. Repeated rows share fingerprint and component, an empty
@@ -25,9 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from linegauge.llm.common import row_key, stored
+from linegauge.llm.common import fresh, row_key, stored
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -65,7 +67,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), found], ["doc_id", "row_key", "fp"])
 
     rows = docs.select(F.col("doc_id").cast("bigint"), row_key().alias("row_key"), "text")
-    return rows.mapInArrow(prints, "doc_id bigint, row_key bigint, fp bigint")
+    return rows.mapInArrow(prints, "doc_id bigint, row_key string, fp bigint")
 
 
 def _byte(position: int) -> Column:
@@ -82,7 +84,8 @@ def postings(prints: DataFrame) -> DataFrame:
 
     keys = [key(n, chosen) for n, chosen in enumerate(combinations(range(N_BYTES), SET_BYTES))]
     index = prints.select("fp", F.explode(F.array(*keys)).alias("key"))
-    counted = index.withColumn("n", F.count("*").over(W.partitionBy("key"))).where("n > 1")
+    sizes = index.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    counted = index.join(stored(sizes, "posting-sizes"), "key")
     return counted.withColumn("set", F.shiftright("key", 8 * SET_BYTES).cast("int"))
 
 
@@ -172,14 +175,14 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     order = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row_key")
     best = rows.groupBy("root").agg(F.min(order)["row_key"].alias("best"), F.count("*").alias("members")).where("members > 1")
     judged = rows.join(stored(best, "kept-rows"), "root").select("row_key", (F.col("row_key") == F.col("best")).alias("kept"))
-    dropped = stored(judged.where("NOT kept").select(F.col("row_key").alias("_dropped")).distinct(), "dropped-rows")
-    again = stored(judged.where("kept").groupBy("row_key").count().where("count > 1")
-                   .select(F.col("row_key").alias("_again")), "repeated-rows")
-    out = docs.join(dropped, row_key() == F.col("_dropped"), "left_anti")
+    gone, twice = fresh("dropped"), fresh("again")
+    dropped = stored(judged.where("NOT kept").select(F.col("row_key").alias(gone)).distinct(), "dropped-rows")
+    again = stored(judged.where("kept").groupBy(F.col("row_key").alias(twice)).count().where("count > 1").select(twice), "repeated-rows")
+    out = docs.join(dropped, row_key() == F.col(gone), "left_anti")
     if again.isEmpty():
         return out
-    once = out.join(again, row_key() == F.col("_again"), "left_anti")
-    return once.unionByName(out.join(again, row_key() == F.col("_again")).dropDuplicates(["_again"]).drop("_again"))
+    once = out.join(again, row_key() == F.col(twice), "left_anti")
+    return once.unionByName(out.join(again, row_key() == F.col(twice)).dropDuplicates([twice]).drop(twice))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
