@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linegauge.llm import (centroids, decontaminate, licenses, mixing, mixlm, periodic, pii, quality, secrets, sharding, simhash, urlfilter,
                            warc)
-from linegauge.llm.common import documents
+from linegauge.llm.common import documents, stored
 from linegauge.session import scratch_path
 
 SHARDS = 24
@@ -38,7 +38,7 @@ def sql_words(column: str) -> str:
 
 OP2_SQL = f"""
 WITH d AS (SELECT doc_id, {sql_words('text')} AS w FROM documents),
-b AS (SELECT item_id, {sql_words('text')} AS w FROM benchmark),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, {sql_words('text')} AS w FROM benchmark),
 bw AS (SELECT item_id, k, array_to_string(w[s : s + k - 1], ' ') AS win
        FROM (SELECT item_id, w, least(len(w), 13) AS k, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS s
              FROM b WHERE len(w) > 0)),
@@ -154,7 +154,9 @@ FROM j
 
 @query("op5_url_filter", OP5_SQL)
 def op5(spark: SparkSession, sf: str) -> DataFrame:
-    return urlfilter.judge(documents(spark, sf, "pages"))
+    pages = documents(spark, sf, "pages")
+    block_list = stored(urlfilter.hosts_with_labels(pages), "block-list")
+    return urlfilter.judge(pages, block_list)
 
 
 @query("op6_quality")
@@ -165,7 +167,9 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op7_shards")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
-    return sharding.shard_documents(documents(spark, sf), SHARDS, scratch_path(spark, "slot-map"))
+    docs, path = documents(spark, sf), scratch_path(spark, "slot-map")
+    sharding.plan_by_chars(docs, SHARDS, path)
+    return sharding.shard_documents(docs, SHARDS, path)
 
 
 OP8_SQL = f"""

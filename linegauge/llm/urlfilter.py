@@ -7,9 +7,11 @@ exactly whether it is listed, and urls are judged where they stand, without a jo
 
 Hosts are dealt by hash into cascades of about ``HOSTS_PER_CASCADE`` distinct hosts, each built in a
 task of its own; a host's number of urls plays no part. All levels together take about two bytes per
-listed host. They are broadcast while below ``MAX_CASCADE_BYTES``; beyond that the same exact answer
-is found once per distinct host and joined back by host.
+listed host. They are broadcast while below ``MAX_CASCADE_BYTES``; beyond that urls are dealt out by
+cascade, a frequent one to several tasks, and a task loads the cascades of its urls one after the other.
 
+The list is a table of hosts, each listed with its subdomains, or else the hosts with a label of
+``LISTED_LABELS``. Null hosts in it list nothing, repeated ones count once, an empty list lists nothing.
 Null urls and urls without ``://`` have an empty host and path, fit no rule and are not listed;
 repeated rows are judged alike; an empty table gives an empty result; extra columns are not read.
 """
@@ -25,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linegauge.llm.common import ascii_lower, stored
+from linegauge.session import scratch_path
 
 # Rules as (verdict, host, path)
 RULES = (
@@ -40,6 +43,8 @@ BITS_PER_KEY = 10
 HASHES = 6
 MAX_CASCADE_BYTES = 64 << 20
 MAX_LEVELS = 64
+#: Tasks that the urls of one cascade are dealt out to.
+SPREAD = 16
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -61,6 +66,24 @@ def listed(host: Column, labels: tuple[str, ...] = LISTED_LABELS) -> Column:
     return F.arrays_overlap(F.split(host, r"\."), F.array(*[F.lit(x) for x in labels]))
 
 
+def hosts_with_labels(pages: DataFrame, labels: tuple[str, ...] = LISTED_LABELS) -> DataFrame:
+    """The distinct hosts of ``pages`` that have one of the labels: a list of hosts."""
+    hosts = pages.select(host_and_path(F.col("url"))[0].alias("host")).distinct()
+    return hosts.where(listed(F.col("host"), labels))
+
+
+def listed_hosts(hosts: DataFrame, block_list: DataFrame) -> DataFrame:
+    """``hosts`` (distinct) with ``listed``: whether the host or a domain it belongs to is in ``block_list``.
+
+    Every host is looked up under each of its domains, by a join of distinct hosts with distinct entries.
+    """
+    parts = F.split("host", r"\.")
+    domains = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda at: F.array_join(F.slice(parts, at, F.size(parts)), "."))
+    entries = block_list.select(ascii_lower(F.col("host")).alias("domain")).where("domain <> ''").distinct()
+    found = hosts.select("host", F.explode(domains).alias("domain")).join(entries, "domain", "left_semi").select("host").distinct()
+    return hosts.join(found.withColumn("listed", F.lit(True)), "host", "left").select("host", F.coalesce("listed", F.lit(False)).alias("listed"))
+
+
 def _places(h1: np.ndarray, h2: np.ndarray, level: int, bits: int) -> np.ndarray:
     """Bit places of keys in a level's filter, one row per hash."""
     step = h2 | np.uint64(1)
@@ -125,38 +148,75 @@ def build_cascades(hosts: DataFrame, cascades: int) -> DataFrame:
     return keys.groupBy("cascade").applyInPandas(build, "cascade int, level int, bits binary")
 
 
+def _answers(batch: pa.RecordBatch, levels_of) -> np.ndarray:
+    """Whether the host of each row is listed, by the cascades that ``levels_of`` gives."""
+    h1, h2 = (_unsigned(batch.column(c).to_numpy(zero_copy_only=False)) for c in ("h1", "h2"))
+    cascade = batch.column("cascade").to_numpy(zero_copy_only=False)
+    found = np.zeros(len(h1), bool)
+    for c in np.unique(cascade):
+        own = np.flatnonzero(cascade == c)
+        found[own] = member(levels_of(int(c)), h1[own], h2[own])
+    return found
+
+
 def mark_listed(rows: DataFrame, levels: DataFrame, cascades: int) -> DataFrame:
     """``rows`` (with host) and a column ``listed``, by the broadcast cascades."""
     table: dict[int, list[np.ndarray]] = {}
     for r in levels.orderBy("cascade", "level").collect():
         table.setdefault(r["cascade"], []).append(np.frombuffer(r["bits"], np.uint8))
     shared = rows.sparkSession.sparkContext.broadcast(table)
+    return _marked(rows, with_hashes(rows, cascades), lambda: lambda c: shared.value.get(c, []))
+
+
+def mark_listed_by_cascade(rows: DataFrame, levels: DataFrame, cascades: int) -> DataFrame:
+    """The same with a cascade at a time in a task, read from the shared folder; urls of a cascade go to ``SPREAD`` tasks."""
+    folder = scratch_path(rows.sparkSession, "cascade-files")
+    levels.write.partitionBy("cascade").parquet(folder)
+
+    def loader():
+        from pyarrow import fs, parquet
+
+        files, base = fs.FileSystem.from_uri(folder)
+        held: list = [None, []]
+
+        def levels_of(c: int) -> list[np.ndarray]:
+            if held[0] != c:
+                at = f"{base}/cascade={c}"
+                known = files.get_file_info(at).type != fs.FileType.NotFound
+                read = parquet.read_table(at, filesystem=files, partitioning=None).sort_by("level") if known else None
+                held[:] = [c, [np.frombuffer(b.as_py(), np.uint8) for b in read.column("bits")] if known else []]
+            return held[1]
+
+        return levels_of
+
+    spread = F.pmod(F.xxhash64("page_id", "path"), F.lit(SPREAD))
+    dealt = with_hashes(rows, cascades).repartition("cascade", spread).sortWithinPartitions("cascade")
+    return _marked(rows, dealt, loader)
+
+
+def _marked(rows: DataFrame, hashed: DataFrame, loader) -> DataFrame:
     columns = rows.columns
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels_of = loader()
         for batch in batches:
-            h1, h2 = (_unsigned(batch.column(c).to_numpy(zero_copy_only=False)) for c in ("h1", "h2"))
-            cascade = batch.column("cascade").to_numpy(zero_copy_only=False)
-            found = np.zeros(len(h1), bool)
-            for c in np.unique(cascade):
-                own = np.flatnonzero(cascade == c)
-                found[own] = member(shared.value.get(c, []), h1[own], h2[own])
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(found)], [*columns, "listed"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(_answers(batch, levels_of))], [*columns, "listed"])
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", listed boolean"
-    return with_hashes(rows, cascades).mapInArrow(test, schema)
+    return hashed.mapInArrow(test, ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", listed boolean")
 
 
-def judge(pages: DataFrame, rules: tuple = RULES, labels: tuple[str, ...] = LISTED_LABELS,
+def judge(pages: DataFrame, block_list: DataFrame | None = None, rules: tuple = RULES, labels: tuple[str, ...] = LISTED_LABELS,
           max_bytes: int = MAX_CASCADE_BYTES, hosts_per_cascade: int = HOSTS_PER_CASCADE) -> DataFrame:
-    """Per row of ``pages``: page_id, host, path, rule, verdict and listed."""
+    """Per row of ``pages``: page_id, host, path, rule, verdict and listed; ``block_list`` is a table with a column host."""
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
-    hosts = stored(rows.select("host").distinct().withColumn("listed", listed(F.col("host"), labels)), "hosts")
+    distinct = rows.select("host").distinct()
+    known = distinct.withColumn("listed", listed(F.col("host"), labels)) if block_list is None else listed_hosts(distinct, block_list)
+    hosts = stored(known, "hosts")
     cascades = max(1, -(-hosts.count() // hosts_per_cascade))
     levels = stored(build_cascades(hosts, cascades), "cascades")
     size = levels.agg(F.coalesce(F.sum(F.octet_length("bits")), F.lit(0))).first()[0]
-    marked = mark_listed(rows, levels, cascades) if size <= max_bytes else rows.join(hosts, "host")
+    marked = (mark_listed if size <= max_bytes else mark_listed_by_cascade)(rows, levels, cascades)
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     return marked.select("page_id", "host", "path", rule.alias("rule"),
                          F.coalesce(verdict, F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"), "listed")

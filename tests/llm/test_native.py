@@ -7,7 +7,7 @@ import pytest
 from corpus_rows import SF, as_rows, needs_tables, nothing, odd, odd_texts, ordered  # noqa: F401
 from pyspark.sql import functions as F
 
-from linegauge.llm import decontaminate, licenses, mixing, quality, queries, sharding
+from linegauge.llm import decontaminate, licenses, mixing, quality, queries, sharding, simhash
 from linegauge.llm.common import documents, tokens, words
 
 
@@ -58,6 +58,39 @@ def test_decontamination_keeps_clean_rows_and_columns(spark, odd, odd_texts, not
     assert decontaminate.contamination(nothing, items).isEmpty()
 
 
+def test_repetitive_texts_are_extended_in_place(spark):
+    docs = spark.createDataFrame([(1, "a " * 200_000), (2, "a " * 12), (3, "b " + "a " * 13 + "c"), (4, "a b " * 50_000)], "doc_id bigint, text string")
+    items = benchmark(spark, ["a " * 1000, "a b " * 300, "x y z", "b a"])
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontaminate.contamination(docs, items).collect()}
+    assert got == {1: (200_000, 200_000, ["0"]), 2: (12, 0, None), 3: (15, 14, ["0", "3"]), 4: (100_000, 100_000, ["1", "3"])}
+
+
+def test_null_item_ids_and_clashing_names(spark, odd, odd_texts):
+    prose = odd_texts[0][1]
+    items = spark.createDataFrame([(None, prose), (3, prose)], "item_id bigint, text string")
+    found = decontaminate.contamination(odd, items).where("doc_id = 1").first()
+    assert found["items"] == ["", "3"]
+    named = odd.withColumns({c: F.lit("mine") for c in ("_bad_key", "_dropped", "_again", "_weights", "_m", "_cdf", "score", "copy", "kept", "row", "places")})
+    assert decontaminate.decontaminate(named, items).columns == named.columns
+    assert simhash.deduplicate(named).columns == named.columns
+    judged = quality.quality(named, spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int"))
+    row = judged.first()
+    assert (row["_weights"], row["_m"], row["copy"]) == ("mine",) * 3 and isinstance(row["score"], float) and isinstance(row["kept"], bool)
+    mixed = mixing.mix(named)
+    assert mixed.first()["copy_in"] == "mine" and mixed.first()["_cdf"] == "mine"
+    assert sharding.sized_records(named).count() == licenses.scan(named).count() == len(odd_texts)
+
+
+def test_the_mix_has_one_order(spark, odd):
+    rows = []
+    for parts in ("3", "11"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        rows.append([(r.doc_id, r.text, r["copy"]) for r in mixing.mix(odd.repartition(int(parts))).collect()])
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert rows[0] == rows[1] and len(rows[0]) > 5
+
+
 def test_mixing_counts_and_columns(odd, odd_texts, nothing):
     docs = [dict(zip(odd.columns, r)) for r in odd_texts]
     want = {}
@@ -155,6 +188,31 @@ def test_sharding(odd, odd_texts, nothing, tmp_path):
     assert sharding.shard_documents(nothing, 3, str(tmp_path / "empty"), 64).isEmpty()
 
 
+def test_the_stored_map_is_edited(spark, odd, tmp_path):
+    path = str(tmp_path / "map")
+    docs = spark.range(3000).selectExpr("id AS doc_id", "repeat(if(id % 4 = 0, 'é', 'e'), CAST(id % 50 AS INT)) AS text")
+    sharding.plan_by_chars(docs, 4, path)
+    first = {(r.virtual_slot, r.shard) for r in sharding.read_map(spark, path).collect()}
+    got = as_rows(sharding.shard_documents(docs, 4, path))
+    versions = spark.read.parquet(path)
+    assert {r.version for r in versions.select("version").distinct().collect()} == {1, 2}
+    second = {(r.virtual_slot, r.shard) for r in sharding.read_map(spark, path).collect()}
+    assert len(second - first) < len(second) / 4
+    assert {(r["virtual_slot"], r["shard"]) for r in got} <= second
+    loads = [sum(r["size"] for r in got if r["shard"] == s) for s in range(4)]
+    assert max(loads) < 1.004 * sum(loads) / 4
+    assert sharding.read_map(spark, str(tmp_path / "none")) is None
+
+
+def test_records_of_one_id_are_numbered_in_parts(spark, tmp_path):
+    docs = spark.range(0, 2000, 1, 9).selectExpr("if(id % 3 = 0, 7L, id) AS doc_id", "if(id % 3 = 0, 'same', CAST(id AS STRING)) AS text")
+    got = sharding.shard_documents(docs, 3, str(tmp_path / "map"), 16).collect()
+    for shard in range(3):
+        places = sorted(r.slot for r in got if r.shard == shard)
+        assert places == list(range(len(places)))
+    assert len({r.shard for r in got if r.doc_id == 7}) == 1
+
+
 def test_rebalancing_moves_little_and_balances(spark, tmp_path):
     slots = spark.range(1024).selectExpr("CAST(id AS INT) AS virtual_slot", "1000 + (id * 7919) % 997 AS bytes")
     first = sharding.write_map(sharding.first_map(slots, 8), str(tmp_path / "map")).cache()
