@@ -56,18 +56,17 @@ def slot_vector(codes: Sequence[str], numbers: Sequence[str]) -> Column:
 # -- node tables -----------------------------------------------------------------
 
 def forest_nodes(spark: SparkSession, model, slots: Sequence[Slot]) -> DataFrame:
-    """Nodes of a fitted random forest classifier, read from its stored form; leaves hold their part of the mean."""
+    """Nodes of a fitted random forest regressor, read from its stored form; leaves hold their part of the mean."""
     path = scratch_path(spark, "forest")
     model.write().save(path)
-    part = F.get("impurityStats", F.lit(1)) / F.aggregate("impurityStats", F.lit(0.0), lambda a, b: a + b)
     slot = F.get(F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(left).alias("left")) for f, left in slots]), F.col("split.featureIndex"))
     inner = lambda c: F.when(F.col("leftChild") >= 0, c)
     return spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*").select(
         "tree", F.col("id").alias("node"), inner(slot["feature"]).alias("feature"),
         inner(F.get("split.leftCategoriesOrThreshold", F.lit(0))).alias("cut"), inner(slot["left"]).alias("missing_left"),
         inner(F.col("leftChild")).alias("left"), inner(F.col("rightChild")).alias("right"),
-        F.when(F.col("leftChild") < 0, F.coalesce(part, F.lit(0.0)) / model.getNumTrees).alias("value"),
-        F.aggregate("impurityStats", F.lit(0.0), lambda a, b: a + b).alias("cover"))
+        F.when(F.col("leftChild") < 0, F.col("prediction") / model.getNumTrees).alias("value"),
+        F.get("impurityStats", F.lit(0)).alias("cover"))
 
 
 def tree_nodes(tree, number: int, slots: Sequence[Slot], scale: float) -> list[tuple]:

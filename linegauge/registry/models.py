@@ -262,6 +262,71 @@ def train_gbt(spark, sf):
     return _report(spark, sf, "boosted_trees")
 
 
+# With one category as the only input a fitted model must give every category its share of positives, which SQL knows.
+
+@query("fit_lr_shares", "M6 M8", f"""
+WITH {MODEL_ROWS} SELECT coalesce(lang, 'UNKNOWN') AS lang, round(avg(quality), 3) AS p, CAST(0 AS DOUBLE) AS spread, count(*) AS n FROM x GROUP BY 1
+""")
+def fit_lr_shares(spark, sf):
+    rows = _documents(spark, sf)
+    got = training.tune(rows, rows, LABEL, "logistic_regression", ["lang"], [], trials=1, space={"C": ("choice", [1e6])})
+    return _shares(got.model.transform(rows))
+
+
+@query("fit_rf_shares", "M5 M9", f"""
+WITH {MODEL_ROWS} SELECT coalesce(lang, 'UNKNOWN') AS lang, round(avg(quality), 3) AS p, CAST(0 AS DOUBLE) AS spread, count(*) AS n FROM x GROUP BY 1
+""")
+def fit_rf_shares(spark, sf):
+    rows = _documents(spark, sf)
+    space = {"trees": ("choice", [1]), "depth": ("choice", [8]), "leaf": ("choice", [1]), "subset": ("choice", ["all"]), "bootstrap": ("choice", [False])}
+    return _shares(training.tune(rows, rows, LABEL, "random_forest", ["lang"], [], trials=1, space=space).model.transform(rows))
+
+
+@query("fit_gbt_shares", "M5 M10 M12", f"""
+WITH {MODEL_ROWS}, w AS (SELECT count(*) FILTER (WHERE quality = 0) / count(*) FILTER (WHERE quality = 1) AS w FROM x)
+SELECT coalesce(lang, 'UNKNOWN') AS lang, round(sum(quality) * w / (sum(quality) * w + sum(1 - quality)), 3) AS p, CAST(0 AS DOUBLE) AS spread,
+  count(*) AS n FROM x, w GROUP BY 1, w
+""")
+def fit_gbt_shares(spark, sf):
+    """Newton steps of rate 1 lead to the share of positives, weighted by the class odds."""
+    rows = _documents(spark, sf)
+    prep = training.Preparation(rows, "boosted_trees", ["lang"], [])
+    weight = F.when(F.col(LABEL) == 1, training.positive_weight(rows, LABEL)).otherwise(1.0)
+    vectors = prep.vectors(rows).select("features", F.col(LABEL).cast("double").alias("y"), weight.alias("weight"), F.lit(False).alias("held_out"))
+    nodes, _ = trees.boost(vectors, {"step": 1.0, "depth": 4, "sample": 1.0, "columns": 1.0, "leaf": 1}, prep.slots, 6, None)
+    return _shares(prep.boosted_model(spark, nodes).transform(rows))
+
+
+def _shares(scored):
+    p = training.probability(scored).groupBy(F.coalesce("lang", F.lit("UNKNOWN")).alias("lang")).agg(
+        F.round(F.avg("probability_1"), 3).alias("p"), F.round(F.max("probability_1") - F.min("probability_1"), 3).alias("spread"),
+        F.count("*").alias("n"))
+    return p.withColumn("spread", F.abs("spread"))
+
+
+def _auc_sql(name: str, score: str) -> str:
+    return (f"SELECT '{name}' AS candidate, (SELECT sum(CASE WHEN a.s > b.s THEN 1.0 WHEN a.s = b.s THEN 0.5 ELSE 0 END) / count(*) FROM "
+            f"(SELECT {score} AS s FROM v WHERE quality = 1) a, (SELECT {score} AS s FROM v WHERE quality = 0) b) AS auc")
+
+
+@query("search_candidates", "M11 M13 M20", f"""
+WITH {MODEL_ROWS}, t AS (SELECT * FROM x WHERE NOT held_out),
+l AS (SELECT lang, avg(quality) AS by_lang FROM t GROUP BY 1), s AS (SELECT source, avg(quality) AS by_source FROM t GROUP BY 1),
+v AS (SELECT x.quality, by_lang, by_source FROM x LEFT JOIN l USING (lang) LEFT JOIN s USING (source) WHERE held_out),
+a AS ({_auc_sql('lang', 'by_lang')} UNION ALL {_auc_sql('source', 'by_source')})
+SELECT candidate, round(auc, 4) AS validation_auc, auc = (SELECT max(auc) FROM a) AS selected FROM a
+""")
+def search_candidates(spark, sf):
+    """One-input forests of a single tree, fitted on the training side, compared on the validation side."""
+    train, validation = _sides(spark, sf)
+    space = {"trees": ("choice", [1]), "depth": ("choice", [12]), "leaf": ("choice", [1]), "subset": ("choice", ["all"]), "bootstrap": ("choice", [False])}
+    found = {c: training.tune(train, validation, LABEL, "random_forest", [c], [], trials=1, space=space) for c in ("lang", "source")}
+    best = training.best_of(list(found.values()))
+    rows = [(c, t.validation_auc, t is best) for c, t in found.items()]
+    return spark.createDataFrame(rows, "candidate string, validation_auc double, selected boolean").withColumn(
+        "validation_auc", F.round("validation_auc", 4))
+
+
 @query("tune", "M11 M20 O7")
 def tune(spark, sf):
     found = [_trained(spark, sf, f) for f in training.SPACES]
