@@ -5,10 +5,10 @@ frequent training tokens have one each, all others share the rest by a hash. The
 predicted one by one in three hashed contexts (no token, one token, two tokens before it, and the
 bits so far) from the counts of all training documents; the predictions are combined in the logistic
 domain by weights that a gate (the bit's place and how much the longer contexts have seen) selects.
-The weights start from those learned on all training documents (each decision left out of its own
-prediction) and are refined after every token of the document at hand. Tokens that share a code share
-its probability by their smoothed counts, unknown ones included, so probabilities of all texts add up
-to one.
+The weights start from those learned on all training documents (of the two longer contexts, each decision
+left out of its own prediction) and are refined after every token of the document at hand. Tokens that
+share a code share its probability by their smoothed counts, unknown ones included, so probabilities of
+all texts add up to one.
 
 Texts are coded once and their codes stored; counting, learning and scoring read the codes. Counts
 per token come from all training documents and are shuffled by token; the ``FREQUENT`` most frequent
@@ -65,12 +65,12 @@ START_WEIGHT = 0.4
 RATE = 0.02
 GATES = BITS * 3 * 3
 OFTEN = 8
-#: What is summed per gate: the slope of each weight, then the bend of each two.
-SUMS = [(0, None), (1, None), (2, None), (0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)]
+#: What is summed per gate: the slope of the longer contexts' weights, then the bend of each two; the first starts at the common weight.
+SUMS = [(1, None), (2, None), (1, 1), (1, 2), (2, 2)]
 MOST_STEP = 1.0
 FLUSH_TOKENS = 400_000
 #: Tokens whose decisions are laid out at once; more where each time costs a pass over the counts, and tokens of texts scored together.
-GROUP_TOKENS, COUNT_TOKENS, SCORE_TOKENS = 50_000, 400_000, 4_000_000
+GROUP_TOKENS, COUNT_TOKENS, SCORE_TOKENS = 50_000, 300_000, 4_000_000
 
 # the slot within a line and the bit, for each group value and step
 NODE = np.array([[(1 << j) | (v >> (GROUP_BITS - j)) for j in range(GROUP_BITS)] for v in range(LINE)], np.intp)
@@ -248,7 +248,11 @@ def slot_counts(rows: DataFrame) -> DataFrame:
                 own = codes[bounds[first]:bounds[last]]
                 bit, slots = decisions(own, contexts(own, bounds[first:last] - bounds[first]))
                 for k in range(ORDERS):
-                    places[k].append((2 * (slots[k] - LINE * ORDER_LINES[k]) + bit).astype(np.int32).ravel())
+                    at = slots[k]
+                    at -= LINE * ORDER_LINES[k]
+                    at *= 2
+                    at += bit
+                    places[k].append(at.ravel())
                 used = True
                 if sum(p.size for p in places[0]) > COUNT_TOKENS * BITS:
                     add()
@@ -356,7 +360,7 @@ def learned_weights(sums: DataFrame) -> np.ndarray:
                 slope[i] = s
             else:
                 bend[i, j] = bend[j, i] = s + (i == j)
-        step = np.linalg.solve(bend, slope)
+        step = np.linalg.solve(bend, slope)  # nothing for a weight without sums
         weights[r["gate"]] += step / max(1.0, float(np.abs(step).max()) / MOST_STEP)
     return weights
 

@@ -292,6 +292,7 @@ def mixed_scores(docs):
                 x = np.array([logit(c) for c in left])
                 p = 1 / (1 + math.exp(-0.4 * x.sum()))
                 gate = place, sure(left[1]), sure(left[2])
+                x[0] = 0  # the first weight is not learned
                 slope[gate] += (bit - p) * x
                 bend[gate] += p * (1 - p) * np.outer(x, x)
     start = {}
