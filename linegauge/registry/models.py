@@ -288,12 +288,12 @@ SELECT coalesce(lang, 'UNKNOWN') AS lang, round(sum(quality) * w / (sum(quality)
   count(*) AS n FROM x, w GROUP BY 1, w
 """)
 def fit_gbt_shares(spark, sf):
-    """Newton steps of rate 1 lead to the share of positives, weighted by the class odds."""
+    """Newton steps of rate 1 lead to the share of positives, weighted by the class odds; one class alone takes a step per digit or so."""
     rows = _documents(spark, sf)
     prep = training.Preparation(rows, "boosted_trees", ["lang"], [])
     weight = F.when(F.col(LABEL) == 1, training.positive_weight(rows, LABEL)).otherwise(1.0)
     vectors = prep.vectors(rows).select("features", F.col(LABEL).cast("double").alias("y"), weight.alias("weight"), F.lit(False).alias("held_out"))
-    nodes, _ = trees.boost(vectors, {"step": 1.0, "depth": 4, "sample": 1.0, "columns": 1.0, "leaf": 1}, prep.slots, 6, None)
+    nodes, _ = trees.boost(vectors, {"step": 1.0, "depth": 4, "sample": 1.0, "columns": 1.0, "leaf": 1}, prep.slots, 12, None)
     return _shares(prep.boosted_model(spark, nodes).transform(rows))
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +38,14 @@ def build_session(app: str = "linegauge", master: str | None = None,
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    """One folder for all scratch tables of a local master, removed when the process ends."""
+    folder = tempfile.mkdtemp(prefix="linegauge-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the checkpoint folder the cluster names.
 
@@ -44,7 +55,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="linegauge-")
+        base = _local_folder()
     return f"{base.rstrip('/')}/linegauge/{name}-{uuid.uuid4().hex}"
 
 
