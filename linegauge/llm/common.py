@@ -63,6 +63,14 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.md5(F.concat(own, F.lit("\n"), body).cast("binary"))
 
 
+def short_row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """64-bit key of a row by its id and text, for tables whose size decides how all texts are joined.
+
+    Of 10^10 different rows, about three pairs share a key.
+    """
+    return F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit("")))
+
+
 def fresh(name: str) -> str:
     """A column name that no caller's table has."""
     return f"_{name}_{uuid.uuid4().hex}"

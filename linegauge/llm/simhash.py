@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from linegauge.llm.common import fresh, row_key, stored
+from linegauge.llm.common import fresh, short_row_key, stored
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -66,8 +66,8 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
             found = pa.array([fingerprint(t.as_py() or b"", size) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), found], ["doc_id", "row_key", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), row_key().alias("row_key"), "text")
-    return rows.mapInArrow(prints, "doc_id bigint, row_key string, fp bigint")
+    rows = docs.select(F.col("doc_id").cast("bigint"), short_row_key().alias("row_key"), "text")
+    return rows.mapInArrow(prints, "doc_id bigint, row_key bigint, fp bigint")
 
 
 def _byte(position: int) -> Column:
@@ -178,11 +178,11 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     gone, twice = fresh("dropped"), fresh("again")
     dropped = stored(judged.where("NOT kept").select(F.col("row_key").alias(gone)).distinct(), "dropped-rows")
     again = stored(judged.where("kept").groupBy(F.col("row_key").alias(twice)).count().where("count > 1").select(twice), "repeated-rows")
-    out = docs.join(dropped, row_key() == F.col(gone), "left_anti")
+    out = docs.join(dropped, short_row_key() == F.col(gone), "left_anti")
     if again.isEmpty():
         return out
-    once = out.join(again, row_key() == F.col(twice), "left_anti")
-    return once.unionByName(out.join(again, row_key() == F.col(twice)).dropDuplicates([twice]).drop(twice))
+    once = out.join(again, short_row_key() == F.col(twice), "left_anti")
+    return once.unionByName(out.join(again, short_row_key() == F.col(twice)).dropDuplicates([twice]).drop(twice))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
