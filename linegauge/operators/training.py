@@ -12,6 +12,7 @@ import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from threading import Lock
 
 from pyspark import StorageLevel
@@ -27,7 +28,7 @@ from linegauge.operators import trees
 from linegauge.operators.evaluate import metrics
 from linegauge.operators.features import fit_stages, linear_stages, vocabulary_encoder
 from linegauge.operators.prefix import running_sums
-from linegauge.session import fan_out
+from linegauge.session import cut_lineage, fan_out
 
 SEED = 42
 
@@ -255,19 +256,18 @@ def learning_curve(df: DataFrame, key: str, label: str, family: str, params: Map
     """
     sizes = sizes or [0.1 + 0.9 * i / 7 for i in range(8)]
     folded = class_folds(df.where(F.col(label).isNotNull()).select(key, label, *categorical, *numeric), key, label, folds)
-    folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
-    cached = [folded]
+    # every iteration of a fit has a task per partition: stored, there are as many as the rows need; cached, one per shuffle partition
+    folded = cut_lineage(folded)
     spark = df.sparkSession
+    prep = Preparation(folded, family, categorical, numeric)
+    rows = prep.vectors(folded).select("features", F.col(label).cast("double").alias("y"), "fold", *[f"place_{f}" for f in range(folds)],
+                                       F.lit(1.0).alias("weight"), F.lit(False).alias("held_out"),
+                                       *([] if family == "logistic_regression" else [*prep.codes, *prep.numbers]))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        prep = Preparation(folded, family, categorical, numeric)
-        rows = prep.vectors(folded).select("features", F.col(label).cast("double").alias("y"), "fold", *[f"place_{f}" for f in range(folds)],
-                                           F.lit(1.0).alias("weight"), F.lit(False).alias("held_out"),
-                                           *([] if family == "logistic_regression" else [*prep.codes, *prep.numbers]))
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(rows)
-        steps = curve_sizes(folded, folds, sizes)
-
-        def run(job: tuple[int, float, int]):
+        jobs = [(f, float(s), n) for s, n in zip(sizes, curve_sizes(folded, folds, sizes)) for f in range(folds)]
+
+        def run(job: tuple[int, float, int]) -> DataFrame:
             fold, size, n = job
             inside = rows.where(F.col(f"place_{fold}") < n)
             if family == "boosted_trees":
@@ -275,16 +275,22 @@ def learning_curve(df: DataFrame, key: str, label: str, family: str, params: Map
                 fitted = prep.boosted_model(spark, nodes).stages[-1]
             else:
                 fitted = (logistic(params, n) if family == "logistic_regression" else forest(params)).fit(inside)
-            score = lambda part: auc(probability(fitted.transform(part)), "y")
-            return size, fold, n, score(inside), score(rows.where(F.col("fold") == fold))
+            out = F.col("fold") == fold
+            both = rows.where((F.col(f"place_{fold}") < n) | out).withColumn("validation", out)
+            return probability(fitted.transform(both)).select(
+                F.lit(size).alias("size"), F.lit(fold).alias("held_fold"), "validation", "probability_1", "y")
 
         with ThreadPoolExecutor(parallelism) as pool:
-            points = list(pool.map(run, [(f, float(s), n) for s, n in zip(sizes, steps) for f in range(folds)]))
+            # all models' rows are ranked in one pass, not a pass per model and side
+            scored = cut_lineage(reduce(DataFrame.unionAll, pool.map(run, jobs)))
     finally:
-        for kept in cached:
-            kept.unpersist()
-    out = spark.createDataFrame(points, "size double, fold int, n long, train_auc double, validation_auc double")
-    return out.groupBy("size").agg(
+        rows.unpersist()
+    areas = metrics(scored, "probability_1", "y", keys=["size", "held_fold", "validation"])
+    side = lambda validation: F.max(F.when(F.col("validation") == validation, F.col("roc_auc")))
+    areas = areas.groupBy("size", "held_fold").agg(side(False).alias("train_auc"), side(True).alias("validation_auc"))
+    points = spark.createDataFrame(jobs, "held_fold int, size double, n long").join(areas, ["size", "held_fold"], "left").fillna(
+        0.0, ["train_auc", "validation_auc"])
+    return points.groupBy("size").agg(
         F.avg("n").alias("train_size"), F.avg("train_auc").alias("train_roc_auc"),
         F.stddev_pop("train_auc").alias("train_roc_auc_std"), F.avg("validation_auc").alias("val_roc_auc"),
         F.stddev_pop("validation_auc").alias("val_roc_auc_std")).orderBy("size")

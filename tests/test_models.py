@@ -343,6 +343,46 @@ def test_learning_curve(spark, family):
     assert all(0 <= r["val_roc_auc"] <= 1 for r in out)
 
 
+def test_learning_curve_fits_few_partitions_and_ranks_all_models_at_once(spark):
+    import unittest.mock as mock
+
+    parts, calls, real, fit = [], [], evaluate.metrics, training.logistic
+
+    class Fit:
+        def __init__(self, *a):
+            self.own = fit(*a)
+
+        def fit(self, rows):
+            parts.append(rows.rdd.getNumPartitions())
+            return self.own.fit(rows)
+
+    def counted(*a, **b):
+        calls.append(b.get("keys"))
+        return real(*a, **b)
+
+    df, sizes = _sample(spark, 300), [0.5, 1.0]
+    with mock.patch.object(training, "metrics", counted), mock.patch.object(training, "logistic", Fit):
+        out = training.learning_curve(df, "id", "y", "logistic_regression", {"C": 1.0}, ["complexity"], ["x", "qty"], sizes, folds=2).collect()
+    assert len(calls) == 1 and len(parts) == 4
+    assert max(parts) < int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    # the same points from single fits, each ranked by the definition
+    folded = training.class_folds(df.select("id", "y", "complexity", "x", "qty"), "id", "y", 2).cache()
+    prep = training.Preparation(folded, "logistic_regression", ["complexity"], ["x", "qty"])
+    rows = prep.vectors(folded).withColumn("y", F.col("y").cast("double")).cache()
+
+    def area(model, part):
+        scored = training.probability(model.transform(part)).select("probability_1", "y").collect()
+        return _auc([r[0] for r in scored], [r[1] for r in scored])
+
+    for r, n in zip(out, training.curve_sizes(folded, 2, sizes)):
+        models = [training.logistic({"C": 1.0}, n).fit(rows.where(f"place_{f} < {n}")) for f in (0, 1)]
+        train = [area(m, rows.where(f"place_{f} < {n}")) for f, m in enumerate(models)]
+        held = [area(m, rows.where(f"fold = {f}")) for f, m in enumerate(models)]
+        assert (r["train_size"], r["train_roc_auc"], r["val_roc_auc"]) == (n, pytest.approx(np.mean(train), abs=1e-3), pytest.approx(np.mean(held), abs=1e-3))
+        assert r["val_roc_auc_std"] == pytest.approx(np.std(held), abs=1e-3)
+
+
 @pytest.mark.parametrize("ranges", [1, 9])
 def test_folds_keep_class_shares_and_prefixes_are_exact(spark, ranges):
     rows = [(i // 2 if i < 40 else i, int(i % 7 == 0)) for i in range(301)] + [(None, 1)]
