@@ -77,7 +77,9 @@ def hit_places(docs: DataFrame, windows: DataFrame) -> DataFrame | None:
         grams = windows.where(F.col("guarantee") == guarantee).select(F.explode(gram_hashes(hashes(F.split("window", " ")), k)).alias("gram"))
         grams = stored(grams.select(_short(F.col("gram")).alias("hash")).distinct(), "item-grams")
         prints = docs.select(row_key().alias("doc_key"), winnow(words(F.col("text")), k, w).alias("minima"))
-        prints = prints.select("doc_key", F.explode("minima").alias("packed"))
+        # explode() would let Spark first filter by the array's size, below the projection, and so winnow every text twice;
+        # the null of a text without words matches nothing
+        prints = prints.select("doc_key", F.explode_outer("minima").alias("packed"))
         place = F.col("packed").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
         hits = (prints.withColumn("hash", F.shiftright("packed", POSITION_BITS)).join(grams, "hash", "left_semi")
                 .select("doc_key", F.lit(guarantee).alias("guarantee"), place.cast("int").alias("at")))

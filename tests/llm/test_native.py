@@ -8,7 +8,7 @@ from corpus_rows import SF, as_rows, needs_tables, nothing, odd, odd_texts, orde
 from pyspark.sql import functions as F
 
 from linegauge.llm import decontaminate, licenses, mixing, quality, queries, sharding, simhash
-from linegauge.llm.common import documents, tokens, words
+from linegauge.llm.common import documents, row_key, tokens, words
 
 
 def benchmark(spark, texts):
@@ -47,6 +47,15 @@ def test_every_shared_span_shares_a_fingerprint(spark, guarantee):
     assert all(kept & {x >> decontaminate.POSITION_BITS for x in r.p} for r in packed)
 
 
+def test_texts_are_winnowed_once(spark, capsys):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k l m n o"), (2, None), (3, "!!")], "doc_id bigint, text string")
+    windows = decontaminate.item_windows(benchmark(spark, ["x a b c d e f g h i j k l m"]))
+    places = decontaminate.hit_places(docs, windows)
+    places.explain()
+    assert capsys.readouterr().out.count("translate(coalesce(text") == 1  # in one node of the plan, no filter before it
+    assert {r.doc_key for r in places.collect()} == {docs.select(row_key().alias("k")).first().k}
+
+
 def test_decontamination_keeps_clean_rows_and_columns(spark, odd, odd_texts, nothing):
     extra = odd.withColumns({"n_words": F.lit("mine"), "doc_key": F.lit(1)})
     items = benchmark(spark, [odd_texts[0][1]])
