@@ -165,29 +165,36 @@ def exact_duplicates(df: DataFrame, content: Sequence[str], fold_case: bool = Fa
     return out.withColumn("dup_pct", F.col("dup_rows") * 100.0 / F.nullif("total_rows", F.lit(0)))
 
 
+def _row_print(df: DataFrame, cols: Sequence[str], fold_case: bool) -> list[Column]:
+    """h1, h2: a 96-bit fingerprint of a row's cells. A cell is the value itself where its type has a fixed width, else its text."""
+    cells = [F.lit(len(cols))]
+    for c in cols:
+        cell = F.col(c)
+        if not isinstance(df.schema[c].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)):
+            cell = F.lower(F.trim(cell.cast("string"))) if fold_case else cell.cast("string")
+        cells += [F.col(c).isNull(), cell]
+    return [F.xxhash64(F.lit(0), *cells).alias("h1"), F.shiftright(F.xxhash64(F.lit(1_000_003), *cells), 32).cast("int").alias("h2")]
+
+
+def _repeating(df: DataFrame, cols: Sequence[str], fold_case: bool) -> DataFrame:
+    """One row: rows in all, and rows that another row equals in ``cols``."""
+    sizes = df.select(*_row_print(df, cols, fold_case)).groupBy("h1", "h2").agg(F.count("*").alias("n"))
+    return sizes.agg(F.sum("n").alias("total_rows"), F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("n"))
+
+
 def near_duplicates(df: DataFrame, content: Sequence[str], fold_case: bool = False) -> DataFrame:
     """Per column: rows that match another row in every other content column, exact duplicates excluded.
 
-    Equal rows are first collapsed to one with a count. Each distinct row then emits one
-    fingerprint per left-out column (the row hash with that cell taken out again), and all
-    columns share a single shuffle; nothing is compared pairwise.
+    Rows are counted by fingerprints that leave one column out, a column at a time: only fingerprints and
+    counts are shuffled, partly summed before, and a task holds one fingerprint per row it reads. An exact
+    duplicate has a match whatever column is left out, so the rows that repeat wholly are taken off every
+    column's count; nothing is compared pairwise.
     """
-    k = len(content)
-    cells = _cell_hashes(df, content, fold_case)
-    distinct = cells.groupBy(*cells.columns).agg(F.count("*").alias("n"))
-    total = F.sum("n")
-    whole_a, whole_b = _xor([f"_a{i}" for i in range(k)]), _xor([f"_b{i}" for i in range(k)])
-    left_out = [F.struct(F.lit(c).alias("column"), whole_a.bitwiseXOR(F.col(f"_a{i}")).alias("h1"),
-                         whole_b.bitwiseXOR(F.col(f"_b{i}")).alias("h2")) for i, c in enumerate(content)]
-    prints = distinct.select("n", F.explode(F.array(*left_out)).alias("p")).select("n", "p.*")
-    groups = prints.groupBy("column", "h1", "h2").agg(
-        total.alias("size"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("singles"))
-    per_column = groups.groupBy("column").agg(
-        F.sum("size").alias("total_rows"),
-        F.sum(F.when(F.col("size") > 1, F.col("singles")).otherwise(0)).alias("dup_rows"))
-    return per_column.where("dup_rows > 0").select(
-        F.col("column").alias("differing_col"), "dup_rows",
-        (F.col("dup_rows") * 100.0 / F.col("total_rows")).alias("dup_pct"))
+    exact = _repeating(df, content, fold_case).select("n").scalar()
+    near = [_repeating(df, [o for o in content if o != c], fold_case).select(
+        F.lit(c).alias("differing_col"), "total_rows", (F.col("n") - exact).alias("dup_rows")) for c in content]
+    return reduce(DataFrame.unionAll, near).where("dup_rows > 0").select(
+        "differing_col", "dup_rows", (F.col("dup_rows") * 100.0 / F.col("total_rows")).alias("dup_pct"))
 
 
 def field_agreement(df: DataFrame, group: Sequence[str], numeric: Sequence[str] = (), times: Sequence[str] = (),

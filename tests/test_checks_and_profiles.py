@@ -1,3 +1,4 @@
+import re
 from collections import Counter
 from datetime import date, datetime
 
@@ -121,6 +122,18 @@ def test_duplicates_equal_brute_force(spark):
     assert got == _near_by_brute_force(data, ["x", "y", "z"])
 
 
+def test_near_duplicates_shuffle_prints_only(spark, capsys):
+    rows = [(1, "a", 0.5, None), (1, "a", 0.5, None), (1, "b", 0.5, None), (None, "a", 1.0, "x"), (2, "a", 1.0, "x"), (3, "q", None, "a"), (3, "q", 7.0, None)]
+    df = spark.createDataFrame(rows, "i int, s string, d double, t string")
+    out = profile.near_duplicates(df, df.columns)
+    assert {r["differing_col"]: r["dup_rows"] for r in out.collect()} == _near_by_brute_force(rows, df.columns)
+    out.explain("extended")
+    plan = capsys.readouterr().out.partition("== Physical Plan ==")[2]
+    dealt = re.findall(r"hashpartitioning\(([^)]*), \d+\)", plan)
+    assert len(dealt) >= 5 and all(re.sub(r"#\d+L?", "", d) == "h1, h2" for d in dealt)
+    assert "Generate" not in plan and profile.near_duplicates(df.limit(0), df.columns).isEmpty()
+
+
 def test_fold_case_is_optional(spark):
     df = spark.createDataFrame([("A", 1), (" a", 1)], "c string, n int")
     assert one(profile.exact_duplicates(df, ["c", "n"]))["dup_rows"] == 0
